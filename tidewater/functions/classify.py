@@ -101,5 +101,10 @@ def is_hidden_name(path: Column | str) -> Column:
     return F.regexp_extract(_c(path), r"([^/]*)$", 1).rlike(r"^[_.]")
 
 
+def file_id(c: Column | str = "_metadata.file_path") -> Column:
+    """Canonical file id: Spark's encoded file URI, ``file:///x`` → ``file:/x``."""
+    return F.regexp_replace(_c(c), "^file:///", "file:/")
+
+
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x

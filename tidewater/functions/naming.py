@@ -78,3 +78,13 @@ def _div(a: Column, b: Column) -> Column:
 
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
+
+
+def records_per_chunk_py(total_bytes: int, record_count: int) -> int:
+    """Driver-side twin of ``records_per_chunk`` for writer options."""
+    if record_count <= 0:
+        return 0
+    if total_bytes <= 0:
+        return record_count
+    bpr = max(1, total_bytes // record_count)
+    return min(max(1, K.PART_TARGET_BYTES // bpr), max(1, K.PART_MAX_BYTES // bpr))

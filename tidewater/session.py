@@ -27,7 +27,19 @@ RUNTIME_CONF = {
 }
 
 
+def ship_code() -> None:
+    """Pickle this package's functions by value, so Python workers on any
+    executor run them without the package being installed there."""
+    try:
+        from pyspark import cloudpickle
+        import tidewater
+        cloudpickle.register_pickle_by_value(tidewater)
+    except Exception:  # pragma: no cover - very old cloudpickle
+        pass
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    ship_code()
     for k, v in RUNTIME_CONF.items():
         try:
             spark.conf.set(k, v)
