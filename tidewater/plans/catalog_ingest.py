@@ -229,3 +229,188 @@ def q_part_manifest(spark, sf):
     return S.parts_plan(p, key="key", total_bytes="total_bytes", record_count="record_count").select(
         "doc_id", "base_key", "record_count", "rows_per_part", "n_parts", "processed_key",
         F.concat_ws(",", "parts").alias("parts"))
+
+
+# ------------------------------------------------------- A01 A08-A12 A20 (real files)
+import os as _os  # noqa: E402
+
+from ..operators import features as FT  # noqa: E402
+from ..operators.ingest import IngestTables, ingest_landing, read_processed  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import landing as LD  # noqa: E402
+from .common import TS_US_FMT  # noqa: E402
+
+EVENTS_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint",
+                "event_type": "string", "value": "double", "props": "string"}
+_EVENTS_SQL = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
+FROM events"""
+
+
+def _events_landing(spark, sf, fmt):
+    """Write events into a fresh landing area as ``fmt`` files, one folder
+    per (event type, day); returns the landing root."""
+    ev = table(spark, sf, "events")
+    root = scratch_path(spark, f"landing-{fmt}")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    if fmt == "parquet":
+        body = ev
+    else:
+        body = ev.select(F.col("event_id").cast("string").alias("event_id"),
+                         F.date_format("ts", TS_US_FMT).alias("ts"),
+                         F.col("user_id").cast("string").alias("user_id"), "event_type",
+                         F.col("value").cast("string").alias("value") if fmt == "csv" else F.col("value"),
+                         "props")
+    body = body.withColumn("source", F.col("event_type")).withColumn("date", day)
+    opts = {"header": "true", "escape": '"'} if fmt == "csv" else {}
+    LD.write_landing(body.repartition("source", "date"), root, fmt=fmt, options=opts)
+    return root
+
+
+def _ingest_events(spark, sf, fmt):
+    prep(spark)
+    land = _events_landing(spark, sf, fmt)
+    t = IngestTables(scratch_path(spark, f"state-{fmt}"))
+    ingest_landing(spark, land, t, batch_id=1)
+    p = read_processed(spark, t)
+    typed = FT.coerce(p.select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
+    return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id",
+                        "event_type", "value", "props")
+
+
+@query("ingest_csv", _EVENTS_SQL)
+def q_ingest_csv(spark, sf):
+    return _ingest_events(spark, sf, "csv")
+
+
+@query("ingest_ndjson", _EVENTS_SQL)
+def q_ingest_ndjson(spark, sf):
+    return _ingest_events(spark, sf, "json")
+
+
+@query("ingest_parquet", _EVENTS_SQL)
+def q_ingest_parquet(spark, sf):
+    return _ingest_events(spark, sf, "parquet")
+
+
+# ---------------------------------------------------------------------- A03
+@query("landing_write", """
+SELECT event_id, event_type AS source, strftime(ts, '%Y-%m-%d') AS date, value FROM events""")
+def q_landing_write(spark, sf):
+    prep(spark)
+    ev = table(spark, sf, "events")
+    root = scratch_path(spark, "landing-push")
+    body = ev.select("event_id", "value", F.col("event_type").alias("source"),
+                     F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    LD.write_landing(body, root, fmt="json")
+    back = spark.read.schema("event_id bigint, value double, source string, date string").json(root)
+    return back.select("event_id", "source", "date", "value")
+
+
+# ---------------------------------------------------------------------- A12
+@query("merge_sources", """
+SELECT event_id, event_type, value,
+       CASE WHEN event_type IN ('click', 'view') THEN 'a' ELSE 'b' END AS adapter
+FROM events""")
+def q_merge_sources(spark, sf):
+    from ..streaming.ingest import merge_streams
+    prep(spark)
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value")
+    ra, rb = scratch_path(spark, "adapter-a"), scratch_path(spark, "adapter-b")
+    ev.where(F.col("event_type").isin("click", "view")).write.parquet(ra)
+    ev.where(~F.col("event_type").isin("click", "view")).write.parquet(rb)
+    schema = "event_id bigint, event_type string, value double"
+    sa = spark.readStream.schema(schema).parquet(ra).withColumn("adapter", F.lit("a"))
+    sb = spark.readStream.schema(schema).parquet(rb).withColumn("adapter", F.lit("b"))
+    out = scratch_path(spark, "merged")
+    merge_streams([sa, sb], out, scratch_path(spark, "merged-ckpt"))
+    return spark.read.parquet(out).select("event_id", "event_type", "value", "adapter")
+
+
+# ------------------------------------------------------------------ A23 A24
+_DONE_SQL = with_ctes(VFILES, FIRST) + """
+SELECT m.content_hash AS key, 's3' AS source, m.path, m.content_hash, m.format, m.length AS size,
+       strftime(m.received_at, '%Y-%m-%d %H:%M:%S') AS received_at,
+       strftime(m.processed_at, '%Y-%m-%d %H:%M:%S') AS processed_at,
+       'processed' AS processed_bucket,
+       regexp_replace(m.key, '\\.[^./]*$', '') || '.parquet' AS processed_key,
+       'landing' AS meta_bucket, m.key AS meta_key
+FROM mcur m WHERE m.status = 'done'"""
+
+
+def _done_events(spark, sf):
+    from ..streaming import topics as TP
+    files, log = _scenario(spark, sf)
+    cur = M.current(log).where(F.col("status") == "done")
+    done = (cur.select("content_hash", "processed_at")
+            .join(files.select("content_hash", "path", "key", "format", "length", "received_at"),
+                  ["content_hash"])
+            .join(M.first_by_hash(files).select("content_hash", "path"), ["content_hash", "path"]))
+    done = done.withColumn("processed_key", N.processed_key(N.base_key("key"), F.lit(1)))
+    return TP.event_json(done, "processed", F.col("processed_at"))
+
+
+def _event_cols(d):
+    return d.select("key", F.col("e.source").alias("source"), F.col("e.path").alias("path"),
+                    F.col("e.content_hash").alias("content_hash"), F.col("e.format").alias("format"),
+                    F.col("e.size").alias("size"),
+                    ts_text(F.col("e.received_at")).alias("received_at"),
+                    ts_text(F.col("e.processed_at")).alias("processed_at"),
+                    F.col("e.processed_bucket").alias("processed_bucket"),
+                    F.col("e.processed_key").alias("processed_key"),
+                    F.col("e.metadata")["bucket"].alias("meta_bucket"),
+                    F.col("e.metadata")["key"].alias("meta_key"))
+
+
+@query("publish_processed", _DONE_SQL)
+def q_publish_processed(spark, sf):
+    from ..streaming import topics as TP
+    msgs = _done_events(spark, sf)
+    return _event_cols(TP.decode_events(msgs))
+
+
+@query("consume_processed", _DONE_SQL)
+def q_consume_processed(spark, sf):
+    """Topic with every done event twice (redelivery) plus one undecodable
+    message per quarantined file; the consumer keeps one effect per hash."""
+    from ..streaming import topics as TP
+    msgs = _done_events(spark, sf).withColumn("batch_id", F.lit(1).cast("bigint"))
+    files, log = _scenario(spark, sf)
+    junk = (M.current(log).where(F.col("status") == "quarantined")
+            .select(F.col("content_hash").alias("key"), F.col("reason").alias("value"),
+                    F.col("processed_at").alias("timestamp"), F.lit(0).alias("partition"),
+                    F.lit(1).cast("bigint").alias("batch_id")))
+    topic = scratch_path(spark, "topic")
+    msgs.unionByName(msgs).unionByName(junk).write.parquet(topic)
+    out, dl = scratch_path(spark, "consumed"), scratch_path(spark, "dead-letter")
+    TP.consume(spark, topic, out, dl, scratch_path(spark, "consumer-ckpt"))
+    got = spark.read.parquet(out)
+    return got.select(
+        "key", "source", "path", "content_hash", "format", "size",
+        ts_text("received_at").alias("received_at"), ts_text("processed_at").alias("processed_at"),
+        "processed_bucket", "processed_key", F.col("metadata")["bucket"].alias("meta_bucket"),
+        F.col("metadata")["key"].alias("meta_key"))
+
+
+# ---------------------------------------------------------------------- A18
+@query("recover_stuck", with_ctes(VFILES, FIRST) + f"""
+, stuck AS (
+  SELECT * FROM mcur WHERE status = 'processing'
+    AND created_at < TIMESTAMP '{AS_OF}' - INTERVAL 31 MINUTE
+)
+SELECT s.content_hash, s.path,
+       CASE WHEN l.doc_id IS NULL THEN 'failed' ELSE 'pending' END AS new_status,
+       CASE WHEN l.doc_id IS NULL THEN 'payload not found' END AS reason,
+       CASE WHEN l.doc_id IS NULL THEN NULL ELSE s.format END AS format
+FROM stuck s LEFT JOIN labels l ON l.doc_id = s.doc_id""".replace(")\n, stuck AS", "),\nstuck AS"))
+def q_recover_stuck(spark, sf):
+    from ..operators.recovery import recover
+    files, log = _scenario(spark, sf)
+    cur = M.current(log)
+    # landing still holds the objects of labelled documents (the rest expired)
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id"), "doc_id",
+                                              "left_semi")
+    from ..sources.virtual import virtual_files
+    landing = virtual_files(docs).select("path", "key", "content", "length")
+    rows = recover(cur, landing, F.lit(AS_OF).cast("timestamp"))
+    return rows.select("content_hash", "path", "new_status", "reason", "format")

@@ -85,10 +85,10 @@ def consume(spark: SparkSession, topic_path: str, out_path: str, dead_letter_pat
                  F.lit(batch_id).cast("bigint").alias("consumer_batch"))
          .write.mode("append").parquet(dead_letter_path))
         good = d.where(F.col("e").isNotNull()).select("key", "partition", "timestamp", "e.*")
+        rest = [c for c in good.columns if c != "content_hash"]
+        # earliest delivery per hash; min_by carries the (map-typed) payload
         first = (good.groupBy("content_hash")
-                 .agg(F.min(F.struct("timestamp", *[c for c in good.columns
-                                                    if c not in ("timestamp", "content_hash")]))
-                      .alias("f"))
+                 .agg(F.min_by(F.struct(*rest), F.struct("timestamp", "partition", "key")).alias("f"))
                  .select("content_hash", "f.*"))
         try:
             seen = spark.read.parquet(out_path).select("content_hash")
