@@ -27,10 +27,11 @@ def coerce(df: DataFrame, target: dict[str, str], flag: str | None = "coerce_err
         t = target[c]
         src = F.col(f"`{c}`")
         if t in _TS_TYPES:
-            v = F.to_timestamp(src) if t != "date" else F.to_date(src)
-            v = F.try_to_timestamp(src) if t != "date" else F.to_date(F.try_to_timestamp(src))
-            if t == "timestamp_ntz":
-                v = F.try_to_timestamp(src).cast("timestamp_ntz")
+            v = F.try_to_timestamp(src)
+            if t == "date":
+                v = F.to_date(v)
+            elif t == "timestamp_ntz":
+                v = v.cast("timestamp_ntz")
         else:
             v = src.try_cast(t)
         out.append(v.alias(c))
@@ -39,3 +40,184 @@ def coerce(df: DataFrame, target: dict[str, str], flag: str | None = "coerce_err
         out.append(F.filter(F.array(*errs), lambda x: x.isNotNull()).alias(flag) if errs
                    else F.array().cast("array<string>").alias(flag))
     return df.select(*out)
+
+
+# --------------------------------------------------------------------- B02
+def check_rules(df: DataFrame, rules: dict[str, Column], reasons: str = "reasons") -> DataFrame:
+    """Evaluate named boolean rules; ``reasons`` lists the failed ones
+    (a rule evaluating to null counts as failed)."""
+    fails = [F.when(~F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]
+    return df.withColumn(reasons, F.filter(F.array(*fails), lambda x: x.isNotNull()))
+
+
+def split_valid(checked: DataFrame, reasons: str = "reasons") -> tuple[DataFrame, DataFrame]:
+    ok = F.size(reasons) == 0
+    return checked.where(ok).drop(reasons), checked.where(~ok)
+
+
+# ------------------------------------------------------------- B03 B04 B15
+def _stats(df: DataFrame, col: str, by: list[str] | None, aggs: dict[str, Column]) -> DataFrame:
+    g = df.groupBy(*by) if by else df.groupBy()
+    return g.agg(*[a.alias(n) for n, a in aggs.items()])
+
+
+def _attach(df: DataFrame, stats: DataFrame, by: list[str] | None) -> DataFrame:
+    if by:
+        return df.join(stats, by, "left")
+    # one global row: a broadcast of exactly one row is bounded by construction
+    return df.crossJoin(F.broadcast(stats))
+
+
+def fit_minmax(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
+    return _stats(df, col, by, {f"{col}__min": F.min(col), f"{col}__max": F.max(col)})
+
+
+def apply_minmax(df: DataFrame, state: DataFrame, col: str, out: str,
+                 by: list[str] | None = None) -> DataFrame:
+    """(x - min) / (max - min); 0 when max = min."""
+    j = _attach(df, state, by)
+    lo, hi = F.col(f"{col}__min"), F.col(f"{col}__max")
+    v = F.when(hi == lo, F.lit(0.0)).otherwise((F.col(col) - lo) / (hi - lo))
+    return j.withColumn(out, v).drop(f"{col}__min", f"{col}__max")
+
+
+def invert_minmax(df: DataFrame, state: DataFrame, col: str, scaled: str, out: str,
+                  by: list[str] | None = None) -> DataFrame:
+    """Min + s * (max - min)."""
+    j = _attach(df, state, by)
+    lo, hi = F.col(f"{col}__min"), F.col(f"{col}__max")
+    return j.withColumn(out, lo + F.col(scaled) * (hi - lo)).drop(f"{col}__min", f"{col}__max")
+
+
+def fit_standard(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
+    return _stats(df, col, by, {f"{col}__mean": F.avg(col), f"{col}__sd": F.stddev_pop(col)})
+
+
+def apply_standard(df: DataFrame, state: DataFrame, col: str, out: str,
+                   by: list[str] | None = None) -> DataFrame:
+    """(x - mean) / stddev_pop; 0 when the deviation is 0."""
+    j = _attach(df, state, by)
+    mu, sd = F.col(f"{col}__mean"), F.col(f"{col}__sd")
+    v = F.when(sd == 0, F.lit(0.0)).otherwise((F.col(col) - mu) / sd)
+    return j.withColumn(out, v).drop(f"{col}__mean", f"{col}__sd")
+
+
+def invert_standard(df: DataFrame, state: DataFrame, col: str, scaled: str, out: str,
+                    by: list[str] | None = None) -> DataFrame:
+    j = _attach(df, state, by)
+    return (j.withColumn(out, F.col(f"{col}__mean") + F.col(scaled) * F.col(f"{col}__sd"))
+            .drop(f"{col}__mean", f"{col}__sd"))
+
+
+# --------------------------------------------------------------------- B05
+def bucketize(col: Column | str, cuts: list[float]) -> Column:
+    """Index of the left-closed interval [cuts[i], cuts[i+1]) holding x;
+    0 below the first cut, len(cuts) at or above the last; null stays null."""
+    c = F.col(col) if isinstance(col, str) else col
+    out = F.lit(len(cuts))
+    for i in range(len(cuts) - 1, -1, -1):
+        out = F.when(c < F.lit(cuts[i]), F.lit(i)).otherwise(out)
+    return F.when(c.isNull(), F.lit(None)).otherwise(out)
+
+
+def quantile_cuts(df: DataFrame, col: str, n: int, accuracy: int = 10000) -> DataFrame:
+    """B05 quantile variant, fit side: one row with the n-1 inner cut points
+    (``percentile_approx``: bounded memory per task at any size)."""
+    qs = [i / n for i in range(1, n)]
+    return df.agg(F.percentile_approx(col, qs, accuracy).alias(f"{col}__cuts"))
+
+
+def apply_quantile_buckets(df: DataFrame, cuts: DataFrame, col: str, out: str) -> DataFrame:
+    j = df.crossJoin(F.broadcast(cuts))
+    arr = F.col(f"{col}__cuts")
+    idx = F.size(F.filter(arr, lambda q: q <= F.col(col)))
+    return j.withColumn(out, F.when(F.col(col).isNull(), None).otherwise(idx)).drop(f"{col}__cuts")
+
+
+# --------------------------------------------------------------------- B06
+MAX_ONEHOT = 1000
+
+
+def fit_onehot(df: DataFrame, col: str, max_categories: int = MAX_ONEHOT) -> list[str]:
+    """B06 fit: sorted distinct categories. They become output columns, so
+    their number is checked against ``max_categories`` before collecting."""
+    d = df.select(col).where(F.col(col).isNotNull()).distinct()
+    cats = [r[0] for r in d.limit(max_categories + 1).collect()]
+    if len(cats) > max_categories:
+        raise ValueError(f"{col}: more than {max_categories} categories for one-hot")
+    return sorted(str(c) for c in cats)
+
+
+def apply_onehot(df: DataFrame, col: str, cats: list[str], prefix: str | None = None) -> DataFrame:
+    """One int 0/1 column per fitted category; unseen → all 0."""
+    p = prefix or f"{col}_"
+    return df.select("*", *[F.when(F.col(col).cast("string") == F.lit(c), 1).otherwise(0)
+                            .alias(f"{p}{c}") for c in cats])
+
+
+def invert_onehot(df: DataFrame, col: str, cats: list[str], prefix: str | None = None) -> Column:
+    """Category of the (single) set indicator; null when none is set."""
+    p = prefix or f"{col}_"
+    out = F.lit(None).cast("string")
+    for c in reversed(cats):
+        out = F.when(F.col(f"{p}{c}") == 1, F.lit(c)).otherwise(out)
+    return out
+
+
+# ------------------------------------------------------------------ B07 B08
+def fit_target(df: DataFrame, cat: str, target: str, m: float = 10.0) -> tuple[DataFrame, DataFrame]:
+    """B07 fit: per category (n·mean + m·global) / (n + m); plus the global mean."""
+    glob = df.agg(F.avg(target).alias("__global"))
+    per = df.groupBy(cat).agg(F.count(target).alias("__n"), F.avg(target).alias("__mean"))
+    enc = (per.crossJoin(F.broadcast(glob))
+           .select(cat, ((F.col("__n") * F.col("__mean") + F.lit(m) * F.col("__global"))
+                         / (F.col("__n") + F.lit(m))).alias(f"{cat}__te")))
+    return enc, glob
+
+
+def apply_target(df: DataFrame, enc: DataFrame, glob: DataFrame, cat: str, out: str) -> DataFrame:
+    """Joined encoding; unseen category → global mean."""
+    j = df.join(enc, cat, "left").crossJoin(F.broadcast(glob))
+    return j.withColumn(out, F.coalesce(F.col(f"{cat}__te"), F.col("__global"))).drop(
+        f"{cat}__te", "__global")
+
+
+def fit_frequency(df: DataFrame, cat: str) -> DataFrame:
+    """B08 fit: count / total per category (partial aggregation; the total is
+    a second aggregate over the small per-category table)."""
+    per = df.groupBy(cat).agg(F.count(F.lit(1)).alias("__c"))
+    tot = per.agg(F.sum("__c").alias("__t"))
+    return per.crossJoin(F.broadcast(tot)).select(cat, (F.col("__c") / F.col("__t")).alias(f"{cat}__freq"))
+
+
+def apply_frequency(df: DataFrame, freq: DataFrame, cat: str, out: str) -> DataFrame:
+    return df.join(freq, cat, "left").withColumn(out, F.coalesce(F.col(f"{cat}__freq"), F.lit(0.0))).drop(
+        f"{cat}__freq")
+
+
+# ------------------------------------------------------------------ B12 B13
+TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+
+
+def tokenize(text: Column | str) -> Column:
+    """Lowercase, split on runs of non-letters/digits, drop empties."""
+    t = F.col(text) if isinstance(text, str) else text
+    return F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda x: x != F.lit(""))
+
+
+def tfidf(docs: DataFrame, id_col: str, tokens: str) -> DataFrame:
+    """Per (doc, term): tf = count / doc length, idf = ln((1+N)/(1+df)) + 1.
+
+    Exact (no hashing). Term counts combine map-side; a term present in
+    every document is one aggregate row per document, never a hot group.
+    """
+    lens = docs.select(id_col, F.size(tokens).alias("__len"))
+    terms = docs.select(id_col, F.explode(tokens).alias("term"))
+    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("__cnt"))
+    n_docs = docs.agg(F.count(F.lit(1)).alias("__N"))
+    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
+    idf = df_.crossJoin(F.broadcast(n_docs)).select(
+        "term", (F.log((1 + F.col("__N")) / (1 + F.col("__df"))) + 1).alias("idf"))
+    out = tf.join(lens, id_col).join(idf, "term")
+    return out.select(id_col, "term", (F.col("__cnt") / F.col("__len")).alias("tf"), "idf",
+                      (F.col("__cnt") / F.col("__len") * F.col("idf")).alias("tfidf"))
