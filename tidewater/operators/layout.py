@@ -17,3 +17,98 @@ def backfill(source: DataFrame, compute: Callable[[DataFrame], DataFrame], ts_co
     part = source.where(day.between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
     (compute(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(out_path))
+
+
+# --------------------------------------------------------------------- B21
+def enforce_schema(df: DataFrame, target: dict[str, str], allow_new: bool = True,
+                   reasons: str = "reasons") -> tuple[DataFrame, DataFrame, list[str]]:
+    """Cast incoming columns to the table's declared types.
+
+    A row whose non-null value does not cast is rejected (its column names in
+    ``reasons``); columns missing from the input are added as nulls; columns
+    not in the table are kept as new nullable text columns when
+    ``allow_new`` (schema evolution), else every row is rejected.
+    Returns (accepted, rejected, added_columns).
+    """
+    added = [c for c in df.columns if c not in target]
+    cols, errs = [], []
+    for c, t in target.items():
+        if c in df.columns:
+            v = F.col(c).try_cast(t)
+            errs.append(F.when(F.col(c).isNotNull() & v.isNull(), F.lit(c)))
+        else:
+            v = F.lit(None).cast(t)
+        cols.append(v.alias(c))
+    for c in added:
+        cols.append(F.col(c).cast("string").alias(c))
+        if not allow_new:
+            errs.append(F.lit(f"unexpected column {c}"))
+    out = df.select(*cols, F.filter(F.array(*errs), lambda x: x.isNotNull()).alias(reasons))
+    ok = F.size(reasons) == 0
+    return out.where(ok).drop(reasons), out.where(~ok), added
+
+
+# --------------------------------------------------------------------- B22
+RETENTION_DAYS = {"raw": 90, "processed": 365}
+
+
+def expired_partitions(df: DataFrame, date_col: str, as_of: Column, days: int) -> DataFrame:
+    """B22 ("would delete"): date partitions strictly older than as_of - days,
+    with their row counts."""
+    d = F.to_date(F.col(date_col))
+    cutoff = F.date_sub(F.to_date(as_of), days)
+    return (df.where(d < cutoff).groupBy(d.alias("date"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
+
+
+def drop_partitions(spark, root: str, partition_col: str, older_than: str) -> list[str]:
+    """B22 (apply): delete ``<root>/<col>=<value>`` folders with value < cutoff
+    (metadata operation on the table's file system; no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(conf)
+    gone = []
+    if not fs.exists(p):
+        return gone
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(partition_col + "=") and \
+                name.split("=", 1)[1] < older_than:
+            fs.delete(st.getPath(), True)
+            gone.append(name)
+    return gone
+
+
+# ----------------------------------------------------------------- B23 B24
+def write_partitioned(df: DataFrame, path: str, date_col: str = "date", source_col: str = "source",
+                      mode: str = "overwrite") -> None:
+    """Table laid out by date first, source second."""
+    df.write.mode(mode).partitionBy(date_col, source_col).parquet(path)
+
+
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def compaction_plan(spark, path: str, part_cols: list[str]) -> DataFrame:
+    """B24 plan: per partition, files, bytes and the file count at 256 MiB
+    targets (sizes from ``_metadata``, no data columns read)."""
+    t = spark.read.parquet(path)
+    files = t.select(*part_cols, F.col("_metadata.file_path").alias("f"),
+                     F.col("_metadata.file_size").alias("b")).distinct()
+    return (files.groupBy(*part_cols)
+            .agg(F.count("f").cast("bigint").alias("n_files"), F.sum("b").cast("bigint").alias("bytes"))
+            .withColumn("target_files",
+                        F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(TARGET_FILE_BYTES))).cast("bigint")))
+
+
+def compact(spark, path: str, out_path: str, part_cols: list[str]) -> DataFrame:
+    """B24 apply: rewrite every partition into its target number of files
+    (rows unchanged). Rows go to ``target_files`` random slots of their
+    partition, so even a huge partition spreads over many tasks."""
+    plan = compaction_plan(spark, path, part_cols).select(*part_cols, "target_files")
+    t = spark.read.parquet(path).join(plan, part_cols)
+    slot = F.pmod(F.xxhash64(*[F.col(c) for c in t.columns]), F.col("target_files"))
+    (t.withColumn("__slot", slot).repartition(*part_cols, "__slot").drop("__slot", "target_files")
+     .write.mode("overwrite").partitionBy(*part_cols).parquet(out_path))
+    return plan
