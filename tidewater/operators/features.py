@@ -208,16 +208,18 @@ def tokenize(text: Column | str) -> Column:
 def tfidf(docs: DataFrame, id_col: str, tokens: str) -> DataFrame:
     """Per (doc, term): tf = count / doc length, idf = ln((1+N)/(1+df)) + 1.
 
-    Exact (no hashing). Term counts combine map-side; a term present in
-    every document is one aggregate row per document, never a hot group.
+    Exact (no hashing). Documents are tokenized once: the length rides along
+    with the exploded terms, and (doc, term) counts combine map-side. The
+    join back on ``term`` is the only shuffle keyed by term; AQE broadcasts
+    the idf table when the vocabulary is small and splits hot-term
+    partitions otherwise.
     """
-    lens = docs.select(id_col, F.size(tokens).alias("__len"))
-    terms = docs.select(id_col, F.explode(tokens).alias("term"))
-    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("__cnt"))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("__N"))
+    terms = docs.select(id_col, F.size(tokens).alias("__len"), F.explode(tokens).alias("term"))
+    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("__cnt"), F.first("__len").alias("__len"))
+    n_docs = docs.select(id_col).agg(F.count(F.lit(1)).alias("__N"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
     idf = df_.crossJoin(F.broadcast(n_docs)).select(
         "term", (F.log((1 + F.col("__N")) / (1 + F.col("__df"))) + 1).alias("idf"))
-    out = tf.join(lens, id_col).join(idf, "term")
+    out = tf.join(idf, "term")
     return out.select(id_col, "term", (F.col("__cnt") / F.col("__len")).alias("tf"), "idf",
                       (F.col("__cnt") / F.col("__len") * F.col("idf")).alias("tfidf"))

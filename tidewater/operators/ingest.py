@@ -29,6 +29,7 @@ from . import manifest as M
 from . import store as S
 
 PART_COLS = ("ingest_source", "ingest_date", "ingest_batch")
+MAX_COLUMNS = 10_000  # width guard for the union of record keys of one batch
 META_COLS = ("ingest_hash", "ingest_path") + PART_COLS
 
 
@@ -203,8 +204,12 @@ def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: I
                      batch_id: int) -> None:
     good = staged.join(ok.select("file_id", "content_hash", "path", "source", "date", "length"),
                        "file_id")
-    keys = sorted(r.k for r in good.select(F.explode(F.map_keys("record")).alias("k"))
-                  .distinct().collect())
+    found = (good.select(F.explode(F.map_keys("record")).alias("k")).distinct()
+             .limit(MAX_COLUMNS + 1).collect())
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"batch {batch_id}: more than {MAX_COLUMNS} distinct record keys; "
+                         "the processed table would be unbounded in width")
+    keys = sorted(r.k for r in found)
     if not keys:
         return
     cols = [F.col("record").getItem(k).alias(k) for k in keys if k not in META_COLS]

@@ -46,18 +46,21 @@ def replayed_log(classified: DataFrame, batch_id: int = 1) -> DataFrame:
 
     pending at arrival (seq 0), processing at arrival (seq 1), outcome row at
     arrival + (doc_id % 4 + 1) minutes (seq 2), none when the outcome is
-    ``processing`` (a stuck file).
+    ``processing`` (a stuck file). One pass: the three rows of a file are
+    generated together and exploded.
     """
     first = scenario_outcome(M.first_by_hash(classified))
     t0 = F.col("received_at")
     done_at = secs(t0, (F.col("doc_id") % 4 + 1) * 60)
-    rows = [
-        M.log_rows(first, K.PENDING, t0, 0, batch_id),
-        M.log_rows(first, K.PROCESSING, t0, 1, batch_id),
-        M.log_rows(first.where(F.col("outcome") != K.PROCESSING), F.col("outcome"), done_at, 2,
-                   batch_id, F.col("outcome_reason")),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    none = F.lit(None).cast("string")
+    rows = F.array(
+        F.struct(F.lit(K.PENDING).alias("status"), t0.alias("at"), F.lit(0).alias("seq"), none.alias("reason")),
+        F.struct(F.lit(K.PROCESSING).alias("status"), t0.alias("at"), F.lit(1).alias("seq"), none.alias("reason")),
+        F.struct(F.col("outcome").alias("status"), done_at.alias("at"), F.lit(2).alias("seq"),
+                 F.col("outcome_reason").alias("reason")))
+    ex = first.select("content_hash", "path", "source", F.explode(rows).alias("r"))
+    ex = ex.where(~((F.col("r.seq") == 2) & (F.col("r.status") == K.PROCESSING)))
+    return ex.select(
+        "content_hash", "path", "source", F.col("r.status").alias("status"),
+        F.col("r.at").cast("timestamp").alias("at"), F.col("r.seq").cast("int").alias("seq"),
+        F.col("r.reason").alias("reason"), F.lit(batch_id).cast("bigint").alias("batch_id"))

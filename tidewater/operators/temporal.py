@@ -60,33 +60,47 @@ def days_since(df: DataFrame, key: str, ts: str, tiebreak: str, event_col: str |
     return out.drop(b, "__us", "__ev_us", "__prev_in", "__ev_in", "__prev_carry", "__ev_carry")
 
 
-def rolling_rows(df: DataFrame, key: str, order: list[str], value: str, n: int,
+def rolling_rows(df: DataFrame, key: str, order: list[str], value: str | list[str], n: int,
                  chunk: Column, prefix: str = "last") -> DataFrame:
-    """B11 (rows): count / sum / avg of ``value`` over the key's last ``n`` rows
-    (current included), in ``order``; ``chunk`` is a monotone bucket of the
-    order (e.g. the day) that bounds every window partition."""
+    """B11 (rows): count, and sum / avg of each value column, over the key's
+    last ``n`` rows (current included) in ``order``. ``chunk`` is a monotone
+    bucket of the order (e.g. the day) that bounds every window partition.
+
+    Output columns: ``{prefix}{n}_count`` and, per value column v,
+    ``{prefix}{n}_sum`` / ``{prefix}{n}_avg`` for a single value, else
+    ``{prefix}{n}_{v}_sum`` / ``{prefix}{n}_{v}_avg``.
+    """
+    values = [value] if isinstance(value, str) else list(value)
     c = "__chunk"
-    d = df.withColumn(c, chunk).withColumn("__v", F.col(value).cast("double"))
+    d = df.withColumn(c, chunk)
+    for i, v in enumerate(values):
+        d = d.withColumn(f"__v{i}", F.col(v).cast("double"))
     w = Window.partitionBy(key, c).orderBy(*order)
-    d = (d.withColumn("__rn", F.row_number().over(w))
-         .withColumn("__run", F.sum("__v").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    agg = d.groupBy(key, c).agg(F.count(F.lit(1)).alias("__cnt"), F.sum("__v").alias("__s"))
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__rn", F.row_number().over(w))
+    for i in range(len(values)):
+        d = d.withColumn(f"__run{i}", F.sum(f"__v{i}").over(run))
+    agg = d.groupBy(key, c).agg(F.count(F.lit(1)).alias("__cnt"),
+                                *[F.sum(f"__v{i}").alias(f"__s{i}") for i in range(len(values))])
     wb = Window.partitionBy(key).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
     carry = agg.select(key, c, F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__ccnt"),
-                       F.coalesce(F.sum("__s").over(wb), F.lit(0.0)).alias("__csum"))
-    j = d.join(carry, [key, c], "left")
-    j = (j.withColumn("__idx", F.col("__ccnt") + F.col("__rn"))
-         .withColumn("__cum", F.col("__csum") + F.col("__run")))
+                       *[F.coalesce(F.sum(f"__s{i}").over(wb), F.lit(0.0)).alias(f"__csum{i}")
+                         for i in range(len(values))])
+    j = d.join(carry, [key, c], "left").withColumn("__idx", F.col("__ccnt") + F.col("__rn"))
+    for i in range(len(values)):
+        j = j.withColumn(f"__cum{i}", F.col(f"__csum{i}") + F.col(f"__run{i}"))
+    # the running sums of the row n places back: an equi-join on (key, index)
     back = j.select(F.col(key).alias("__k2"), (F.col("__idx") + n).alias("__idx2"),
-                    F.col("__cum").alias("__cum_back"))
+                    *[F.col(f"__cum{i}").alias(f"__back{i}") for i in range(len(values))])
     j = j.join(back, (j[key] == back["__k2"]) & (j["__idx"] == back["__idx2"]), "left")
     cnt = F.least(F.col("__idx"), F.lit(n))
-    s = F.col("__cum") - F.coalesce(F.col("__cum_back"), F.lit(0.0))
-    return (j.withColumn(f"{prefix}{n}_count", cnt.cast("bigint"))
-            .withColumn(f"{prefix}{n}_sum", s)
-            .withColumn(f"{prefix}{n}_avg", s / cnt)
-            .drop(c, "__v", "__rn", "__run", "__ccnt", "__csum", "__idx", "__cum", "__k2", "__idx2",
-                  "__cum_back"))
+    j = j.withColumn(f"{prefix}{n}_count", cnt.cast("bigint"))
+    for i, v in enumerate(values):
+        tag = f"{prefix}{n}" if len(values) == 1 else f"{prefix}{n}_{v}"
+        s = F.col(f"__cum{i}") - F.coalesce(F.col(f"__back{i}"), F.lit(0.0))
+        j = j.withColumn(f"{tag}_sum", s).withColumn(f"{tag}_avg", s / cnt)
+    helpers = [x for x in j.columns if x.startswith("__")]
+    return j.drop(*helpers)
 
 
 def rolling_range(df: DataFrame, key: str, ts: str, value: str, seconds: int,

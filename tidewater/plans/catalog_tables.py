@@ -282,9 +282,8 @@ def q_rolling_quality(spark, sf):
         .otherwise(0.0).alias("correct"),
         F.pow(F.least(F.col("n_chars") / 2000.0, F.lit(1.0)) - F.col("quality"), 2).alias("sq"))
     chunk = F.floor(F.col("doc_id") / 1000).cast("bigint")
-    a = TM.rolling_rows(x, "source", ["doc_id"], "correct", 20, chunk, prefix="acc")
-    a = TM.rolling_rows(a, "source", ["doc_id"], "sq", 20, chunk, prefix="sq")
-    return a.select("doc_id", r6("acc20_avg").alias("acc20"), r6(F.sqrt("sq20_avg")).alias("rmse20"))
+    a = TM.rolling_rows(x, "source", ["doc_id"], ["correct", "sq"], 20, chunk, prefix="w")
+    return a.select("doc_id", r6("w20_correct_avg").alias("acc20"), r6(F.sqrt("w20_sq_avg")).alias("rmse20"))
 
 
 # --------------------------------------------------------------------- B31
