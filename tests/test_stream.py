@@ -60,3 +60,41 @@ def test_crash_inside_batch_then_restart(spark, tmp_root, monkeypatch):
     assert read_processed(spark, t).count() == 4
     assert spark.read.parquet(t.topic).count() == 2
     assert set(_statuses(spark, t).values()) == {K.DONE}
+
+
+def test_recovery_and_metrics_stream(spark, tmp_root):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from tidewater.operators.ingest import recover_stuck_files
+    from tidewater.streaming.metrics import run_metrics_stream
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {k: FX.CASES[k] for k in ("ok.csv", "sparse.jsonl")})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    man = M.ManifestTable(spark, t.manifest)
+    # two entries stuck in processing for an hour: one file still landed, one gone
+    import hashlib
+    old = dt.datetime(2026, 5, 17, 0, 0, 0)
+    h_ok = hashlib.sha256(FX.CASES["ok.csv"][0]).hexdigest()
+    ok_path = [p for p in os.listdir(os.path.join(land, "source=t", "date=2026-05-17")) if p == "ok.csv"][0]
+    rows = [(h_ok, "file:" + os.path.join(land, "source=t", "date=2026-05-17", ok_path), "t", K.PROCESSING, old, 1, None, 0),
+            ("gone", "file:/nowhere/x.csv", "t", K.PROCESSING, old, 1, None, 0)]
+    man.append(spark.createDataFrame(rows, M.LOG_SCHEMA))
+    res = recover_stuck_files(spark, land, t, batch_id=100, now=old + dt.timedelta(hours=1))
+    assert [r.status for r in res.collect()] == [K.DONE]
+    cur = {r.content_hash: r.status for r in man.current().collect()}
+    assert cur == {h_ok: K.DONE, "gone": K.FAILED}
+    out, al = os.path.join(tmp_root, "m"), os.path.join(tmp_root, "a")
+    # ingest the rest, then close the windows by a late arrival far ahead
+    from tidewater.operators.ingest import ingest_landing
+    ingest_landing(spark, land, t, batch_id=101, now=old + dt.timedelta(hours=1))
+    from tidewater.streaming.metrics import FILE_EVENTS_SCHEMA
+    ev = spark.read.schema(FILE_EVENTS_SCHEMA).parquet(t.file_events)
+    n_files = ev.count()
+    last = ev.agg(F.max("received_at")).first()[0]
+    # a much later arrival moves the watermark past every real window
+    late = ev.limit(1).withColumn("received_at", F.lit(last + dt.timedelta(hours=3)).cast("timestamp")) \
+        .withColumn("batch_id", F.lit(999).cast("bigint"))
+    late.write.mode("append").partitionBy("batch_id").parquet(t.file_events)
+    run_metrics_stream(spark, t.file_events, out, al, os.path.join(tmp_root, "mck"))
+    m = spark.read.parquet(out)
+    assert m.agg(F.sum("files")).first()[0] == n_files

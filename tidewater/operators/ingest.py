@@ -53,6 +53,8 @@ class IngestTables:
     def topic(self) -> str: return f"{self.root}/topics/{K.PROCESSED_TOPIC}"
     @property
     def dead_letter(self) -> str: return f"{self.root}/topics/dead-letter"
+    @property
+    def file_events(self) -> str: return f"{self.root}/file_events"
 
     def staging(self, batch_id: int, name: str) -> str:
         return f"{self.root}/staging/batch={batch_id}/{name}"
@@ -157,6 +159,13 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     from ..streaming import topics as TP
     TP.publish(spark, ok, t, batch_id, at)
 
+    # 10. one outcome row per file for monitoring (B31), replay-safe by batch
+    (verdict.select("file_id", "path", "source", "content_hash", "format", "status",
+                    F.col("final_reason").alias("reason"), "length", "n_records", "received_at",
+                    at.alias("processed_at"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+     .parquet(t.file_events))
+
     return (cls.join(verdict.select("file_id", "status", "final_reason", "n_records", "processed_key"),
                      "file_id", "left")
             .select("file_id", "path", "content_hash",
@@ -254,5 +263,27 @@ def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batc
     return ingest_batch(spark, landed, t, batch_id, now)
 
 
+def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int,
+                        now: _dt.datetime | None = None) -> DataFrame:
+    """A18 at start-up: files stuck in ``processing`` for over 31 minutes are
+    looked up in the landing area; found ones go back to ``pending`` and are
+    ingested again as batch ``batch_id``; missing ones become ``failed``."""
+    from . import recovery as RC
+    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    at = F.lit(now).cast("timestamp")
+    man = M.ManifestTable(spark, t.manifest)
+    st = M.stuck(man.current(), at).select("content_hash", "path", "source")
+    paths = [r.path for r in st.collect()]      # bounded: entries stuck at start-up
+    if not paths:
+        return spark.createDataFrame([], "file_id string, path string, content_hash string, status string, "
+                                         "reason string, n_records bigint, processed_key string")
+    present = LD.read_landing(spark, landing_root).join(st.select("path"), "path", "left_semi")
+    decided = RC.recover(man.current(), present.select("path", "key", "content", "length"), at)
+    # recovery decisions are logged under -batch_id: the re-ingest below
+    # (batch_id) must see them as history, not as its own rows
+    man.append(RC.recovery_log_rows(decided, at, -batch_id))
+    return ingest_batch(spark, present, t, batch_id, now)
+
+
 def read_processed(spark: SparkSession, t: IngestTables) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(t.processed)

@@ -35,4 +35,5 @@ def recover(current_df: DataFrame, landing: DataFrame, as_of: Column,
 
 def recovery_log_rows(recovered: DataFrame, at: Column, batch_id: int) -> DataFrame:
     """Manifest transitions for the recovery decisions."""
-    return M.log_rows(recovered, F.col("new_status"), at, 3, batch_id, F.col("reason"))
+    # seq -1: at the same instant, the decision precedes the re-ingest's own transitions
+    return M.log_rows(recovered, F.col("new_status"), at, -1, batch_id, F.col("reason"))
