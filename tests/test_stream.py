@@ -79,7 +79,7 @@ def test_recovery_and_metrics_stream(spark, tmp_root):
     rows = [(h_ok, "file:" + os.path.join(land, "source=t", "date=2026-05-17", ok_path), "t", K.PROCESSING, old, 1, None, 0),
             ("gone", "file:/nowhere/x.csv", "t", K.PROCESSING, old, 1, None, 0)]
     man.append(spark.createDataFrame(rows, M.LOG_SCHEMA))
-    res = recover_stuck_files(spark, land, t, batch_id=100, now=old + dt.timedelta(hours=1))
+    res = recover_stuck_files(spark, land, t, batch_id=-1, now=old + dt.timedelta(hours=1))
     assert [r.status for r in res.collect()] == [K.DONE]
     cur = {r.content_hash: r.status for r in man.current().collect()}
     assert cur == {h_ok: K.DONE, "gone": K.FAILED}

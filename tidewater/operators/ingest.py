@@ -29,6 +29,7 @@ from . import manifest as M
 from . import store as S
 
 PART_COLS = ("ingest_source", "ingest_date", "ingest_batch")
+RECOVERY_DECISION_OFFSET = 10 ** 12  # manifest batch ids of recovery decisions
 MAX_COLUMNS = 10_000  # width guard for the union of record keys of one batch
 META_COLS = ("ingest_hash", "ingest_path") + PART_COLS
 
@@ -267,8 +268,13 @@ def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables,
                         now: _dt.datetime | None = None) -> DataFrame:
     """A18 at start-up: files stuck in ``processing`` for over 31 minutes are
     looked up in the landing area; found ones go back to ``pending`` and are
-    ingested again as batch ``batch_id``; missing ones become ``failed``."""
+    ingested again as batch ``batch_id``; missing ones become ``failed``.
+
+    Recovery runs use negative batch ids (-1, -2, …) so their processed
+    partitions never share an id with the stream's batches (0, 1, …)."""
     from . import recovery as RC
+    if batch_id >= 0:
+        raise ValueError("recovery batch ids are negative (stream batches use 0, 1, ...)")
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     at = F.lit(now).cast("timestamp")
     man = M.ManifestTable(spark, t.manifest)
@@ -279,9 +285,9 @@ def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables,
                                          "reason string, n_records bigint, processed_key string")
     present = LD.read_landing(spark, landing_root).join(st.select("path"), "path", "left_semi")
     decided = RC.recover(man.current(), present.select("path", "key", "content", "length"), at)
-    # recovery decisions are logged under -batch_id: the re-ingest below
+    # the decisions are logged under their own id: the re-ingest below
     # (batch_id) must see them as history, not as its own rows
-    man.append(RC.recovery_log_rows(decided, at, -batch_id))
+    man.append(RC.recovery_log_rows(decided, at, batch_id - RECOVERY_DECISION_OFFSET))
     return ingest_batch(spark, present, t, batch_id, now)
 
 
