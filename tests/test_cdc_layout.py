@@ -73,3 +73,35 @@ def test_alert_rules(spark):
     a = sorted((r.window_start, r.rule) for r in MO.alerts(m).collect())
     assert a == [("2024-01-01 00:00:00", "error_rate"), ("2024-01-01 00:00:00", "latency_p99"),
                  ("2024-01-01 00:00:00", "quarantine")]
+
+
+def test_streaming_cdc_apply(spark, tmp_root):
+    ch = _changes(spark)
+    src = os.path.join(tmp_root, "changes")
+    ch.where("ts_ms <= 60").write.parquet(src)
+    target = os.path.join(tmp_root, "snap")
+
+    def run():
+        q = (spark.readStream.schema(ch.schema).parquet(src).writeStream
+             .foreachBatch(CD.foreach_batch_apply(target, "k"))
+             .option("checkpointLocation", os.path.join(tmp_root, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    assert sorted(r.k for r in spark.read.parquet(f"{target}/current").collect()) == [3]
+    ch.where("ts_ms > 60").write.mode("append").parquet(src)
+    run()
+    got = {r.k: (r.v, r.s) for r in spark.read.parquet(f"{target}/current").collect()}
+    assert got == {1: (2, "a"), 3: (9, "zz")}
+
+
+def test_ml_model_apply(spark):
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.feature import VectorAssembler
+    from tidewater.operators import serving as SV
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1.0) for i in range(20)], "x double, y double")
+    model = LinearRegression(labelCol="y").fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(df))
+    out = SV.predict_ml(df, model, ["x"], out="pred").collect()
+    assert all(abs(r.pred - r.y) < 1e-6 for r in out)
+    lin = SV.predict_linear(df, SV.fit_linear(df, "y", "x"), "x").collect()
+    assert all(abs(r.prediction - r.y) < 1e-9 for r in lin)
