@@ -119,3 +119,23 @@ def test_same_bytes_two_paths(spark, tmp_root):
     t = IngestTables(os.path.join(tmp_root, "state"))
     res = _by_name(ingest_landing(spark, land, t, batch_id=1).collect())
     assert res["a.csv"].status == K.DONE and res["b.csv"].status == "skipped"
+
+
+def test_csv_overflow_path_matches_native(spark, tmp_root, monkeypatch):
+    """With no native header groups allowed, every CSV parses per file and
+    the outcomes are the same."""
+    from tidewater.sources import readers as R
+    monkeypatch.setattr(R, "MAX_CSV_GROUPS", 0)
+    names = ("ok.csv", "quoted_newline.csv", "short.csv", "long.csv", "header_only.csv", "dup.csv",
+             "bare_quote.csv", "after_quote.csv")
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {k: FX.CASES[k] for k in names})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    got = _by_name(ingest_landing(spark, land, t, batch_id=1).collect())
+    for k in names:
+        assert got[k].status == FX.CASES[k][1], (k, got[k])
+        if FX.CASES[k][2] is not None:
+            assert got[k].n_records == FX.CASES[k][2]
+    rows = {r.ingest_path.rsplit("/", 1)[1]: r for r in read_processed(spark, t).collect()
+            if r.ingest_path.endswith("dup.csv")}
+    assert rows["dup.csv"]["a"] == "2"

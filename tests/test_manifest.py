@@ -61,3 +61,13 @@ def test_manifest_table_roundtrip(spark, tmp_root):
     t.append(_log(spark, [("a", K.PENDING, 0, 0)]))
     t.append(_log(spark, [("a", K.DONE, 1, 1)]))
     assert t.current().first().status == K.DONE
+
+
+def test_compaction_keeps_current(spark, tmp_root):
+    t = M.ManifestTable(spark, tmp_root + "/m")
+    t.append(_log(spark, [("a", K.PENDING, 0, 0), ("a", K.PROCESSING, 0, 1), ("a", K.DONE, 3, 2),
+                          ("b", K.PENDING, 1, 0)]))
+    before = sorted(map(tuple, t.current().collect()))
+    c = t.compact(tmp_root + "/m2")
+    assert sorted(map(tuple, c.current().collect())) == before
+    assert c.log().count() == 3

@@ -124,6 +124,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
               .when(pr.isNotNull(), pr)
               .when(F.col("bad_quote") | (F.col("any_bad") & (F.col("format") == "csv")),
                     F.lit(K.MSG_PARSE_CSV))
+              .when(F.col("error").isNotNull() & (F.col("format") == "csv"), F.lit(K.MSG_PARSE_CSV))
               .when(F.col("unreadable").isNotNull(), F.lit(K.MSG_PARSE_PARQUET))
               .when(F.col("error").isNotNull(), F.col("error"))
               .when(F.col("any_bad"), F.lit(K.MSG_PARSE_JSON))
@@ -179,8 +180,20 @@ def _parse(spark: SparkSession, meta) -> tuple[DataFrame, list[str]]:
     parts: list[DataFrame] = []
     csvs = [(r.file_id, r.path, r.head) for r in meta if r.format == "csv" and not r.bad_quote]
     if csvs:
-        d, _ = R.read_csv(spark, csvs)
+        # the most common headers get native reads; the long tail parses per file
+        by_head: dict = {}
+        for f in csvs:
+            by_head.setdefault(f[2] or "", []).append(f)
+        ranked = sorted(by_head.values(), key=len, reverse=True)
+        native = [f for g in ranked[:R.MAX_CSV_GROUPS] for f in g]
+        tail = [f for g in ranked[R.MAX_CSV_GROUPS:] for f in g]
+        d, _ = R.read_csv(spark, native)
         parts.append(d.withColumn("error", F.lit(None).cast("string")))
+        if tail:
+            raw = (spark.read.format("binaryFile").load([p for _, p, _ in tail])
+                   .select(C.file_id().alias("file_id"), "content"))
+            sp = R.split_csv_files(raw)
+            parts.append(sp.select("file_id", "record", F.lit(False).alias("bad"), "error"))
     jsons = [(r.file_id, r.path) for r in meta if r.format == "ndjson"]
     if jsons:
         lines = R.read_ndjson_lines(spark, [p for _, p in jsons])

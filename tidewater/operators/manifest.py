@@ -146,6 +146,13 @@ class ManifestTable:
     def current(self) -> DataFrame:
         return current(self.log())
 
+    def compact(self, out_root: str) -> "ManifestTable":
+        """Write the compacted log to ``out_root`` (swap it in when done; the
+        old log stays readable until then)."""
+        compact_log(self.log()).withColumn("day", F.date_format("at", "yyyy-MM-dd")) \
+            .write.mode("overwrite").partitionBy("day").parquet(out_root)
+        return ManifestTable(self.spark, out_root)
+
     def append(self, rows: DataFrame) -> None:
         (rows.select(*LOG_COLUMNS)
          .withColumn("day", F.date_format("at", "yyyy-MM-dd"))
@@ -153,5 +160,17 @@ class ManifestTable:
 
 
 
+def compact_log(log: DataFrame) -> DataFrame:
+    """Per hash only its first and its latest row: ``current`` is unchanged
+    (created_at from the first, status/processed_at from the latest), while
+    the log shrinks to at most two rows per hash."""
+    g = log.groupBy("content_hash").agg(
+        F.min(F.struct("at", "seq", *[c for c in LOG_COLUMNS if c not in ("at", "seq", "content_hash")])).alias("f"),
+        F.max(F.struct("at", "seq", *[c for c in LOG_COLUMNS if c not in ("at", "seq", "content_hash")])).alias("l"))
+    both = g.select("content_hash", F.explode(F.array_distinct(F.array("f", "l"))).alias("r"))
+    return both.select("content_hash", *[F.col(f"r.{c}").alias(c) for c in LOG_COLUMNS if c != "content_hash"]) \
+        .select(*LOG_COLUMNS)
+
+
 def _with_day(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField("day", T.StringType())])

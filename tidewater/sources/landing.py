@@ -60,21 +60,36 @@ def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int =
     return _shape(df)
 
 
-def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None) -> DataFrame:
+def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None,
+                dates: list[str] | None = None) -> DataFrame:
     """Zero-length files, which binaryFile never returns.
 
-    The listing (metadata on the driver, as for any file scan) minus the
-    files that came back; restricted to ``seen``'s complement when given.
+    The listing (file metadata on the driver, as for any file scan) minus
+    the files that came back and minus ``seen``. With ``dates`` only those
+    ``date=`` partitions are listed (one brace glob), so a trigger never
+    lists the whole landing history.
     """
-    listed = spark.read.format("binaryFile").option("basePath", root).load(root)
-    every = listed.inputFiles()
+    none = empty_rows(spark.createDataFrame([], "file_id string"))
+    r = spark.read.format("binaryFile").option("basePath", root)
+    target = root
+    if dates is not None:
+        if not dates:
+            return none
+        target = f"{root.rstrip('/')}/source=*/date={{{','.join(dates)}}}"
+    try:
+        listed = r.load(target)
+        every = listed.inputFiles()
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return none
+        raise
+    # metadata columns only: the file bytes are never read here
     nonempty = listed.select(norm_uri(F.col("_metadata.file_path")).alias("file_id"))
     if seen is not None:
         nonempty = nonempty.unionByName(seen.select(norm_uri(F.col("file_id")).alias("file_id")))
     all_df = spark.createDataFrame([(p,) for p in every], "file_id string").select(
         norm_uri(F.col("file_id")).alias("file_id"))
-    empties = all_df.join(nonempty, "file_id", "left_anti")
-    return empty_rows(empties)
+    return empty_rows(all_df.join(nonempty, "file_id", "left_anti"))
 
 
 def norm_uri(c):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.ingest import IngestTables, ingest_batch
 from ..sources import landing as LD
@@ -37,7 +38,12 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
     def handle(df: DataFrame, batch_id: int) -> None:
         landed = df
         if sweep_empty:
-            landed = landed.unionByName(LD.empty_files(spark, landing_root, seen=_seen(spark, t)))
+            # only the date partitions this trigger touched (plus today's)
+            today = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
+            dates = sorted({r.date for r in df.select("date").distinct().collect() if r.date} | {today})
+            empties = LD.empty_files(spark, landing_root, seen=_seen(spark, t), dates=dates)
+            empties = _write_empty_seen(empties, t, int(batch_id))
+            landed = landed.unionByName(empties)
         ingest_batch(spark, landed, t, int(batch_id),
                      _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
@@ -49,8 +55,20 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
 
 
 def _seen(spark: SparkSession, t: IngestTables):
-    """Empty files already handled (their ids are in earlier staging tables)."""
+    """Empty files already handled by earlier triggers (a small table: one
+    row per zero-length file ever seen)."""
     try:
-        return spark.read.parquet(f"{t.root}/staging/*/classified").where("length = 0").select("file_id")
+        return spark.read.schema("file_id string").parquet(f"{t.root}/empty_seen")
     except Exception:
         return spark.createDataFrame([], "file_id string")
+
+
+def _write_empty_seen(empties: DataFrame, t: IngestTables, batch_id: int) -> DataFrame:
+    """Remember this trigger's empty files (replay-safe by batch id) and
+    return them from the written table."""
+    (empties.withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+     .parquet(f"{t.root}/empty_seen"))
+    schema = empties.schema.add("batch_id", "integer")
+    return (empties.sparkSession.read.schema(schema).parquet(f"{t.root}/empty_seen")
+            .where(f"batch_id = {batch_id}").drop("batch_id"))
