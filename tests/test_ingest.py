@@ -139,3 +139,31 @@ def test_csv_overflow_path_matches_native(spark, tmp_root, monkeypatch):
     rows = {r.ingest_path.rsplit("/", 1)[1]: r for r in read_processed(spark, t).collect()
             if r.ingest_path.endswith("dup.csv")}
     assert rows["dup.csv"]["a"] == "2"
+
+
+def test_push_then_notification_ingest(spark, tmp_root):
+    import datetime as dt
+    from tidewater.operators.ingest import ingest_notifications
+    from tidewater.sources import landing as LD
+    from tidewater.sources import notifications as NT
+    land = os.path.join(tmp_root, "landing")
+    when = dt.datetime(2026, 5, 17, 12, 0, 0)
+    p1 = LD.put_payload(spark, land, "crm", b"a,b\n1,2\n", "orders.csv", when)
+    p2 = LD.put_payload(spark, land, "crm", b'{"x":1}\n', None, when)
+    assert p1.endswith("source=crm/date=2026-05-17/orders.csv") and p2.endswith(".json")
+    d = os.path.join(land, "source=crm", "date=2026-05-17")
+    with open(os.path.join(d, "_hidden.csv"), "wb") as f:
+        f.write(b"a\n1\n")
+    keys = ["source=crm/date=2026-05-17/orders.csv", "source=crm/date=2026-05-17/" + p2.rsplit("/", 1)[1],
+            "source=crm/date=2026-05-17/_hidden.csv", "source=crm/date=2026-05-17/missing.csv"]
+    msgs = spark.createDataFrame([(k,) for k in keys], "k string").select(
+        NT.encode(F.lit("landing"), F.col("k"), F.lit(1).cast("bigint"), F.lit("e")).alias("value"))
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    res = _by_name(ingest_notifications(spark, msgs, land, t, batch_id=1).collect())
+    assert {k: r.status for k, r in res.items()} == {"orders.csv": K.DONE, p2.rsplit("/", 1)[1]: K.DONE}
+    cur = {r.path.rsplit("/", 1)[1]: (r.status, r.reason) for r in M.ManifestTable(spark, t.manifest).current().collect()}
+    assert cur["_hidden.csv"] == (K.FAILED, K.MSG_HIDDEN)
+    assert "missing.csv" not in cur
+    import pytest
+    with pytest.raises(ValueError):
+        LD.landing_key("s", ".dot.csv")

@@ -304,5 +304,61 @@ def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables,
     return ingest_batch(spark, present, t, batch_id, now)
 
 
+def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root: str, t: IngestTables,
+                         batch_id: int, value_col: str = "value",
+                         now: _dt.datetime | None = None) -> DataFrame:
+    """A02 → ingest: decode notification messages and ingest exactly the
+    objects they name (object key resolved under ``landing_root``).
+
+    Names Spark cannot read (``_x``, ``.x``; D26) get a ``failed`` manifest
+    row with reason "hidden name" (their bytes are unknown, so the row is
+    keyed by the hash of the path); keys naming no object are skipped, as
+    the reference skips objects it cannot download.
+    """
+    from ..sources import notifications as NT
+    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    at = F.lit(now).cast("timestamp")
+    recs, _rejected = NT.decode(messages, value_col)
+    root = landing_root.rstrip("/")
+    recs = recs.select("key", F.concat(F.lit(root + "/"), F.col("key")).alias("lpath")).distinct()
+    hidden = recs.where(C.is_hidden_name("key"))
+    man = M.ManifestTable(spark, t.manifest)
+    hid = hidden.select(F.concat(F.lit("hidden:"), F.sha2("lpath", 256)).alias("content_hash"),
+                        F.col("lpath").alias("path"), C.source_from_key("key").alias("source"))
+    man.append(M.log_rows(hid, K.FAILED, at, 2, batch_id, F.lit(K.MSG_HIDDEN)))
+    keys = recs.where(~C.is_hidden_name("key")).select("key")
+    # one listing of just the folders the notifications name (no per-key calls)
+    parents = sorted({r.d for r in keys.select(
+        F.regexp_replace("key", "/[^/]*$", "").alias("d")).distinct().collect()})
+    if not parents:
+        return _no_result(spark)
+    glob = f"{root}/{{{','.join(parents)}}}"
+    try:
+        listed = spark.read.format("binaryFile").option("basePath", root).load(glob)
+        every = listed.inputFiles()
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return _no_result(spark)
+        raise
+    # metadata only (no content column): which notified keys exist here
+    meta = LD._shape(listed).select("file_id", "path", "key").join(keys, "key", "left_semi")
+    found = [r.path for r in meta.select("path").collect()]     # bounded by the notifications
+    ids = spark.createDataFrame([(p,) for p in every], "file_id string").select(
+        C.file_id(F.col("file_id")).alias("file_id"))
+    empties = LD.empty_rows(ids.join(meta.select("file_id"), "file_id", "left_anti")).join(
+        keys, "key", "left_semi")
+    if found:    # absent keys are skipped; only notified files' bytes are read
+        landed = LD._shape(spark.read.format("binaryFile").option("basePath", root).load(found))
+        landed = landed.unionByName(empties)
+    else:
+        landed = empties
+    return ingest_batch(spark, landed, t, batch_id, now)
+
+
+def _no_result(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "file_id string, path string, content_hash string, status string, "
+                                     "reason string, n_records bigint, processed_key string")
+
+
 def read_processed(spark: SparkSession, t: IngestTables) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(t.processed)

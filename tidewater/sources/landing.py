@@ -135,6 +135,23 @@ def landing_key(source: str, filename: str, t: _dt.datetime | None = None) -> st
     return f"source={source}/date={t.strftime('%Y-%m-%d')}/{filename}"
 
 
+def put_payload(spark: SparkSession, root: str, source: str, body: bytes,
+                filename: str | None = None, t: _dt.datetime | None = None) -> str:
+    """A03 for one pushed payload (what the HTTP push did): write ``body`` to
+    ``<root>/source=<s>/date=<UTC day>/<filename>`` through the cluster file
+    system; returns the full path. The landing stream picks it up (D02)."""
+    key = landing_key(source, filename or default_filename(t), t)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{key}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(body))
+    finally:
+        out.close()
+    return p.toString()
+
+
 def default_filename(t: _dt.datetime | None = None) -> str:
     """Name for a push without a file name: ``<unix nanoseconds>.json``."""
     t = t or _dt.datetime.now(_dt.timezone.utc)
