@@ -31,7 +31,7 @@ RECORDS_SCHEMA = "file_id string, record map<string,string>"
 VERDICT_SCHEMA = "file_id string, n_records bigint, parse_error string"
 
 # Delete well-formed quoted fields; any quote left breaks the strict reader
-QUOTED_FIELD = r'(^|[,\n])"(?:[^"]|"")*+"(?=[,\r\n]|$)'
+QUOTED_FIELD = r'(^|[,\n])"[^"]*+(?:""[^"]*+)*+"(?=[,\r\n]|$)'
 HEAD_BYTES = 1 << 20
 
 
