@@ -27,8 +27,7 @@ def prep(spark: SparkSession) -> SparkSession:
 def vfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classified virtual files of the documents table (no bytes)."""
     prep(spark)
-    docs = table(spark, sf_dir, "documents")
-    return classified(virtual_files(docs).join(docs.select("doc_id", "lang"), "doc_id"))
+    return classified(virtual_files(table(spark, sf_dir, "documents")))
 
 
 def vfiles_with_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:

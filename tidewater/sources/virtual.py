@@ -35,8 +35,9 @@ def virtual_files(documents: DataFrame) -> DataFrame:
     key = F.format_string("source=%s/date=%s/doc_%d.%s", F.col("source"),
                           F.lit(LANDING_DATE), F.col("doc_id"), ext)
     content = F.concat(prefix, F.encode(F.col("text"), "UTF-8"))
+    extra = [c for c in ("lang",) if c in d.columns]
     return d.select(
-        "doc_id",
+        "doc_id", *extra,
         F.concat(F.lit(f"s3://{LANDING_BUCKET}/"), key).alias("path"),
         key.alias("key"),
         content.alias("content"),
