@@ -167,3 +167,25 @@ def test_push_then_notification_ingest(spark, tmp_root):
     import pytest
     with pytest.raises(ValueError):
         LD.landing_key("s", ".dot.csv")
+
+
+def test_same_stem_two_formats_d12(spark, tmp_root):
+    """A.csv and a.json share one processed key in the reference and
+    overwrite each other; here both keep their rows (hash column)."""
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {"a.csv": (b"x\n1\n", K.DONE, 1), "a.json": (b'{"x":"2"}\n', K.DONE, 1)})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    res = ingest_landing(spark, land, t, batch_id=1).collect()
+    assert {r.status for r in res} == {K.DONE}
+    assert len({r.processed_key for r in res}) == 1                   # same name, as in the reference
+    assert sorted(r.x for r in read_processed(spark, t).collect()) == ["1", "2"]
+
+
+def test_source_defaults_to_ingress_d04(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    os.makedirs(os.path.join(land, "flat"))
+    with open(os.path.join(land, "flat", "f.csv"), "wb") as f:
+        f.write(b"q\n1\n")
+    from tidewater.sources import landing as LD
+    rows = LD.read_landing(spark, os.path.join(land, "flat")).collect()
+    assert [(r.source, r.date, r.key) for r in rows] == [(K.INGRESS, None, "f.csv")]

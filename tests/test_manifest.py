@@ -71,3 +71,8 @@ def test_compaction_keeps_current(spark, tmp_root):
     c = t.compact(tmp_root + "/m2")
     assert sorted(map(tuple, c.current().collect())) == before
     assert c.log().count() == 3
+
+
+def test_pending_is_not_recovered_by_default_d22(spark):
+    log = _log(spark, [("p", K.PENDING, 0, 0)])
+    assert M.stuck(M.current(log), T0 + dt.timedelta(hours=2)).count() == 0

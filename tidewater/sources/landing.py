@@ -35,8 +35,10 @@ def _shape(df: DataFrame) -> DataFrame:
     return df.select(
         C.file_id().alias("file_id"),
         "path", key.alias("key"), "modificationTime", "length", "content",
-        F.coalesce(F.col("source"), C.source_from_key("path")).alias("source"),
-        F.coalesce(F.col("date"), C.date_from_key("path")).alias("date"),
+        (F.coalesce(F.col("source"), C.source_from_key("path")) if "source" in df.columns
+         else C.source_from_key("path")).alias("source"),
+        (F.coalesce(F.col("date"), C.date_from_key("path")) if "date" in df.columns
+         else C.date_from_key("path")).alias("date"),
     )
 
 
