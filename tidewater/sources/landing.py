@@ -51,15 +51,23 @@ def read_landing(spark: SparkSession, root: str, path_filter: str | None = None)
     return _shape(r.load(root))
 
 
-def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
+def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int = 1000,
+                   archive_dir: str | None = None) -> DataFrame:
     """A01 stream: new files as they land; the checkpoint's file log makes the
-    pick-up durable (nothing is held only in memory, unlike a channel)."""
+    pick-up durable (nothing is held only in memory, unlike a channel).
+
+    The file source lists ``root`` on every trigger; with ``archive_dir``
+    processed files are moved there (``cleanSource=archive``) so the listing
+    stays the size of the backlog instead of the whole history. Recovery
+    (A18) then looks for stuck files in the archive as well.
+    """
     configure(spark)
-    df = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
-          .option("basePath", root)
-          .option("maxFilesPerTrigger", max_files_per_trigger)
-          .load(root))
-    return _shape(df)
+    r = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+         .option("basePath", root)
+         .option("maxFilesPerTrigger", max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return _shape(r.load(root))
 
 
 def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None,

@@ -28,12 +28,12 @@ def merge_streams(streams: list[DataFrame], out_path: str, checkpoint: str,
 
 def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, checkpoint: str,
                       max_files_per_trigger: int = 1000, available_now: bool = True,
-                      sweep_empty: bool = True):
+                      sweep_empty: bool = True, archive_dir: str | None = None):
     """A01 + A07-A23 as a stream: every micro-batch of newly landed files is
     one ``ingest_batch`` keyed by the batch id (replays converge). Zero-length
     files never come out of the binaryFile stream (D19), so each trigger also
     sweeps the listing for empty files not seen before."""
-    stream = LD.stream_landing(spark, landing_root, max_files_per_trigger)
+    stream = LD.stream_landing(spark, landing_root, max_files_per_trigger, archive_dir)
 
     def handle(df: DataFrame, batch_id: int) -> None:
         landed = df
