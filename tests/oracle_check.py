@@ -53,6 +53,23 @@ def digest(cols, rows):
     return h, lines
 
 
+SPARK_CANON = {"byte": "int8", "short": "int16", "integer": "int32", "long": "int64", "float": "float32",
+               "double": "float64", "string": "string", "boolean": "bool", "date": "date",
+               "timestamp": "timestamp", "timestamp_ntz": "timestamp", "binary": "binary"}
+DUCK_CANON = {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64",
+              "HUGEINT": "int128", "FLOAT": "float32", "DOUBLE": "float64", "VARCHAR": "string",
+              "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp", "BLOB": "binary"}
+
+
+def spark_types(df):
+    return {f.name: SPARK_CANON.get(f.dataType.typeName(), f.dataType.simpleString()) for f in df.schema.fields}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {n: DUCK_CANON.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+
+
 def check(spark, sf_dir, names=None, verbose=True):
     import __spark_entry__ as E
     qs, os_ = E.queries(), E.oracle_sql()
@@ -82,12 +99,18 @@ def check(spark, sf_dir, names=None, verbose=True):
             print(f"{name:28s} DUCK-ERROR {str(e)[:400]}")
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        try:
+            st, dt_ = spark_types(df), duck_types(con, os_[name])
+            type_diff = {c: (st.get(c), dt_.get(c)) for c in st if st.get(c) != dt_.get(c)}
+        except Exception as e:  # noqa: BLE001
+            type_diff = {"?": str(e)[:100]}
         hs, ls = digest(scols, srows)
         hd, ld = digest(dcols, drows)
-        ok = ok_cols and len(srows) == len(drows) and hs == hd
+        ok = ok_cols and len(srows) == len(drows) and hs == hd and not type_diff
         results[name] = ("OK" if ok else "MISMATCH", len(srows), len(drows))
         print(f"{name:28s} {'OK' if ok else 'MISMATCH'} spark={len(srows)} duck={len(drows)} "
-              f"cols={'ok' if ok_cols else (sorted(scols), sorted(dcols))} {ts:.1f}s")
+              f"cols={'ok' if ok_cols else (sorted(scols), sorted(dcols))} "
+              f"types={'ok' if not type_diff else type_diff} {ts:.1f}s")
         if not ok and verbose:
             a, b = set(ls), set(ld)
             for x in sorted(a - b)[:3]:

@@ -181,7 +181,8 @@ def q_freq_enc(spark, sf):
 
 # ------------------------------------------------------------- B09 B10 B11
 @query("temporal_parts", """
-SELECT event_id, hour(ts) AS hour, isodow(ts) AS iso_weekday, day(ts) AS day, month(ts) AS month
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) AS INTEGER) AS iso_weekday,
+       CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month
 FROM events""")
 def q_temporal_parts(spark, sf):
     ev = _events(spark, sf)
@@ -278,7 +279,7 @@ PIPE_COLS = ["event_id", "hour", "iso_weekday", "value_mm", "value_bucket", "eve
              "event_type_error", "event_type_purchase", "event_type_signup", "event_type_view",
              "user_freq"]
 _PIPE_SQL = """
-SELECT event_id, hour(ts) AS hour, isodow(ts) AS iso_weekday,
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) AS INTEGER) AS iso_weekday,
   round((value - min(value) OVER ()) / (max(value) OVER () - min(value) OVER ()), 6) AS value_mm,
   CASE WHEN value < 10 THEN 0 WHEN value < 50 THEN 1 WHEN value < 100 THEN 2
        WHEN value < 250 THEN 3 ELSE 4 END AS value_bucket,
