@@ -189,3 +189,19 @@ def test_source_defaults_to_ingress_d04(spark, tmp_root):
     from tidewater.sources import landing as LD
     rows = LD.read_landing(spark, os.path.join(land, "flat")).collect()
     assert [(r.source, r.date, r.key) for r in rows] == [(K.INGRESS, None, "f.csv")]
+
+
+def test_oversize_files_never_loaded(spark, tmp_root):
+    """Files over the limit are quarantined from metadata alone (limit
+    lowered to 64 bytes here; the real one is 500 MiB)."""
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {"big.csv": (b"a\n" + b"1\n" * 100, K.QUARANTINED, None),
+                          "small.csv": (b"a\n1\n", K.DONE, 1)})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    got = _by_name(ingest_landing(spark, land, t, batch_id=1, max_bytes=64).collect())
+    assert got["small.csv"].status == K.DONE
+    assert got["big.csv"].status == K.QUARANTINED
+    assert got["big.csv"].reason == "file size exceeds maximum limit of 64 bytes"
+    assert got["big.csv"].content_hash.startswith("oversize:")
+    q = spark.read.parquet(t.quarantine).collect()
+    assert [(r.path.endswith("big.csv"), len(r.content)) for r in q] == [(True, 0)]

@@ -61,8 +61,17 @@ class IngestTables:
         return f"{self.root}/staging/batch={batch_id}/{name}"
 
 
-def classify_landed(landed: DataFrame, expected_hash: str | None = None) -> DataFrame:
-    """Hash, sniff, validate; keep CSV header and quote check; drop bytes."""
+def classify_landed(landed: DataFrame, expected_hash: str | None = None,
+                    max_bytes: int = K.MAX_FILE_SIZE) -> DataFrame:
+    """Hash, sniff, validate; keep CSV header and quote check; drop bytes.
+
+    Files above ``max_bytes`` are classified from metadata only (``length``
+    is pushed into the binaryFile scan, so their bytes are never loaded —
+    a multi-GiB object would not even fit one row): format by extension,
+    and a key hashed from (path, length, modification time) in place of the
+    content hash. They fail validation as too large either way.
+    """
+    small = landed.where(F.col("length") <= F.lit(max_bytes))
     fmt = C.detect_format("key", "content")
     cols = [
         "file_id", "path", "key", "length",
@@ -73,9 +82,28 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None) -> Data
     ]
     if expected_hash:
         cols.append(F.col(expected_hash))
-    out = landed.select(*cols)
-    return out.withColumn("reason", C.validation_reason(
-        "format", "length", "content_hash", expected_hash if expected_hash else None))
+    out = small.select(*cols)
+    big = landed.where(F.col("length") > F.lit(max_bytes))
+    by_ext = C.detect_format("key", F.unhex(F.lit("")))
+    big_cols = [
+        "file_id", "path", "key", "length", F.col("modificationTime").alias("received_at"), "source", "date",
+        F.concat(F.lit("oversize:"), F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"),
+                                                       F.col("modificationTime").cast("string")), 256)
+                 ).alias("content_hash"),
+        by_ext.alias("format"), F.lit(None).cast("string").alias("head"), F.lit(False).alias("bad_quote"),
+    ]
+    if expected_hash:
+        big_cols.append(F.col(expected_hash))
+    out = out.unionByName(big.select(*big_cols))
+    too_big = F.format_string("file size exceeds maximum limit of %d bytes", F.lit(max_bytes))
+    reason = C.validation_reason("format", "length", "content_hash",
+                                 expected_hash if expected_hash else None)
+    if max_bytes != K.MAX_FILE_SIZE:   # tests lower the limit
+        reason = (F.when(F.col("format") == "unknown", F.lit(K.MSG_UNSUPPORTED))
+                  .when(F.col("length") == 0, F.lit(K.MSG_EMPTY))
+                  .when(F.col("length") > F.lit(max_bytes), too_big)
+                  .otherwise(reason))
+    return out.withColumn("reason", reason)
 
 
 def _write_stage(df: DataFrame, path: str) -> DataFrame:
@@ -84,7 +112,7 @@ def _write_stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_id: int,
-                 now: _dt.datetime | None = None) -> DataFrame:
+                 now: _dt.datetime | None = None, max_bytes: int = K.MAX_FILE_SIZE) -> DataFrame:
     """Run one batch. ``landed`` has landing columns (see sources.landing).
 
     Returns one row per landed file: file_id, path, content_hash, status,
@@ -96,7 +124,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     man = M.ManifestTable(spark, t.manifest)
 
     # 1. classify (the only stage that touches the bytes)
-    cls = _write_stage(classify_landed(landed), t.staging(batch_id, "classified"))
+    cls = _write_stage(classify_landed(landed, max_bytes=max_bytes), t.staging(batch_id, "classified"))
 
     # 2. idempotency against the manifest as it was before this batch
     log = man.log().where(F.col("batch_id") != F.lit(batch_id))
@@ -254,7 +282,10 @@ def _write_quarantine(spark: SparkSession, landed: DataFrame, verdict: DataFrame
                       t: IngestTables, batch_id: int, at) -> None:
     q = verdict.where(F.col("status") == K.QUARANTINED).select(
         "file_id", "path", "content_hash", F.col("final_reason").alias("reason"), "length")
-    paths = [r.path for r in q.where(F.col("length") > 0).select("path").collect()]
+    # bytes of oversized files are not copied (they were never loaded); the
+    # quarantine row keeps path, reason and size
+    paths = [r.path for r in q.where((F.col("length") > 0) & ~F.col("content_hash").startswith("oversize:"))
+             .select("path").collect()]
     if paths:  # re-read only the quarantined files' bytes
         body = (spark.read.format("binaryFile").load(paths)
                 .select(C.file_id().alias("file_id"), "content"))
@@ -269,12 +300,13 @@ def _write_quarantine(spark: SparkSession, landed: DataFrame, verdict: DataFrame
 
 
 def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int = 0,
-                   now: _dt.datetime | None = None, include_empty: bool = True) -> DataFrame:
+                   now: _dt.datetime | None = None, include_empty: bool = True,
+                   max_bytes: int = K.MAX_FILE_SIZE) -> DataFrame:
     """Batch form of the pipeline over everything under ``landing_root``."""
     landed = LD.read_landing(spark, landing_root)
     if include_empty:
         landed = landed.unionByName(LD.empty_files(spark, landing_root))
-    return ingest_batch(spark, landed, t, batch_id, now)
+    return ingest_batch(spark, landed, t, batch_id, now, max_bytes)
 
 
 def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int,

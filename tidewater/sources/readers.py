@@ -44,11 +44,11 @@ def csv_head(content) -> "F.Column":
 def csv_bad_quotes(content) -> "F.Column":
     """True when the payload has a quote the strict reader refuses.
 
-    Only payloads containing a quote are scanned with the regex.
+    Only payloads containing a quote byte (checked on the raw bytes, no
+    decoding) are decoded and scanned with the regex.
     """
-    txt = F.decode(content, "UTF-8")
-    has_q = F.instr(txt, '"') > 0
-    left = F.regexp_replace(txt, QUOTED_FIELD, "$1")
+    has_q = F.contains(content, F.unhex(F.lit("22")))
+    left = F.regexp_replace(F.decode(content, "UTF-8"), QUOTED_FIELD, "$1")
     return F.when(has_q, F.instr(left, '"') > 0).otherwise(F.lit(False))
 
 
