@@ -220,8 +220,9 @@ SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type
 def q_materialize_latest(spark, sf):
     prep(spark)
     ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    as_of = ev.agg(F.max("ts").cast("timestamp").alias("a")).first().a
-    out = SV.latest_per_entity(ev, "user_id", "ts", "event_id", F.lit(as_of), 7 * 86400)
+    # as-of = latest event time: a one-row aggregate carried as a column (no eager job)
+    with_as_of = ev.crossJoin(F.broadcast(ev.agg(F.max("ts").cast("timestamp").alias("__as_of"))))
+    out = SV.latest_per_entity(with_as_of, "user_id", "ts", "event_id", F.col("__as_of"), 7 * 86400)
     return out.select("user_id", "event_id", ts_text("ts", micros=True).alias("ts"), "event_type", "value")
 
 
