@@ -105,3 +105,14 @@ def test_ml_model_apply(spark):
     assert all(abs(r.pred - r.y) < 1e-6 for r in out)
     lin = SV.predict_linear(df, SV.fit_linear(df, "y", "x"), "x").collect()
     assert all(abs(r.prediction - r.y) < 1e-9 for r in lin)
+
+
+def test_apply_retention_nested(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    for src in ("a", "b"):
+        for d in ("2026-01-01", "2026-05-01"):
+            os.makedirs(os.path.join(land, f"source={src}", f"date={d}"))
+            open(os.path.join(land, f"source={src}", f"date={d}", "f.csv"), "w").write("x\n1\n")
+    out = LY.apply_retention(spark, land, None, "2026-05-17")
+    assert sorted(out["raw"]) == ["source=a/date=2026-01-01", "source=b/date=2026-01-01"]
+    assert sorted(os.listdir(os.path.join(land, "source=a"))) == ["date=2026-05-01"]

@@ -22,7 +22,8 @@ def test_publish_decode_consume(spark, tmp_root):
     topic = os.path.join(tmp_root, "topic")
     (msgs.withColumn("batch_id", F.lit(1).cast("bigint"))
      .unionByName(msgs.withColumn("batch_id", F.lit(2).cast("bigint")))   # redelivery
-     .unionByName(spark.createDataFrame([("bad", "{oops", T, 0, 3)], TP.TOPIC_SCHEMA))
+     .unionByName(spark.createDataFrame([("bad", "{oops", T, 0, 3, "2026-05-17")], TP.TOPIC_SCHEMA),
+                  allowMissingColumns=True)
      .write.parquet(topic))
     out, dl = os.path.join(tmp_root, "out"), os.path.join(tmp_root, "dl")
     TP.consume(spark, topic, out, dl, os.path.join(tmp_root, "ck"))
@@ -31,3 +32,19 @@ def test_publish_decode_consume(spark, tmp_root):
     # running again adds nothing (offsets are in the checkpoint)
     TP.consume(spark, topic, out, dl, os.path.join(tmp_root, "ck"))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_topic_retention(spark, tmp_root):
+    from types import SimpleNamespace
+    topic = os.path.join(tmp_root, "topic")
+    t = SimpleNamespace(topic=topic, processed_bucket="processed")
+    days = [dt.datetime(2026, 1, 1), dt.datetime(2026, 3, 1), dt.datetime(2026, 3, 30)]
+    for i, d in enumerate(days):
+        done = spark.createDataFrame([(f"s3://l/k{i}", f"k{i}", f"h{i}", "csv", 1, d, f"p{i}")],
+                                     "path string, key string, content_hash string, format string, "
+                                     "length bigint, received_at timestamp, processed_key string")
+        TP.publish(spark, done, t, i, F.lit(d).cast("timestamp"))
+    now_ms = int(dt.datetime(2026, 4, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    gone = TP.expire_topic(spark, topic, "files.processed", now_ms)       # keeps 30 days
+    assert sorted(gone) == ["day=2026-01-01", "day=2026-03-01"]
+    assert [r.key for r in spark.read.schema(TP.TOPIC_SCHEMA).parquet(topic).collect()] == ["h2"]

@@ -61,25 +61,50 @@ def expired_partitions(df: DataFrame, date_col: str, as_of: Column, days: int) -
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
 
 
-def drop_partitions(spark, root: str, partition_col: str, older_than: str) -> list[str]:
-    """B22 (apply): delete ``<root>/<col>=<value>`` folders with value < cutoff
-    (metadata operation on the table's file system; no data is read)."""
+def drop_partitions(spark, root: str, partition_col: str, older_than: str, max_depth: int = 3) -> list[str]:
+    """B22 (apply): delete every ``<col>=<value>`` folder with value < cutoff,
+    at any level up to ``max_depth`` (``date`` is the second level of the
+    landing layout). A metadata operation on the table's file system: folder
+    listings only, no data read. Returns the deleted folders relative to root."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    gone = []
-    if not fs.exists(p):
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    gone: list[str] = []
+    if not fs.exists(base):
         return gone
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(partition_col + "=") and \
-                name.split("=", 1)[1] < older_than:
-            fs.delete(st.getPath(), True)
-            gone.append(name)
+
+    def walk(p, rel: str, depth: int) -> None:
+        for st in fs.listStatus(p):
+            if not st.isDirectory():
+                continue
+            name = st.getPath().getName()
+            here = f"{rel}/{name}" if rel else name
+            if name.startswith(partition_col + "=") and name.split("=", 1)[1] < older_than:
+                fs.delete(st.getPath(), True)
+                gone.append(here)
+            elif "=" in name and depth < max_depth:
+                walk(st.getPath(), here, depth + 1)
+
+    walk(base, "", 1)
     return gone
 
 
+def apply_retention(spark, landing_root: str | None, processed_root: str | None, as_of: str) -> dict:
+    """B22 with the fixed periods: landing (raw) 90 days, processed 365 days,
+    by the ``date`` / ``ingest_date`` partition folders."""
+    import datetime as _d
+    day = _d.date.fromisoformat(as_of)
+    out = {}
+    if landing_root:
+        cut = (day - _d.timedelta(days=RETENTION_DAYS["raw"])).isoformat()
+        out["raw"] = drop_partitions(spark, landing_root, "date", cut)
+    if processed_root:
+        cut = (day - _d.timedelta(days=RETENTION_DAYS["processed"])).isoformat()
+        out["processed"] = drop_partitions(spark, processed_root, "ingest_date", cut)
+    return out
+
+
 # ----------------------------------------------------------------- B23 B24
 def write_partitioned(df: DataFrame, path: str, date_col: str = "date", source_col: str = "source",
                       mode: str = "overwrite") -> None:

@@ -16,7 +16,7 @@ from ..functions import constants as K
 EVENT_SCHEMA = ("source string, path string, content_hash string, format string, size bigint, "
                 "received_at timestamp, processed_at timestamp, processed_bucket string, "
                 "processed_key string, metadata map<string,string>")
-TOPIC_SCHEMA = "key string, value string, timestamp timestamp, partition int, batch_id bigint"
+TOPIC_SCHEMA = "key string, value string, timestamp timestamp, partition int, batch_id bigint, day string"
 JSON_OPTS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -62,7 +62,20 @@ def publish(spark: SparkSession, done: DataFrame, t, batch_id: int, at: Column)
     if _exists(spark, t.topic):
         old = spark.read.schema(TOPIC_SCHEMA).parquet(t.topic).select("key")
         msgs = msgs.join(old.join(msgs.select("key"), "key", "left_semi"), "key", "left_anti")
-    msgs.repartition(K.TOPICS[K.PROCESSED_TOPIC][0], "partition").write.mode("append").parquet(t.topic)
+    # by day of the message time, so retention drops whole folders
+    (msgs.withColumn("day", F.date_format("timestamp", "yyyy-MM-dd"))
+     .repartition(K.TOPICS[K.PROCESSED_TOPIC][0], "partition")
+     .write.mode("append").partitionBy("day").parquet(t.topic))
+
+
+def expire_topic(spark: SparkSession, topic_path: str, topic: str, now_ms: int) -> list[str]:
+    """B22 for a topic: drop the day folders entirely older than the topic's
+    retention (files.processed 30 days, dead-letter 30 days, 7 days others)."""
+    import datetime as _d
+    from ..operators.layout import drop_partitions
+    keep_ms = K.TOPICS[topic][1]
+    cutoff = _d.datetime.fromtimestamp((now_ms - keep_ms) / 1000, _d.timezone.utc).date().isoformat()
+    return drop_partitions(spark, topic_path, "day", cutoff, max_depth=1)
 
 
 def kafka_options(bootstrap: str, topic: str = K.PROCESSED_TOPIC) -> dict:
