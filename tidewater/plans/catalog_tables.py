@@ -294,9 +294,9 @@ _METRICS_SQL = with_ctes(VFILES, FIRST) + """
          CAST(sum(length) AS BIGINT) AS bytes,
          avg(CASE WHEN status IN ('failed', 'quarantined') THEN 1 ELSE 0 END) AS error_rate,
          CAST(sum(CASE WHEN status = 'quarantined' THEN 1 ELSE 0 END) AS BIGINT) AS quarantined,
-         quantile_cont(CASE WHEN status = 'done' THEN epoch(processed_at) - epoch(received_at) END, 0.5) AS p50,
-         quantile_cont(CASE WHEN status = 'done' THEN epoch(processed_at) - epoch(received_at) END, 0.95) AS p95,
-         quantile_cont(CASE WHEN status = 'done' THEN epoch(processed_at) - epoch(received_at) END, 0.99) AS p99
+         quantile_cont(CASE WHEN status = 'done' THEN floor(epoch(processed_at) - epoch(received_at)) END, 0.5) AS p50,
+         quantile_cont(CASE WHEN status = 'done' THEN floor(epoch(processed_at) - epoch(received_at)) END, 0.95) AS p95,
+         quantile_cont(CASE WHEN status = 'done' THEN floor(epoch(processed_at) - epoch(received_at)) END, 0.99) AS p99
   FROM mcur GROUP BY ALL
 )"""
 

@@ -20,7 +20,7 @@ FILE_EVENTS_SCHEMA = ("file_id string, path string, source string, content_hash
 
 def windowed_metrics(events: DataFrame, window: str = "10 minutes", watermark: str = "30 minutes") -> DataFrame:
     lat = F.when(F.col("status") == "done",
-                 F.unix_micros("processed_at") / 1e6 - F.unix_micros("received_at") / 1e6)
+                 F.floor((F.unix_micros("processed_at") - F.unix_micros("received_at")) / 1e6).cast("double"))
     g = (events.withWatermark("received_at", watermark)
          .groupBy(F.window("received_at", window).alias("w"), "source")
          .agg(F.count(F.lit(1)).cast("bigint").alias("files"),
