@@ -69,12 +69,14 @@ def test_rolling_range(events):
             assert c == len(win) and s == pytest.approx(sum(x[4] for x in win))
 
 
-def test_asof_features(events):
+@pytest.mark.parametrize("k", [1, 4, 7])
+def test_asof_features(events, k):
     rows, df = events
     lab = df.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     fea = df.where("event_type = 'view'").select("event_id", "user_id", "ts", F.col("value").alias("v"))
     out = {r.event_id: (r.feature_event_id, r.v) for r in
-           SV.asof_features(lab, fea, "user_id", "ts", "ts", 6 * 3600, ["v"], "event_id").collect()}
+           SV.asof_features(lab, fea, "user_id", "ts", "ts", 6 * 3600, ["v"], "event_id",
+                            sub_buckets=k).collect()}
     for seq in _by_user(rows).values():
         for r in seq:
             if r[3] != "purchase":

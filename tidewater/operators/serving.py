@@ -7,28 +7,33 @@ from pyspark.sql import functions as F
 
 
 def asof_features(labels: DataFrame, features: DataFrame, key: str, label_ts: str, feature_ts: str,
-                  ttl_seconds: int, feature_cols: list[str], tiebreak: str) -> DataFrame:
+                  ttl_seconds: int, feature_cols: list[str], tiebreak: str, sub_buckets: int = 4) -> DataFrame:
     """For each label row, the latest feature row of the same key with
     feature_ts <= label_ts and feature_ts >= label_ts - ttl (no future leak);
     feature columns null when there is none.
 
     No range join and no window over a whole key: time is cut into buckets
-    of width ttl. A label can only match a feature of its own bucket (window
-    over key + bucket) or the latest feature of the previous bucket (an
-    aggregate per key + bucket, joined on the unique (key, bucket - 1)).
+    of width ttl / ``sub_buckets``. A label matches either the latest
+    feature at or before it in its own bucket (window over key + bucket) or
+    the latest feature of the ``sub_buckets`` buckets before (a per-(key,
+    bucket) aggregate, then a range window over bucket numbers of that small
+    table, joined back on the unique (key, bucket)); the ttl check decides.
     """
+    k = max(1, int(sub_buckets))
     w_us = ttl_seconds * 1_000_000
+    b_us = max(1, w_us // k)
     lab = labels.withColumn("__us", F.unix_micros(F.col(label_ts).cast("timestamp")))
     fea = features.select(F.col(key), F.unix_micros(F.col(feature_ts).cast("timestamp")).alias("__us"),
                           F.col(tiebreak).alias("__tb"), *[F.col(c) for c in feature_cols])
     fstruct = F.struct(F.col("__us").alias("f_us"), F.col("__tb").alias("f_tb"),
                        *[F.col(c) for c in feature_cols])
-    fea = fea.withColumn("__b", F.floor(F.col("__us") / w_us).cast("bigint"))
-    lab = lab.withColumn("__b", F.floor(F.col("__us") / w_us).cast("bigint"))
+    fea = fea.withColumn("__b", F.floor(F.col("__us") / b_us).cast("bigint"))
+    lab = lab.withColumn("__b", F.floor(F.col("__us") / b_us).cast("bigint"))
+    ftype = fea.select(fstruct.alias("x")).schema["x"].dataType
     # same bucket: union labels and features, latest feature at or before each label
     lab_u = lab.select(key, "__b", "__us", F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__tb"),
                        F.struct(*[F.col(c) for c in labels.columns]).alias("__label"),
-                       F.lit(None).cast(fea.select(fstruct.alias("x")).schema["x"].dataType).alias("__f"))
+                       F.lit(None).cast(ftype).alias("__f"))
     fea_u = fea.select(key, "__b", "__us", F.lit(0).alias("__kind"), "__tb",
                        F.lit(None).cast(lab_u.schema["__label"].dataType).alias("__label"),
                        fstruct.alias("__f"))
@@ -36,10 +41,14 @@ def asof_features(labels: DataFrame, features: DataFrame, key: str, label_ts: st
          .rowsBetween(Window.unboundedPreceding, 0))
     both = lab_u.unionByName(fea_u).withColumn("__in", F.last("__f", ignorenulls=True).over(w))
     same = both.where(F.col("__kind") == 1).select(key, "__b", "__us", "__label", "__in")
-    # previous bucket: its latest feature
-    prev = (fea.groupBy(key, "__b").agg(F.max_by(fstruct, F.struct("__us", "__tb")).alias("__pf"))
-            .select(F.col(key), (F.col("__b") + 1).alias("__b"), "__pf"))
-    j = same.join(prev, [key, "__b"], "left")
+    # earlier buckets: latest feature per (key, bucket), then the latest over
+    # the k buckets before each label bucket
+    per_b = fea.groupBy(key, "__b").agg(F.max_by(fstruct, F.struct("__us", "__tb")).alias("__bf"))
+    lab_b = lab.select(key, "__b").distinct().withColumn("__bf", F.lit(None).cast(ftype))
+    grid = per_b.unionByName(lab_b).groupBy(key, "__b").agg(F.max("__bf").alias("__bf"))
+    wk = Window.partitionBy(key).orderBy("__b").rangeBetween(-k, -1)
+    carry = grid.select(key, "__b", F.max("__bf").over(wk).alias("__pf"))
+    j = same.join(carry, [key, "__b"], "left")
     cand = F.coalesce(F.col("__in"), F.col("__pf"))
     ok = cand["f_us"] >= F.col("__us") - F.lit(w_us)
     pick = F.when(ok, cand)
