@@ -58,10 +58,11 @@ def test_rolling_rows(events):
             assert c == len(win) and s == pytest.approx(sum(x[4] for x in win))
 
 
-def test_rolling_range(events):
+@pytest.mark.parametrize("k", [1, 3])
+def test_rolling_range(events, k):
     rows, df = events
     out = {r.event_id: (r.range3600_count, r.range3600_sum) for r in
-           TM.rolling_range(df, "user_id", "ts", "value", 3600).collect()}
+           TM.rolling_range(df, "user_id", "ts", "value", 3600, sub_buckets=k).collect()}
     for seq in _by_user(rows).values():
         for r in seq:
             win = [x for x in seq if r[2] - dt.timedelta(seconds=3600) <= x[2] <= r[2]]

@@ -104,19 +104,27 @@ def rolling_rows(df: DataFrame, key: str, order: list[str], value: str | list[st
 
 
 def rolling_range(df: DataFrame, key: str, ts: str, value: str, seconds: int,
-                  prefix: str = "range") -> DataFrame:
+                  prefix: str = "range", sub_buckets: int = 1) -> DataFrame:
     """B11 (time): count / sum / avg over rows of the key with
-    ts in [ts - seconds, ts] (peers included, like SQL RANGE)."""
+    ts in [ts - seconds, ts] (peers included, like SQL RANGE).
+
+    Buckets of width seconds / ``sub_buckets``; every row also goes, as
+    context, into the next ``sub_buckets`` buckets, so a window over
+    (key, bucket) sees everything in range. More sub-buckets = smaller
+    window partitions for a hot key, at (k + 1)× rows through the shuffle.
+    """
+    k = max(1, int(sub_buckets))
     width_us = seconds * 1_000_000
+    b_us = max(1, width_us // k)
     d = df.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
-    d = d.withColumn("__b", F.floor(F.col("__us") / F.lit(width_us)).cast("bigint"))
-    real = d.withColumn("__real", F.lit(True))
-    ctx = d.withColumn("__b", F.col("__b") + 1).withColumn("__real", F.lit(False))
-    both = real.unionByName(ctx)
+    d = d.withColumn("__b0", F.floor(F.col("__us") / F.lit(b_us)).cast("bigint"))
+    both = (d.select("*", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("__off"))
+            .withColumn("__b", F.col("__b0") + F.col("__off"))
+            .withColumn("__real", F.col("__off") == 0))
     w = Window.partitionBy(key, "__b").orderBy("__us").rangeBetween(-width_us, 0)
     out = (both.withColumn(f"{prefix}{seconds}_count", F.count(F.lit(1)).over(w))
            .withColumn(f"{prefix}{seconds}_sum", F.sum(F.col(value).cast("double")).over(w))
            .where("__real"))
     out = out.withColumn(f"{prefix}{seconds}_avg",
                          F.col(f"{prefix}{seconds}_sum") / F.col(f"{prefix}{seconds}_count"))
-    return out.drop("__us", "__b", "__real")
+    return out.drop("__us", "__b0", "__off", "__b", "__real")
