@@ -107,8 +107,10 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None,
 
 
 def _write_stage(df: DataFrame, path: str) -> DataFrame:
+    """Materialise a stage under the state root (cuts lineage; a replayed
+    batch overwrites its own stage) and continue from the written table."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_id: int,
@@ -178,7 +180,8 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     multi = ok.where(F.col("n_parts") > 1).select(
         F.col("base_key"), F.col("parts"), F.col("n_records").alias("record_count"),
         at.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-    multi.write.mode("append").json(t.parts)
+    (multi.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").json(t.parts))
 
     # 8. terminal manifest rows
     term = verdict.select("content_hash", "path", "source", "status",
