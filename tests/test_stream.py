@@ -98,3 +98,24 @@ def test_recovery_and_metrics_stream(spark, tmp_root):
     run_metrics_stream(spark, t.file_events, out, al, os.path.join(tmp_root, "mck"))
     m = spark.read.parquet(out)
     assert m.agg(F.sum("files")).first()[0] == n_files
+
+
+def test_recovery_hash_mismatch_d08(spark, tmp_root):
+    """A stuck entry whose landed bytes were overwritten since: quarantined
+    with a content hash mismatch, under the expected (stuck) hash."""
+    import datetime as dt
+    import hashlib
+    from tidewater.operators.ingest import recover_stuck_files
+    land = os.path.join(tmp_root, "landing")
+    d = FX.write_cases(land, {"x.csv": (b"a\n2\n", K.DONE, 1)})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    old_hash = hashlib.sha256(b"a\n1\n").hexdigest()
+    old = dt.datetime(2026, 5, 17)
+    M.ManifestTable(spark, t.manifest).append(spark.createDataFrame(
+        [(old_hash, "file:" + os.path.join(d, "x.csv"), "t", K.PROCESSING, old, 1, None, 0)], M.LOG_SCHEMA))
+    res = recover_stuck_files(spark, land, t, batch_id=-1, now=old + dt.timedelta(hours=1)).collect()
+    new_hash = hashlib.sha256(b"a\n2\n").hexdigest()
+    assert [(r.status, r.content_hash, r.reason) for r in res] == [
+        (K.QUARANTINED, old_hash, f"content hash mismatch: expected {old_hash}, got {new_hash}")]
+    cur = {r.content_hash: r.status for r in M.ManifestTable(spark, t.manifest).current().collect()}
+    assert cur == {old_hash: K.QUARANTINED}

@@ -83,6 +83,11 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None,
     if expected_hash:
         cols.append(F.col(expected_hash))
     out = small.select(*cols)
+    if expected_hash:
+        # the manifest identity is the expected hash (as the reference's
+        # recovered event carries it); the bytes' own hash is checked against it
+        out = (out.withColumnRenamed("content_hash", "actual_hash")
+               .withColumn("content_hash", F.coalesce(F.col(expected_hash), F.col("actual_hash"))))
     big = landed.where(F.col("length") > F.lit(max_bytes))
     by_ext = C.detect_format("key", F.unhex(F.lit("")))
     big_cols = [
@@ -94,9 +99,12 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None,
     ]
     if expected_hash:
         big_cols.append(F.col(expected_hash))
-    out = out.unionByName(big.select(*big_cols))
+    big_sel = big.select(*big_cols)
+    if expected_hash:
+        big_sel = big_sel.withColumn("actual_hash", F.col("content_hash"))
+    out = out.unionByName(big_sel)
     too_big = F.format_string("file size exceeds maximum limit of %d bytes", F.lit(max_bytes))
-    reason = C.validation_reason("format", "length", "content_hash",
+    reason = C.validation_reason("format", "length", "actual_hash" if expected_hash else "content_hash",
                                  expected_hash if expected_hash else None)
     if max_bytes != K.MAX_FILE_SIZE:   # tests lower the limit
         reason = (F.when(F.col("format") == "unknown", F.lit(K.MSG_UNSUPPORTED))
@@ -114,7 +122,8 @@ def _write_stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_id: int,
-                 now: _dt.datetime | None = None, max_bytes: int = K.MAX_FILE_SIZE) -> DataFrame:
+                 now: _dt.datetime | None = None, max_bytes: int = K.MAX_FILE_SIZE,
+                 expected_hash: str | None = None) -> DataFrame:
     """Run one batch. ``landed`` has landing columns (see sources.landing).
 
     Returns one row per landed file: file_id, path, content_hash, status,
@@ -126,7 +135,10 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     man = M.ManifestTable(spark, t.manifest)
 
     # 1. classify (the only stage that touches the bytes)
-    cls = _write_stage(classify_landed(landed, max_bytes=max_bytes), t.staging(batch_id, "classified"))
+    cls = classify_landed(landed, expected_hash, max_bytes=max_bytes)
+    if expected_hash:
+        cls = cls.drop(expected_hash, "actual_hash")
+    cls = _write_stage(cls, t.staging(batch_id, "classified"))
 
     # 2. idempotency against the manifest as it was before this batch
     log = man.log().where(F.col("batch_id") != F.lit(batch_id))
@@ -336,7 +348,9 @@ def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables,
     # the decisions are logged under their own id: the re-ingest below
     # (batch_id) must see them as history, not as its own rows
     man.append(RC.recovery_log_rows(decided, at, batch_id - RECOVERY_DECISION_OFFSET))
-    return ingest_batch(spark, present, t, batch_id, now)
+    # The stuck entry's hash is the expected one; bytes changed since → mismatch
+    again = present.join(st.select("path", F.col("content_hash").alias("expected_hash")), "path")
+    return ingest_batch(spark, again, t, batch_id, now, expected_hash="expected_hash")
 
 
 def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root: str, t: IngestTables,
