@@ -414,3 +414,21 @@ def q_recover_stuck(spark, sf):
     landing = virtual_files(docs).select("path", "key", "content", "length")
     rows = recover(cur, landing, F.lit(AS_OF).cast("timestamp"))
     return rows.select("content_hash", "path", "new_status", "reason", "format")
+
+
+# ------------------------------------------------------------- A01 (stream)
+@query("ingest_stream", _EVENTS_SQL)
+def q_ingest_stream(spark, sf):
+    """A01 as a stream: NDJSON event files picked up by the landing stream in
+    several micro-batches (``maxFilesPerTrigger``), each one ingest batch."""
+    from ..streaming.ingest import run_ingest_stream
+    prep(spark)
+    land = _events_landing(spark, sf, "json")
+    n_files = len(spark.read.format("binaryFile").load(land).inputFiles())
+    t = IngestTables(scratch_path(spark, "state-stream"))
+    run_ingest_stream(spark, land, t, scratch_path(spark, "ingest-ckpt"),
+                      max_files_per_trigger=max(1, -(-n_files // 3)))
+    p = read_processed(spark, t)
+    typed = FT.coerce(p.select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
+    return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id",
+                        "event_type", "value", "props")
