@@ -296,8 +296,8 @@ def _pipe_out(df):
     return df.select(*[r6(c).alias(c) if c in ("value_mm", "user_freq") else F.col(c) for c in PIPE_COLS])
 
 
-@query("feature_pipeline", _PIPE_SQL)
-def q_feature_pipeline(spark, sf):
+@query("feature_chain", _PIPE_SQL)
+def q_feature_chain(spark, sf):
     ev = _events(spark, sf)
     fitted = PL.fit(PIPELINE, ev)
     return _pipe_out(fitted.transform(ev))

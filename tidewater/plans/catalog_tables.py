@@ -308,11 +308,11 @@ def _metrics(spark, sf):
     return MO.pipeline_metrics(f.select("received_at", "processed_at", "source", "status", "length"))
 
 
-@query("pipeline_metrics", _METRICS_SQL.replace(")\n, mt AS", "),\nmt AS") + """
+@query("ingest_metrics", _METRICS_SQL.replace(")\n, mt AS", "),\nmt AS") + """
 SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, source, files, bytes,
        round(error_rate, 6) AS error_rate, quarantined, round(p50, 6) AS p50, round(p95, 6) AS p95,
        round(p99, 6) AS p99 FROM mt""")
-def q_pipeline_metrics(spark, sf):
+def q_ingest_metrics(spark, sf):
     m = _metrics(spark, sf)
     return m.select(ts_text("window_start").alias("window_start"), "source", "files", "bytes",
                     r6("error_rate").alias("error_rate"), "quarantined", r6("p50").alias("p50"),
