@@ -32,12 +32,11 @@ VERDICT_SCHEMA = "file_id string, n_records bigint, parse_error string"
 
 # Delete well-formed quoted fields; any quote left breaks the strict reader
 QUOTED_FIELD = r'(^|[,\n])"[^"]*+(?:""[^"]*+)*+"(?=[,\r\n]|$)'
-HEAD_BYTES = 1 << 20
 
 
 def csv_head(content) -> "F.Column":
-    """First line of a CSV payload (read from the first MiB only)."""
-    txt = F.decode(F.substring(content, 1, HEAD_BYTES), "UTF-8")
+    """First line of a CSV payload (the whole line, however long)."""
+    txt = F.decode(content, "UTF-8")
     return F.regexp_replace(F.substring_index(txt, "\n", 1), "\r$", "")
 
 
