@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions import naming as N
+from ..functions.text import as_text
 
 
 def quarantine_rows(files: DataFrame, at: Column) -> DataFrame:
@@ -35,17 +36,6 @@ def parts_plan(df: DataFrame, key: str, total_bytes: str, record_count: str) ->
 
 def all_string(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every column as nullable text; nested values as compact JSON."""
-    cols = []
-    for f in df.schema.fields:
-        if f.name in keep:
-            cols.append(F.col(f.name))
-            continue
-        t = f.dataType.typeName()
-        c = F.col(f"`{f.name}`")
-        if t in ("struct", "array", "map"):
-            cols.append(F.to_json(c).alias(f.name))
-        elif t == "binary":
-            cols.append(F.decode(c, "UTF-8").alias(f.name))
-        else:
-            cols.append(c.cast("string").alias(f.name))
-    return df.select(*cols)
+    return df.select(*[F.col(f"`{f.name}`") if f.name in keep
+                       else as_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+                       for f in df.schema.fields])

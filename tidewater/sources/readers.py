@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions import classify as C
 from ..functions import constants as K
 from ..functions import json_values as J
+from ..functions.text import as_text
 
 RECORDS_SCHEMA = "file_id string, record map<string,string>"
 VERDICT_SCHEMA = "file_id string, n_records bigint, parse_error string"
@@ -190,17 +191,7 @@ def split_json_files(landing: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- Parquet
 def _string_cols(df: DataFrame) -> list:
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType.typeName()
-        if t in ("struct", "array", "map"):
-            cols.append(F.to_json(c))
-        elif t == "binary":
-            cols.append(F.decode(c, "UTF-8"))
-        else:
-            cols.append(c.cast("string"))
-    return cols
+    return [as_text(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
 
 
 def read_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
