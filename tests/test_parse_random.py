@@ -64,8 +64,9 @@ def _obj(rng, depth=0):
     o = {}
     for j in range(rng.randrange(0, 4)):
         k = rng.choice(["a", "b", "c", "ä", "k k"])
-        kind = rng.randrange(5 if depth < 2 else 3)
+        kind = rng.randrange(6 if depth < 2 else 4)
         o[k] = [lambda: rng.randrange(-1000, 1000), lambda: _cell(rng), lambda: None,
+                lambda: rng.choice([1.5, 0.1, -2.25, 100000.0]),
                 lambda: [rng.randrange(9) for _ in range(2)], lambda: _obj(rng, depth + 1)][kind]()
     return o
 
