@@ -119,3 +119,24 @@ def test_recovery_hash_mismatch_d08(spark, tmp_root):
         (K.QUARANTINED, old_hash, f"content hash mismatch: expected {old_hash}, got {new_hash}")]
     cur = {r.content_hash: r.status for r in M.ManifestTable(spark, t.manifest).current().collect()}
     assert cur == {old_hash: K.QUARANTINED}
+
+
+def test_notification_stream(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from tidewater.sources import notifications as NT
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {k: FX.CASES[k] for k in ("ok.csv", "sparse.jsonl", "upper.CSV")})
+    msgs = os.path.join(tmp_root, "msgs")
+    keys = [f"source=t/date=2026-05-17/{k}" for k in ("ok.csv", "sparse.jsonl")]
+    spark.createDataFrame([(k,) for k in keys], "k string").select(
+        NT.encode(F.lit("landing"), F.col("k"), F.lit(1).cast("bigint"), F.lit("e")).alias("value")
+    ).write.parquet(msgs)
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    SI.run_notification_stream(spark, msgs, land, t, os.path.join(tmp_root, "ck"))
+    assert _statuses(spark, t) == {"ok.csv": K.DONE, "sparse.jsonl": K.DONE}   # upper.CSV not notified
+    # a later message for the third file
+    spark.createDataFrame([("source=t/date=2026-05-17/upper.CSV",)], "k string").select(
+        NT.encode(F.lit("landing"), F.col("k"), F.lit(1).cast("bigint"), F.lit("e")).alias("value")
+    ).write.mode("append").parquet(msgs)
+    SI.run_notification_stream(spark, msgs, land, t, os.path.join(tmp_root, "ck"))
+    assert _statuses(spark, t)["upper.CSV"] == K.QUARANTINED

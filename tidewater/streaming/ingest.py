@@ -72,3 +72,27 @@ def _write_empty_seen(empties: DataFrame, t: IngestTables, batch_id: int) -> Dat
     schema = empties.schema.add("batch_id", "integer")
     return (empties.sparkSession.read.schema(schema).parquet(f"{t.root}/empty_seen")
             .where(f"batch_id = {batch_id}").drop("batch_id"))
+
+
+NOTIFICATION_MESSAGES_SCHEMA = "value string"
+
+
+def run_notification_stream(spark: SparkSession, messages_path: str, landing_root: str, t: IngestTables,
+                            checkpoint: str, available_now: bool = True, max_files_per_trigger: int = 100):
+    """A02 as a stream: object-store event messages (one JSON document per
+    row in ``messages_path``, e.g. the webhook's requests written to a table
+    or a Kafka topic) drive ingestion of exactly the objects they name; each
+    micro-batch is one ingest batch keyed by its batch id."""
+    from ..operators.ingest import ingest_notifications
+    msgs = (spark.readStream.schema(NOTIFICATION_MESSAGES_SCHEMA)
+            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(messages_path))
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        ingest_notifications(spark, df, landing_root, t, int(batch_id),
+                             now=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+
+    w = msgs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+    if available_now:
+        q.awaitTermination()
+    return q
