@@ -205,3 +205,16 @@ def test_oversize_files_never_loaded(spark, tmp_root):
     assert got["big.csv"].content_hash.startswith("oversize:")
     q = spark.read.parquet(t.quarantine).collect()
     assert [(r.path.endswith("big.csv"), len(r.content)) for r in q] == [(True, 0)]
+
+
+def test_processed_file_view(ingested):
+    import hashlib
+    from tidewater.operators.ingest import processed_file
+    spark, _land, t, _cases, res = ingested
+    dup = processed_file(spark, t, content_hash=hashlib.sha256(FX.CASES["dup.csv"][0]).hexdigest())
+    assert [c for c in dup.columns if not c.startswith("ingest_")] == ["a"]
+    assert [r.a for r in dup.collect()] == ["2"]
+    key = _by_name(res)["quoted_newline.csv"].processed_key
+    qn = processed_file(spark, t, processed_key=key)
+    assert sorted(c for c in qn.columns if not c.startswith("ingest_")) == ["a", "b"]
+    assert [(r.a, r.b) for r in qn.collect()] == [("x\ny", "2")]

@@ -207,7 +207,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     # 10. one outcome row per file for monitoring (B31), replay-safe by batch
     (verdict.select("file_id", "path", "source", "content_hash", "format", "status",
                     F.col("final_reason").alias("reason"), "length", "n_records", "received_at",
-                    at.alias("processed_at"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+                    at.alias("processed_at"), "processed_key", F.lit(batch_id).cast("bigint").alias("batch_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
      .parquet(t.file_events))
 
@@ -409,5 +409,29 @@ def _no_result(spark: SparkSession) -> DataFrame:
                                      "reason string, n_records bigint, processed_key string")
 
 
+def processed_file(spark: SparkSession, t: IngestTables, content_hash: str | None = None,
+                   processed_key: str | None = None) -> DataFrame:
+    """The rows of one processed file with only its own columns (what the
+    reference's per-file object holds), found by content hash or by the
+    published processed key. One small aggregate decides which of the
+    table's columns the file uses (keys with at least one value)."""
+    if content_hash is None:
+        ev = spark.read.parquet(t.file_events).where(
+            (F.col("processed_key") == processed_key) & (F.col("status") == K.DONE))
+        # Several files can share a processed key; as with overwritten
+        # objects, the most recently processed one answers
+        hit = ev.orderBy(F.col("processed_at").desc(), F.col("path").desc()).select("content_hash").limit(1).collect()
+        if not hit:
+            return spark.createDataFrame([], "ingest_hash string")
+        content_hash = hit[0].content_hash
+    rows = read_processed(spark, t).where(F.col("ingest_hash") == content_hash)
+    data = [c for c in rows.columns if c not in META_COLS]
+    counts = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in data]).first() if data else None
+    used = [c for c in data if counts and counts[c] > 0]
+    # (a key present only with JSON null values is indistinguishable from an
+    # absent one in the shared table and is dropped here)
+    return rows.select(*[F.col(f"`{c}`") for c in used], *META_COLS)
+
+
 def read_processed(spark: SparkSession, t: IngestTables) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(t.processed)
