@@ -233,7 +233,7 @@ def _parse(spark: SparkSession, meta) -> tuple[DataFrame, list[str]]:
         d, _ = R.read_csv(spark, native)
         parts.append(d.withColumn("error", F.lit(None).cast("string")))
         if tail:
-            raw = (spark.read.format("binaryFile").load([p for _, p, _ in tail])
+            raw = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([p for _, p, _ in tail])
                    .select(C.file_id().alias("file_id"), "content"))
             sp = R.split_csv_files(raw)
             parts.append(sp.select("file_id", "record", F.lit(False).alias("bad"), "error"))
@@ -247,7 +247,7 @@ def _parse(spark: SparkSession, meta) -> tuple[DataFrame, list[str]]:
                      .withColumn("error", F.lit(None).cast("string")))
         if slow:
             by_id = dict(jsons)
-            raw = (spark.read.format("binaryFile").load([by_id[s] for s in slow if s in by_id])
+            raw = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([by_id[s] for s in slow if s in by_id])
                    .select(C.file_id().alias("file_id"), "content"))
             sp = R.split_json_files(raw)
             parts.append(sp.select("file_id", "record", F.lit(False).alias("bad"), "error"))
@@ -302,7 +302,7 @@ def _write_quarantine(spark: SparkSession, landed: DataFrame, verdict: DataFrame
     paths = [r.path for r in q.where((F.col("length") > 0) & ~F.col("content_hash").startswith("oversize:"))
              .select("path").collect()]
     if paths:  # re-read only the quarantined files' bytes
-        body = (spark.read.format("binaryFile").load(paths)
+        body = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
                 .select(C.file_id().alias("file_id"), "content"))
     else:
         body = spark.createDataFrame([], "file_id string, content binary")
@@ -383,7 +383,7 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
         return _no_result(spark)
     glob = f"{root}/{{{','.join(parents)}}}"
     try:
-        listed = spark.read.format("binaryFile").option("basePath", root).load(glob)
+        listed = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root).load(glob)
         every = listed.inputFiles()
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
@@ -397,7 +397,7 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
     empties = LD.empty_rows(ids.join(meta.select("file_id"), "file_id", "left_anti")).join(
         keys, "key", "left_semi")
     if found:    # absent keys are skipped; only notified files' bytes are read
-        landed = LD._shape(spark.read.format("binaryFile").option("basePath", root).load(found))
+        landed = LD._shape(spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root).load(found))
         landed = landed.unionByName(empties)
     else:
         landed = empties

@@ -45,7 +45,7 @@ def _shape(df: DataFrame) -> DataFrame:
 def read_landing(spark: SparkSession, root: str, path_filter: str | None = None) -> DataFrame:
     """A01 batch: one row per non-empty landed file."""
     configure(spark)
-    r = spark.read.format("binaryFile").option("basePath", root)
+    r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root)
     if path_filter:
         r = r.option("pathGlobFilter", path_filter)
     return _shape(r.load(root))
@@ -62,7 +62,7 @@ def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int =
     (A18) then looks for stuck files in the archive as well.
     """
     configure(spark)
-    r = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+    r = (spark.readStream.format("binaryFile").option("ignoreMissingFiles", "true").schema(BINARY_SCHEMA)
          .option("basePath", root)
          .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive_dir:
@@ -80,7 +80,7 @@ def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None,
     lists the whole landing history.
     """
     none = empty_rows(spark.createDataFrame([], "file_id string"))
-    r = spark.read.format("binaryFile").option("basePath", root)
+    r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root)
     target = root
     if dates is not None:
         if not dates:
