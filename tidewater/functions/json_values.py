@@ -25,19 +25,29 @@ BIG_EXPONENT = r"[0-9][eE][+-]?[0-9]{3,}"
 _WS = re.compile(r"[ \t\n\r]*")
 
 
-def _wrapped(line: Column) -> Column:
-    # '[' line ',"<sha of line>"]' parses as a 2-array only when line is one value
-    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"'), F.sha2(line, 256), F.lit('"]')))
+def _sentinel(line: Column, nonce: str | None) -> Column:
+    # a value the line itself cannot contain: a fresh random nonce, or the
+    # line's own SHA-256 when none is given
+    return F.lit(nonce) if nonce else F.sha2(line, 256)
+
+
+def _wrapped(line: Column, nonce: str | None = None) -> Column:
+    # '[' line ',"<sentinel>"]' parses as a 2-array only when line is one value
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"'), _sentinel(line, nonce), F.lit('"]')))
 
 
 def value_type(line: Column) -> Column:
     return F.schema_of_variant(F.try_variant_get(_wrapped(line), "$[0]", "variant"))
 
 
-def strict_object_line(line: Column) -> Column:
-    """True iff the line is exactly one JSON object or ``null`` (never null)."""
-    p = _wrapped(line)
-    one = F.try_variant_get(p, "$[1]", "string") == F.sha2(line, 256)
+def strict_object_line(line: Column, nonce: str | None = None) -> Column:
+    """True iff the line is exactly one JSON object or ``null`` (never null).
+
+    With ``nonce`` (random per batch, unknown to whoever wrote the file) no
+    per-line hash is needed; without it the line's SHA-256 is the sentinel.
+    """
+    p = _wrapped(line, nonce)
+    one = F.try_variant_get(p, "$[1]", "string") == _sentinel(line, nonce)
     t = F.schema_of_variant(F.try_variant_get(p, "$[0]", "variant"))
     ok = one & (t.startswith("OBJECT") | (t == F.lit("VOID"))) & ~line.rlike(BIG_EXPONENT)
     return F.coalesce(ok, F.lit(False))

@@ -154,11 +154,13 @@ def split_csv_files(landing: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ NDJSON
 def read_ndjson_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A09 fast path over text lines: (file_id, record, bad) per non-blank line."""
+    import uuid
+    nonce = uuid.uuid4().hex + uuid.uuid4().hex
     lines = spark.read.text(paths).select(C.file_id().alias("file_id"),
                                           F.col("value"))
     lines = lines.where(~J.is_blank(F.col("value")))
     return lines.select("file_id", J.line_record(F.col("value")).alias("record"),
-                        (~J.strict_object_line(F.col("value"))).alias("bad"))
+                        (~J.strict_object_line(F.col("value"), nonce)).alias("bad"))
 
 
 def split_json_files(landing: DataFrame) -> DataFrame:
