@@ -90,3 +90,18 @@ def test_split_values_ok(text, expected):
 def test_split_values_rejects(text):
     with pytest.raises(ValueError):
         split_values(text)
+
+
+def test_pipeline_save_load(spark, tmp_root):
+    df = spark.createDataFrame([(1, "a", 1.0, "x"), (2, "b", 3.0, "y"), (3, "a", 5.0, "x")],
+                               "id int, c string, v double, g string")
+    cfg = {"steps": [{"op": "minmax", "col": "v", "out": "vm", "by": ["g"]},
+                     {"op": "onehot", "col": "c"},
+                     {"op": "target", "col": "c", "target": "v", "out": "c_te"},
+                     {"op": "frequency", "col": "g", "out": "g_freq"}]}
+    fitted = PL.fit(cfg, df)
+    fitted.save(tmp_root + "/p")
+    again = PL.load(spark, tmp_root + "/p")
+    a = sorted(map(tuple, fitted.transform(df).select("id", "vm", "c_a", "c_te", "g_freq").collect()))
+    b = sorted(map(tuple, again.transform(df).select("id", "vm", "c_a", "c_te", "g_freq").collect()))
+    assert a == b

@@ -34,6 +34,51 @@ class FittedPipeline:
         listed = [st if isinstance(st, list) else None for st in self.state]
         return json.dumps({"steps": self.steps, "state": listed}, sort_keys=True)
 
+    def save(self, path: str) -> None:
+        """Config + list state as ``pipeline.json``; every table-shaped state
+        as a small Parquet table ``state_<i>[_<j>]`` next to it."""
+        spark = None
+        kinds = []
+        for i, st in enumerate(self.state):
+            if isinstance(st, DataFrame):
+                st.write.mode("overwrite").parquet(f"{path}/state_{i}")
+                spark = st.sparkSession
+                kinds.append("table")
+            elif isinstance(st, tuple):
+                for j, part in enumerate(st):
+                    part.write.mode("overwrite").parquet(f"{path}/state_{i}_{j}")
+                    spark = part.sparkSession
+                kinds.append(f"tables:{len(st)}")
+            elif isinstance(st, list):
+                kinds.append("list")
+            else:
+                kinds.append("none")
+        doc = json.dumps({"steps": self.steps, "kinds": kinds,
+                          "lists": [st if isinstance(st, list) else None for st in self.state]},
+                         sort_keys=True)
+        if spark is None:
+            from pyspark.sql import SparkSession
+            spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(doc,)], "doc string").coalesce(1).write.mode("overwrite").text(
+            f"{path}/pipeline.json")
+
+
+def load(spark, path: str) -> FittedPipeline:
+    """Inverse of ``FittedPipeline.save``."""
+    doc = json.loads(spark.read.text(f"{path}/pipeline.json").first()[0])
+    state = []
+    for i, (kind, lst) in enumerate(zip(doc["kinds"], doc["lists"])):
+        if kind == "table":
+            state.append(spark.read.parquet(f"{path}/state_{i}"))
+        elif kind.startswith("tables:"):
+            n = int(kind.split(":")[1])
+            state.append(tuple(spark.read.parquet(f"{path}/state_{i}_{j}") for j in range(n)))
+        elif kind == "list":
+            state.append(lst)
+        else:
+            state.append(None)
+    return FittedPipeline(doc["steps"], state)
+
 
 def parse(config: str | dict) -> list[dict]:
     cfg = json.loads(config) if isinstance(config, str) else config
