@@ -116,3 +116,18 @@ def test_apply_retention_nested(spark, tmp_root):
     out = LY.apply_retention(spark, land, None, "2026-05-17")
     assert sorted(out["raw"]) == ["source=a/date=2026-01-01", "source=b/date=2026-01-01"]
     assert sorted(os.listdir(os.path.join(land, "source=a"))) == ["date=2026-05-01"]
+
+
+def test_opaque_model_apply(spark):
+    import numpy as np
+    from tidewater.operators import serving as SV
+    w = np.array([2.0, -1.0])
+
+    class Model:                      # any object with a vectorised predict
+        def predict(self, x):
+            return x @ w + 0.5
+
+    m = Model()
+    df = spark.createDataFrame([(float(i), float(i % 3)) for i in range(50)], "a double, b double")
+    out = SV.predict_opaque(df, m.predict, ["a", "b"]).collect()
+    assert all(abs(r.prediction - (2 * r.a - r.b + 0.5)) < 1e-12 for r in out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,3 +87,15 @@ def predict_ml(df: DataFrame, model, features: list[str], out: str = "prediction
     v = VectorAssembler(inputCols=features, outputCol="__features").transform(df)
     m = model.copy({model.featuresCol: "__features"}) if hasattr(model, "featuresCol") else model
     return m.transform(v).withColumnRenamed(m.getPredictionCol(), out).drop("__features")
+
+
+def predict_opaque(df: DataFrame, predict_fn, features: list[str], out: str = "prediction") -> DataFrame:
+    """B28 for opaque models: ``predict_fn(ndarray[n, k]) -> ndarray[n]`` is
+    called on whole Arrow batches through a pandas UDF (vectorised; the model
+    object ships once per task with the function)."""
+    @F.pandas_udf("double")
+    def _score(batch: pd.DataFrame) -> pd.Series:
+        x = batch.to_numpy(dtype="float64")
+        return pd.Series(np.asarray(predict_fn(x), dtype="float64"))
+
+    return df.withColumn(out, _score(F.struct(*[F.col(c).cast("double") for c in features])))
