@@ -218,3 +218,12 @@ def test_processed_file_view(ingested):
     qn = processed_file(spark, t, processed_key=key)
     assert sorted(c for c in qn.columns if not c.startswith("ingest_")) == ["a", "b"]
     assert [(r.a, r.b) for r in qn.collect()] == [("x\ny", "2")]
+
+
+def test_record_key_colliding_with_table_column(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {"c.jsonl": (b'{"ingest_hash":"mine","x":"1"}\n', K.DONE, 1)})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    ingest_landing(spark, land, t, batch_id=1).collect()
+    r = read_processed(spark, t).first()
+    assert r["ingest_hash__data"] == "mine" and r["x"] == "1" and len(r["ingest_hash"]) == 64

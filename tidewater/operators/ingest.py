@@ -152,7 +152,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     # 4. parse what passed validation and has a parser
     meta = (todo.where(F.col("reason").isNull() & F.col("format").isin(*K.PARSEABLE_FORMATS))
             .select("file_id", "path", "format", "head", "bad_quote").collect())
-    recs, unreadable = _parse(spark, meta)
+    recs, unreadable = _parse(spark, meta, t.staging(batch_id, "ndjson_lines"))
     staged = _write_stage(recs, t.staging(batch_id, "records"))
     per_file = staged.groupBy("file_id").agg(
         F.count(F.when(~F.col("bad") & F.col("error").isNull(), 1)).cast("bigint").alias("n_records"),
@@ -218,7 +218,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
                     F.col("final_reason").alias("reason"), "n_records", "processed_key"))
 
 
-def _parse(spark: SparkSession, meta) -> tuple[DataFrame, list[str]]:
+def _parse(spark: SparkSession, meta, lines_stage: str) -> tuple[DataFrame, list[str]]:
     schema = "file_id string, record map<string,string>, bad boolean, error string"
     parts: list[DataFrame] = []
     csvs = [(r.file_id, r.path, r.head) for r in meta if r.format == "csv" and not r.bad_quote]
@@ -239,7 +239,9 @@ def _parse(spark: SparkSession, meta) -> tuple[DataFrame, list[str]]:
             parts.append(sp.select("file_id", "record", F.lit(False).alias("bad"), "error"))
     jsons = [(r.file_id, r.path) for r in meta if r.format == "ndjson"]
     if jsons:
-        lines = R.read_ndjson_lines(spark, [p for _, p in jsons])
+        # lines are parsed once and staged; which files need the slow path is
+        # then read off the staged flags instead of parsing the text again
+        lines = _write_stage(R.read_ndjson_lines(spark, [p for _, p in jsons]), lines_stage)
         slow = [row.file_id for row in
                 lines.groupBy("file_id").agg(F.bool_or("bad").alias("b")).where("b").collect()]
         slow_ids = spark.createDataFrame([(s,) for s in slow], "file_id string")
@@ -278,7 +280,8 @@ def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: I
     keys = sorted(r.k for r in found)
     if not keys:
         return
-    cols = [F.col("record").getItem(k).alias(k) for k in keys if k not in META_COLS]
+    # a record key equal to one of our own columns keeps its data as <key>__data
+    cols = [F.col("record").getItem(k).alias(k if k not in META_COLS else f"{k}__data") for k in keys]
     out = good.select(*cols,
                       F.col("content_hash").alias("ingest_hash"), F.col("path").alias("ingest_path"),
                       F.col("source").alias("ingest_source"),
