@@ -432,3 +432,40 @@ def q_ingest_stream(spark, sf):
     typed = FT.coerce(p.select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
     return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id",
                         "event_type", "value", "props")
+
+
+# --------------------------------------------------- A06 A07 A11 A19 A20 mixed
+@query("ingest_mixed", _EVENTS_SQL + """
+WHERE event_type <> 'error'""")
+def q_ingest_mixed(spark, sf):
+    """One landing area, one batch, every format: click/view events as CSV,
+    purchases as NDJSON, signups as Parquet, errors as .txt (unsupported →
+    quarantined). The processed table is the union of the parsed files;
+    re-typed it must equal the non-error events."""
+    prep(spark)
+    ev = table(spark, sf, "events")
+    root = scratch_path(spark, "landing-mixed")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    text_cols = [F.col("event_id").cast("string").alias("event_id"), F.date_format("ts", TS_US_FMT).alias("ts"),
+                 F.col("user_id").cast("string").alias("user_id"), "event_type",
+                 F.col("value").cast("string").alias("value"), "props"]
+
+    csv_part = ev.where(F.col("event_type").isin("click", "view"))
+    LD.write_landing(csv_part.select(*text_cols, F.col("event_type").alias("source"), day.alias("date"))
+                     .repartition("source", "date"), root, fmt="csv", options={"header": "true", "escape": '"'})
+    js = ev.where(F.col("event_type") == "purchase")
+    LD.write_landing(js.select(*text_cols[:4], F.col("value"), "props", F.col("event_type").alias("source"),
+                               day.alias("date")).repartition("source", "date"), root, fmt="json")
+    pq = ev.where(F.col("event_type") == "signup")
+    LD.write_landing(pq.select("*", F.col("event_type").alias("source"), day.alias("date"))
+                     .repartition("source", "date"), root, fmt="parquet")
+    tx = ev.where(F.col("event_type") == "error")
+    LD.write_landing(tx.select(F.to_json(F.struct(*text_cols)).alias("value"),
+                               F.col("event_type").alias("source"), day.alias("date"))
+                     .repartition("source", "date"), root, fmt="text")
+    t = IngestTables(scratch_path(spark, "state-mixed"))
+    ingest_landing(spark, root, t, batch_id=1)
+    p = read_processed(spark, t)
+    typed = FT.coerce(p.select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
+    return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id",
+                        "event_type", "value", "props")
