@@ -469,3 +469,29 @@ def q_ingest_mixed(spark, sf):
     typed = FT.coerce(p.select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
     return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id",
                         "event_type", "value", "props")
+
+
+# ------------------------------------------------------------ A02 → ingest
+@query("ingest_notified", _EVENTS_SQL)
+def q_ingest_notified(spark, sf):
+    """The reference's main path: every landed object is announced by an
+    object-store notification (keys URL-encoded, several records per
+    message); the decoded notifications drive the ingest."""
+    from ..operators.ingest import ingest_notifications
+    prep(spark)
+    land = _events_landing(spark, sf, "json")
+    listing = LD.read_landing(spark, land).select("key")          # metadata only
+    rec = F.struct(F.struct(
+        F.struct(F.lit("landing").alias("name")).alias("bucket"),
+        F.struct(F.url_encode("key").alias("key"), F.lit(0).cast("bigint").alias("size"),
+                 F.md5("key").alias("eTag")).alias("object")).alias("s3"))
+    # one message per landing folder (a source's files of one day)
+    msgs = (listing.groupBy(F.regexp_replace("key", "/[^/]*$", "").alias("m"))
+            .agg(F.collect_list(rec).alias("Records"))
+            .select(F.to_json(F.struct("Records")).alias("value")))
+    t = IngestTables(scratch_path(spark, "state-notified"))
+    ingest_notifications(spark, msgs, land, t, batch_id=1)
+    p = read_processed(spark, t)
+    typed = FT.coerce(p.select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
+    return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id",
+                        "event_type", "value", "props")
