@@ -140,12 +140,15 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
         cls = cls.drop(expected_hash, "actual_hash")
     cls = _write_stage(cls, t.staging(batch_id, "classified"))
 
-    # 2. idempotency against the manifest as it was before this batch
+    # 2. idempotency against the manifest as it was before this batch: the
+    # log is scanned once, for this batch's hashes only; both checks below
+    # work on that staged slice
     log = man.log().where(F.col("batch_id") != F.lit(batch_id))
-    todo = _write_stage(M.skip_known(cls, log), t.staging(batch_id, "todo"))
+    rel = _write_stage(M.relevant_log(log, cls), t.staging(batch_id, "manifest_slice"))
+    todo = _write_stage(M.skip_known(cls, rel), t.staging(batch_id, "todo"))
 
     # 3. pending (insert-if-absent) and processing
-    pend = M.insert_if_absent(todo, log, at, batch_id, seq=0)
+    pend = M.insert_if_absent(todo, rel, at, batch_id, seq=0)
     proc = M.log_rows(todo, K.PROCESSING, at, 1, batch_id)
     man.append(pend.unionByName(proc))
 
