@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions import naming as N
+from ..operators import features as FT
 from ..operators import lifecycle as L
 from ..operators import manifest as M
 from ..operators import store as S
+from ..operators.ingest import IngestTables, ingest_landing, read_processed
+from ..session import scratch_path
+from ..sources import landing as LD
 from ..sources import notifications as NT
 from ..sources.tables import table
-from .common import prep, ts_text, vfiles, vfiles_with_bytes
+from .common import TS_US_FMT, prep, ts_text, vfiles, vfiles_with_bytes
 from .oracle_sql import FIRST, VFILES, with_ctes
 from .registry import query
 
@@ -232,13 +236,6 @@ def q_part_manifest(spark, sf):
 
 
 # ------------------------------------------------------- A01 A08-A12 A20 (real files)
-import os as _os  # noqa: E402
-
-from ..operators import features as FT  # noqa: E402
-from ..operators.ingest import IngestTables, ingest_landing, read_processed  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import landing as LD  # noqa: E402
-from .common import TS_US_FMT  # noqa: E402
 
 EVENTS_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint",
                 "event_type": "string", "value": "double", "props": "string"}
