@@ -184,19 +184,33 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
                     "n_records", "n_parts", "parts", "base_key", "processed_key"),
         t.staging(batch_id, "verdict"))
 
+    # one small look at the verdict (a row per file of this trigger) decides
+    # the part size and which of the optional writes below are needed
+    summary = verdict.select("status", "path", "length", "n_records", "n_parts", "content_hash").collect()
+    done_rows = [r for r in summary if r.status == K.DONE]
+    rpp = N.records_per_chunk_py(sum(int(r.length or 0) for r in done_rows),
+                                 sum(int(r.n_records or 0) for r in done_rows))
+
     # 5. processed rows of the files that parsed (all-string, union of keys)
     ok = verdict.where(F.col("status") == K.DONE)
-    _write_processed(spark, staged, ok, t, batch_id)
+    if done_rows:
+        _write_processed(spark, staged, ok, t, batch_id, rpp)
 
     # 6. quarantine copies (bytes re-read only for these files)
-    _write_quarantine(spark, landed, verdict, t, batch_id, at)
+    quarantined = [r for r in summary if r.status == K.QUARANTINED]
+    if quarantined:
+        # oversized files were never loaded; their row keeps path, reason and size
+        paths = [r.path for r in quarantined
+                 if (r.length or 0) > 0 and not r.content_hash.startswith("oversize:")]
+        _write_quarantine(spark, paths, verdict, t, batch_id, at)
 
     # 7. parts manifests of multi-part files
-    multi = ok.where(F.col("n_parts") > 1).select(
-        F.col("base_key"), F.col("parts"), F.col("n_records").alias("record_count"),
-        at.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-    (multi.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").json(t.parts))
+    if any((r.n_parts or 0) > 1 for r in done_rows):
+        multi = ok.where(F.col("n_parts") > 1).select(
+            F.col("base_key"), F.col("parts"), F.col("n_records").alias("record_count"),
+            at.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        (multi.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").json(t.parts))
 
     # 8. terminal manifest rows
     term = verdict.select("content_hash", "path", "source", "status",
@@ -272,7 +286,7 @@ def _parse(spark: SparkSession, meta, lines_stage: str) -> tuple[DataFrame, list
 
 
 def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: IngestTables,
-                     batch_id: int) -> None:
+                     batch_id: int, rpp: int) -> None:
     good = staged.join(ok.select("file_id", "content_hash", "path", "source", "date", "length"),
                        "file_id")
     found = (good.select(F.explode(F.map_keys("record")).alias("k")).distinct()
@@ -290,8 +304,6 @@ def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: I
                       F.col("source").alias("ingest_source"),
                       F.coalesce("date", F.lit("unknown")).alias("ingest_date"),
                       F.lit(batch_id).cast("bigint").alias("ingest_batch"))
-    tot = ok.agg(F.sum("length").alias("b"), F.sum("n_records").alias("n")).first()
-    rpp = N.records_per_chunk_py(int(tot.b or 0), int(tot.n or 0))
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PART_COLS))
     if rpp and rpp > 0:
@@ -299,15 +311,12 @@ def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: I
     w.parquet(t.processed)
 
 
-def _write_quarantine(spark: SparkSession, landed: DataFrame, verdict: DataFrame,
+def _write_quarantine(spark: SparkSession, paths: list[str], verdict: DataFrame,
                       t: IngestTables, batch_id: int, at) -> None:
+    """Quarantined files with their bytes (re-read for ``paths`` only)."""
     q = verdict.where(F.col("status") == K.QUARANTINED).select(
         "file_id", "path", "content_hash", F.col("final_reason").alias("reason"), "length")
-    # bytes of oversized files are not copied (they were never loaded); the
-    # quarantine row keeps path, reason and size
-    paths = [r.path for r in q.where((F.col("length") > 0) & ~F.col("content_hash").startswith("oversize:"))
-             .select("path").collect()]
-    if paths:  # re-read only the quarantined files' bytes
+    if paths:
         body = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
                 .select(C.file_id().alias("file_id"), "content"))
     else:
