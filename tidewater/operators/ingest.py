@@ -219,7 +219,8 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
 
     # 9. processed-file events for files now done (D15: skip already published)
     from ..streaming import topics as TP
-    TP.publish(spark, ok, t, batch_id, at)
+    if done_rows:
+        TP.publish(spark, ok, t, batch_id, at)
 
     # 10. one outcome row per file for monitoring (B31), replay-safe by batch
     (verdict.select("file_id", "path", "source", "content_hash", "format", "status",
