@@ -1,11 +1,14 @@
-"""Status life cycle of a batch of classified files, as manifest log rows.
+"""Manifest history for the virtual files of the query catalog (test data).
 
-``batch_log`` is what one ingest batch appends for files whose outcome is
-already known (validation failure → quarantined, no parser → failed, parse
-result → done/failed). ``replayed_log`` builds a manifest history for the
-virtual files of the documents table: validation and format are real, the
-later parse outcome of files that passed is assigned from ``doc_id`` (the
-documents' prose is not CSV/JSON, so real parses would all fail).
+The manifest queries (current, lookup, stuck, top-k, recovery, metrics) need
+a log holding every status, in-flight and stuck files included. ``replayed_log``
+writes the transitions pending → processing → outcome for the documents
+table seen as landed files (SURVEY §2.5). The first-by-hash choice, the
+validation verdict (→ quarantined) and the missing-parser verdict
+(→ failed) come from the real operators. The outcome of the files that
+passed is assigned from ``doc_id``: the documents' prose is not CSV or
+JSON, so real parses would all fail and leave no done, stuck or pending
+files to query.
 """
 
 from __future__ import annotations
