@@ -18,11 +18,14 @@ _TS_TYPES = ("timestamp", "timestamp_ntz", "date")
 
 def coerce(df: DataFrame, target: dict[str, str], flag: str | None = "coerce_errors") -> DataFrame:
     """Cast text columns to a declared schema; a value that does not
-    cast becomes null and its column name is listed in ``flag``."""
-    out, errs = [], []
+    cast becomes null and its column name is listed in ``flag``.
+
+    Each cast is evaluated once (one projection keeps source and result);
+    the flags are derived from those results.
+    """
+    casts = []
     for c in df.columns:
         if c not in target:
-            out.append(F.col(f"`{c}`"))
             continue
         t = target[c]
         src = F.col(f"`{c}`")
@@ -34,12 +37,16 @@ def coerce(df: DataFrame, target: dict[str, str], flag: str | None = "coerce_err
                 v = v.cast("timestamp_ntz")
         else:
             v = src.try_cast(t)
-        out.append(v.alias(c))
-        errs.append(F.when(src.isNotNull() & v.isNull(), F.lit(c)))
-    if flag:
-        out.append(F.filter(F.array(*errs), lambda x: x.isNotNull()).alias(flag) if errs
-                   else F.array().cast("array<string>").alias(flag))
-    return df.select(*out)
+        casts.append((c, v))
+    if not flag:
+        done = dict(casts)
+        return df.select(*[done[c].alias(c) if c in done else F.col(f"`{c}`") for c in df.columns])
+    step = df.select("*", *[v.alias(f"__cast_{c}") for c, v in casts])
+    errs = F.array_compact(F.array(*[
+        F.when(F.col(f"`{c}`").isNotNull() & F.col(f"__cast_{c}").isNull(), F.lit(c)) for c, _ in casts]))
+    done = {c for c, _ in casts}
+    return step.select(*[F.col(f"__cast_{c}").alias(c) if c in done else F.col(f"`{c}`") for c in df.columns],
+                       (errs if casts else F.array().cast("array<string>")).alias(flag))
 
 
 # --------------------------------------------------------------------- B02
@@ -47,7 +54,7 @@ def check_rules(df: DataFrame, rules: dict[str, Column], reasons: str = "reasons
     """Evaluate named boolean rules; ``reasons`` lists the failed ones
     (a rule evaluating to null counts as failed)."""
     fails = [F.when(~F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]
-    return df.withColumn(reasons, F.filter(F.array(*fails), lambda x: x.isNotNull()))
+    return df.withColumn(reasons, F.array_compact(F.array(*fails)))
 
 
 def split_valid(checked: DataFrame, reasons: str = "reasons") -> tuple[DataFrame, DataFrame]:

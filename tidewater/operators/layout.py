@@ -43,7 +43,7 @@ def enforce_schema(df: DataFrame, target: dict[str, str], allow_new: bool = True
         cols.append(F.col(c).cast("string").alias(c))
         if not allow_new:
             errs.append(F.lit(f"unexpected column {c}"))
-    out = df.select(*cols, F.filter(F.array(*errs), lambda x: x.isNotNull()).alias(reasons))
+    out = df.select(*cols, F.array_compact(F.array(*errs)).alias(reasons))
     ok = F.size(reasons) == 0
     return out.where(ok).drop(reasons), out.where(~ok), added
 
