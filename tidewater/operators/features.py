@@ -209,7 +209,7 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 def tokenize(text: Column | str) -> Column:
     """Lowercase, split on runs of non-letters/digits, drop empties."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda x: x != F.lit(""))
+    return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT), "")
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens: str) -> DataFrame:
