@@ -121,11 +121,20 @@ def check(spark, sf_dir, names=None, verbose=True):
 
 
 if __name__ == "__main__":
-    from tidewater.session import build_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8,
-                          extra={"spark.driver.memory": "8g"})
-    res = check(spark, sf, sys.argv[2:] or None)
+    args = sys.argv[1:]
+    plain = "--plain" in args          # a bare session, as an outside driver would pass
+    args = [a for a in args if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.driver.memory", "8g").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from tidewater.session import build_session
+        spark = build_session("local[8]", shuffle_partitions=8,
+                              extra={"spark.driver.memory": "8g"})
+    res = check(spark, sf, args[1:] or None)
     bad = [k for k, v in res.items() if v[0] not in ("OK", "NO-ORACLE")]
     print("FAILED:", bad)
     spark.stop()
