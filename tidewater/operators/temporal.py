@@ -83,16 +83,25 @@ def rolling_rows(df: DataFrame, key: str, order: list[str], value: str | list[st
     agg = d.groupBy(key, c).agg(F.count(F.lit(1)).alias("__cnt"),
                                 *[F.sum(f"__v{i}").alias(f"__s{i}") for i in range(len(values))])
     wb = Window.partitionBy(key).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-    carry = agg.select(key, c, F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__ccnt"),
+    carry = agg.select(key, c, "__cnt", F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__ccnt"),
                        *[F.coalesce(F.sum(f"__s{i}").over(wb), F.lit(0.0)).alias(f"__csum{i}")
                          for i in range(len(values))])
     j = d.join(carry, [key, c], "left").withColumn("__idx", F.col("__ccnt") + F.col("__rn"))
     for i in range(len(values)):
         j = j.withColumn(f"__cum{i}", F.col(f"__csum{i}") + F.col(f"__run{i}"))
-    # the running sums of the row n places back: an equi-join on (key, index)
-    back = j.select(F.col(key).alias("__k2"), (F.col("__idx") + n).alias("__idx2"),
-                    *[F.col(f"__cum{i}").alias(f"__back{i}") for i in range(len(values))])
-    j = j.join(back, (j[key] == back["__k2"]) & (j["__idx"] == back["__idx2"]), "left")
+    # the running sums of the row n places back: inside the chunk a lag; for
+    # the first n rows of a chunk, that row is among the last n rows of an
+    # earlier chunk, so only those chunk tails are joined (on the unique
+    # (key, index)) — a small table, never the whole input twice
+    wl = Window.partitionBy(key, c).orderBy(*order)
+    for i in range(len(values)):
+        j = j.withColumn(f"__lag{i}", F.lag(f"__cum{i}", n).over(wl))
+    tail = j.where(F.col("__rn") > F.col("__cnt") - n).select(
+        F.col(key).alias("__k2"), (F.col("__idx") + n).alias("__idx2"),
+        *[F.col(f"__cum{i}").alias(f"__back{i}") for i in range(len(values))])
+    j = j.join(tail, (j[key] == tail["__k2"]) & (j["__idx"] == tail["__idx2"]) & (j["__rn"] <= n), "left")
+    for i in range(len(values)):
+        j = j.withColumn(f"__back{i}", F.when(F.col("__rn") > n, F.col(f"__lag{i}")).otherwise(F.col(f"__back{i}")))
     cnt = F.least(F.col("__idx"), F.lit(n))
     j = j.withColumn(f"{prefix}{n}_count", cnt.cast("bigint"))
     for i, v in enumerate(values):
