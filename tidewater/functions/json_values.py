@@ -36,10 +36,6 @@ def _wrapped(line: Column, nonce: str | None = None) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"'), _sentinel(line, nonce), F.lit('"]')))
 
 
-def value_type(line: Column) -> Column:
-    return F.schema_of_variant(F.try_variant_get(_wrapped(line), "$[0]", "variant"))
-
-
 def strict_object_line(line: Column, nonce: str | None = None) -> Column:
     """True iff the line is exactly one JSON object or ``null`` (never null).
 

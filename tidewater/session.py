@@ -6,7 +6,6 @@ a local directory is only created when that setting is unset (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,16 +87,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def to_local(path: str) -> str:
-    """Strip a ``file:`` scheme (only used by tests that poke at files)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
