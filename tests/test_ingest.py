@@ -246,3 +246,12 @@ def test_multi_part_file(spark, tmp_root, monkeypatch):
         2)]
     files = read_processed(spark, t).select(F.input_file_name()).distinct().count()
     assert files >= 2                 # maxRecordsPerFile = rows per part
+
+
+def test_ingest_selected_dates(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {"a.csv": (b"a\n1\n", K.DONE, 1)}, date="2026-05-16")
+    FX.write_cases(land, {"b.csv": (b"b\n2\n", K.DONE, 1)}, date="2026-05-17")
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    res = ingest_landing(spark, land, t, batch_id=1, dates=["2026-05-17"]).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in res] == ["b.csv"]

@@ -332,11 +332,17 @@ def _write_quarantine(spark: SparkSession, paths: list[str], verdict: DataFrame,
 
 def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int = 0,
                    now: _dt.datetime | None = None, include_empty: bool = True,
-                   max_bytes: int = K.MAX_FILE_SIZE) -> DataFrame:
-    """Batch form of the pipeline over everything under ``landing_root``."""
-    landed = LD.read_landing(spark, landing_root)
+                   max_bytes: int = K.MAX_FILE_SIZE, dates: list[str] | None = None) -> DataFrame:
+    """Batch form of the pipeline: everything under ``landing_root`` (or only
+    its ``date=`` folders in ``dates``) as one batch.
+
+    One batch means one file list on the driver; for a large backlog use
+    ``streaming.ingest.run_ingest_stream(available_now=True)``, which takes
+    it in triggers of ``max_files_per_trigger`` files.
+    """
+    landed = LD.read_landing(spark, landing_root, dates=dates)
     if include_empty:
-        landed = landed.unionByName(LD.empty_files(spark, landing_root))
+        landed = landed.unionByName(LD.empty_files(spark, landing_root, dates=dates))
     return ingest_batch(spark, landed, t, batch_id, now, max_bytes)
 
 

@@ -42,13 +42,16 @@ def _shape(df: DataFrame) -> DataFrame:
     )
 
 
-def read_landing(spark: SparkSession, root: str, path_filter: str | None = None) -> DataFrame:
-    """A01 batch: one row per non-empty landed file."""
+def read_landing(spark: SparkSession, root: str, path_filter: str | None = None,
+                 dates: list[str] | None = None) -> DataFrame:
+    """A01 batch: one row per non-empty landed file (optionally only the
+    ``date=`` folders in ``dates``)."""
     configure(spark)
     r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root)
     if path_filter:
         r = r.option("pathGlobFilter", path_filter)
-    return _shape(r.load(root))
+    target = root if not dates else f"{root.rstrip('/')}/source=*/date={{{','.join(dates)}}}"
+    return _shape(r.load(target))
 
 
 def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int = 1000,
