@@ -140,3 +140,14 @@ def test_notification_stream(spark, tmp_root):
     ).write.mode("append").parquet(msgs)
     SI.run_notification_stream(spark, msgs, land, t, os.path.join(tmp_root, "ck"))
     assert _statuses(spark, t)["upper.CSV"] == K.QUARANTINED
+
+
+def test_staging_is_purged(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {f"f{i}.csv": (f"a\n{i}\n".encode(), K.DONE, 1) for i in range(6)})
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    SI.run_ingest_stream(spark, land, t, os.path.join(tmp_root, "ck"), max_files_per_trigger=1,
+                         keep_staging=2)
+    left = sorted(os.listdir(os.path.join(tmp_root, "state", "staging")))
+    assert left == ["batch=4", "batch=5"]
+    assert len(_statuses(spark, t)) == 6

@@ -114,6 +114,29 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None,
     return out.withColumn("reason", reason)
 
 
+def purge_staging(spark: SparkSession, t: IngestTables, current_batch: int, keep: int = 5) -> list[int]:
+    """Delete staging folders of batches older than the last ``keep`` (a
+    replay only ever needs the current batch's stages). File-system metadata
+    calls only; returns the purged batch ids."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{t.root}/staging")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    if not fs.exists(root):
+        return gone
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch="):
+            try:
+                b = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if 0 <= b <= current_batch - keep:
+                fs.delete(st.getPath(), True)
+                gone.append(b)
+    return sorted(gone)
+
+
 def _write_stage(df: DataFrame, path: str) -> DataFrame:
     """Materialise a stage under the state root (cuts lineage; a replayed
     batch overwrites its own stage) and continue from the written table."""

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ingest import IngestTables, ingest_batch
+from ..operators.ingest import IngestTables, ingest_batch, purge_staging
 from ..sources import landing as LD
 
 
@@ -28,7 +28,8 @@ def merge_streams(streams: list[DataFrame], out_path: str, checkpoint: str,
 
 def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, checkpoint: str,
                       max_files_per_trigger: int = 1000, available_now: bool = True,
-                      sweep_empty: bool = True, archive_dir: str | None = None):
+                      sweep_empty: bool = True, archive_dir: str | None = None,
+                      keep_staging: int = 5):
     """A01 + A07-A23 as a stream: every micro-batch of newly landed files is
     one ``ingest_batch`` keyed by the batch id (replays converge). Zero-length
     files never come out of the binaryFile stream (D19), so each trigger also
@@ -46,6 +47,7 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
             landed = landed.unionByName(empties)
         ingest_batch(spark, landed, t, int(batch_id),
                      _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        purge_staging(spark, t, int(batch_id), keep_staging)
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")).start()
