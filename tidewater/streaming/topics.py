@@ -83,13 +83,20 @@ def kafka_options(bootstrap: str, topic: str = K.PROCESSED_TOPIC) -> dict:
 
 
 def consume(spark: SparkSession, topic_path: str, out_path: str, dead_letter_path: str,
-            checkpoint: str, available_now: bool = True):
-    """Stream the topic; decoded events → ``out_path`` once per content
-    hash (handler effect idempotent), undecodable values → dead letter.
+            checkpoint: str, available_now: bool = True, kafka: dict | None = None):
+    """Stream the topic (the file-backed table, or a Kafka topic when
+    ``kafka`` options are given); decoded events → ``out_path`` once per
+    content hash (handler effect idempotent), undecodable values → dead letter.
 
     Offsets live in the checkpoint and advance only after the batch's writes
     succeed (at-least-once delivery, exactly-once effect)."""
-    stream = spark.readStream.schema(TOPIC_SCHEMA).parquet(topic_path)
+    if kafka:   # a real broker (needs the spark-sql-kafka package; untested here)
+        stream = (spark.readStream.format("kafka").options(**kafka)
+                  .option("subscribe", kafka.get("subscribe", K.PROCESSED_TOPIC)).load()
+                  .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                          "timestamp", "partition"))
+    else:
+        stream = spark.readStream.schema(TOPIC_SCHEMA).parquet(topic_path)
 
     def handle(df: DataFrame, batch_id: int) -> None:
         d = decode_events(df)
