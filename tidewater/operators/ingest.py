@@ -167,7 +167,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     # log is scanned once, for this batch's hashes only; both checks below
     # work on that staged slice
     log = man.log().where(F.col("batch_id") != F.lit(batch_id))
-    rel = _write_stage(M.relevant_log(log, cls), t.staging(batch_id, "manifest_slice"))
+    rel = _write_stage(M.relevant_log_two_phase(log, cls), t.staging(batch_id, "manifest_slice"))
     todo = _write_stage(M.skip_known(cls, rel), t.staging(batch_id, "todo"))
 
     # 3. pending (insert-if-absent) and processing
