@@ -271,7 +271,7 @@ def _parse(spark: SparkSession, meta, lines_stage: str) -> tuple[DataFrame, list
         ranked = sorted(by_head.values(), key=len, reverse=True)
         native = [f for g in ranked[:R.MAX_CSV_GROUPS] for f in g]
         tail = [f for g in ranked[R.MAX_CSV_GROUPS:] for f in g]
-        d, _ = R.read_csv(spark, native)
+        d = R.read_csv(spark, native)
         parts.append(d.withColumn("error", F.lit(None).cast("string")))
         if tail:
             raw = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([p for _, p, _ in tail])

@@ -74,7 +74,7 @@ def _union(dfs: list[DataFrame], spark: SparkSession, schema: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- CSV
-def read_csv(spark: SparkSession, files: list[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
+def read_csv(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFrame:
     """A08. ``files`` = [(file_id, path, header_line)].
 
     One native multi-line CSV read per distinct header (D20), with a
@@ -101,8 +101,7 @@ def read_csv(spark: SparkSession, files: list[tuple[str, str, str]]) -> tuple[Da
         recs.append(df.select(C.file_id().alias("file_id"),
                               rec.alias("record"),
                               F.col("_corrupt").isNotNull().alias("bad")))
-    allr = _union(recs, spark, RECORDS_SCHEMA + ", bad boolean")
-    return allr, None
+    return _union(recs, spark, RECORDS_SCHEMA + ", bad boolean")
 
 
 MAX_CSV_GROUPS = 64  # native reads per batch; files of further headers parse per file
