@@ -48,3 +48,10 @@ def test_topic_retention(spark, tmp_root):
     gone = TP.expire_topic(spark, topic, "files.processed", now_ms)       # keeps 30 days
     assert sorted(gone) == ["day=2026-01-01", "day=2026-03-01"]
     assert [r.key for r in spark.read.schema(TP.TOPIC_SCHEMA).parquet(topic).collect()] == ["h2"]
+
+
+def test_kafka_sink_needs_connector(spark):
+    import pytest
+    msgs = spark.createDataFrame([("k", "v", dt.datetime(2026, 5, 17))], "key string, value string, timestamp timestamp")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        TP.publish_kafka(msgs, "localhost:9092")

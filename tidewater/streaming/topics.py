@@ -137,6 +137,7 @@ def publish_kafka(msgs: DataFrame, bootstrap: str, topic: str = K.PROCESSED_TOPI
         (msgs.select("key", "value", "timestamp").write.format("kafka")
          .options(**kafka_options(bootstrap, topic)).save())
     except Exception as e:  # noqa: BLE001
-        if "kafka" in str(e).lower() and ("not found" in str(e).lower() or "DATA_SOURCE" in str(e)):
+        msg = str(e).lower()
+        if "kafka" in msg and ("find data source" in msg or "not found" in msg or "data_source" in msg):
             raise RuntimeError("Kafka sink unavailable: add the spark-sql-kafka package") from e
         raise
