@@ -131,3 +131,16 @@ def test_opaque_model_apply(spark):
     df = spark.createDataFrame([(float(i), float(i % 3)) for i in range(50)], "a double, b double")
     out = SV.predict_opaque(df, m.predict, ["a", "b"]).collect()
     assert all(abs(r.prediction - (2 * r.a - r.b + 0.5)) < 1e-12 for r in out)
+
+
+def test_partitioned_layout_prunes(spark, tmp_root):
+    df = spark.createDataFrame([(i, f"2024-01-{1 + i % 3:02d}", "s" if i % 2 else "t") for i in range(30)],
+                               "id int, date string, source string")
+    path = os.path.join(tmp_root, "t")
+    LY.write_partitioned(df, path)
+    q = spark.read.parquet(path).where("date = '2024-01-02'")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-02" in plan
+    assert q.count() == 10
+    # date is the first folder level, source the second
+    assert all(d.startswith("date=") for d in os.listdir(path) if not d.startswith((".", "_")))
