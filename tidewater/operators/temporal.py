@@ -108,7 +108,7 @@ def rolling_rows(df: DataFrame, key: str, order: list[str], value: str | list[st
         tag = f"{prefix}{n}" if len(values) == 1 else f"{prefix}{n}_{v}"
         s = F.col(f"__cum{i}") - F.coalesce(F.col(f"__back{i}"), F.lit(0.0))
         j = j.withColumn(f"{tag}_sum", s).withColumn(f"{tag}_avg", s / cnt)
-    helpers = [x for x in j.columns if x.startswith("__")]
+    helpers = [x for x in j.columns if x not in df.columns and x.startswith("__")]
     return j.drop(*helpers)
 
 
