@@ -255,3 +255,10 @@ def test_ingest_selected_dates(spark, tmp_root):
     t = IngestTables(os.path.join(tmp_root, "state"))
     res = ingest_landing(spark, land, t, batch_id=1, dates=["2026-05-17"]).collect()
     assert [r.path.rsplit("/", 1)[1] for r in res] == ["b.csv"]
+
+
+def test_ingest_dates_without_folders(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing")
+    FX.write_cases(land, {"a.csv": (b"a\n1\n", K.DONE, 1)}, date="2026-05-16")
+    t = IngestTables(os.path.join(tmp_root, "state"))
+    assert ingest_landing(spark, land, t, batch_id=1, dates=["2030-01-01"]).collect() == []

@@ -26,6 +26,10 @@ BINARY_SCHEMA = T.StructType([
 ])
 
 
+LANDED_SCHEMA = ("file_id string, path string, key string, modificationTime timestamp, length bigint, "
+                 "content binary, source string, date string")
+
+
 def _shape(df: DataFrame) -> DataFrame:
     """Common landing columns: file_id is Spark's encoded file URI (the same
     form every file reader reports in ``_metadata.file_path``)."""
@@ -51,7 +55,13 @@ def read_landing(spark: SparkSession, root: str, path_filter: str | None = None,
     if path_filter:
         r = r.option("pathGlobFilter", path_filter)
     target = root if not dates else f"{root.rstrip('/')}/source=*/date={{{','.join(dates)}}}"
-    return _shape(r.load(target))
+    try:
+        return _shape(r.load(target))
+    except Exception as e:  # noqa: BLE001
+        if dates and ("PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)):
+            # no folder for these dates: an empty batch, not an error
+            return spark.createDataFrame([], LANDED_SCHEMA)
+        raise
 
 
 def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int = 1000,
