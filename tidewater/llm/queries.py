@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import neighbours, sharding
+from . import decontaminate, neighbours, sharding, simhash, substrings
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op3_decontamination": decontaminate.op3_decontamination,
+    "op4_simhash": simhash.op4_simhash,
+    "op7_substrings": substrings.op7_substrings,
     "op9_nearest": neighbours.op9_nearest,
 }
 
 ORACLES = {
+    "op3_decontamination": decontaminate.OP3_SQL,
+    "op7_substrings": substrings.OP7_SQL,
     "op9_nearest": neighbours.OP9_SQL,
 }
