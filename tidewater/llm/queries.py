@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, neighbours, sharding, simhash, substrings
+from . import bpe, decontaminate, neighbours, sharding, simhash, substrings, token_store
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
+    "op5_token_store": token_store.op5_token_store,
+    "op6_bpe": bpe.op6_bpe,
     "op7_substrings": substrings.op7_substrings,
     "op9_nearest": neighbours.op9_nearest,
 }
