@@ -25,7 +25,9 @@ def class_table(breaks: bytes) -> np.ndarray:
 
 class Words:
     """Word positions in a column: byte ``start`` and ``end`` in ``buf``, and
-    ``first``, the index of each text's first word (with the total at its end)."""
+    ``first``, the index of each text's first word (with the total at its end).
+
+    A word is a longest run of bytes of one class other than 0."""
 
     def __init__(self, column, is_word: np.ndarray, lower: bool = False):
         import pyarrow as pa
@@ -44,13 +46,14 @@ class Words:
             upper = (self.buf >= 65) & (self.buf <= 90)
             self.buf[upper] += 32
         word = is_word[self.buf]
-        begins, stops = word.copy(), word.copy()
-        begins[1:] &= ~word[:-1]
-        stops[:-1] &= ~word[1:]
+        begins, stops = word != 0, word != 0
+        change = word[1:] != word[:-1]
+        begins[1:] &= change
+        stops[:-1] &= change
         inner = self.off[:-1][self.off[:-1] < size]
-        begins[inner] = word[inner]
+        begins[inner] = word[inner] != 0
         inner = self.off[1:][self.off[1:] > 0] - 1
-        stops[inner] = word[inner]
+        stops[inner] = word[inner] != 0
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(stops) + 1
         self.first = np.searchsorted(self.start, self.off)
@@ -77,6 +80,17 @@ class Words:
             pos, left = pos[more] + 8, left[more] - 8
         return h
 
+    def prefix_hashes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first ``size`` (at most 8) bytes of the words longer
+        than that, and which words these are."""
+        at = np.ndarray((len(self.buf) + 1,), "<u8", self._padded, strides=(1,))
+        which = np.flatnonzero(self.end - self.start > size)
+        h = (at[self.start[which]] & np.uint64((1 << 8 * size) - 1)) + np.uint64(size)
+        for m, shift in ((M1, 29), (M2, 32), (M1, 30)):
+            h *= np.uint64(m)
+            h ^= h >> np.uint64(shift)
+        return h, which
+
     def room(self) -> np.ndarray:
         """For each word, how many words of its text begin at it or after it."""
         counts = np.diff(self.first)
