@@ -2,7 +2,8 @@
 
 Tokens are words and beginnings of words (``PREFIXES`` bytes), which also catch
 a stem with endings never seen before. A word stands for itself if it has a
-weight, else for its longest beginning that has one.
+weight, else for its longest beginning that has one; it counts where it first
+comes in a document.
 
 Learning. Tokens of labelled documents are counted by class, once a document.
 Those that lean most to the toxic side are counted again over the whole corpus,
@@ -21,7 +22,7 @@ value law, P(S >= x) = 1 - exp(-K n exp(-lambda x)). lambda solves
 sum p(w) exp(lambda s(w)) = 1 over the corpus, K is fitted on clean labelled
 documents. A segment is significant if E, its expected number of equals in a
 clean text of that length, is at most ``MOST_E``. The document's evidence is the
-sum of -ln(E / MOST_E) over its significant segments, and a logistic curve
+sum of -ln(E / MOST_E) over its significant segments, up to ``MOST_EVIDENCE``, and a logistic curve
 fitted on the labelled documents turns it into a probability.
 
 Null, empty and wordless texts have no segment, and get the curve's value at
@@ -49,10 +50,11 @@ WEIGHTED = 20_000         # tokens that may get a weight, at most
 PREFIXES = (4, 5, 6, 7, 8)
 PRIOR = 0.05              # mass of the Dirichlet prior, as a share of the tokens counted
 LEAST_Z = 3.0
-LEAST_WEIGHT = 1.0        # log-odds below this never start a passage
+LEAST_WEIGHT = 1.5        # log-odds below this never start a passage
 COST = 0.2                # least cost of a word without weight
 MOST_E = 1.0
-MOST_EVIDENCE = 60.0      # of one segment
+TAIL = 0.05               # share of clean documents that K is fitted to
+MOST_EVIDENCE = 20.0      # of a document: beyond this the curve is flat
 TABLE_BITS = 20
 
 
@@ -165,6 +167,12 @@ class Model:
         if "table" not in self.__dict__:
             self.table = _Table(self.hashes, self.weights)
         at, weight = self.table.weigh(found)
+        # a word counts where it comes first in its text, as in learning
+        doc = np.searchsorted(w.first, at, side="right")
+        order = np.lexsort((at, found[0][0][at], doc))
+        same = (np.diff(doc[order]) == 0) & (np.diff(found[0][0][at][order]) == 0)
+        first = np.sort(order[np.concatenate(([True], ~same))]) if len(at) else order
+        at, weight = at[first], weight[first]
         cut = np.searchsorted(at, w.first)
         for d, n in enumerate(np.diff(w.first).tolist()):
             a, b = cut[d], cut[d + 1]
@@ -178,7 +186,7 @@ class Model:
     @staticmethod
     def evidence(segments: list[tuple]) -> float:
         limit = math.log(MOST_E)
-        return sum(min(limit - s[3], MOST_EVIDENCE) for s in segments if s[3] <= limit)
+        return min(sum(limit - s[3] for s in segments if s[3] <= limit), MOST_EVIDENCE)
 
 
 def _solve_lambda(p: np.ndarray, s: np.ndarray, cost: float) -> float:
@@ -279,10 +287,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     # the labelled documents once more: K from the clean ones, the curve from all
     found = _scored(lessons, model, ("sample_label",)).select("sample_label", "n_words", "best", "evidence").collect()
     at_zero = [(r["n_words"], r["best"]) for r in found if r["sample_label"] == 0 and r["n_words"]]
-    # K so that as many clean documents pass one typical weight as the law says
-    x = float(np.median(weight)) * 0.9 if len(weight) else 1.0
-    passed = sum(b >= x for _, b in at_zero) + 0.5
-    model.k = max(1e-6, min(1.0, passed / max(1.0, sum(n for n, _ in at_zero)) * math.exp(min(lam * x, 600))))
+    # K so that TAIL of the clean documents have a best segment with E at most TAIL
+    e = sorted(math.log(n) - lam * b for n, b in at_zero)
+    if e:
+        model.k = min(1.0, math.exp(math.log(TAIL) - e[int(TAIL * len(e))]))
     # evidence again with the fitted K: a shift of ln K, so from the segments themselves
     again = _scored(lessons, model, ("sample_label",)).select("sample_label", "evidence").collect()
     model.curve = logistic(np.array([r["evidence"] for r in again]), np.array([float(r["sample_label"]) for r in again]))
