@@ -7,8 +7,8 @@ comes in a document.
 
 Learning. Tokens of labelled documents are counted by class, once a document.
 Those that lean most to the toxic side are counted again over the whole corpus,
-which gives the Dirichlet prior: a token's prior mass is its share of the
-corpus. Its weight is the difference of its log-odds in the two classes under
+which gives the Dirichlet prior: a token's prior mass follows its share of the
+corpus's documents. Its weight is the difference of its log-odds in the two classes under
 that prior, kept if it is ``LEAST_Z`` standard errors above zero. Every other
 word costs ``cost``, large enough that clean text falls on average.
 
@@ -252,28 +252,29 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
         import pyarrow as pa
         keys = np.frombuffer(held.value, np.uint64)
         table = _Table(keys, np.arange(len(keys), dtype=float))
-        seen, words = np.zeros(len(keys), np.int64), 0
+        seen, rows = np.zeros(len(keys), np.int64), 0
         for whole in batches:
             for b in slices(whole, "text"):
                 w, found = tokens(b, "text")
-                words += len(w.start)
-                for h, _ in found:
-                    _, place = table.find(h)
-                    seen += np.bincount(table.weights[place].astype(np.int64), minlength=len(keys))
+                rows += b.num_rows
+                doc = np.repeat(np.arange(b.num_rows), np.diff(w.first))
+                for h, which in found:
+                    at, place = table.find(h)
+                    once = np.unique(table.weights[place].astype(np.int64) * b.num_rows + doc[which[at]])
+                    seen += np.bincount(once // b.num_rows, minlength=len(keys))
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], words))], names=["k", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], rows))], names=["k", "n"])
 
     everywhere = np.zeros(len(hashes))
-    words = 1
+    corpus_rows = 1
     for r in body.select("text").mapInArrow(corpus, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         if r["k"] < 0:
-            words = max(1, r["n"])
+            corpus_rows = max(1, r["n"])
         else:
             everywhere[r["k"]] = r["n"]
 
-    share = (everywhere + 0.5) / words
     mass = PRIOR * (n_toxic + n_clean)
-    prior = mass * share
+    prior = PRIOR * (bad + good) * (everywhere + 0.5) / corpus_rows
     odds = lambda y, n: np.log((y + prior) / np.maximum(n + mass - y - prior, 1e-9))
     weight = odds(toxic, n_toxic) - odds(clean, n_clean)
     z = weight / np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
