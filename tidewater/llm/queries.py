@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, neighbours, sharding, simhash, substrings, token_store
+from . import bpe, decontaminate, neighbours, quality, sharding, simhash, substrings, token_store, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_simhash": simhash.op4_simhash,
     "op5_token_store": token_store.op5_token_store,
     "op6_bpe": bpe.op6_bpe,
     "op7_substrings": substrings.op7_substrings,
+    "op8_quality": quality.op8_quality,
     "op9_nearest": neighbours.op9_nearest,
 }
 
