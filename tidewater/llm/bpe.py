@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, per_worker, utf8
+from .common import load, per_worker, slices, utf8
 
 KEPT = 400_000            # entries in each table of a worker: about 100 MB
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f")    # white space to Python, not to the pattern
@@ -235,10 +235,10 @@ def _mapped(docs: DataFrame, ranks: dict, pattern: str, text: str, made: list[tu
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         coder = per_worker(name, lambda: TextCoder(Encoder(held.value), pattern, shown))
-        for b in batches:
-            rows = [whole(coder.parts(t.decode())) for t in utf8(b.column(len(rest)))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], *[pa.array(c, t) for c, t in zip(zip(*rows), types)]]
-                                             if rows else [pa.array([], f.type) for f in b.schema][:len(rest)] + [pa.array([], t) for t in types], names=names)
+        for given in batches:
+            for b in slices(given, "__text", 2 << 20):
+                rows = [whole(coder.parts(t.decode())) for t in utf8(b.column("__text"))]
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], names=names)
     return docs.select(*[f"`{c}`" for c in rest], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
 
 
@@ -252,6 +252,17 @@ def _digests(parts: list) -> tuple[int, str, str]:
     return sum(n), hashlib.sha256(b" ".join(ids)).hexdigest(), hashlib.sha256(b"".join(text)).hexdigest()
 
 
+def encode_and_check(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
+    """ids, n_tokens and decoded_sha256 (of the bytes the ids decode to) in place of the text."""
+    def shown(encoder: Encoder, found: list[int]) -> tuple[list[int], bytes]:
+        return found, encoder.decode(found)
+
+    def whole(parts: list) -> tuple[list[int], int, str]:
+        made = [r for ids, _ in parts for r in ids]
+        return made, len(made), hashlib.sha256(b"".join(x for _, x in parts)).hexdigest()
+    return _mapped(docs, ranks, pattern, text, [("ids", "array<int>"), ("n_tokens", "long"), ("decoded_sha256", "string")], shown, whole)
+
+
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
     """n_tokens, ids_sha256, decoded_sha256 in place of the text."""
     return _mapped(docs, ranks, pattern, text, [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")],

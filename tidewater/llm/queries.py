@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, neighbours, quality, sharding, simhash, substrings, token_store, toxicity
+from . import bpe, decontaminate, lines, neighbours, quality, sharding, simhash, substrings, token_store, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_substrings": substrings.op7_substrings,
     "op8_quality": quality.op8_quality,
     "op9_nearest": neighbours.op9_nearest,
+    "op10_lines": lines.op10_lines,
 }
 
 ORACLES = {

@@ -114,10 +114,10 @@ def sorted_groups(batches: Iterator, columns: list[str], rows: int) -> Iterator[
         yield [np.concatenate(x) for x in zip(*held)]
 
 
-def linked(nodes: DataFrame, tile: int = TILE) -> DataFrame:
-    """Links (a, b) that connect the distinct fingerprints ``fp`` of ``nodes``
-    whose distance is at most 3: enough for the components, not all pairs."""
-    keyed = nodes.select("fp", F.explode(F.expr(_keys("fp"))).alias("key"))
+def linked_in_keys(keyed: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+    """Links (a, b) that connect the fingerprints ``fp`` that share a ``key``
+    and are at most ``radius`` bits apart: enough for the components, not all
+    pairs. ``keyed`` has fp and key (longs)."""
     crowded = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile)
                .select("key", F.ceil(F.col("n") / tile).cast("int").alias("cuts")))
     own = F.pmod(F.xxhash64("fp"), F.coalesce("cuts", F.lit(1))).cast("int")
@@ -128,15 +128,20 @@ def linked(nodes: DataFrame, tile: int = TILE) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for keys, fp in sorted_groups(batches, ["tile", "fp"], ROWS):
-            i, j = link(keys, fp.view(np.uint64), 3)
+            i, j = link(keys, fp.view(np.uint64), radius)
             yield pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j])], names=["a", "b"])
 
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a tile hash shared by two tiles only adds comparisons
     return (tiles.repartition(parts, "tile").sortWithinPartitions("tile").select("tile", "fp")
             .mapInArrow(run, "a long, b long"))
 
 
+def linked(nodes: DataFrame) -> DataFrame:
+    """Links that connect the distinct fingerprints ``fp`` of ``nodes`` at most 3 bits apart."""
+    return linked_in_keys(nodes.select("fp", F.explode(F.expr(_keys("fp"))).alias("key")), 3)
+
+
 def group_near_copies(docs: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc_id",
                       keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the ``keep`` columns, fp (signed long), component_id: one row

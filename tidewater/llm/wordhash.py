@@ -123,3 +123,15 @@ def window_hashes(h: np.ndarray, length: int, base: int = BASES[0]) -> np.ndarra
     w *= np.uint64(M1)
     w ^= w >> np.uint64(29)
     return w
+
+
+def range_hashes(h: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int = BASES[1]) -> np.ndarray:
+    """The hash of each run of entries [begin, end) of ``h``, lengths included."""
+    up, down = _power(base, max(1, len(h)))
+    run = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * up[:len(h)], out=run[1:])
+    w = (run[end] - run[begin]) * down[begin] + (end - begin).astype(np.uint64)
+    for m, shift in ((M1, 31), (M2, 29)):
+        w ^= w >> np.uint64(shift)
+        w *= np.uint64(m)
+    return w ^ (w >> np.uint64(32))
