@@ -153,7 +153,7 @@ def find_splitters(rows: DataFrame, targets: list[tuple[float, int]], tolerance:
     return found
 
 
-def _number_below(splitters: list[tuple[int, int]]) -> Column:
+def _number_below(splitters: list[tuple[int, int]], hash_col: str = "h", id_col: str = "d") -> Column:
     """How many splitters are at or below a row's key: a balanced tree of
     comparisons, so a row costs log2 of their number."""
     def tree(lo: int, hi: int) -> Column:
@@ -161,7 +161,7 @@ def _number_below(splitters: list[tuple[int, int]]) -> Column:
             return F.lit(lo)
         mid = (lo + hi) // 2
         h, d = splitters[mid]
-        low = (F.col("h") < h) | ((F.col("h") == h) & (F.col("d") < F.lit(d)))
+        low = (F.col(hash_col) < h) | ((F.col(hash_col) == h) & (F.col(id_col) < F.lit(d)))
         return F.when(low, tree(lo, mid)).otherwise(tree(mid + 1, hi))
     return tree(0, len(splitters))
 
@@ -205,18 +205,16 @@ def assign_shards(docs: DataFrame, shards: int, tolerance: float = 0.0, text: st
 
 def write_shards(docs: DataFrame, path: str, shards: int, tolerance: float = 0.0, text: str = "text",
                  doc_id: str = "doc_id", max_rows_per_file: int = 1_000_000) -> None:
-    """Write ``docs`` to ``path`` with one folder for each shard."""
+    """Write ``docs`` to ``path`` with one folder for each shard, ``shard=N``
+    (``shard_`` if the input has a column of that name)."""
     rows = materialise(_keyed(docs, text, doc_id), "shards")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     keys = sorted(find_splitters(rows, [(total * k / shards, 0) for k in range(1, shards)], tolerance)) if total else []
     body = F.coalesce(F.col(text), F.lit(""))
     h, d, shard = unused(docs, "h", "d", "shard")
-    out = docs.withColumns({"h": F.shiftrightunsigned(F.xxhash64(body), 64 - HASH_BITS),
-                            "d": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))}) \
-        if (h, d) == ("h", "d") else None
-    if out is None:
-        raise ValueError("columns h and d are used by the sort; rename those of the input")
-    (out.withColumn(shard, _number_below(keys)).drop("h", "d").hint("rebalance", shard)
+    keyed = docs.withColumns({h: F.shiftrightunsigned(F.xxhash64(body), 64 - HASH_BITS),
+                              d: F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))})
+    (keyed.withColumn(shard, _number_below(keys, h, d)).drop(h, d).hint("rebalance", F.col(shard))
      .write.option("maxRecordsPerFile", max_rows_per_file).partitionBy(shard).parquet(path))
 
 
