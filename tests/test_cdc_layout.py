@@ -44,7 +44,7 @@ def test_retention_drop_and_compaction(spark, tmp_root):
     df = spark.createDataFrame([(i, f"2024-01-{1 + i % 5:02d}", "s") for i in range(100)],
                                "id int, date string, source string")
     path = os.path.join(tmp_root, "t")
-    LY.write_partitioned(df.repartition(8), path)
+    df.repartition(8).write.partitionBy("date", "source").parquet(path)
     plan = LY.compaction_plan(spark, path, ["date", "source"]).collect()
     assert all(r.n_files > 1 and r.target_files == 1 for r in plan)
     out = os.path.join(tmp_root, "c")
@@ -88,13 +88,53 @@ def test_streaming_cdc_apply(spark, tmp_root):
         q.awaitTermination()
 
     run()
-    assert sorted(r.k for r in spark.read.parquet(f"{target}/current").collect()) == [3]
+    assert sorted(r.k for r in CD.read_current(spark, target, "k").collect()) == [3]
     ch.where("ts_ms > 60").write.mode("append").parquet(src)
     run()
-    got = {r.k: (r.v, r.s) for r in spark.read.parquet(f"{target}/current").collect()}
+    got = {r.k: (r.v, r.s) for r in CD.read_current(spark, target, "k").collect()}
     assert got == {1: (2, "a"), 3: (9, "zz")}
 
 
+def test_streaming_cdc_late_deleted_and_replayed(spark, tmp_root):
+    """Changes in any order and any batches, some batches twice: the batch result."""
+    import random
+    rows = [(k, ("x", k * 10 + t), "d" if (k + t) % 4 == 0 else "u", t, t) for k in range(12) for t in range(6)]
+    schema = "k int, after struct<s: string, v: int>, op string, ts_ms bigint, offset bigint"
+    want = {(r.k, r.v) for r in CD.apply_changes(spark.createDataFrame(rows, schema), "k").collect()}
+    random.Random(3).shuffle(rows)
+    target = os.path.join(tmp_root, "late")
+    handle = CD.foreach_batch_apply(target, "k")
+    assert CD.read_current(spark, target, "k") is None
+    for n in range(4):
+        batch = spark.createDataFrame(rows[n * 18:(n + 1) * 18], schema)
+        handle(batch, n)
+        if n % 2:
+            handle(batch, n)
+    assert {(r.k, r.v) for r in CD.read_current(spark, target, "k").collect()} == want
+
+
+def test_compaction_reaches_its_target(spark, tmp_root):
+    import glob
+    src, out = os.path.join(tmp_root, "many"), os.path.join(tmp_root, "few")
+    df = spark.range(60_000).selectExpr("id", "concat('2024-01-0', 1 + id % 2) AS date", "if(id % 10 < 8, 'a', 'b') AS source", "sha2(string(id), 256) AS body")
+    df.repartition(30).write.partitionBy("date", "source").parquet(src)
+    target = 200_000
+    plan = {(r.date, r.source): r for r in LY.compact(spark, src, out, ["date", "source"], target).collect()}
+    assert spark.read.parquet(out).select("id").distinct().count() == 60_000 == spark.read.parquet(out).count()
+    for (date, source), r in plan.items():
+        sizes = [os.path.getsize(f) for f in glob.glob(f"{out}/date={date}/source={source}/*.parquet")]
+        assert max(sizes) <= 2 * target
+        assert len(sizes) <= 2 * r.target_files + 1
+        assert r.n_files == len(glob.glob(f"{src}/date={date}/source={source}/*.parquet"))
+
+
+def test_retention_at_any_depth(spark, tmp_root):
+    for d in ("a=1/b=2/c=3/date=2024-01-01", "a=1/b=2/c=3/date=2024-03-01"):
+        os.makedirs(f"{tmp_root}/deep/{d}")
+    gone = LY.drop_partitions(spark, f"{tmp_root}/deep", "date", "2024-02-01")
+    assert gone == ["a=1/b=2/c=3/date=2024-01-01"]
+
+
 def test_ml_model_apply(spark):
     from pyspark.ml.regression import LinearRegression
     from pyspark.ml.feature import VectorAssembler

@@ -78,13 +78,9 @@ def test_pending_is_not_recovered_by_default_d22(spark):
     assert M.stuck(M.current(log), T0 + dt.timedelta(hours=2)).count() == 0
 
 
-def test_two_phase_relevant_log(spark):
+def test_relevant_log(spark):
     log = _log(spark, [("a", K.DONE, 0, 0), ("b", K.PENDING, 0, 0), ("c", K.FAILED, 0, 0)])
     batch = spark.createDataFrame([("a",), ("b",), ("zz",)], "content_hash string")
-    got = sorted(r.content_hash for r in M.relevant_log_two_phase(log, batch).collect())
-    assert got == ["a", "b"]
-    # many repeats → plain semi join, same rows
-    got2 = sorted(r.content_hash for r in M.relevant_log_two_phase(log, batch, max_literal=1).collect())
-    assert got2 == ["a", "b"]
+    assert sorted(r.content_hash for r in M.relevant_log(log, batch).collect()) == ["a", "b"]
     none = spark.createDataFrame([("zz",)], "content_hash string")
-    assert M.relevant_log_two_phase(log, none).count() == 0
+    assert M.relevant_log(log, none).count() == 0

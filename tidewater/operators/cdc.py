@@ -38,22 +38,51 @@ def diff_columns(changes: DataFrame, key: str, columns: list[str],
     return ex.where("__p.changed").select(key, "ts_ms", "__p.column", "__p.old", "__p.new")
 
 
-def foreach_batch_apply(target_path: str, key: str):
+_STATE = ["after", "op", "ts_ms", "offset"]
+
+
+def _versions(spark, target_path: str) -> list[int]:
+    """Numbers of the complete state versions under ``target_path``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()
+                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target_path}/{n}/_SUCCESS")))
+
+
+def foreach_batch_apply(target_path: str, key: str, keep: int = 2):
     """Streaming form of B18: a ``foreachBatch`` function that merges each
-    micro-batch of changes into a Parquet snapshot (read, apply, overwrite a
-    new version directory; the checkpoint makes replays idempotent)."""
+    micro-batch of changes into the state of the versions before.
+
+    The state keeps each key's latest change with (ts_ms, offset) and op,
+    deletes included, so a change that comes late never wins over a newer one
+    and never brings back a deleted key. Batch n writes version n from the newest
+    complete version below n: a replayed batch starts from the same state and
+    replaces its own version. ``read_current`` reads the newest version."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            cur = spark.read.parquet(f"{target_path}/current")
-            base = cur.select(F.col(key), F.struct(*[c for c in cur.columns if c not in (key, "op")])
-                              .alias("after"), F.lit("r").alias("op"),
-                              F.lit(-1).cast("bigint").alias("ts_ms"), F.lit(-1).cast("bigint").alias("offset"))
-            allc = base.unionByName(batch.select(key, "after", "op", "ts_ms", "offset"))
-        except Exception:
-            allc = batch.select(key, "after", "op", "ts_ms", "offset")
-        out = apply_changes(allc, key)
-        out.write.mode("overwrite").parquet(f"{target_path}/v{batch_id}")
-        spark.read.parquet(f"{target_path}/v{batch_id}").write.mode("overwrite").parquet(
-            f"{target_path}/current")
+        changes = batch.select(key, *_STATE)
+        have = [v for v in _versions(spark, target_path) if v < batch_id]
+        if have:
+            changes = changes.unionByName(spark.read.parquet(f"{target_path}/v{have[-1]}").select(key, *_STATE))
+        latest = changes.groupBy(key).agg(
+            F.max_by(F.struct("after", "op", "ts_ms", "offset"), F.struct("ts_ms", "offset")).alias("l"))
+        latest.select(key, "l.*").write.mode("overwrite").parquet(f"{target_path}/v{batch_id}")
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for v in have[:max(0, len(have) + 1 - keep)]:
+            old = fs_path(f"{target_path}/v{v}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
     return handle
+
+
+def read_current(spark, target_path: str, key: str) -> DataFrame | None:
+    """The live rows of the newest version: key, the columns of ``after``, op.
+    None before the first batch."""
+    have = _versions(spark, target_path)
+    if not have:
+        return None
+    state = spark.read.parquet(f"{target_path}/v{have[-1]}")
+    return state.where(F.col("op") != "d").select(key, "after.*", "op")

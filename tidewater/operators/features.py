@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 # --------------------------------------------------------------------- B01
 _TS_TYPES = ("timestamp", "timestamp_ntz", "date")
 
@@ -142,15 +144,11 @@ def apply_quantile_buckets(df: DataFrame, cuts: DataFrame, col: str, out: str) -
 
 
 # --------------------------------------------------------------------- B06
-MAX_ONEHOT = 1000
-
-
-def fit_onehot(df: DataFrame, col: str, max_categories: int = MAX_ONEHOT) -> list[str]:
-    """B06 fit: sorted distinct categories. They become output columns, so
-    their number is checked against ``max_categories`` before collecting."""
-    d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    cats = [r[0] for r in d.limit(max_categories + 1).collect()]
-    if len(cats) > max_categories:
+def fit_onehot(df: DataFrame, col: str, max_categories: int | None = None) -> list[str]:
+    """B06 fit: sorted distinct categories. They become output columns; a
+    caller who wants no more than so many can say so with ``max_categories``."""
+    cats = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect()]
+    if max_categories is not None and len(cats) > max_categories:
         raise ValueError(f"{col}: more than {max_categories} categories for one-hot")
     return sorted(str(c) for c in cats)
 
@@ -198,8 +196,10 @@ def fit_frequency(df: DataFrame, cat: str) -> DataFrame:
 
 
 def apply_frequency(df: DataFrame, freq: DataFrame, cat: str, out: str) -> DataFrame:
-    return df.join(freq, cat, "left").withColumn(out, F.coalesce(F.col(f"{cat}__freq"), F.lit(0.0))).drop(
-        f"{cat}__freq")
+    """Joined frequency; null is a category like any other, an unseen one has 0."""
+    f = freq.select(F.col(cat).alias("__cat"), F.col(f"{cat}__freq").alias("__freq"))
+    return (df.join(f, df[cat].eqNullSafe(f["__cat"]), "left")
+            .withColumn(out, F.coalesce(F.col("__freq"), F.lit(0.0))).drop("__cat", "__freq"))
 
 
 # ------------------------------------------------------------------ B12 B13
@@ -215,14 +215,25 @@ def tokenize(text: Column | str) -> Column:
 def tfidf(docs: DataFrame, id_col: str, tokens: str) -> DataFrame:
     """Per (doc, term): tf = count / doc length, idf = ln((1+N)/(1+df)) + 1.
 
-    Exact (no hashing). Documents are tokenized once: the length rides along
-    with the exploded terms, and (doc, term) counts combine map-side. The
-    join back on ``term`` is the only shuffle keyed by term; AQE broadcasts
-    the idf table when the vocabulary is small and splits hot-term
-    partitions otherwise.
+    Exact (no hashing). A document is one row, so its terms are counted inside
+    the row: the sorted tokens' runs begin where a token differs from the one
+    before, and a run's length is the distance to the next beginning. No
+    shuffle by document. The (doc, term) rows are stored once and used for both the
+    document counts and the join back on ``term``; AQE broadcasts the idf table
+    when the vocabulary is small and splits hot-term partitions otherwise.
     """
-    terms = docs.select(id_col, F.size(tokens).alias("__len"), F.explode(tokens).alias("term"))
-    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("__cnt"), F.first("__len").alias("__len"))
+    n = F.size("__t")
+    begins = F.filter(F.transform("__t", lambda x, i: F.when((i == 0) | (x != F.element_at("__t", F.greatest(i, F.lit(1)))), i)),
+                      lambda i: i.isNotNull())
+    runs = F.transform("__b", lambda i, k: F.struct(
+        F.element_at("__t", i + 1).alias("term"),
+        (F.coalesce(F.try_element_at("__b", k + 2), n) - i).alias("cnt")))
+    rows = (docs.select(id_col, F.array_sort(tokens).alias("__t")).withColumn("__b", begins)
+            .select(id_col, n.alias("__len"), F.explode(runs).alias("__r")))
+    tf = rows.select(id_col, F.col("__r.term").alias("term"), F.col("__r.cnt").alias("__cnt"), "__len")
+    path = scratch_path(docs.sparkSession, "tfidf-terms")
+    tf.write.parquet(path)
+    tf = docs.sparkSession.read.schema(tf.schema).parquet(path)
     n_docs = docs.select(id_col).agg(F.count(F.lit(1)).alias("__N"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
     idf = df_.crossJoin(F.broadcast(n_docs)).select(

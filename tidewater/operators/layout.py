@@ -61,11 +61,11 @@ def expired_partitions(df: DataFrame, date_col: str, as_of: Column, days: int) -
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
 
 
-def drop_partitions(spark, root: str, partition_col: str, older_than: str, max_depth: int = 3) -> list[str]:
+def drop_partitions(spark, root: str, partition_col: str, older_than: str) -> list[str]:
     """B22 (apply): delete every ``<col>=<value>`` folder with value < cutoff,
-    at any level up to ``max_depth`` (``date`` is the second level of the
-    landing layout). A metadata operation on the table's file system: folder
-    listings only, no data read. Returns the deleted folders relative to root."""
+    at any level of partition folders. A metadata operation on the table's file
+    system: folder listings only, no data read. Returns the deleted folders
+    relative to root."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(root)
@@ -74,7 +74,7 @@ def drop_partitions(spark, root: str, partition_col: str, older_than: str, max_d
     if not fs.exists(base):
         return gone
 
-    def walk(p, rel: str, depth: int) -> None:
+    def walk(p, rel: str) -> None:
         for st in fs.listStatus(p):
             if not st.isDirectory():
                 continue
@@ -83,10 +83,10 @@ def drop_partitions(spark, root: str, partition_col: str, older_than: str, max_d
             if name.startswith(partition_col + "=") and name.split("=", 1)[1] < older_than:
                 fs.delete(st.getPath(), True)
                 gone.append(here)
-            elif "=" in name and depth < max_depth:
-                walk(st.getPath(), here, depth + 1)
+            elif "=" in name:
+                walk(st.getPath(), here)
 
-    walk(base, "", 1)
+    walk(base, "")
     return gone
 
 
@@ -108,32 +108,44 @@ def apply_retention(spark, landing_root: str | None, processed_root: str | None,
 # ----------------------------------------------------------------- B23 B24
 def write_partitioned(df: DataFrame, path: str, date_col: str = "date", source_col: str = "source",
                       mode: str = "overwrite") -> None:
-    """Table laid out by date first, source second."""
-    df.write.mode(mode).partitionBy(date_col, source_col).parquet(path)
+    """Table laid out by date first, source second. Rows are brought
+    together by partition first (large ones are split, small ones share a
+    task), so the number of files follows the data, not tasks times partitions."""
+    (df.hint("rebalance", F.col(date_col), F.col(source_col))
+     .write.mode(mode).partitionBy(date_col, source_col).parquet(path))
 
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def compaction_plan(spark, path: str, part_cols: list[str]) -> DataFrame:
-    """B24 plan: per partition, files, bytes and the file count at 256 MiB
-    targets (sizes from ``_metadata``, no data columns read)."""
-    t = spark.read.parquet(path)
-    files = t.select(*part_cols, F.col("_metadata.file_path").alias("f"),
-                     F.col("_metadata.file_size").alias("b")).distinct()
+def compaction_plan(spark, path: str, part_cols: list[str], target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """B24 plan: per partition, files, bytes and the file count at
+    ``target_bytes`` a file. Files are listed, not read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", path).load(path)
+             .select(*part_cols, "path", "length"))
     return (files.groupBy(*part_cols)
-            .agg(F.count("f").cast("bigint").alias("n_files"), F.sum("b").cast("bigint").alias("bytes"))
+            .agg(F.count("path").cast("bigint").alias("n_files"), F.sum("length").cast("bigint").alias("bytes"))
             .withColumn("target_files",
-                        F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(TARGET_FILE_BYTES))).cast("bigint")))
-
-
-def compact(spark, path: str, out_path: str, part_cols: list[str]) -> DataFrame:
-    """B24 apply: rewrite every partition into its target number of files
-    (rows unchanged). Rows go to ``target_files`` random slots of their
-    partition, so even a huge partition spreads over many tasks."""
-    plan = compaction_plan(spark, path, part_cols).select(*part_cols, "target_files")
-    t = spark.read.parquet(path).join(plan, part_cols)
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in t.columns]), F.col("target_files"))
-    (t.withColumn("__slot", slot).repartition(*part_cols, "__slot").drop("__slot", "target_files")
-     .write.mode("overwrite").partitionBy(*part_cols).parquet(out_path))
+                        F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_bytes))).cast("bigint")))
+
+
+def compact(spark, path: str, out_path: str, part_cols: list[str], target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """B24 apply: write the table to ``out_path`` with its partitions in files
+    of about ``target_bytes`` (rows unchanged).
+
+    Rows are dealt to ``target_files`` slots of their partition by where they
+    lie, so even a huge partition spreads over many tasks; a task that gets
+    several slots still cuts its files at the rows that the table's mean row
+    size gives for ``target_bytes``."""
+    plan = compaction_plan(spark, path, part_cols, target_bytes)
+    rows, = spark.read.parquet(path).agg(F.count(F.lit(1))).first()
+    size, = plan.agg(F.sum("bytes")).first()
+    if not rows:
+        return plan
+    t = spark.read.parquet(path)
+    t = t.withColumn("__at", F.xxhash64("_metadata.file_path", "_metadata.row_index")).join(plan.select(*part_cols, "target_files"), part_cols)
+    t = t.withColumn("__slot", F.pmod("__at", "target_files"))
+    (t.repartition(*part_cols, "__slot").drop("__slot", "__at", "target_files")
+     .write.mode("overwrite").option("maxRecordsPerFile", max(1, round(1.1 * target_bytes * rows / size)))
+     .partitionBy(*part_cols).parquet(out_path))
     return plan

@@ -75,20 +75,6 @@ def first_by_hash(batch: DataFrame, order: tuple[str, ...] = ("received_at", "pa
     return g.select("content_hash", *[F.col(f"_f.{c}").alias(c) for c in cols])
 
 
-def relevant_log_two_phase(log: DataFrame, hashes: DataFrame, max_literal: int = 10_000) -> DataFrame:
-    """``relevant_log`` that reads the log's hash column first: the hashes
-    of ``hashes`` seen before (a short list, bounded by the batch) are then
-    fetched with a literal IN filter, which Parquet row-group statistics can
-    prune (the compacted log is sorted by hash). No seen hash → no row read."""
-    seen = (log.select("content_hash").join(hashes.select("content_hash").distinct(), "content_hash", "left_semi")
-            .distinct().limit(max_literal + 1).collect())
-    if not seen:
-        return log.limit(0)
-    if len(seen) > max_literal:          # unusually many repeats: plain semi join
-        return relevant_log(log, hashes)
-    return log.where(F.col("content_hash").isin([r.content_hash for r in seen]))
-
-
 def relevant_log(log: DataFrame, hashes: DataFrame) -> DataFrame:
     """Log rows of the given hashes only (semi join; Spark adds a runtime
     bloom filter / broadcast from the small side, the big log is never

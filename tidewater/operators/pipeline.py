@@ -4,7 +4,9 @@ Config: ``{"steps": [{"op": "minmax", "col": "value", "by": null, "out": "value_
 Supported ops: coerce, temporal, minmax, standard, bucketize, onehot,
 target, frequency, tokenize. ``fit`` learns each step's state on the data
 as transformed by the steps before it; the state of every step is a small
-DataFrame (aggregates) or a short list (one-hot categories) and
+DataFrame (aggregates) or a short list (one-hot categories). Tables of state
+are written when fitted and read back, so later changes of the data change no
+encoding, and a step's plan names the source once, whatever came before.
 ``to_json`` renders the config plus list-shaped state.
 """
 
@@ -16,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import features as FT
 from . import temporal as TM
 
@@ -90,12 +93,22 @@ def fit(config: str | dict, df: DataFrame) -> FittedPipeline:
     state = []
     cur = df
     for step in steps:
-        st = _fit(step, cur)
+        st = _frozen(_fit(step, cur))
         state.append(st)
         cur = _apply(step, st, cur)
     return FittedPipeline(steps, state)
 
 
+def _frozen(st):
+    if isinstance(st, tuple):
+        return tuple(_frozen(x) for x in st)
+    if not isinstance(st, DataFrame):
+        return st
+    path = scratch_path(st.sparkSession, "pipeline-state")
+    st.write.parquet(path)
+    return st.sparkSession.read.schema(st.schema).parquet(path)
+
+
 def _fit(step: dict, df: DataFrame):
     op = step["op"]
     if op == "minmax":
@@ -103,7 +116,7 @@ def _fit(step: dict, df: DataFrame):
     if op == "standard":
         return FT.fit_standard(df, step["col"], step.get("by"))
     if op == "onehot":
-        return FT.fit_onehot(df, step["col"], step.get("max_categories", FT.MAX_ONEHOT))
+        return FT.fit_onehot(df, step["col"], step.get("max_categories"))
     if op == "target":
         return FT.fit_target(df, step["col"], step["target"], step.get("m", 10.0))
     if op == "frequency":

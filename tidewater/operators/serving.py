@@ -81,6 +81,36 @@ def predict_linear(df: DataFrame, model: DataFrame, x: str, out: str = "predicti
     return j.withColumn(out, F.col("intercept") + F.col("slope") * F.col(x)).drop("slope", "intercept")
 
 
+def fit_linear_many(df: DataFrame, y: Column | str, xs: list[str]) -> tuple[float, list[float]]:
+    """B28 fit, several features (least squares): intercept and coefficients
+    from one aggregate of means and covariances; the driver solves a system of
+    ``len(xs)`` equations."""
+    d = df.select(F.col(y).cast("double").alias("y") if isinstance(y, str) else y.cast("double").alias("y"),
+                  *[F.col(x).cast("double").alias(f"x{i}") for i, x in enumerate(xs)]).dropna()
+    names = [f"x{i}" for i in range(len(xs))]
+    row = d.agg(*[F.avg(c).alias(f"m_{c}") for c in ["y", *names]],
+                *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a in names for b in ["y", *names]]).first()
+    if row["m_y"] is None:
+        return 0.0, [0.0] * len(xs)
+    cov = np.array([[row[f"c_{a}_{b}"] for b in names] for a in names])
+    beta = np.linalg.lstsq(cov, np.array([row[f"c_{a}_y"] for a in names]), rcond=None)[0]
+    return float(row["m_y"] - sum(b * row[f"m_{c}"] for b, c in zip(beta, names))), [float(b) for b in beta]
+
+
+def predict_linear_many(df: DataFrame, model: tuple[float, list[float]], xs: list[str], out: str = "prediction") -> DataFrame:
+    """B28 apply: intercept + sum of coefficient times feature; null if a feature is."""
+    total = F.lit(model[0])
+    for b, x in zip(model[1], xs):
+        total = total + F.lit(b) * F.col(x)
+    return df.withColumn(out, total)
+
+
+def predict_logistic(df: DataFrame, model: tuple[float, list[float]], xs: list[str], out: str = "prediction") -> DataFrame:
+    """B28 apply, logistic: the probability 1 / (1 + exp(-linear))."""
+    j = predict_linear_many(df, model, xs, out)
+    return j.withColumn(out, 1 / (1 + F.exp(-F.col(out))))
+
+
 def predict_ml(df: DataFrame, model, features: list[str], out: str = "prediction") -> DataFrame:
     """B28 for fitted ``pyspark.ml`` models: assemble and ``transform``."""
     from pyspark.ml.feature import VectorAssembler

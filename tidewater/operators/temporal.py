@@ -7,9 +7,9 @@ small per-(key, bucket) aggregate joined back on unique keys:
 
 * previous event / last event of a type: latest row of earlier buckets
   (window over the aggregated bucket table, one row per bucket);
-* last-N-rows sums: global row index and running sums = carried bucket
-  totals + in-bucket running values; the row N back is an equi-join on
-  (key, index), a unique key;
+* last-N-rows sums: a row's number in its key = carried bucket counts + its
+  number in the bucket; blocks of consecutive numbers, each with the last
+  N - 1 rows of the block before, are the window partitions;
 * last-T-seconds sums: buckets of width T; each row is also copied into the
   next bucket as context, so a window over (key, bucket) sees [ts - T, ts].
 """
@@ -60,56 +60,47 @@ def days_since(df: DataFrame, key: str, ts: str, tiebreak: str, event_col: str |
     return out.drop(b, "__us", "__ev_us", "__prev_in", "__ev_in", "__prev_carry", "__ev_carry")
 
 
+ROWS_PER_BLOCK = 4096     # rows of a key that one window partition holds (plus n - 1 of context)
+
+
 def rolling_rows(df: DataFrame, key: str, order: list[str], value: str | list[str], n: int,
                  chunk: Column, prefix: str = "last") -> DataFrame:
     """B11 (rows): count, and sum / avg of each value column, over the key's
-    last ``n`` rows (current included) in ``order``. ``chunk`` is a monotone
-    bucket of the order (e.g. the day) that bounds every window partition.
+    last ``n`` rows (current included) in ``order``; nulls count as rows but
+    not in sum and avg, as in SQL. ``chunk`` is a monotone bucket of the order
+    (e.g. the hour) that bounds the windows that number a key's rows.
+
+    Rows are numbered through the whole key (chunk counts carried forward plus
+    the number inside the chunk) and dealt to blocks of ``ROWS_PER_BLOCK``
+    numbers; the last n - 1 rows of a block also go into the next one as
+    context. So every frame is summed directly, in a partition of bounded size.
 
     Output columns: ``{prefix}{n}_count`` and, per value column v,
     ``{prefix}{n}_sum`` / ``{prefix}{n}_avg`` for a single value, else
     ``{prefix}{n}_{v}_sum`` / ``{prefix}{n}_{v}_avg``.
     """
     values = [value] if isinstance(value, str) else list(value)
-    c = "__chunk"
-    d = df.withColumn(c, chunk)
-    for i, v in enumerate(values):
-        d = d.withColumn(f"__v{i}", F.col(v).cast("double"))
-    w = Window.partitionBy(key, c).orderBy(*order)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("__rn", F.row_number().over(w))
-    for i in range(len(values)):
-        d = d.withColumn(f"__run{i}", F.sum(f"__v{i}").over(run))
-    agg = d.groupBy(key, c).agg(F.count(F.lit(1)).alias("__cnt"),
-                                *[F.sum(f"__v{i}").alias(f"__s{i}") for i in range(len(values))])
-    wb = Window.partitionBy(key).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-    carry = agg.select(key, c, "__cnt", F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__ccnt"),
-                       *[F.coalesce(F.sum(f"__s{i}").over(wb), F.lit(0.0)).alias(f"__csum{i}")
-                         for i in range(len(values))])
-    j = d.join(carry, [key, c], "left").withColumn("__idx", F.col("__ccnt") + F.col("__rn"))
-    for i in range(len(values)):
-        j = j.withColumn(f"__cum{i}", F.col(f"__csum{i}") + F.col(f"__run{i}"))
-    # the running sums of the row n places back: inside the chunk a lag; for
-    # the first n rows of a chunk, that row is among the last n rows of an
-    # earlier chunk, so only those chunk tails are joined (on the unique
-    # (key, index)) — a small table, never the whole input twice
-    wl = Window.partitionBy(key, c).orderBy(*order)
-    for i in range(len(values)):
-        j = j.withColumn(f"__lag{i}", F.lag(f"__cum{i}", n).over(wl))
-    tail = j.where(F.col("__rn") > F.col("__cnt") - n).select(
-        F.col(key).alias("__k2"), (F.col("__idx") + n).alias("__idx2"),
-        *[F.col(f"__cum{i}").alias(f"__back{i}") for i in range(len(values))])
-    j = j.join(tail, (j[key] == tail["__k2"]) & (j["__idx"] == tail["__idx2"]) & (j["__rn"] <= n), "left")
-    for i in range(len(values)):
-        j = j.withColumn(f"__back{i}", F.when(F.col("__rn") > n, F.col(f"__lag{i}")).otherwise(F.col(f"__back{i}")))
-    cnt = F.least(F.col("__idx"), F.lit(n))
-    j = j.withColumn(f"{prefix}{n}_count", cnt.cast("bigint"))
-    for i, v in enumerate(values):
+    d = df.withColumn("__chunk", chunk)
+    d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(key, "__chunk").orderBy(*order)))
+    agg = d.groupBy(key, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = agg.select(F.col(key).alias("__key"), F.col("__chunk").alias("__chunk2"),
+                       F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__before"))
+    j = (d.join(carry, d[key].eqNullSafe(carry["__key"]) & d["__chunk"].eqNullSafe(carry["__chunk2"]), "left")
+         .withColumn("__idx", F.col("__before") + F.col("__rn") - 1))
+    size = max(ROWS_PER_BLOCK, n)
+    block = F.floor(F.col("__idx") / size).cast("bigint")
+    is_context = F.col("__idx") % size >= size - (n - 1)
+    both = (j.withColumn("__block", F.explode(F.when(is_context, F.array(block, block + 1)).otherwise(F.array(block))))
+            .withColumn("__real", F.col("__block") == block))
+    w = Window.partitionBy(key, "__block").orderBy("__idx").rowsBetween(-(n - 1), 0)
+    out = both.withColumn(f"{prefix}{n}_count", F.count(F.lit(1)).over(w))
+    for v in values:
         tag = f"{prefix}{n}" if len(values) == 1 else f"{prefix}{n}_{v}"
-        s = F.col(f"__cum{i}") - F.coalesce(F.col(f"__back{i}"), F.lit(0.0))
-        j = j.withColumn(f"{tag}_sum", s).withColumn(f"{tag}_avg", s / cnt)
-    helpers = [x for x in j.columns if x not in df.columns and x.startswith("__")]
-    return j.drop(*helpers)
+        x = F.col(v).cast("double")
+        out = out.withColumn(f"{tag}_sum", F.sum(x).over(w)).withColumn(f"{tag}_avg", F.avg(x).over(w))
+    out = out.where("__real")
+    return out.drop(*[x for x in out.columns if x not in df.columns and x.startswith("__")])
 
 
 def rolling_range(df: DataFrame, key: str, ts: str, value: str, seconds: int,
@@ -133,7 +124,6 @@ def rolling_range(df: DataFrame, key: str, ts: str, value: str, seconds: int,
     w = Window.partitionBy(key, "__b").orderBy("__us").rangeBetween(-width_us, 0)
     out = (both.withColumn(f"{prefix}{seconds}_count", F.count(F.lit(1)).over(w))
            .withColumn(f"{prefix}{seconds}_sum", F.sum(F.col(value).cast("double")).over(w))
+           .withColumn(f"{prefix}{seconds}_avg", F.avg(F.col(value).cast("double")).over(w))
            .where("__real"))
-    out = out.withColumn(f"{prefix}{seconds}_avg",
-                         F.col(f"{prefix}{seconds}_sum") / F.col(f"{prefix}{seconds}_count"))
     return out.drop("__us", "__b0", "__off", "__b", "__real")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from ..operators import features as FT
@@ -198,7 +200,7 @@ SELECT event_id,
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def q_days_since(spark, sf):
     ev = _events(spark, sf)
-    out = TM.days_since(ev, "user_id", "ts", "event_id", "event_type", "purchase")
+    out = TM.days_since(ev, "user_id", "ts", "event_id", "event_type", "purchase", bucket_seconds=3600)
     return out.select("event_id", "days_since_prev", "days_since_event")
 
 
@@ -210,8 +212,8 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
                          ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
 def q_rolling_rows(spark, sf):
     ev = _events(spark, sf)
-    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(86_400_000_000)).cast("bigint")
-    out = TM.rolling_rows(ev, "user_id", ["ts", "event_id"], "value", 5, day)
+    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)).cast("bigint")
+    out = TM.rolling_rows(ev, "user_id", ["ts", "event_id"], "value", 5, hour)
     return out.select("event_id", "last5_count", r6("last5_sum").alias("last5_sum"),
                       r6("last5_avg").alias("last5_avg"))
 
@@ -224,7 +226,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts)
                          RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW)""")
 def q_rolling_range(spark, sf):
     ev = _events(spark, sf)
-    out = TM.rolling_range(ev, "user_id", "ts", "value", 3600)
+    out = TM.rolling_range(ev, "user_id", "ts", "value", 3600, sub_buckets=6)
     return out.select("event_id", "range3600_count", r6("range3600_sum").alias("range3600_sum"),
                       r6("range3600_avg").alias("range3600_avg"))
 
@@ -314,23 +316,61 @@ def q_backfill(spark, sf):
     fitted = PL.fit(PIPELINE, ev)
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
     out = scratch_path(spark, "features")
-    feats = lambda d: _pipe_out(fitted.transform(d)).join(
-        d.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("date")), "event_id")
+    feats = lambda d: fitted.transform(d).select(
+        *[r6(c).alias(c) if c in ("value_mm", "user_freq") else F.col(c) for c in PIPE_COLS],
+        F.date_format("ts", "yyyy-MM-dd").alias("date"))
     for _ in range(2):
         backfill(ev, feats, "ts", lo.strftime("%Y-%m-%d"), hi.strftime("%Y-%m-%d"), out)
     return spark.read.parquet(out).select(*PIPE_COLS, "date")
 
 
+@query("backfill_range", f"""
+SELECT p.*, strftime(e.ts, '%Y-%m-%d') AS date,
+  CASE WHEN CAST(e.ts AS DATE) BETWEEN (SELECT CAST(min(ts) AS DATE) + 5 FROM events)
+                                   AND (SELECT CAST(min(ts) AS DATE) + 9 FROM events) THEN 2 ELSE 1 END AS run
+FROM ({_PIPE_SQL}) p JOIN events e USING (event_id)""")
+def q_backfill_range(spark, sf):
+    """B17 with a real sub-range: everything is written as run 1, then five
+    days again as run 2; only their partitions change."""
+    from ..operators.layout import backfill
+    ev = _events(spark, sf)
+    fitted = PL.fit(PIPELINE, ev)
+    lo, hi = ev.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    out = scratch_path(spark, "features-range")
+
+    def feats(run):
+        return lambda d: fitted.transform(d).select(
+            *[r6(c).alias(c) if c in ("value_mm", "user_freq") else F.col(c) for c in PIPE_COLS],
+            F.lit(run).alias("run"), F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    backfill(ev, feats(1), "ts", lo.isoformat(), hi.isoformat(), out)
+    day = _dt.timedelta(days=1)
+    backfill(ev, feats(2), "ts", (lo + 5 * day).isoformat(), (lo + 9 * day).isoformat(), out)
+    return spark.read.parquet(out).select(*PIPE_COLS, "date", "run")
+
+
 @query("skew_check", f"""
-SELECT 'batch_only' AS side, * FROM ({_PIPE_SQL}) WHERE false""")
+SELECT 'batch_only' AS side, * FROM ({_PIPE_SQL}) WHERE event_id % 50 = 0
+UNION ALL SELECT 'stream_only', * REPLACE (value_bucket + 100 AS value_bucket) FROM ({_PIPE_SQL}) WHERE event_id % 50 = 0""")
 def q_skew_check(spark, sf):
     """The fitted pipeline run as a batch job and as a stream over the
-    same files; rows that differ either way (expected: none)."""
+    same files. A control: the serving side shifts the bucket of every fiftieth
+    event, and exactly those rows come out, from either side."""
     from ..streaming.skew import serving_skew
     ev = _events(spark, sf)
     fitted = PL.fit(PIPELINE, ev)
     src = scratch_path(spark, "skew-src")
     ev.write.parquet(src)
-    diff = serving_skew(spark, src, ev.schema, lambda d: _pipe_out(fitted.transform(d)),
-                        scratch_path(spark, "skew-out"))
+    faulty = F.when(F.col("event_id") % 50 == 0, F.col("value_bucket") + 100).otherwise(F.col("value_bucket"))
+    diff = serving_skew(spark, src, ev.schema, lambda d: _pipe_out(fitted.transform(d)), scratch_path(spark, "skew-out"),
+                        serving=lambda d: _pipe_out(fitted.transform(d)).withColumn("value_bucket", faulty))
     return diff.select("side", *PIPE_COLS)
+
+
+@query("quantile_buckets", """
+WITH c AS (SELECT quantile_disc(value, [0.25, 0.5, 0.75]) AS q FROM events)
+SELECT event_id, CASE WHEN value IS NOT NULL THEN len(list_filter(q, lambda x: x <= value)) END::INTEGER AS bucket
+FROM events, c""")
+def q_quantile_buckets(spark, sf):
+    """B05, quantile variant: quarters of the value range by count."""
+    ev = _events(spark, sf)
+    return FT.apply_quantile_buckets(ev, FT.quantile_cuts(ev, "value", 4, 1_000_000), "value", "bucket").select("event_id", "bucket")

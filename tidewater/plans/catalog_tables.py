@@ -75,6 +75,24 @@ def q_cdc_apply(spark, sf):
                       "o_orderpriority", "op")
 
 
+@query("cdc_stream", with_ctes(CHANGES_SQL) + """
+SELECT o_orderkey, a_custkey AS o_custkey, a_status AS o_orderstatus, round(a_price, 6) AS o_totalprice,
+       a_prio AS o_orderpriority, op FROM cur""")
+def q_cdc_stream(spark, sf):
+    """B18 as a stream: the changes as files in no order of time, a few files a
+    micro-batch; the state after the last one is the batch result."""
+    src, target, ckpt = (scratch_path(spark, f"cdc-{n}") for n in ("changes", "state", "checkpoint"))
+    ch = order_changes(spark, sf).select("o_orderkey", "after", "op", "ts_ms", "offset")
+    ch.repartition(6, F.xxhash64("ts_ms", "offset")).write.parquet(src)
+    q = (spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 2).parquet(src).writeStream
+         .foreachBatch(CD.foreach_batch_apply(target, "o_orderkey")).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    cur = CD.read_current(spark, target, "o_orderkey")
+    return cur.select("o_orderkey", "o_custkey", "o_orderstatus", r6("o_totalprice").alias("o_totalprice"),
+                      "o_orderpriority", "op")
+
+
 @query("cdc_diff", with_ctes(CHANGES_SQL) + """
 SELECT o_orderkey, ts_ms, 'o_orderstatus' AS "column", b_status AS old, a_status AS new
 FROM ch WHERE op = 'u' AND b_status IS DISTINCT FROM a_status
@@ -187,7 +205,7 @@ def q_compact_plan(spark, sf):
     prep(spark)
     path, out = scratch_path(spark, "lineitem-small-files"), scratch_path(spark, "lineitem-compacted")
     # many small files per partition, as a trickle of appends would leave
-    LY.write_partitioned(_lineitem_by_month(spark, sf).repartition(4), path)
+    _lineitem_by_month(spark, sf).repartition(4).write.partitionBy("date", "source").parquet(path)
     plan = LY.compact(spark, path, out, ["date", "source"])
     back = spark.read.parquet(out).groupBy("date", "source").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"))
@@ -242,6 +260,55 @@ def q_batch_predict(spark, sf):
     return back.select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("prediction"))
 
 
+def _plane_sql(y: str) -> str:
+    """Least squares of y on quantity and discount, in closed form."""
+    return f"""
+t AS (SELECT *, {y} AS y, l_quantity AS a, l_discount AS b FROM lineitem),
+v AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(y, a) AS ya, covar_pop(y, b) AS yb,
+             avg(y) AS my, avg(a) AS ma, avg(b) AS mb FROM t),
+c AS (SELECT (ya * bb - yb * ab) / (aa * bb - ab * ab) AS ca, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS cb, my, ma, mb FROM v),
+m AS (SELECT ca, cb, my - ca * ma - cb * mb AS c0 FROM c)"""
+
+
+@query("batch_predict_many", "WITH" + _plane_sql("l_extendedprice") + """
+SELECT l_orderkey, l_linenumber, round(c0 + ca * a + cb * b, 1) AS prediction FROM t, m""")
+def q_batch_predict_many(spark, sf):
+    """B28 with two features."""
+    prep(spark)
+    li = table(spark, sf, "lineitem")
+    xs = ["l_quantity", "l_discount"]
+    out = SV.predict_linear_many(li, SV.fit_linear_many(li, "l_extendedprice", xs), xs)
+    return out.select("l_orderkey", "l_linenumber", F.round("prediction", 1).alias("prediction"))
+
+
+_RETURNED_SQL = "WITH" + _plane_sql("CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END") + """
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-(c0 + ca * a + cb * b))), 6) AS prediction FROM t, m"""
+
+
+def _returned_model(spark, sf):
+    prep(spark)
+    li = table(spark, sf, "lineitem")
+    xs = ["l_quantity", "l_discount"]
+    return li, xs, SV.fit_linear_many(li, (F.col("l_returnflag") == "R").cast("double"), xs)
+
+
+@query("batch_predict_logistic", _RETURNED_SQL)
+def q_batch_predict_logistic(spark, sf):
+    """B28, logistic form: a linear score as a probability, in expressions."""
+    li, xs, model = _returned_model(spark, sf)
+    out = SV.predict_logistic(li, model, xs)
+    return out.select("l_orderkey", "l_linenumber", r6("prediction").alias("prediction"))
+
+
+@query("batch_predict_opaque", _RETURNED_SQL)
+def q_batch_predict_opaque(spark, sf):
+    """B28, opaque form: the same model as a function on Arrow batches."""
+    import numpy as np
+    li, xs, (c0, beta) = _returned_model(spark, sf)
+    out = SV.predict_opaque(li, lambda x: 1 / (1 + np.exp(-(c0 + x @ np.array(beta)))), xs)
+    return out.select("l_orderkey", "l_linenumber", r6("prediction").alias("prediction"))
+
+
 # --------------------------------------------------------------------- B29
 @query("drift_kl", """
 WITH b AS (SELECT event_type, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'q' ELSE 'p' END AS side,

@@ -1,11 +1,13 @@
 """Session helpers: the settings every job here relies on, and scratch space.
 
-Scratch space always lives under the cluster's shared ``spark.checkpoint.dir``;
-a local directory is only created when that setting is unset (tests, laptops).
+Scratch space always lives under the cluster's shared ``spark.checkpoint.dir``.
+Where that is unset, a session on one machine (``local[...]``) gets a directory
+of its own; on a cluster that is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -66,8 +68,9 @@ def build_session(master: str | None = None, app: str = "tidewater",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (a test session) is a
-    directory made and registered, so ``DataFrame.checkpoint()`` works too.
+    Read from the session; only when it is unset on one machine (a test
+    session) is a directory made and registered, so ``DataFrame.checkpoint()``
+    works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -75,6 +78,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # pragma: no cover - Spark Connect has no context
             root = None
+    if not root and not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+        raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a shared folder")
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         try:

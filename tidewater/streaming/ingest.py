@@ -59,10 +59,8 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
 def _seen(spark: SparkSession, t: IngestTables):
     """Empty files already handled by earlier triggers (a small table: one
     row per zero-length file ever seen)."""
-    try:
-        return spark.read.schema("file_id string").parquet(f"{t.root}/empty_seen")
-    except Exception:
-        return spark.createDataFrame([], "file_id string")
+    from .topics import _read
+    return _read(spark, f"{t.root}/empty_seen", "file_id string")
 
 
 def _write_empty_seen(empties: DataFrame, t: IngestTables, batch_id: int) -> DataFrame:

@@ -40,9 +40,11 @@ def run_metrics_stream(spark: SparkSession, file_events_path: str, out_path: str
     ev = spark.readStream.schema(FILE_EVENTS_SCHEMA).parquet(file_events_path)
     m = windowed_metrics(ev)
 
-    def handle(df: DataFrame, _bid: int) -> None:
-        df.write.mode("append").parquet(out_path)
-        MO.alerts(df).write.mode("append").parquet(alerts_path)
+    def handle(df: DataFrame, batch_id: int) -> None:
+        # a batch run again replaces its own rows
+        for rows, path in ((df, out_path), (MO.alerts(df), alerts_path)):
+            (rows.withColumn("metrics_batch", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("metrics_batch").parquet(path))
 
     w = m.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()

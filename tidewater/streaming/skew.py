@@ -10,14 +10,17 @@ from pyspark.sql import types as T
 
 
 def serving_skew(spark: SparkSession, source_path: str, schema: T.StructType,
-                 transform: Callable[[DataFrame], DataFrame], work: str) -> DataFrame:
+                 transform: Callable[[DataFrame], DataFrame], work: str,
+                 serving: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows produced by only one of the two paths (``side`` says which);
-    multiset difference both ways (``exceptAll``)."""
+    multiset difference both ways (``exceptAll``). ``serving`` is what the
+    stream runs, by default the same ``transform``."""
+    serving = serving or transform
     batch = transform(spark.read.schema(schema).parquet(source_path))
     out = f"{work}/stream"
 
-    def handle(df: DataFrame, _bid: int) -> None:
-        transform(df).write.mode("append").parquet(out)
+    def handle(df: DataFrame, batch_id: int) -> None:
+        serving(df).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (spark.readStream.schema(schema).parquet(source_path).writeStream.foreachBatch(handle)
          .option("checkpointLocation", f"{work}/ckpt").trigger(availableNow=True).start())

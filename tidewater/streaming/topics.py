@@ -8,6 +8,7 @@ a Kafka connector is on the classpath the same frames can be written with
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,21 +48,23 @@ def decode_events(topic: DataFrame) -> DataFrame:
     return topic.select("*", F.when(ok, e).alias("e"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, empty if nothing was written yet; any other
+    failure to read is an error, never taken for an empty table."""
     try:
-        spark.read.schema(TOPIC_SCHEMA).parquet(path).limit(0).collect()
-        return True
-    except Exception:
-        return False
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def publish(spark: SparkSession, done: DataFrame, t, batch_id: int, at: Column) -> None:
     """Append events for ``done`` files, skipping keys already on the topic."""
     msgs = event_json(done, t.processed_bucket, at).withColumn(
         "batch_id", F.lit(batch_id).cast("bigint"))
-    if _exists(spark, t.topic):
-        old = spark.read.schema(TOPIC_SCHEMA).parquet(t.topic).select("key")
-        msgs = msgs.join(old.join(msgs.select("key"), "key", "left_semi"), "key", "left_anti")
+    old = _read(spark, t.topic, TOPIC_SCHEMA).select("key")
+    msgs = msgs.join(old.join(msgs.select("key"), "key", "left_semi"), "key", "left_anti")
     # by day of the message time, so retention drops whole folders
     (msgs.withColumn("day", F.date_format("timestamp", "yyyy-MM-dd"))
      .repartition(K.TOPICS[K.PROCESSED_TOPIC][0], "partition")
@@ -75,7 +78,7 @@ def expire_topic(spark: SparkSession, topic_path: str, topic: str, now_ms: int)
     from ..operators.layout import drop_partitions
     keep_ms = K.TOPICS[topic][1]
     cutoff = _d.datetime.fromtimestamp((now_ms - keep_ms) / 1000, _d.timezone.utc).date().isoformat()
-    return drop_partitions(spark, topic_path, "day", cutoff, max_depth=1)
+    return drop_partitions(spark, topic_path, "day", cutoff)
 
 
 def kafka_options(bootstrap: str, topic: str = K.PROCESSED_TOPIC) -> dict:
@@ -103,19 +106,18 @@ def consume(spark: SparkSession, topic_path: str, out_path: str, dead_letter_pat
         (d.where(F.col("e").isNull())
          .select("key", "value", "timestamp", "partition",
                  F.lit(batch_id).cast("bigint").alias("consumer_batch"))
-         .write.mode("append").parquet(dead_letter_path))
+         # a batch delivered again replaces its own dead letters
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("consumer_batch").parquet(dead_letter_path))
         good = d.where(F.col("e").isNotNull()).select("key", "partition", "timestamp", "e.*")
         rest = [c for c in good.columns if c != "content_hash"]
         # earliest delivery per hash; min_by carries the (map-typed) payload
         first = (good.groupBy("content_hash")
                  .agg(F.min_by(F.struct(*rest), F.struct("timestamp", "partition", "key")).alias("f"))
                  .select("content_hash", "f.*"))
-        try:
-            seen = spark.read.parquet(out_path).select("content_hash")
-            first = first.join(seen.join(first.select("content_hash"), "content_hash", "left_semi"),
-                               "content_hash", "left_anti")
-        except Exception:
-            pass
+        seen = _read(spark, out_path, "content_hash string")
+        first = first.join(seen.join(first.select("content_hash"), "content_hash", "left_semi"),
+                           "content_hash", "left_anti")
         first.withColumn("consumer_batch", F.lit(batch_id).cast("bigint")) \
             .write.mode("append").parquet(out_path)
 
