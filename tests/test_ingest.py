@@ -121,11 +121,10 @@ def test_same_bytes_two_paths(spark, tmp_root):
     assert res["a.csv"].status == K.DONE and res["b.csv"].status == "skipped"
 
 
-def test_csv_overflow_path_matches_native(spark, tmp_root, monkeypatch):
-    """With no native header groups allowed, every CSV parses per file and
-    the outcomes are the same."""
+def test_per_file_csv_path_matches_native(spark, tmp_root, monkeypatch):
+    """With every CSV sent to the per-file parser, the outcomes are the same."""
     from tidewater.sources import readers as R
-    monkeypatch.setattr(R, "MAX_CSV_GROUPS", 0)
+    monkeypatch.setattr(R, "native_csv", lambda head: False)
     names = ("ok.csv", "quoted_newline.csv", "short.csv", "long.csv", "header_only.csv", "dup.csv",
              "bare_quote.csv", "after_quote.csv")
     land = os.path.join(tmp_root, "landing")

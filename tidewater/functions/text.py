@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def utf8(content: Column) -> Column:
+    """Bytes as text; bytes that are not UTF-8 become U+FFFD, never an error."""
+    return F.make_valid_utf8(content.cast("string"))
+
+
 def as_text(c: Column, dtype: T.DataType) -> Column:
-    """Nested values as compact JSON, bytes as UTF-8, everything else cast."""
+    """Nested values as compact JSON, bytes as UTF-8 (U+FFFD for what is not),
+    everything else cast."""
     t = dtype.typeName()
     if t in ("struct", "array", "map"):
         return F.to_json(c)
     if t == "binary":
-        return F.decode(c, "UTF-8")
+        return utf8(c)
     return c.cast("string")

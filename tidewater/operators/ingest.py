@@ -14,7 +14,9 @@ processed-file event.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,6 @@ from . import store as S
 
 PART_COLS = ("ingest_source", "ingest_date", "ingest_batch")
 RECOVERY_DECISION_OFFSET = 10 ** 12  # manifest batch ids of recovery decisions
-MAX_COLUMNS = 10_000  # width guard for the union of record keys of one batch
 META_COLS = ("ingest_hash", "ingest_path") + PART_COLS
 
 
@@ -131,7 +132,7 @@ def purge_staging(spark: SparkSession, t: IngestTables, current_batch: int, keep
                 b = int(name.split("=", 1)[1])
             except ValueError:
                 continue
-            if 0 <= b <= current_batch - keep:
+            if b >> WRITER_SHIFT == current_batch >> WRITER_SHIFT and b <= current_batch - keep:
                 fs.delete(st.getPath(), True)
                 gone.append(b)
     return sorted(gone)
@@ -178,14 +179,16 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     # 4. parse what passed validation and has a parser
     meta = (todo.where(F.col("reason").isNull() & F.col("format").isin(*K.PARSEABLE_FORMATS))
             .select("file_id", "path", "format", "head", "bad_quote").collect())
-    recs, unreadable = _parse(spark, meta, t.staging(batch_id, "ndjson_lines"))
-    staged = _write_stage(recs, t.staging(batch_id, "records"))
+    staged, unreadable = _parse(spark, meta, t, batch_id)
     per_file = staged.groupBy("file_id").agg(
         F.count(F.when(~F.col("bad") & F.col("error").isNull(), 1)).cast("bigint").alias("n_records"),
         F.bool_or(F.col("bad")).alias("any_bad"),
         F.max("error").alias("error"))
-    bad_ids = spark.createDataFrame([(u,) for u in unreadable], "file_id string").withColumn(
-        "unreadable", F.lit(True))
+    pqs = [_place(r.file_id) for r in meta if r.format == "parquet" and r.file_id not in unreadable]
+    bad_ids = spark.createDataFrame([(u,) for u in unreadable], "file_id string")
+    if pqs:
+        bad_ids = bad_ids.unionByName(R.parquet_verdict(spark, pqs, per_file.select("file_id", "n_records"))).distinct()
+    bad_ids = bad_ids.withColumn("unreadable", F.lit(True))
     v = (todo.join(per_file, "file_id", "left").join(bad_ids, "file_id", "left"))
     pr = C.parse_reason("format")
     reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
@@ -209,7 +212,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
 
     # one small look at the verdict (a row per file of this trigger) decides
     # the part size and which of the optional writes below are needed
-    summary = verdict.select("status", "path", "length", "n_records", "n_parts", "content_hash").collect()
+    summary = verdict.select("status", "path", "file_id", "length", "n_records", "n_parts", "content_hash").collect()
     done_rows = [r for r in summary if r.status == K.DONE]
     rpp = N.records_per_chunk_py(sum(int(r.length or 0) for r in done_rows),
                                  sum(int(r.n_records or 0) for r in done_rows))
@@ -223,7 +226,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     quarantined = [r for r in summary if r.status == K.QUARANTINED]
     if quarantined:
         # oversized files were never loaded; their row keeps path, reason and size
-        paths = [r.path for r in quarantined
+        paths = [_place(r.file_id) for r in quarantined
                  if (r.length or 0) > 0 and not r.content_hash.startswith("oversize:")]
         _write_quarantine(spark, paths, verdict, t, batch_id, at)
 
@@ -259,53 +262,56 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
                     F.col("final_reason").alias("reason"), "n_records", "processed_key"))
 
 
-def _parse(spark: SparkSession, meta, lines_stage: str) -> tuple[DataFrame, list[str]]:
+def _parse(spark: SparkSession, meta, t: IngestTables, batch_id: int) -> tuple[DataFrame, list[str]]:
+    """The records of the files in ``meta``, staged: (file_id, record, bad,
+    error); and the ids of files that have no readable footer.
+
+    Which parser takes a file depends on the file alone: CSV with a plain first
+    line and JSON lines go through Spark's readers, one read for each header;
+    the others are split file by file."""
     schema = "file_id string, record map<string,string>, bad boolean, error string"
-    parts: list[DataFrame] = []
-    csvs = [(r.file_id, r.path, r.head) for r in meta if r.format == "csv" and not r.bad_quote]
-    if csvs:
-        # the most common headers get native reads; the long tail parses per file
-        by_head: dict = {}
-        for f in csvs:
-            by_head.setdefault(f[2] or "", []).append(f)
-        ranked = sorted(by_head.values(), key=len, reverse=True)
-        native = [f for g in ranked[:R.MAX_CSV_GROUPS] for f in g]
-        tail = [f for g in ranked[R.MAX_CSV_GROUPS:] for f in g]
-        d = R.read_csv(spark, native)
-        parts.append(d.withColumn("error", F.lit(None).cast("string")))
-        if tail:
-            raw = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([p for _, p, _ in tail])
-                   .select(C.file_id().alias("file_id"), "content"))
-            sp = R.split_csv_files(raw)
-            parts.append(sp.select("file_id", "record", F.lit(False).alias("bad"), "error"))
-    jsons = [(r.file_id, r.path) for r in meta if r.format == "ndjson"]
+    none = F.lit(None).cast("string")
+    stages: list[DataFrame] = []
+
+    def stage(rows: DataFrame) -> None:
+        stages.append(_write_stage(rows.select("file_id", "record", "bad", "error"),
+                                   t.staging(batch_id, f"records-{len(stages)}")))
+
+    def whole(paths: list[str]) -> DataFrame:
+        return (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([LD.literal(p) for p in paths])
+                .select(C.file_id().alias("file_id"), "content"))
+
+    csvs = [(r.file_id, _place(r.file_id), r.head) for r in meta if r.format == "csv" and not r.bad_quote]
+    by_head: dict = {}
+    for f in csvs:
+        if R.native_csv(f[2]):
+            by_head.setdefault(f[2], []).append(f)
+    heads = list(by_head.values())
+    for k in range(0, len(heads), R.CSV_GROUPS_PER_JOB):
+        files = [f for g in heads[k:k + R.CSV_GROUPS_PER_JOB] for f in g]
+        stage(R.read_csv(spark, files).withColumn("error", none))
+    if odd := [p for _, p, head in csvs if not R.native_csv(head)]:
+        stage(R.split_csv_files(whole(odd)).withColumn("bad", F.lit(False)))
+    jsons = [_place(r.file_id) for r in meta if r.format == "ndjson"]
     if jsons:
         # lines are parsed once and staged; which files need the slow path is
         # then read off the staged flags instead of parsing the text again
-        lines = _write_stage(R.read_ndjson_lines(spark, [p for _, p in jsons]), lines_stage)
-        slow = [row.file_id for row in
-                lines.groupBy("file_id").agg(F.bool_or("bad").alias("b")).where("b").collect()]
-        slow_ids = spark.createDataFrame([(s,) for s in slow], "file_id string")
-        parts.append(lines.join(slow_ids, "file_id", "left_anti")
-                     .withColumn("error", F.lit(None).cast("string")))
-        if slow:
-            by_id = dict(jsons)
-            raw = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([by_id[s] for s in slow if s in by_id])
-                   .select(C.file_id().alias("file_id"), "content"))
-            sp = R.split_json_files(raw)
-            parts.append(sp.select("file_id", "record", F.lit(False).alias("bad"), "error"))
+        lines = _write_stage(R.read_ndjson_lines(spark, jsons), t.staging(batch_id, "ndjson_lines"))
+        slow = lines.groupBy("file_id").agg(F.bool_or("bad").alias("b")).where("b").select("file_id")
+        stages.append(lines.join(slow, "file_id", "left_anti").withColumn("error", none).select("file_id", "record", "bad", "error"))
+        if slow_ids := [r.file_id for r in slow.collect()]:
+            stage(R.split_json_files(whole([_place(s) for s in slow_ids])).withColumn("bad", F.lit(False)))
     unreadable: list[str] = []
-    pqs = [(r.file_id, r.path) for r in meta if r.format == "parquet"]
+    pqs = {_place(r.file_id): r.file_id for r in meta if r.format == "parquet"}
     if pqs:
-        d, bad_paths = R.read_parquet(spark, [p for _, p in pqs])
-        parts.append(d.withColumn("error", F.lit(None).cast("string")))
-        by_path = {p: f for f, p in pqs}
-        unreadable = [by_path.get(p, p) for p in bad_paths]
-    if not parts:
+        d, bad_paths = R.read_parquet(spark, list(pqs))
+        stage(d.withColumn("error", none))
+        unreadable = [pqs.get(p, p) for p in bad_paths]
+    if not stages:
         return spark.createDataFrame([], schema), unreadable
-    out = parts[0].select("file_id", "record", "bad", "error")
-    for p in parts[1:]:
-        out = out.unionByName(p.select("file_id", "record", "bad", "error"))
+    out = stages[0]
+    for p in stages[1:]:
+        out = out.unionByName(p)
     return out, unreadable
 
 
@@ -313,12 +319,9 @@ def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: I
                      batch_id: int, rpp: int) -> None:
     good = staged.join(ok.select("file_id", "content_hash", "path", "source", "date", "length"),
                        "file_id")
-    found = (good.select(F.explode(F.map_keys("record")).alias("k")).distinct()
-             .limit(MAX_COLUMNS + 1).collect())
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"batch {batch_id}: more than {MAX_COLUMNS} distinct record keys; "
-                         "the processed table would be unbounded in width")
-    keys = sorted(r.k for r in found)
+    # the columns of the batch: the keys of its records, each set of keys once
+    keys = sorted(r.k for r in good.select(F.map_keys("record").alias("ks")).distinct()
+                  .select(F.explode("ks").alias("k")).distinct().collect())
     if not keys:
         return
     # a record key equal to one of our own columns keeps its data as <key>__data
@@ -341,7 +344,7 @@ def _write_quarantine(spark: SparkSession, paths: list[str], verdict: DataFrame,
     q = verdict.where(F.col("status") == K.QUARANTINED).select(
         "file_id", "path", "content_hash", F.col("final_reason").alias("reason"), "length")
     if paths:
-        body = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
+        body = (spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([LD.literal(p) for p in paths])
                 .select(C.file_id().alias("file_id"), "content"))
     else:
         body = spark.createDataFrame([], "file_id string, content binary")
@@ -353,33 +356,64 @@ def _write_quarantine(spark: SparkSession, paths: list[str], verdict: DataFrame,
      .partitionBy("ingest_batch").parquet(t.quarantine))
 
 
-def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int = 0,
+WRITER_SHIFT = 32         # a batch id is its writer's number and the batch's own
+
+
+def run_id() -> int:
+    """A batch id of its own for a run that is not part of a stream."""
+    return uuid.uuid4().int >> 66
+
+
+def writer_base(spark: SparkSession, checkpoint: str) -> int:
+    """What a stream adds to its batch numbers, so that no two streams, and no
+    later stream with a new checkpoint folder, share an id. The writer's number
+    is drawn once and kept in the checkpoint folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/writer_id")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        out = fs.create(p, False)
+        out.write(bytearray(str(uuid.uuid4().int % (1 << 30) + 1), "ascii"))
+        out.close()
+    held = spark.read.text(LD.literal(p.toString())).first()[0]
+    return int(held) << WRITER_SHIFT
+
+
+def _place(file_id: str) -> str:
+    """Where a file's bytes are: its id is the encoded URI Spark read it from."""
+    return unquote(file_id)
+
+
+def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int | None = None,
                    now: _dt.datetime | None = None, include_empty: bool = True,
                    max_bytes: int = K.MAX_FILE_SIZE, dates: list[str] | None = None) -> DataFrame:
     """Batch form of the pipeline: everything under ``landing_root`` (or only
     its ``date=`` folders in ``dates``) as one batch.
 
-    One batch means one file list on the driver; for a large backlog use
+    ``batch_id`` names the batch for a replay that must replace it; without one
+    every call is a batch of its own. One batch means one file list on the driver; for a large backlog use
     ``streaming.ingest.run_ingest_stream(available_now=True)``, which takes
     it in triggers of ``max_files_per_trigger`` files.
     """
     landed = LD.read_landing(spark, landing_root, dates=dates)
     if include_empty:
         landed = landed.unionByName(LD.empty_files(spark, landing_root, dates=dates))
-    return ingest_batch(spark, landed, t, batch_id, now, max_bytes)
+    return ingest_batch(spark, landed, t, run_id() if batch_id is None else batch_id, now, max_bytes)
 
 
-def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int,
-                        now: _dt.datetime | None = None) -> DataFrame:
+def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int | None = None,
+                        now: _dt.datetime | None = None, archive_dir: str | None = None) -> DataFrame:
     """A18 at start-up: files stuck in ``processing`` for over 31 minutes are
-    looked up in the landing area; found ones go back to ``pending`` and are
-    ingested again as batch ``batch_id``; missing ones become ``failed``.
+    looked up by their paths, in ``archive_dir`` if they are no longer where
+    they landed; found ones go back to ``pending`` and are ingested again as a
+    batch; missing ones become ``failed``. Only the stuck files are read.
 
-    Recovery runs use negative batch ids (-1, -2, …) so their processed
-    partitions never share an id with the stream's batches (0, 1, …)."""
+    Recovery batches have negative ids, one of its own for every call unless
+    ``batch_id`` is given, so they share an id with no other batch."""
     from . import recovery as RC
+    batch_id = -1 - (run_id() >> 2) if batch_id is None else batch_id
     if batch_id >= 0:
-        raise ValueError("recovery batch ids are negative (stream batches use 0, 1, ...)")
+        raise ValueError("recovery batch ids are negative")
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     at = F.lit(now).cast("timestamp")
     man = M.ManifestTable(spark, t.manifest)
@@ -388,7 +422,7 @@ def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables,
     if not paths:
         return spark.createDataFrame([], "file_id string, path string, content_hash string, status string, "
                                          "reason string, n_records bigint, processed_key string")
-    present = LD.read_landing(spark, landing_root).join(st.select("path"), "path", "left_semi")
+    present = LD.read_files(spark, paths, archive_dir)
     decided = RC.recover(man.current(), present.select("path", "key", "content", "length"), at)
     # the decisions are logged under their own id: the re-ingest below
     # (batch_id) must see them as history, not as its own rows
@@ -422,18 +456,18 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
     man.append(M.log_rows(hid, K.FAILED, at, 2, batch_id, F.lit(K.MSG_HIDDEN)))
     keys = recs.where(~C.is_hidden_name("key")).select("key")
     # one listing of just the folders the notifications name (no per-key calls)
+    jvm = spark.sparkContext._jvm
     parents = sorted({r.d for r in keys.select(
-        F.regexp_replace("key", "/[^/]*$", "").alias("d")).distinct().collect()})
-    if not parents:
+        F.when(F.col("key").contains("/"), F.regexp_replace("key", "/[^/]*$", "")).otherwise("").alias("d")).distinct().collect()})
+    folders = []
+    for d in parents:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{d}" if d else root)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            folders.append(LD.literal(f"{root}/{d}" if d else root))
+    if not folders:
         return _no_result(spark)
-    glob = f"{root}/{{{','.join(parents)}}}"
-    try:
-        listed = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root).load(glob)
-        every = listed.inputFiles()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return _no_result(spark)
-        raise
+    listed = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(folders)
+    every = listed.inputFiles()
     # metadata only (no content column): which notified keys exist here
     meta = LD._shape(listed).select("file_id", "path", "key").join(keys, "key", "left_semi")
     found = [r.path for r in meta.select("path").collect()]     # bounded by the notifications
@@ -442,7 +476,7 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
     empties = LD.empty_rows(ids.join(meta.select("file_id"), "file_id", "left_anti")).join(
         keys, "key", "left_semi")
     if found:    # absent keys are skipped; only notified files' bytes are read
-        landed = LD._shape(spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root).load(found))
+        landed = LD._shape(spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([LD.literal(p) for p in found]))
         landed = landed.unionByName(empties)
     else:
         landed = empties

@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keys that differ in case are different columns
+    "spark.sql.caseSensitive": "true",
     # CSV headers with a repeated name: the last one wins (map builder)
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }

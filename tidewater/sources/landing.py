@@ -1,12 +1,13 @@
 """Landing area: read (A01, batch and stream), write (A03), path columns.
 
-Layout: ``<root>/source=<s>/date=<yyyy-MM-dd>/<file>``. Partition discovery
-gives ``source`` and ``date`` as text (type inference is off, see session).
+Layout: ``<root>/source=<s>/date=<yyyy-MM-dd>/<file>``. ``source`` and ``date``
+are taken from the path; files elsewhere under the root are landed files too.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,6 @@ BINARY_SCHEMA = T.StructType([
     T.StructField("modificationTime", T.TimestampType(), False),
     T.StructField("length", T.LongType(), False),
     T.StructField("content", T.BinaryType(), True),
-    T.StructField("source", T.StringType(), True),
-    T.StructField("date", T.StringType(), True),
 ])
 
 
@@ -30,6 +29,11 @@ LANDED_SCHEMA = ("file_id string, path string, key string, modificationTime time
                  "content binary, source string, date string")
 
 
+def literal(path: str) -> str:
+    """A path for Spark's readers, which take paths for patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _shape(df: DataFrame) -> DataFrame:
     """Common landing columns: file_id is Spark's encoded file URI (the same
     form every file reader reports in ``_metadata.file_path``)."""
@@ -51,10 +55,11 @@ def read_landing(spark: SparkSession, root: str, path_filter: str | None = None,
     """A01 batch: one row per non-empty landed file (optionally only the
     ``date=`` folders in ``dates``)."""
     configure(spark)
-    r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root)
+    # files at any depth, in the layout or not: source and date come from the path
+    r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true")
     if path_filter:
         r = r.option("pathGlobFilter", path_filter)
-    target = root if not dates else f"{root.rstrip('/')}/source=*/date={{{','.join(dates)}}}"
+    target = literal(root) if not dates else f"{literal(root.rstrip('/'))}/source=*/date={{{','.join(dates)}}}"
     try:
         return _shape(r.load(target))
     except Exception as e:  # noqa: BLE001
@@ -76,7 +81,7 @@ def stream_landing(spark: SparkSession, root: str, max_files_per_trigger: int =
     """
     configure(spark)
     r = (spark.readStream.format("binaryFile").option("ignoreMissingFiles", "true").schema(BINARY_SCHEMA)
-         .option("basePath", root)
+         .option("recursiveFileLookup", "true")
          .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
@@ -93,12 +98,12 @@ def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None,
     lists the whole landing history.
     """
     none = empty_rows(spark.createDataFrame([], "file_id string"))
-    r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("basePath", root)
-    target = root
+    r = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true")
+    target = literal(root)
     if dates is not None:
         if not dates:
             return none
-        target = f"{root.rstrip('/')}/source=*/date={{{','.join(dates)}}}"
+        target = f"{literal(root.rstrip('/'))}/source=*/date={{{','.join(dates)}}}"
     try:
         listed = r.load(target)
         every = listed.inputFiles()
@@ -115,6 +120,44 @@ def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None,
     return empty_rows(all_df.join(nonempty, "file_id", "left_anti"))
 
 
+def read_files(spark: SparkSession, paths: list[str], archive_dir: str | None = None) -> DataFrame:
+    """A01 for known paths: one row for each that exists, nothing else is
+    listed or read. With ``archive_dir`` a file that is gone is looked up
+    where ``cleanSource=archive`` puts it; its row keeps the original path."""
+    configure(spark)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(p: str) -> bool:
+        q = jvm.org.apache.hadoop.fs.Path(p)
+        return q.getFileSystem(conf).exists(q)
+
+    now: dict[str, str] = {}      # where the file is → the path it landed at
+    for p in paths:
+        places = [p]
+        if archive_dir:
+            places.append(archive_dir.rstrip("/") + jvm.org.apache.hadoop.fs.Path(p).toUri().getPath())
+        if found := next((x for x in places if there(x)), None):
+            now[jvm.org.apache.hadoop.fs.Path(found).toString()] = p
+    if not now:
+        return spark.createDataFrame([], LANDED_SCHEMA)
+    rows = _shape(spark.read.format("binaryFile").load([literal(p) for p in now]))
+    if not archive_dir:
+        return rows
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    moved = spark.createDataFrame([(re.sub("^file:/+", "/", a), b) for a, b in now.items()], "place string, landed string")
+    back = rows.withColumn("place", plain).join(F.broadcast(moved), "place").drop("place")
+    return _shape_at(back)
+
+
+def _shape_at(rows: DataFrame) -> DataFrame:
+    """Landing columns of rows read elsewhere, as of the path ``landed``."""
+    key = F.regexp_extract("landed", r"((?:^|/)source=[^/]*/date=[^/]*/.*)$", 1)
+    key = F.when(key == "", F.regexp_extract("landed", r"([^/]*)$", 1)).otherwise(F.regexp_replace(key, "^/", ""))
+    return rows.select("file_id", F.col("landed").alias("path"), key.alias("key"), "modificationTime", "length", "content",
+                       C.source_from_key("landed").alias("source"), C.date_from_key("landed").alias("date"))
+
+
 def norm_uri(c):
     return C.file_id(c)
 

@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 from ..functions import classify as C
 from ..functions import constants as K
 from ..functions import json_values as J
-from ..functions.text import as_text
+from ..functions.text import as_text, utf8
+from .landing import literal
 
 RECORDS_SCHEMA = "file_id string, record map<string,string>"
 VERDICT_SCHEMA = "file_id string, n_records bigint, parse_error string"
@@ -37,7 +38,7 @@ QUOTED_FIELD = r'(^|[,\n])"[^"]*+(?:""[^"]*+)*+"(?=[,\r\n]|$)'
 
 def csv_head(content) -> "F.Column":
     """First line of a CSV payload (the whole line, however long)."""
-    txt = F.decode(content, "UTF-8")
+    txt = utf8(content)
     return F.regexp_replace(F.substring_index(txt, "\n", 1), "\r$", "")
 
 
@@ -48,7 +49,7 @@ def csv_bad_quotes(content) -> "F.Column":
     decoding) are decoded and scanned with the regex.
     """
     has_q = F.contains(content, F.unhex(F.lit("22")))
-    left = F.regexp_replace(F.decode(content, "UTF-8"), QUOTED_FIELD, "$1")
+    left = F.regexp_replace(utf8(content), QUOTED_FIELD, "$1")
     return F.when(has_q, F.instr(left, '"') > 0).otherwise(F.lit(False))
 
 
@@ -95,7 +96,7 @@ def read_csv(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFram
               .option("escape", '"').option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt")
               .option("enforceSchema", "true")
-              .csv(paths))
+              .csv([literal(p) for p in paths]))
         rec = F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
                                 F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(len(names))]))
         recs.append(df.select(C.file_id().alias("file_id"),
@@ -104,44 +105,63 @@ def read_csv(spark: SparkSession, files: list[tuple[str, str, str]]) -> DataFram
     return _union(recs, spark, RECORDS_SCHEMA + ", bad boolean")
 
 
-MAX_CSV_GROUPS = 64  # native reads per batch; files of further headers parse per file
+CSV_GROUPS_PER_JOB = 64  # headers whose native reads are planned together
 
 
-def split_csv_records(text: str) -> list[str]:
-    """Per-file strict CSV parse (overflow path): header row, then records
-    with exactly as many fields; blank lines skipped; a repeated header
-    keeps the last value. Returns one JSON object text per record; raises
-    ``ValueError`` for the whole file on any malformed row."""
+def native_csv(head: str | None) -> bool:
+    """Whether Spark's reader takes the file: its first line is the whole
+    header. A blank first line, or a line break inside a quoted header name, goes
+    to the per-file parser. A property of the file alone."""
+    return bool(head) and head.count('"') % 2 == 0
+
+
+def split_csv_records(text: str):
+    """Per-file strict CSV parse: header row, then records with exactly as
+    many fields; blank lines skipped; a repeated header keeps the last value.
+    Yields one JSON object text per record; raises ``ValueError`` for the whole
+    file on any malformed row."""
     import json as _json
+    head = None
     try:
-        rows = [r for r in csv.reader(io.StringIO(text, newline=""), strict=True) if r]
+        for r in csv.reader(io.StringIO(text, newline=""), strict=True):
+            if not r:
+                continue
+            if head is None:
+                head = r
+            elif len(r) != len(head):
+                raise ValueError(f"row has {len(r)} fields but expected {len(head)} based on headers")
+            else:
+                yield _json.dumps(dict(zip(head, r)), ensure_ascii=False)
     except csv.Error as e:
         raise ValueError(f"malformed CSV: {e}") from None
-    if not rows:
+    if head is None:
         raise ValueError("missing header")
-    head, out = rows[0], []
-    for r in rows[1:]:
-        if len(r) != len(head):
-            raise ValueError(f"row has {len(r)} fields but expected {len(head)} based on headers")
-        out.append(_json.dumps(dict(zip(head, r)), ensure_ascii=False))
-    return out
 
 
 def split_csv_files(landing: DataFrame) -> DataFrame:
-    """Overflow CSV path: (file_id, content) → (file_id, record, error)."""
+    """Per-file CSV path: (file_id, content) → (file_id, record, error), a few
+    thousand records at a time; a file with an error row fails whole."""
     def fn(batches):
         for pdf in batches:
-            ids, vals, errs = [], [], []
             for fid, content in zip(pdf["file_id"], pdf["content"]):
                 text = bytes(content).decode("utf-8", "replace") if content is not None else ""
-                try:
-                    values = split_csv_records(text)
-                except ValueError as e:
-                    ids.append(fid); vals.append(None); errs.append(f"{K.MSG_PARSE_CSV}: {e}")
-                    continue
-                for v in values:
-                    ids.append(fid); vals.append(v); errs.append(None)
-            yield pd.DataFrame({"file_id": ids, "value": vals, "error": errs})
+                values, error, part = split_csv_records(text), None, []
+                while part is not None:
+                    part = []
+                    try:
+                        for v in values:
+                            part.append(v)
+                            if len(part) == 5000:
+                                break
+                    except ValueError as e:
+                        error = f"{K.MSG_PARSE_CSV}: {e}"
+                    done = error is not None or len(part) < 5000
+                    yield pd.DataFrame({"file_id": [fid] * len(part), "value": part, "error": [None] * len(part)},
+                                       dtype="object")
+                    if done:
+                        part = None
+                if error:
+                    yield pd.DataFrame({"file_id": [fid], "value": [None], "error": [error]}, dtype="object")
 
     out = landing.select("file_id", "content").mapInPandas(
         fn, "file_id string, value string, error string")
@@ -155,7 +175,7 @@ def read_ndjson_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A09 fast path over text lines: (file_id, record, bad) per non-blank line."""
     import uuid
     nonce = uuid.uuid4().hex + uuid.uuid4().hex
-    lines = spark.read.text(paths).select(C.file_id().alias("file_id"),
+    lines = spark.read.text([literal(p) for p in paths]).select(C.file_id().alias("file_id"),
                                           F.col("value"))
     lines = lines.where(~J.is_blank(F.col("value")))
     return lines.select("file_id", J.line_record(F.col("value")).alias("record"),
@@ -196,23 +216,26 @@ def _string_cols(df: DataFrame) -> list:
 
 
 def read_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
-    """A10 with D27: one read per distinct file schema; unreadable files are
-    returned as failures. Returns (records, unreadable_paths)."""
+    """A10 with D27: one read per distinct file schema; files without a
+    readable footer are returned as failures. Returns (records, unreadable_paths).
+
+    The scan goes on past damaged pages, so a damaged file gives part of its
+    rows; ``parquet_verdict`` finds these files by their row counts."""
     groups: list[tuple[list[str], DataFrame]] = []
     bad: list[str] = []
     try:
         df = (spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "true")
-              .parquet(*paths))
+              .parquet(*[literal(p) for p in paths]))
         groups = [(paths, df)]
-    except Exception:  # conflicting column types across files: split by schema
+    except Exception:  # conflicting column types across files, or no footer to infer from
         by_schema: dict[str, list[str]] = defaultdict(list)
         for p in paths:
             try:
-                by_schema[spark.read.parquet(p).schema.json()].append(p)
+                by_schema[spark.read.parquet(literal(p)).schema.json()].append(p)
             except Exception:
                 bad.append(p)
         for _sj, ps in by_schema.items():
-            groups.append((ps, spark.read.option("ignoreCorruptFiles", "true").parquet(*ps)))
+            groups.append((ps, spark.read.option("ignoreCorruptFiles", "true").parquet(*[literal(p) for p in ps])))
     recs = []
     for _ps, df in groups:
         names = [f.name for f in df.schema.fields]
@@ -220,3 +243,48 @@ def read_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list
         recs.append(df.select(C.file_id().alias("file_id"), rec.alias("record"),
                               F.lit(False).alias("bad")))
     return _union(recs, spark, RECORDS_SCHEMA + ", bad boolean"), bad
+
+
+def parquet_verdict(spark: SparkSession, paths: list[str], read: DataFrame) -> DataFrame:
+    """(file_id) of the Parquet files that did not read whole.
+
+    ``read`` = (file_id, n_records) as scanned. Row counts come from the footers
+    (a scan of no columns reads no pages). Files whose counts differ, or that
+    gave no row at all, are read again byte by byte and decoded in tasks: one that
+    does not decode is damaged; one that does decode, with rows the scan did
+    not give, means a failed read, and the batch fails rather than the file."""
+    schema = "file_id string, rows bigint"
+    whole = (spark.read.option("ignoreCorruptFiles", "true").parquet(*[literal(p) for p in paths])
+             .select(C.file_id().alias("file_id")).groupBy("file_id").agg(F.count(F.lit(1)).alias("rows")))
+    doubtful = (spark.read.format("binaryFile").load([literal(p) for p in paths])
+                .select(C.file_id().alias("file_id"), "path", "length")
+                .join(whole, "file_id", "left").join(read, "file_id", "left")
+                .where("rows is null or n_records is null or rows <> n_records")
+                .select("path", F.coalesce("n_records", F.lit(0)).alias("n_records")).collect())
+    if not doubtful:
+        return spark.createDataFrame([], "file_id string")
+
+    def fn(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            rows = []
+            for content in pdf["content"]:
+                try:
+                    f = pq.ParquetFile(pa.BufferReader(bytes(content)))
+                    rows.append(sum(b.num_rows for b in f.iter_batches()))
+                except Exception:  # any failure to decode these bytes is the file's
+                    rows.append(None)
+            yield pd.DataFrame({"file_id": pdf["file_id"], "rows": pd.array(rows, "Int64")})
+
+    decoded = {r.file_id: r.rows for r in
+               spark.read.format("binaryFile").load([literal(r.path) for r in doubtful])
+               .select(C.file_id().alias("file_id"), "content").mapInPandas(fn, schema).collect()}
+    scanned = {r.file_id: r.n_records for r in read.collect()} if decoded else {}
+    damaged = []
+    for fid, rows in decoded.items():
+        if rows is None:
+            damaged.append((fid,))
+        elif rows != (scanned.get(fid) or 0):
+            raise RuntimeError(f"{fid}: {scanned.get(fid) or 0} of {rows} rows were read; the batch must run again")
+    return spark.createDataFrame(damaged, "file_id string")

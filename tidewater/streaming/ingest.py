@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ingest import IngestTables, ingest_batch, purge_staging
+from ..operators.ingest import IngestTables, ingest_batch, purge_staging, writer_base
 from ..sources import landing as LD
 
 
@@ -31,18 +31,18 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
                       sweep_empty: bool = True, archive_dir: str | None = None,
                       keep_staging: int = 5):
     """A01 + A07-A23 as a stream: every micro-batch of newly landed files is
-    one ``ingest_batch`` keyed by the batch id (replays converge). Zero-length
+    one ``ingest_batch`` keyed by the stream's writer id and the batch id
+    (replays converge, other writers' batches are never touched). Zero-length
     files never come out of the binaryFile stream (D19), so each trigger also
     sweeps the listing for empty files not seen before."""
     stream = LD.stream_landing(spark, landing_root, max_files_per_trigger, archive_dir)
+    base = writer_base(spark, checkpoint)
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        landed = df
+        batch_id, landed = base + int(batch_id), df
         if sweep_empty:
-            # only the date partitions this trigger touched (plus today's)
-            today = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
-            dates = sorted({r.date for r in df.select("date").distinct().collect() if r.date} | {today})
-            empties = LD.empty_files(spark, landing_root, seen=_seen(spark, t), dates=dates)
+            # the same listing as the batch form's: every empty file not seen before
+            empties = LD.empty_files(spark, landing_root, seen=_seen(spark, t))
             empties = _write_empty_seen(empties, t, int(batch_id))
             landed = landed.unionByName(empties)
         ingest_batch(spark, landed, t, int(batch_id),
@@ -69,7 +69,7 @@ def _write_empty_seen(empties: DataFrame, t: IngestTables, batch_id: int) -> Dat
     (empties.withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
      .parquet(f"{t.root}/empty_seen"))
-    schema = empties.schema.add("batch_id", "integer")
+    schema = empties.schema.add("batch_id", "long")
     return (empties.sparkSession.read.schema(schema).parquet(f"{t.root}/empty_seen")
             .where(f"batch_id = {batch_id}").drop("batch_id"))
 
@@ -87,8 +87,10 @@ def run_notification_stream(spark: SparkSession, messages_path: str, landing_roo
     msgs = (spark.readStream.schema(NOTIFICATION_MESSAGES_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(messages_path))
 
+    base = writer_base(spark, checkpoint)
+
     def handle(df: DataFrame, batch_id: int) -> None:
-        ingest_notifications(spark, df, landing_root, t, int(batch_id),
+        ingest_notifications(spark, df, landing_root, t, base + int(batch_id),
                              now=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
     w = msgs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
