@@ -132,9 +132,9 @@ def test_links_against_all_pairs(spark, tile):
     for k, f in enumerate(signed):
         parts[got.get(f, f)].add(want[k])
     assert all(len(v) == 1 for v in parts.values()) and len(parts) == len(set(want))
-    near = lines.near_fingerprints(nodes, 4, crowd=tile)
+    near = lines.near_fingerprints(nodes, 5, crowd=tile)
     got = {r.node: r.root for r in components.components(near).collect()}
-    want = classes(len(fps), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4)
+    want = classes(len(fps), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 5)
     parts = defaultdict(set)
     for k, f in enumerate(signed):
         parts[got.get(f, f)].add(want[k])
@@ -287,7 +287,7 @@ def brute_lines(rows):
     for k in keys:
         import pyarrow as pa
         fp.append(int(lines.Lines(pa.array([k])).fp[0]))
-    group = classes(len(keys), lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 4 and lines.edit_similar(keys[a], keys[b]))
+    group = classes(len(keys), lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 5 and lines.edit_similar(keys[a], keys[b]))
     places = defaultdict(list)
     for k, g in zip(keys, group):
         places[g] += seen[k]

@@ -76,15 +76,18 @@ def _relabel(label: np.ndarray, pairs) -> np.ndarray:
     return parent
 
 
-def link(keys: np.ndarray, fingerprints: np.ndarray, radius: int, check=None) -> tuple[np.ndarray, np.ndarray]:
+def link(keys: np.ndarray, fingerprints: np.ndarray, radius: int, check=None, near=None) -> tuple[np.ndarray, np.ndarray]:
     """Links (row, row) that connect rows of equal key at most ``radius`` bits
     apart: a spanning forest, never all pairs. ``keys`` must be sorted.
+    ``near(i, j)`` tells which pairs are that close (default: bit planes);
     ``check(i, j)`` may confirm the pairs found (an array of bool)."""
     n = len(keys)
     label = np.arange(n)
     if n < 2:
         return label[:0], label[:0]
-    planes = planes_of(fingerprints)
+    if near is None:
+        planes = planes_of(fingerprints)
+        near = lambda i, j: within(planes, i, j, radius)
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     ends = np.repeat(np.append(first[1:], n), np.diff(np.append(first, n)))
     rows = np.arange(n)
@@ -95,7 +98,7 @@ def link(keys: np.ndarray, fingerprints: np.ndarray, radius: int, check=None) ->
             break
         i = rows[label[rows] != label[rows + d]]
         if len(i):
-            hit = i[within(planes, i, i + d, radius)]
+            hit = i[near(i, i + d)]
             if check is not None and len(hit):
                 hit = hit[check(hit, hit + d)]
             if len(hit):

@@ -5,10 +5,11 @@ case with every digit as 0. Lines of fewer than ``LEAST_WORDS`` words are left
 alone: short lines are equal by chance. Lines equal after that are one node,
 whatever their count.
 
-Nodes get a 64-bit SimHash of their words. Two fingerprints at most ``RADIUS``
-bits apart agree on at least two of six blocks, so each is dealt to the fifteen
-pairs of blocks (about 21 bits a key) and compared there by bit planes. Equal
-and linked fingerprints form candidate groups, in which pairs within the radius
+Nodes get a 64-bit SimHash of their different words, each counted once, or the
+common words of a language would make all its long lines alike. Two
+fingerprints at most ``RADIUS`` bits apart agree on at least two of seven
+blocks, so each is dealt to the 21 pairs of blocks (about 18 bits a key) and
+compared there by their differing bits. Equal and linked fingerprints form candidate groups, in which pairs within the radius
 are verified: edit similarity 1 - distance / longer length of at least
 ``SIMILAR`` on the normalised lines. Verified links make the final groups, and
 of each group the first line stays: by doc_id (nulls last), then line number.
@@ -38,10 +39,10 @@ from .simhash import linked_in_keys, sorted_groups
 from .wordhash import Words, class_table, range_hashes
 
 LEAST_WORDS = 5
-RADIUS = 4
+RADIUS = 5
 SIMILAR = 0.8
-BORDERS = (0, 11, 22, 33, 43, 54, 64)     # six blocks of a fingerprint
-PAIRS = tuple(combinations(range(6), 2))
+BORDERS = (0, 10, 19, 28, 37, 46, 55, 64)     # seven blocks of a fingerprint
+PAIRS = tuple(combinations(range(7), 2))
 CROWD = 2048              # fingerprints of one key that a task compares on its own
 TILE = 256                # lines of a candidate group that meet in one half of a tile
 UNIT = 500_000
@@ -49,10 +50,10 @@ KNOWN = 4_000_000         # candidate lines whose hashes are broadcast (32 MB);
 
 
 class Lines:
-    """The lines of a column that take part: text index, line number, hash and
-    fingerprint of each."""
+    """The lines of a column that take part: text index, line number, hash and,
+    if asked for, fingerprint of each."""
 
-    def __init__(self, column):
+    def __init__(self, column, fingerprints: bool = True):
         w = self.words = Words(column, class_table(BETWEEN), lower=True)
         w.buf[(w.buf >= 48) & (w.buf <= 57)] = 48
         doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
@@ -64,15 +65,22 @@ class Lines:
         end = np.append(begin[1:], len(doc))[:len(begin)]
         h = w.hashes()
         self.hash = range_hashes(h, begin, end)
-        if len(h):
-            bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
-            self.fp = np.packbits(2 * ones > (end - begin)[:, None], axis=1).view(">u8").ravel().astype("<u8")
-        else:
-            self.fp = np.zeros(0, "<u8")
         ok = end - begin >= LEAST_WORDS
         self.doc, self.number = doc[begin][ok], number[begin][ok]
-        self.hash, self.fp, self.begin, self.end = self.hash[ok], self.fp[ok], begin[ok], end[ok]
+        self.hash, self.begin, self.end = self.hash[ok], begin[ok], end[ok]
+        if not fingerprints:
+            return
+        line = np.cumsum(new) - 1
+        order = np.lexsort((h, line))
+        line, h = line[order], h[order]
+        once = np.ones(len(h), bool)
+        once[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
+        line, h = line[once], h[once]
+        first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(h) else line
+        bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32) if len(h) else bits
+        words = np.diff(np.append(first, len(h)))
+        self.fp = np.packbits(2 * ones > words[:, None], axis=1).view(">u8").ravel().astype("<u8")[ok] if len(h) else np.zeros(0, "<u8")
 
     def text(self, k: int) -> bytes:
         w = self.words
@@ -91,7 +99,7 @@ def _occurrences(batches: Iterator) -> Iterator:
 
 
 def block_keys(fp: np.ndarray, pair: int) -> np.ndarray:
-    """The bits of two of the six blocks of uint64 fingerprints, as one number."""
+    """The bits of two of the seven blocks of uint64 fingerprints, as one number."""
     out = np.zeros(len(fp), np.uint64)
     for block in PAIRS[pair]:
         size = np.uint64(BORDERS[block + 1] - BORDERS[block])
@@ -151,7 +159,8 @@ def _compare(buckets: int, radius: int, crowd: int):
             cuts = np.unique(np.append(cuts, len(use)))
             for a, b in zip(cuts[:-1], cuts[1:]):
                 rows = use[a:b]
-                i, j = link(keys[rows], fp[rows], radius)
+                mine = fp[rows]
+                i, j = link(keys[rows], mine, radius, near=lambda x, y: np.bitwise_count(mine[x] ^ mine[y]) <= radius)
                 yield fp[rows][i], fp[rows][j], np.zeros(len(i), bool)
             yield fp[many], keys[many] * np.uint64(len(PAIRS)) + np.uint64(pair), np.ones(int(many.sum()), bool)
 
@@ -175,8 +184,8 @@ def _compare(buckets: int, radius: int, crowd: int):
 
 def near_fingerprints(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that connect the fingerprints ``fp`` at most ``radius`` apart."""
-    if radius > 4:
-        raise ValueError("two of six blocks agree up to four differing bits")
+    if radius > 5:
+        raise ValueError("two of seven blocks agree up to five differing bits")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (nodes.select("fp").mapInArrow(_deal(parts), _DEALT).repartition(parts, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(_compare(parts, radius, crowd), "a long, b long, crowded boolean"))
@@ -242,7 +251,7 @@ def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
         wanted = np.frombuffer(held.value, np.int64) if held else None
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
-                found = Lines(b.column("text"))
+                found = Lines(b.column("text"), False)
                 h, at = np.unique(found.hash.view(np.int64), return_index=True)
                 if wanted is not None:
                     ok = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
@@ -268,7 +277,8 @@ def _verified(members: DataFrame, radius: int, similar: float, tile: int) -> Dat
         import pyarrow as pa
         for tile_of, key, fp, body in sorted_groups(batches, ["tile", "key", "fp", "body"], 4096):
             same = lambda i, j: np.array([edit_similar(body[x], body[y], similar) for x, y in zip(i.tolist(), j.tolist())], bool)
-            i, j = link(tile_of, fp.view(np.uint64), radius, same)
+            bits = fp.view(np.uint64)
+            i, j = link(tile_of, bits, radius, same, lambda x, y: np.bitwise_count(bits[x] ^ bits[y]) <= radius)
             yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(key[j])], names=["a", "b"])
 
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
