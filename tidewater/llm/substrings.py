@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, slices, utf8
+from .common import load, materialise, slices, utf8
 from .wordhash import BREAKS, Words, class_table, window_hashes
 
 LENGTH = 35
@@ -214,7 +214,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", do
                    buckets: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept: the words left, joined by one space."""
     given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("mark", _mark())
-    ranges = repeated_ranges(given, length, buckets)
+    # stored, so that the join exchanges both sides itself and can split a text that many rows share
+    ranges = materialise(repeated_ranges(given, length, buckets), "repeated-ranges")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
