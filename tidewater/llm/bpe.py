@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import load, per_worker, slices, utf8
 
-KEPT = 400_000            # entries in each table of a worker: about 100 MB
+KEPT = 400_000            # entries in each table of a worker: about 100 MB; twice that for words
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f")    # white space to Python, not to the pattern
 
 
@@ -38,15 +38,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Kept(dict):
-    """A table filled by ``make(key)`` on first use, emptied at ``most`` entries."""
+    """A table filled by ``make(key)`` on first use. At ``most`` entries it
+    starts anew, and takes over from the full one what is asked for again."""
 
     def __init__(self, make, most: int = KEPT):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most // 2, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.pop(key, self)
+        if value is self:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -55,42 +59,45 @@ class Kept(dict):
 class Encoder:
     """BPE over ranks ``token -> rank``; every single byte must be a token."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], kept: int = KEPT):
         import ahocorasick
 
         self.ranks = ranks
-        self.token = {r: t for t, r in ranks.items()}
-        self.size = {r: len(t) for t, r in ranks.items()}
+        self.token = [b""] * (max(ranks.values()) + 1)
+        for t, r in ranks.items():
+            self.token[r] = t
+        self.size = [len(t) for t in self.token]
+        self.decimal = [str(r).encode() for r in range(len(self.token))]
         found = ahocorasick.Automaton()
         for t, r in ranks.items():
-            found.add_word(t.decode("latin-1"), r)
+            found.add_word(t.decode("latin-1"), (r, len(t) - 1))
         found.make_automaton()
         self.matches = found.iter
-        self.shorter: dict[int, int | None] = {}
-        self.halves: dict[int, tuple[int, int] | None] = {}
-        self.fit = Kept(self._compatible)
+        self.shorter = Kept(self._shorter, 2 * len(ranks))
+        self.halves = Kept(self._halves, 2 * len(ranks))
+        self.fit = Kept(self._compatible, kept)
 
-    def prefix(self, rank: int) -> int | None:
+    def _shorter(self, rank: int) -> int | None:
         """The longest token that is a proper prefix of a token."""
-        if rank not in self.shorter:
-            t = self.token[rank]
-            self.shorter[rank] = next((r for n in range(len(t) - 1, 0, -1) if (r := self.ranks.get(t[:n])) is not None), None)
-        return self.shorter[rank]
+        t = self.token[rank]
+        return next((r for n in range(len(t) - 1, 0, -1) if (r := self.ranks.get(t[:n])) is not None), None)
 
-    def split(self, rank: int) -> tuple[int, int] | None:
+    def _halves(self, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a byte, or for
         a token that merges of lower rank do not reach."""
-        if rank not in self.halves:
-            parts = [self.token[rank][k:k + 1] for k in range(self.size[rank])]
-            while len(parts) > 2:
-                best = min(((r, k) for k in range(len(parts) - 1)
-                            if (r := self.ranks.get(parts[k] + parts[k + 1])) is not None and r < rank), default=None)
-                if best is None:
-                    break
-                k = best[1]
-                parts[k:k + 2] = [parts[k] + parts[k + 1]]
-            self.halves[rank] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
-        return self.halves[rank]
+        parts = self._merged(self.token[rank], rank)
+        return (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+
+    def _merged(self, piece: bytes, below: float = float("inf")) -> list[bytes]:
+        """Merges of a rank under ``below``, lowest first, leftmost first."""
+        parts = [piece[k:k + 1] for k in range(len(piece))]
+        while True:
+            best = min(((r, k) for k in range(len(parts) - 1)
+                        if (r := self.ranks.get(parts[k] + parts[k + 1])) is not None and r < below), default=None)
+            if best is None:
+                return parts
+            k = best[1]
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
 
     def _compatible(self, pair: tuple[int, int]) -> bool:
         """Whether BPE leaves these two tokens side by side.
@@ -101,12 +108,13 @@ class Encoder:
         left, right = pair
         # a merge across the border happens if its rank is lower than that of the
         # next merge on its left, and no higher than on its right (the leftmost goes first)
-        next_left = next_right = None         # ranks that the border tokens go on to become
+        token, halves, rank = self.token, self.halves, self.ranks.get
+        next_left = next_right = len(token)   # ranks that the border tokens go on to become
         while True:
-            merged = self.ranks.get(self.token[left] + self.token[right])
-            if merged is not None and (next_left is None or merged < next_left) and (next_right is None or merged <= next_right):
+            merged = rank(token[left] + token[right])
+            if merged is not None and merged < next_left and merged <= next_right:
                 return False
-            a, b = self.split(left), self.split(right)
+            a, b = halves[left], halves[right]
             # undo the merge that came last: the higher rank; of equals the one further right
             if a is not None and (b is None or left > right):
                 next_left, left = left, a[1]
@@ -120,10 +128,10 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, size, fit = len(piece), self.size, self.fit
+        n, size, fit, shorter = len(piece), self.size, self.fit, self.shorter
         longest = [0] * n
-        for end, rank in self.matches(piece.decode("latin-1")):
-            longest[end - size[rank] + 1] = rank      # ends grow, so the longest stays
+        for end, (rank, back) in self.matches(piece.decode("latin-1")):
+            longest[end - back] = rank        # ends grow, so the longest stays
         dead = bytearray(n + 1)
         out: list[int] = []
         at, token = 0, longest[0]
@@ -136,7 +144,7 @@ class Encoder:
                     return out
                 token = longest[at]
                 continue
-            less = self.prefix(token)
+            less = shorter[token]
             while less is None:
                 # nothing fits here: this position is a dead end, go back
                 dead[at] = 1
@@ -144,21 +152,13 @@ class Encoder:
                     return self.merge(piece)
                 token = out.pop()
                 at -= size[token]
-                less = self.prefix(token)
+                less = shorter[token]
             token = less
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges in rank order, one by one: for vocabularies with tokens that
         merges do not reach, where the walk above may find no way."""
-        parts = [piece[k:k + 1] for k in range(len(piece))]
-        while len(parts) > 1:
-            best = min(((r, k) for k in range(len(parts) - 1)
-                        if (r := self.ranks.get(parts[k] + parts[k + 1])) is not None), default=None)
-            if best is None:
-                break
-            k = best[1]
-            parts[k:k + 2] = [parts[k] + parts[k + 1]]
-        return [self.ranks[p] for p in parts]
+        return [self.ranks[p] for p in self._merged(piece)]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -172,13 +172,13 @@ class TextCoder:
     one by one; a text where a part is empty or ends in white space goes through
     the pattern as a whole."""
 
-    def __init__(self, encoder: Encoder, pattern: str, shown):
+    def __init__(self, encoder: Encoder, pattern: str, shown, kept: int = KEPT):
         import regex
 
         self.pieces = regex.compile(pattern).findall
         self.encoder, self.shown = encoder, shown
-        self.piece = Kept(lambda p: encoder.encode_piece(p.encode()))
-        self.word = Kept(self._word)
+        self.piece = Kept(lambda p: encoder.encode_piece(p.encode()), kept)
+        self.word = Kept(self._word, 2 * kept)
 
     def _word(self, part: str):
         if not part or part == " " or part[-1].isspace():
@@ -220,8 +220,9 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", text: str
     return docs.select(*[f"`{c}`" for c in rest], F.col(f"`{ids}`").alias("__ids")).mapInArrow(run, (kinds + ", " if kinds else "") + f"`{text}` binary")
 
 
-def _mapped(docs: DataFrame, ranks: dict, pattern: str, text: str, made: list[tuple[str, str]], shown, whole) -> DataFrame:
-    """The text replaced by the columns ``made`` = ``whole`` of its parts as ``shown``."""
+def _mapped(docs: DataFrame, ranks: dict, pattern: str, text: str, made: list[tuple[str, str]], shown, whole, kept: int = KEPT) -> DataFrame:
+    """The text replaced by the columns ``made`` = ``whole`` of its parts as
+    ``shown``. ``kept`` bounds a worker's tables, not the results."""
     import pyarrow as pa
 
     held = docs.sparkSession.sparkContext.broadcast(ranks)
@@ -234,7 +235,7 @@ def _mapped(docs: DataFrame, ranks: dict, pattern: str, text: str, made: list[tu
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        coder = per_worker(name, lambda: TextCoder(Encoder(held.value), pattern, shown))
+        coder = per_worker(name, lambda: TextCoder(Encoder(held.value, kept), pattern, shown, kept))
         for given in batches:
             for b in slices(given, "__text", 2 << 20):
                 rows = [whole(coder.parts(t.decode())) for t in utf8(b.column("__text"))]
@@ -244,7 +245,8 @@ def _mapped(docs: DataFrame, ranks: dict, pattern: str, text: str, made: list[tu
 
 def _shown(encoder: Encoder, ids: list[int]) -> tuple[int, bytes, bytes]:
     """How many ids, the ids in decimal, and the bytes they decode to."""
-    return len(ids), " ".join(map(str, ids)).encode(), encoder.decode(ids)
+    decimal, token = encoder.decimal, encoder.token
+    return len(ids), b" ".join([decimal[r] for r in ids]), b"".join([token[r] for r in ids])
 
 
 def _digests(parts: list) -> tuple[int, str, str]:
@@ -252,7 +254,7 @@ def _digests(parts: list) -> tuple[int, str, str]:
     return sum(n), hashlib.sha256(b" ".join(ids)).hexdigest(), hashlib.sha256(b"".join(text)).hexdigest()
 
 
-def encode_and_check(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
+def encode_and_check(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", kept: int = KEPT // 8) -> DataFrame:
     """ids, n_tokens and decoded_sha256 (of the bytes the ids decode to) in place of the text."""
     def shown(encoder: Encoder, found: list[int]) -> tuple[list[int], bytes]:
         return found, encoder.decode(found)
@@ -260,7 +262,7 @@ def encode_and_check(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
     def whole(parts: list) -> tuple[list[int], int, str]:
         made = [r for ids, _ in parts for r in ids]
         return made, len(made), hashlib.sha256(b"".join(x for _, x in parts)).hexdigest()
-    return _mapped(docs, ranks, pattern, text, [("ids", "array<int>"), ("n_tokens", "long"), ("decoded_sha256", "string")], shown, whole)
+    return _mapped(docs, ranks, pattern, text, [("ids", "array<int>"), ("n_tokens", "long"), ("decoded_sha256", "string")], shown, whole, kept)
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
