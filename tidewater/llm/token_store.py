@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,10 @@ from ..session import scratch_path
 from .common import load, per_worker, slices, utf8
 
 BLOCK = 1 << 18           # ids in a block
-KEPT = 500_000            # words a worker keeps the ids of: about 100 MB
-_ENDS = ("\x1c", "\x1d", "\x1e", "\x1f")
+KEPT = 1_000_000          # words a worker keeps the ids of: about 200 MB
+FIRST = "\x1c"           # before a text's first word, which has no space before it
+ODD = ("\x1c", "\x1d", "\x1e", "\x1f")    # white space to Python, not to the pattern
+MARKS = ".,;:!?*&$%#|"    # none begins a contraction
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -66,10 +69,14 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 class WordIds:
-    """Ids by the tokenizers library. Its byte-level pattern always ends a piece
-    between a character that is no white space and a space, so words are
-    encoded once, with the space before them, and kept; a text with other
-    white space at a word's border is encoded as a whole."""
+    """Ids by the tokenizers library, word by word.
+
+    Its byte-level pattern always ends a piece between a character that is no
+    white space and a space or line break, so words are encoded once, with the
+    space or break before them, and kept. It also ends one between a letter and
+    the marks after it, so a new word with such an ending is put together from
+    the word without it. A text with other white space at a word's border is
+    encoded as a whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,25 +84,65 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        size = self.tokenizer.get_vocab_size()
+        # a character of a byte-level token stands for one byte
+        self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(size)], np.int64)
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words that begin with white space and end without: one
+        call for their concatenation, cut where the tokens' bytes add up."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.cumsum(self.bytes[ids])
+        cuts = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in words])) + 1
+        held, a, out = ids.tobytes(), 0, []
+        for b in (4 * cuts).tolist():
+            out.append(held[a:b])
+            a = b
+        return out
+
+    def _learn(self, words: set[str], renew: bool) -> None:
+        """Add the ids of ``words``, None where a word's border is not clear.
+        A word stands for itself with a space before it, unless it begins with
+        a line break or FIRST."""
+        known = self.known
+        if renew and len(known) + len(words) > KEPT // 2:
+            self.older, self.known = known, (known := {})
+        again = [w for w in words if w in self.older]
+        known |= zip(again, map(self.older.__getitem__, again))
+        words = words.difference(known)
+        known |= {w: None for w in words if not w or w[-1].isspace()}
+        ends = {w: cut for w in words if (cut := w.rstrip(MARKS)) and len(cut) < len(w) and cut[-1].isalpha()}
+        plain = {w for w in words if w not in ends and w and not w[-1].isspace()}.union(ends.values()).difference(known)
+        tails = {w[len(cut):] for w, cut in ends.items()}
+        plain, tails = list(plain), list(tails)
+        first = [w for w in plain if w[0] == FIRST]
+        plain = [w for w in plain if w[0] != FIRST]
+        known |= zip(plain, self._encode_words([w if w[0] == "\n" else " " + w for w in plain]))
+        found = self._encode([w[1:] for w in first] + tails)
+        known |= zip(first, found)
+        tail = dict(zip(tails, found[len(first):]))
+        known |= {w: known[cut] + tail[w[len(cut):]] for w, cut in ends.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
+        cut = [None if any(c in t for c in ODD) else ((FIRST + t) if t[:1] != "\n" else t).replace("\n", " \n").split(" ") if t else []
+               for t in texts]
+        cut = [w[1:] if w and t[0] == "\n" else w for w, t in zip(cut, texts)]
+        fresh = set().union(*filter(None, cut))
+        if new := fresh.difference(self.known):
+            before = self.known
+            self._learn(new, True)
+            if self.known is not before:      # the table began anew
+                self._learn(fresh.difference(self.known), False)
         known = self.known
-        if len(known) > KEPT:
-            known.clear()
-        known[" "] = None
-        cut = [None if any(c in t for c in _ENDS) else (w := t.split(" "))[:1] + [" " + x for x in w[1:]] for t in texts]
-        fresh = set().union(*(w for w in cut if w)).difference(known)
-        fresh.discard("")
-        known |= {w: None for w in fresh if w[-1].isspace()}
-        fresh = [w for w in fresh if not w[-1].isspace()]
-        known |= zip(fresh, self._encode(fresh))
-        known[""] = b""
         out: list = []
         for t, words in zip(texts, cut):
             found = [None] if words is None else list(map(known.__getitem__, words))
@@ -113,7 +160,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id
         import pyarrow as pa
         coder = per_worker(name, lambda: WordIds(path))
         for whole in batches:
-            for b in slices(whole, "text", 1 << 20):
+            for b in slices(whole, "text", 1 << 18):     # small slices keep their words in the processor's cache
                 ids = [np.frombuffer(x + end, "<u4") for x in coder.encode([t.decode() for t in utf8(b.column("text"))])]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
@@ -128,12 +175,10 @@ def frequency_ranks(ids: DataFrame, vocabulary: int, width: int = 4) -> np.ndarr
         import pyarrow as pa
         total = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for x in b.column("ids"):
-                seen = np.frombuffer(x.as_py(), f"<u{width}")
-                if len(seen) > vocabulary:
-                    total += np.bincount(seen, minlength=vocabulary)
-                else:
-                    np.add.at(total, seen, 1)
+            col = b.column("ids").cast(pa.large_binary())
+            off = np.frombuffer(col.buffers()[1], np.int64, len(col) + 1, 8 * col.offset)
+            seen = np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]]
+            total += np.bincount(np.frombuffer(seen.tobytes(), f"<u{width}"), minlength=vocabulary)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
     # one row for each id of the vocabulary at most
