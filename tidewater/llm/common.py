@@ -13,8 +13,12 @@ from ..session import configure, scratch_path
 from ..sources.tables import table
 
 
+ARROW_ROWS = "2000"       # whole texts of a few kB each travel in batches of some MB
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return table(spark, sf_dir, name)
 
 
@@ -28,11 +32,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def per_worker(name: str, build: Callable):
-    """``build()`` once per Python worker process, kept between its tasks."""
+    """``build()`` once per Python worker process, kept between its tasks until
+    a task asks for another name: a worker holds one such object at a time."""
     held = sys.modules.setdefault("_tidewater_llm_worker", types.ModuleType("_tidewater_llm_worker")).__dict__
-    if name not in held:
-        held[name] = build()
-    return held[name]
+    if held.get("name") != name:
+        held.pop("value", None)
+        held["value"] = build()
+        held["name"] = name
+    return held["value"]
 
 
 def utf8(column) -> Iterator[bytes]:
@@ -43,7 +50,7 @@ def utf8(column) -> Iterator[bytes]:
         yield v.as_py() or b""
 
 
-def slices(batch, column: str, most_bytes: int = 4 << 20) -> Iterator:
+def slices(batch, column: str | int, most_bytes: int = 4 << 20) -> Iterator:
     """Consecutive slices of an Arrow batch holding about ``most_bytes`` of
     ``column`` each (one row at least), so that work arrays stay small."""
     import pyarrow.compute as pc

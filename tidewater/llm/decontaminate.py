@@ -34,7 +34,7 @@ BLOCK = 1_000_000         # windows in one broadcast set: about 150 MB
 TABLE_BITS = 20
 
 
-def _windows(batch, column: str, length: int, lengths) -> Iterator:
+def _windows(batch, column: str | int, length: int, lengths) -> Iterator:
     """(Words, window length, hashes, positions) for each wanted length.
     ``lengths`` None: every text's own length, at most ``length``."""
     w = Words(batch.column(column), class_table(BETWEEN), lower=True)
@@ -86,7 +86,7 @@ class _Set:
             table[keys >> np.uint64(64 - TABLE_BITS)] = True
             self.by_length[n] = table, keys, [entries[int(k)] for k in keys]
 
-    def hits(self, batch, column: str, length: int):
+    def hits(self, batch, column: str | int, length: int):
         """Words, and a list of (position, window length, item ids)."""
         w, out = None, []
         for w, n, found, fits in _windows(batch, column, length, sorted(self.by_length) or [1]):
@@ -129,7 +129,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENG
     def scan(source: DataFrame, part: DataFrame, keep: list[str], only_hits: bool) -> DataFrame:
         held = spark.sparkContext.broadcast([(r["hash"], r["n"], bytes(r["words"]), tuple(r["items"])) for r in part.collect()])
         name = f"windows-{uuid.uuid4().hex}"
-        kept = source.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+        # the text travels once, also where it is kept
+        body = keep.index(text) if text in keep else len(keep)
+        kept = source.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text}`")]))
         schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*[f"`{c}`" for c in keep]).schema]
                            + [f"`{found}` {_FOUND}"])
 
@@ -139,8 +141,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENG
             pair = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             kind = pa.struct([("n_words", pa.int64()), ("spans", pair), ("bytes", pair), ("items", pa.list_(pa.string()))])
             for whole in batches:
-                for b in slices(whole, "__text"):
-                    w, hits = lookup.hits(b, "__text", length)
+                for b in slices(whole, body, 2 << 20):
+                    w, hits = lookup.hits(b, body, length)
                     spans: dict = {}
                     items: dict = {}
                     docs_of = (np.searchsorted(w.first, [i for i, _, _ in hits], side="right") - 1).tolist()

@@ -58,7 +58,7 @@ MOST_EVIDENCE = 20.0      # of a document: beyond this the curve is flat
 TABLE_BITS = 20
 
 
-def tokens(batch, column: str) -> tuple[Words, list[tuple[np.ndarray, np.ndarray]]]:
+def tokens(batch, column: str | int) -> tuple[Words, list[tuple[np.ndarray, np.ndarray]]]:
     """Words, and (hashes, which words) of the words and then of their
     beginnings, longest first."""
     w = Words(batch.column(column), class_table(BETWEEN), lower=True)
@@ -69,7 +69,7 @@ def _counted(batches: Iterator) -> Iterator:
     """h, toxic, clean: in how many documents a token is, summed for each slice."""
     import pyarrow as pa
     for whole in batches:
-        for b in slices(whole, "text", 4 << 20):
+        for b in slices(whole, "text", 1 << 20):
             w, found = tokens(b, "text")
             label = b.column("sample_label").to_numpy(zero_copy_only=False).astype(np.int64)
             doc = np.repeat(np.arange(b.num_rows), np.diff(w.first))
@@ -161,7 +161,7 @@ class Model:
         z = self.curve[0] + self.curve[1] * evidence
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
-    def segments(self, batch, column: str) -> Iterator[list[tuple]]:
+    def segments(self, batch, column: str | int) -> Iterator[list[tuple]]:
         """For each text its maximal segments: (byte start, byte end, score, ln E)."""
         w, found = tokens(batch, column)
         if "table" not in self.__dict__:
@@ -254,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
         table = _Table(keys, np.arange(len(keys), dtype=float))
         seen, rows = np.zeros(len(keys), np.int64), 0
         for whole in batches:
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", 1 << 20):
                 w, found = tokens(b, "text")
                 rows += b.num_rows
                 doc = np.repeat(np.arange(b.num_rows), np.diff(w.first))
@@ -305,8 +305,10 @@ def _scored(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "t
     """``keep`` columns, n_words, best, evidence, score, passages of every row."""
     held = docs.sparkSession.sparkContext.broadcast(model.state())
     name = f"toxicity-{uuid.uuid4().hex}"
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema if f.name != "__text") + \
+    # the text travels once, also where it is kept
+    body = keep.index(text) if text in keep else len(keep)
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text}`")]))
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + \
         f"n_words long, best double, evidence double, score double, passages {_PASSAGE}"
     names = [*keep, "n_words", "best", "evidence", "score", "passages"]
 
@@ -316,9 +318,9 @@ def _scored(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "t
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("log_e", pa.float64())]))
         limit = math.log(MOST_E)
         for whole in batches:
-            for b in slices(whole, "__text"):
-                found = list(m.segments(b, "__text"))
-                n = np.diff(Words(b.column("__text"), class_table(BETWEEN)).first) if "n_words" in needed else np.zeros(len(found), np.int64)
+            for b in slices(whole, body, 1 << 20):
+                found = list(m.segments(b, body))
+                n = np.diff(Words(b.column(body), class_table(BETWEEN)).first) if "n_words" in needed else np.zeros(len(found), np.int64)
                 evidence = [m.evidence(s) for s in found]
                 yield pa.RecordBatch.from_arrays([
                     *[b.column(c) for c in range(len(keep))], pa.array(n, pa.int64()),
