@@ -108,6 +108,15 @@ def test_near_copies(spark):
     assert len(ids) == len(set(group)) and set(x for x in ids if x is not None) == set(least.values())
 
 
+def test_unrelated_documents_with_one_id_are_kept(spark):
+    import random
+    rnd = random.Random(21)
+    apart = [prose(rnd, 80) for _ in range(8)]
+    rows = [(None, t) for t in apart[:4]] + [(None, apart[0])] + [(7, apart[4]), (7, apart[5]), (7, apart[5]), (8, apart[6]), (9, apart[7])]
+    kept = simhash.keep_one(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(set(rows))
+
+
 def test_near_copies_of_nothing(spark):
     assert simhash.group_near_copies(frame(spark, [(1, "a")]).limit(0)).collect() == []
     assert simhash.keep_one(frame(spark, [(1, "a")]).limit(0)).collect() == []

@@ -142,10 +142,9 @@ def linked(nodes: DataFrame) -> DataFrame:
     return linked_in_keys(nodes.select("fp", F.explode(F.expr(_keys("fp"))).alias("key")), 3)
 
 
-def group_near_copies(docs: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc_id",
-                      keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the ``keep`` columns, fp (signed long), component_id: one row
-    for each row of ``docs``."""
+def _rooted(docs: DataFrame, size: int, text: str, doc_id: str, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, the ``keep`` columns, fp, root (a fingerprint, one for each
+    component) and component_id: one row for each row of ``docs``."""
     known = materialise(fingerprints(docs, size, text, (doc_id, *keep)), "fingerprints")
     nodes = materialise(known.groupBy("fp").agg(F.min(doc_id).alias("least_id")), "nodes")
     roots = components(linked(nodes))
@@ -153,8 +152,16 @@ def group_near_copies(docs: DataFrame, size: int = 3, text: str = "text", doc_id
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     placed = materialise(placed, "placed")
     ids = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = placed.join(ids, "root").select("fp", "component_id")
-    return known.join(by_fp, "fp").select(doc_id, *keep, "fp", "component_id")
+    by_fp = placed.join(ids, "root").select("fp", "root", "component_id")
+    return known.join(by_fp, "fp").select(doc_id, *keep, "fp", "root", "component_id")
+
+
+def group_near_copies(docs: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc_id",
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the ``keep`` columns, fp (signed long), component_id: one row
+    for each row of ``docs``. component_id is not unique where doc_ids are
+    null or repeat."""
+    return _rooted(docs, size, text, doc_id, keep).drop("root")
 
 
 def keep_one(docs: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -162,8 +169,8 @@ def keep_one(docs: DataFrame, size: int = 3, text: str = "text", doc_id: str = "
     doc_id (nulls last), the smallest text hash among equals."""
     mark, = unused(docs, "text_mark")
     marked = docs.withColumn(mark, F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    grouped = group_near_copies(marked, size, text, doc_id, (mark,))
-    first = grouped.groupBy("component_id").agg(
+    grouped = _rooted(marked, size, text, doc_id, (mark,))
+    first = grouped.groupBy("root").agg(
         F.min(F.struct(F.col(doc_id).isNull().alias("absent"), F.col(doc_id).alias("id"), F.col(mark).alias("m"))).alias("f"))
     chosen = first.select(F.col("f.id").alias("keep_id"), F.col("f.m").alias("keep_mark"))
     same = marked[doc_id].eqNullSafe(chosen["keep_id"]) & (marked[mark] == chosen["keep_mark"])
