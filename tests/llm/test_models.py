@@ -82,6 +82,17 @@ def test_toxicity_without_labels(spark):
     assert {round(r.p, 6) for r in quality.score_documents(docs, vectors, net, score="p").collect()} == {0.5}
 
 
+def test_toxicity_with_one_toxic_label(spark):
+    rnd = random.Random(8)
+    rows = [(i, prose(rnd, 40)) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i == 3)) for i in range(60)], "doc_id long, toxic int")
+    docs = frame(spark, rows)
+    model = toxicity.train(docs, labels, F.lit(False))
+    scores = [r.score for r in toxicity.score_documents(docs, model).collect()]
+    assert np.allclose(scores, 1 / 60)
+    assert toxicity.drop_toxic(docs, model).count() == 60
+
+
 def test_quality(spark):
     rows, labels = corpus(spark)
     rows += [r for r in awkward() if r[0] is None or r[0] < 0 or r[0] > 1 << 60]

@@ -26,8 +26,9 @@ sum of -ln(E / MOST_E) over its significant segments, up to ``MOST_EVIDENCE``, a
 fitted on the labelled documents turns it into a probability.
 
 Null, empty and wordless texts have no segment, and get the curve's value at
-zero evidence. Without labelled documents of both classes every score is the
-share of toxic ones among the labelled (0 if there are none).
+zero evidence. Without labelled documents of both classes, or without a token
+that leans to the toxic one, every score is the share of toxic ones among the
+labelled (0 if there are none).
 """
 
 from __future__ import annotations
@@ -228,9 +229,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     sizes = {r["sample_label"]: r["n"] for r in lessons.groupBy("sample_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     empty = np.zeros(0, np.uint64), np.zeros(0)
+    share = min(max((bad + 0.0) / max(bad + good, 1), 1e-9), 1 - 1e-9)
+    by_share = Model(*empty, COST, 1.0, 1.0, (math.log(share / (1 - share)), 0.0))
     if not bad or not good:
-        share = min(max((bad + 0.0) / max(bad + good, 1), 1e-9), 1 - 1e-9)
-        return Model(*empty, COST, 1.0, 1.0, (math.log(share / (1 - share)), 0.0))
+        return by_share
 
     counts = materialise(lessons.mapInArrow(_counted, "h long, toxic long, clean long")
                          .groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxicity-counts")
@@ -241,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     top = (counts.where(F.col("toxic") >= 3).withColumn("lean", lean * F.sqrt(F.col("toxic")))
            .where(F.col("lean") > 0).orderBy(F.col("lean").desc(), "h").limit(WEIGHTED).collect())
     if not top:
-        return Model(*empty, COST, 1.0, 1.0, logistic(np.zeros(2), np.array([bad, good]) / (bad + good)))
+        return by_share
     hashes = np.array([r["h"] for r in top], np.int64).view(np.uint64)
     toxic, clean = (np.array([r[c] for r in top], float) for c in ("toxic", "clean"))
 
