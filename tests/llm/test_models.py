@@ -72,6 +72,22 @@ def test_maximal_segments(seed):
     assert got == want
 
 
+def test_passages_that_repeat_words():
+    import pyarrow as pa
+    words = ["idiot", "scum", "moron"]
+    hashes = toxicity.tokens(pa.record_batch({"t": [" ".join(words)]}), "t")[0].hashes()
+    model = toxicity.Model(hashes, np.array([3.0, 3.0, 3.0]), 0.2, 1.0, 0.1, (-5.0, 1.0))
+    clean, passage = "one two three four five " * 40, "idiot scum moron "
+    far = "".join(w + " " + clean for w in words)      # each alone, too weak for a passage
+    texts = [passage + clean, passage + clean + passage, far, far + passage + passage]
+    found = [[x for x in s if x[3] <= 0] for s in model.segments(pa.record_batch({"t": texts}), "t")]
+    assert [len(s) for s in found] == [1, 2, 0, 1]
+    assert [texts[1].encode()[a:b].decode() for a, b, *_ in found[1]] == [passage.strip()] * 2
+    assert found[3][0][0] == len(far)
+    evidence = [model.evidence(s) for s in found]
+    assert evidence[1] > evidence[0] > evidence[2] == 0 < evidence[3]
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, awkward())
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")

@@ -2,8 +2,8 @@
 
 Tokens are words and beginnings of words (``PREFIXES`` bytes), which also catch
 a stem with endings never seen before. A word stands for itself if it has a
-weight, else for its longest beginning that has one; it counts where it first
-comes in a document.
+weight, else for its longest beginning that has one. Learning counts it once a
+document; the search scores every occurrence.
 
 Learning. Tokens of labelled documents are counted by class, once a document.
 Those that lean most to the toxic side are counted again over the whole corpus,
@@ -19,8 +19,8 @@ as one step, so the pass is linear in the weighted words.
 
 Calibration. Under clean text the best segment of n words follows an extreme
 value law, P(S >= x) = 1 - exp(-K n exp(-lambda x)). lambda solves
-sum p(w) exp(lambda s(w)) = 1 over the corpus, K is fitted on clean labelled
-documents. A segment is significant if E, its expected number of equals in a
+sum p(w) exp(lambda s(w)) = 1, with p from all words of the clean labelled
+documents, and K is fitted on these documents. A segment is significant if E, its expected number of equals in a
 clean text of that length, is at most ``MOST_E``. The document's evidence is the
 sum of -ln(E / MOST_E) over its significant segments, up to ``MOST_EVIDENCE``, and a logistic curve
 fitted on the labelled documents turns it into a probability.
@@ -168,12 +168,6 @@ class Model:
         if "table" not in self.__dict__:
             self.table = _Table(self.hashes, self.weights)
         at, weight = self.table.weigh(found)
-        # a word counts where it comes first in its text, as in learning
-        doc = np.searchsorted(w.first, at, side="right")
-        order = np.lexsort((at, found[0][0][at], doc))
-        same = (np.diff(doc[order]) == 0) & (np.diff(found[0][0][at][order]) == 0)
-        first = np.sort(order[np.concatenate(([True], ~same))]) if len(at) else order
-        at, weight = at[first], weight[first]
         cut = np.searchsorted(at, w.first)
         for d, n in enumerate(np.diff(w.first).tolist()):
             a, b = cut[d], cut[d + 1]
@@ -282,7 +276,30 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     z = weight / np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
     use = (z >= LEAST_Z) & (weight >= LEAST_WEIGHT)
     hashes, weight = hashes[use], weight[use]
-    p = (clean[use] + prior[use]) / (n_clean + mass)
+    # how often each is a word of clean text, every occurrence counted as in the search
+    kept = docs.sparkSession.sparkContext.broadcast(hashes.tobytes())
+
+    def occurrences(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        keys = np.frombuffer(kept.value, np.uint64)
+        table = _Table(keys, np.arange(len(keys), dtype=float))
+        seen, words = np.zeros(len(keys), np.int64), 0
+        for whole in batches:
+            for b in slices(whole, "text", 1 << 20):
+                w, found = tokens(b, "text")
+                words += len(w.start)
+                if len(keys):
+                    seen += np.bincount(table.weigh(found)[1].astype(np.int64), minlength=len(keys))
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], words))], names=["k", "n"])
+
+    often, n_words = np.zeros(len(hashes)), 0
+    for r in lessons.where("sample_label = 0").select("text").mapInArrow(occurrences, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        if r["k"] < 0:
+            n_words = r["n"]
+        else:
+            often[r["k"]] = r["n"]
+    p = (often + prior[use]) / ((1 + PRIOR) * max(n_words, 1))
     cost = max(COST, 2 * float((p * weight).sum()))
     lam = _solve_lambda(p, weight, cost) if len(weight) else 1.0
     model = Model(hashes, weight, cost, lam, 1.0, (0.0, 1.0))
