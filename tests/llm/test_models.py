@@ -122,6 +122,19 @@ def test_quality(spark):
     assert quality.score_documents(docs.limit(0), vectors, net).collect() == []
 
 
+def test_a_repeated_labelled_id_is_one_lesson(spark, monkeypatch):
+    rnd = random.Random(12)
+    rows, labels = corpus(spark, n=120)
+    rows += [(1, prose(rnd, 30)) for _ in range(200)] + [(1, rows[1][1])] * 20 + [(1, None)]
+    docs, sizes = frame(spark, rows), []
+    fit, logistic = quality.fit, toxicity.logistic
+    monkeypatch.setattr(quality, "fit", lambda x, y: sizes.append(len(x)) or fit(x, y, 10))
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y: sizes.append(len(x)) or logistic(x, y))
+    quality.train(docs, labels, F.lit(False))
+    toxicity.train(docs, labels, F.lit(False))
+    assert sizes == [80, 80]
+
+
 def brute_nearest(rows, asked, k):
     use = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = []

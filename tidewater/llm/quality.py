@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, materialise, per_worker, slices
-from .training import labelled_sample, remainder
+from .training import labelled_sample, lessons, remainder
 from .wordhash import Words
 
 SAMPLE = 20_000           # labelled documents to learn from, at most
@@ -232,10 +232,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "qu
                 yield pa.RecordBatch.from_arrays([b.column("sample_label"), pa.array([r.tobytes() for r in x], pa.binary())], names=["label", "x"])
 
     chosen = materialise(labelled_sample(labels, label, held_out, sample, doc_id), "quality-sample")
-    body = docs.select(F.col(f"`{doc_id}`").alias("sample_id"), F.col(f"`{text}`").alias("text"))
-    # at most ``sample`` rows, in the broadcast and back
-    rows = (body.join(F.broadcast(chosen), "sample_id").select("text", "sample_label").mapInArrow(run, "label int, x binary")
-            .orderBy("label", "x").collect())
+    # a row for each chosen id, so about ``sample`` at most come back
+    rows = lessons(docs, chosen, text, doc_id).mapInArrow(run, "label int, x binary").orderBy("label", "x").collect()
     x = np.array([np.frombuffer(r["x"], "<f4") for r in rows], float).reshape(len(rows), FEATURES)
     y = np.array([r["label"] for r in rows], float)
     if len(set(y.tolist())) < 2:

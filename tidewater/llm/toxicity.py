@@ -41,6 +41,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import training
 from .common import load, materialise, per_worker, slices
 from .decontaminate import BETWEEN
 from .training import labelled_sample, remainder
@@ -217,9 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     """Learn from the labelled documents that are not ``held_out`` (an
     expression on doc_id), and from the word counts of all documents."""
     chosen = materialise(labelled_sample(labels, label, held_out, sample, doc_id), "toxicity-sample")
-    body = docs.select(F.col(f"`{doc_id}`").alias("sample_id"), F.col(f"`{text}`").alias("text"))
-    # at most ``sample`` rows: a bounded broadcast
-    lessons = materialise(body.join(F.broadcast(chosen), "sample_id").select("text", "sample_label"), "toxicity-lessons")
+    # a row for each chosen id, so about ``sample`` at most
+    lessons = materialise(training.lessons(docs, chosen, text, doc_id), "toxicity-lessons")
     sizes = {r["sample_label"]: r["n"] for r in lessons.groupBy("sample_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     empty = np.zeros(0, np.uint64), np.zeros(0)
@@ -263,7 +263,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
 
     everywhere = np.zeros(len(hashes))
     corpus_rows = 1
-    for r in body.select("text").mapInArrow(corpus, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(corpus, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         if r["k"] < 0:
             corpus_rows = max(1, r["n"])
         else:

@@ -210,28 +210,29 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
                     "n_records", "n_parts", "parts", "base_key", "processed_key"),
         t.staging(batch_id, "verdict"))
 
-    # one small look at the verdict (a row per file of this trigger) decides
-    # the part size and which of the optional writes below are needed
-    summary = verdict.select("status", "path", "file_id", "length", "n_records", "n_parts", "content_hash").collect()
-    done_rows = [r for r in summary if r.status == K.DONE]
-    rpp = N.records_per_chunk_py(sum(int(r.length or 0) for r in done_rows),
-                                 sum(int(r.n_records or 0) for r in done_rows))
+    # one row of totals decides the part size and which of the optional writes
+    # below are needed
+    done = F.col("status") == K.DONE
+    totals = verdict.agg(
+        F.count_if(done).alias("n_done"), F.count_if(F.col("status") == K.QUARANTINED).alias("n_quarantined"),
+        F.sum(F.when(done, F.col("length"))).alias("length"), F.sum(F.when(done, F.col("n_records"))).alias("n_records"),
+        F.max(F.when(done, F.col("n_parts"))).alias("n_parts")).first()
+    rpp = N.records_per_chunk_py(int(totals.length or 0), int(totals.n_records or 0))
 
     # 5. processed rows of the files that parsed (all-string, union of keys)
-    ok = verdict.where(F.col("status") == K.DONE)
-    if done_rows:
+    ok = verdict.where(done)
+    if totals.n_done:
         _write_processed(spark, staged, ok, t, batch_id, rpp)
 
     # 6. quarantine copies (bytes re-read only for these files)
-    quarantined = [r for r in summary if r.status == K.QUARANTINED]
-    if quarantined:
+    if totals.n_quarantined:
         # oversized files were never loaded; their row keeps path, reason and size
-        paths = [_place(r.file_id) for r in quarantined
-                 if (r.length or 0) > 0 and not r.content_hash.startswith("oversize:")]
+        again = verdict.where((F.col("status") == K.QUARANTINED) & (F.col("length") > 0) & ~F.col("content_hash").startswith("oversize:"))
+        paths = [_place(r.file_id) for r in again.select("file_id").collect()]
         _write_quarantine(spark, paths, verdict, t, batch_id, at)
 
     # 7. parts manifests of multi-part files
-    if any((r.n_parts or 0) > 1 for r in done_rows):
+    if (totals.n_parts or 0) > 1:
         multi = ok.where(F.col("n_parts") > 1).select(
             F.col("base_key"), F.col("parts"), F.col("n_records").alias("record_count"),
             at.alias("created_at"), F.lit(batch_id).cast("bigint").alias("batch_id"))
@@ -245,7 +246,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
 
     # 9. processed-file events for files now done (D15: skip already published)
     from ..streaming import topics as TP
-    if done_rows:
+    if totals.n_done:
         TP.publish(spark, ok, t, batch_id, at)
 
     # 10. one outcome row per file for monitoring (B31), replay-safe by batch
