@@ -26,7 +26,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.drop_repeated_lines(docs)
+    out = lines.drop_repeated_lines(docs, whole=True)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
     return out.select(docs.columns)

@@ -330,6 +330,18 @@ def test_lines(spark, monkeypatch, small):
     assert Counter((r.doc_id, r.text) for r in out.collect()) == brute_lines(rows)
 
 
+def test_lines_as_they_stand_and_digits(spark):
+    import random
+    rnd = random.Random(17)
+    long = " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(12))
+    chinese = "这是一行没有空格的中文文本需要完全相同才会被删除掉吗"
+    rows = [(1, "short line\n\n-----\n" + chinese), (2, "Short line\n\n-----\n" + chinese + "\nshort line"),
+            (3, "2019 12 34 56 78\n2018 98 76 54 32\n" + long + " 2019"), (4, "2019 12 34 56 78\n" + long.upper() + "! 2018\n  \n  "), (5, None)]
+    out = lines.drop_repeated_lines(frame(spark, rows), dropped="n_gone", whole=True).collect()
+    assert {r.doc_id: (r.text, r.n_gone) for r in out} == {
+        1: (rows[0][1], 0), 2: ("Short line\n", 3), 3: (rows[2][1], 0), 4: ("  \n  ", 2), 5: (None, 0)}
+
+
 def test_lines_of_nothing(spark):
     assert lines.drop_repeated_lines(frame(spark, [(1, "a")]).limit(0)).collect() == []
 

@@ -1,6 +1,13 @@
 """Fuzzy line deduplication.
 
-A line is normalised to its words (letters, digits, bytes from 0x80) in lower
+With ``whole``, as the query and the pipeline ask for: lines of at least
+``LEAST_WORDS`` words or ``LEAST_CHARS`` characters are normalised to their
+words in lower case and equal after that are one node. Digits are 0 only in
+the fingerprint, so lines that differ in digits are candidates, and are
+verified with their digits. All other lines that are not blank are compared
+as they stand: exactly equal ones are one node, of any length.
+
+Without it, a line is normalised to its words (letters, digits, bytes from 0x80) in lower
 case with every digit as 0. Lines of fewer than ``LEAST_WORDS`` words are left
 alone: short lines are equal by chance. Lines equal after that are one node,
 whatever their count.
@@ -36,9 +43,10 @@ from .common import load, materialise, slices, unused, utf8
 from .components import components
 from .decontaminate import BETWEEN
 from .simhash import linked_in_keys, sorted_groups
-from .wordhash import Words, class_table, range_hashes
+from .wordhash import BREAKS, Words, class_table, range_hashes
 
 LEAST_WORDS = 5
+LEAST_CHARS = 20
 RADIUS = 5
 SIMILAR = 0.8
 BORDERS = (0, 10, 19, 28, 37, 46, 55, 64)     # seven blocks of a fingerprint
@@ -46,15 +54,19 @@ PAIRS = tuple(combinations(range(7), 2))
 CROWD = 2048              # fingerprints of one key that a task compares on its own
 TILE = 256                # lines of a candidate group that meet in one half of a tile
 UNIT = 500_000
+RAW = 1                   # seed of the hashes of lines as they stand
 KNOWN = 4_000_000         # candidate lines whose hashes are broadcast (32 MB); beyond it a join
 
 
 class Lines:
     """The lines of a column that take part: text index, line number, hash and,
-    if asked for, fingerprint of each."""
+    if asked for, fingerprint of each. With ``whole`` also ``short``: text
+    index, line number and hash of the lines that only take part as they stand."""
 
-    def __init__(self, column, fingerprints: bool = True):
+    def __init__(self, column, fingerprints: bool = True, whole: bool = False):
         w = self.words = Words(column, class_table(BETWEEN), lower=True)
+        self.buf = w.buf.copy() if whole else w.buf
+        exact = w.hashes() if whole else None
         w.buf[(w.buf >= 48) & (w.buf <= 57)] = 48
         doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
         breaks = np.flatnonzero(w.buf == 10)
@@ -63,9 +75,15 @@ class Lines:
         new[1:] = (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(doc))[:len(begin)]
-        h = w.hashes()
-        self.hash = range_hashes(h, begin, end)
+        h = w.hashes() if fingerprints or not whole else exact
+        self.hash = range_hashes(exact if whole else h, begin, end)
         ok = end - begin >= LEAST_WORDS
+        if whole:
+            lead = np.concatenate(([0], np.cumsum((w.buf & 0xC0) != 0x80)))      # characters before a byte
+            chars = np.concatenate(([0], np.cumsum(lead[w.end] - lead[w.start])))
+            ok |= chars[end] - chars[begin] + end - begin - 1 >= LEAST_CHARS
+            if fingerprints:
+                self.short = _as_they_stand(column, w.start[begin[ok]])
         self.doc, self.number = doc[begin][ok], number[begin][ok]
         self.hash, self.begin, self.end = self.hash[ok], begin[ok], end[ok]
         if not fingerprints:
@@ -84,18 +102,40 @@ class Lines:
 
     def text(self, k: int) -> bytes:
         w = self.words
-        return b" ".join(w.buf[a:b].tobytes() for a, b in zip(w.start[self.begin[k]:self.end[k]], w.end[self.begin[k]:self.end[k]]))
-
-
-def _occurrences(batches: Iterator) -> Iterator:
-    import pyarrow as pa
-    for whole in batches:
-        for b in slices(whole, "text", 1 << 20):
-            found = Lines(b.column("text"))
-            at = pa.array(found.doc)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("mark").take(at), pa.array(found.number.astype(np.int32)),
-                 pa.array(found.hash.view(np.int64)), pa.array(found.fp.view(np.int64))], names=["doc_id", "mark", "line", "key", "fp"])
+        return b" ".join(self.buf[a:b].tobytes() for a, b in zip(w.start[self.begin[k]:self.end[k]], w.end[self.begin[k]:self.end[k]]))
+
+
+def _as_they_stand(column, but: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text index, line number and hash of the column's lines that are not
+    blank, without those that hold the bytes ``but``."""
+    w = Words(column, class_table(b"\n"))
+    ink = np.concatenate(([0], np.cumsum(class_table(BREAKS)[w.buf])))
+    use = ink[w.end] > ink[w.start]
+    use[np.searchsorted(w.start, but, side="right") - 1] = False
+    doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    breaks = np.flatnonzero(w.buf == 10)
+    number = np.searchsorted(breaks, w.start) - np.searchsorted(breaks, w.off[:-1])[doc]
+    w.start, w.end = w.start[use], w.end[use]
+    return doc[use], number[use], w.hashes(RAW)
+
+
+def _occurrences(whole: bool):
+    """doc_id, mark, line, key, fp of every line that takes part; fp is null
+    for those that only do as they stand."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for b in slices(batch, "text", 1 << 20):
+                found = Lines(b.column("text"), True, whole)
+                parts = [(found.doc, found.number, found.hash, pa.array(found.fp.view(np.int64)))]
+                if whole:
+                    parts.append((*found.short, pa.nulls(len(found.short[0]), pa.int64())))
+                for doc, number, key, fp in parts:
+                    at = pa.array(doc)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(at), b.column("mark").take(at), pa.array(number.astype(np.int32)),
+                         pa.array(key.view(np.int64)), fp], names=["doc_id", "mark", "line", "key", "fp"])
+    return run
 
 
 def block_keys(fp: np.ndarray, pair: int) -> np.ndarray:
@@ -240,7 +280,7 @@ def edit_similar(a: str, b: str, least: float = SIMILAR) -> bool:
     return score <= most
 
 
-def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, keys: DataFrame, whole: bool) -> DataFrame:
     """(key, body): the normalised line of every key in ``keys``."""
     spark = docs.sparkSession
     few = keys.count() <= KNOWN
@@ -249,9 +289,9 @@ def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         wanted = np.frombuffer(held.value, np.int64) if held else None
-        for whole in batches:
-            for b in slices(whole, "text", 1 << 20):
-                found = Lines(b.column("text"), False)
+        for batch in batches:
+            for b in slices(batch, "text", 1 << 20):
+                found = Lines(b.column("text"), False, whole)
                 h, at = np.unique(found.hash.view(np.int64), return_index=True)
                 if wanted is not None:
                     ok = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
@@ -285,18 +325,19 @@ def _verified(members: DataFrame, radius: int, similar: float, tile: int) -> Dat
     return tiles.repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
 
 
-def repeated_lines(docs: DataFrame, radius: int = RADIUS, similar: float = SIMILAR) -> DataFrame:
+def repeated_lines(docs: DataFrame, radius: int = RADIUS, similar: float = SIMILAR, whole: bool = False) -> DataFrame:
     """(mark, lines): the line numbers to drop from the documents of that mark.
     ``docs`` has doc_id, text and mark."""
     seen = materialise(docs.where("text is not null").select("doc_id", "text", "mark")
-                       .mapInArrow(_occurrences, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, line int, key long, fp long"), "lines")
+                       .mapInArrow(_occurrences(whole), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, line int, key long, fp long"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "mark", "line")
     nodes = materialise(seen.groupBy("key").agg(F.min("fp").alias("fp"), F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line-nodes")
-    near = components(near_fingerprints(nodes, radius)).toDF("fp", "root")
-    rooted = nodes.select("key", "fp").join(near, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+    long = nodes.where("fp is not null").select("key", "fp")
+    near = components(near_fingerprints(long, radius)).toDF("fp", "root")
+    rooted = long.join(near, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
     groups = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
     members = materialise(rooted.join(groups, "root"), "line-candidates")
-    with_text = materialise(members.join(_texts_of(docs, members.select("key")), "key"), "line-texts")
+    with_text = materialise(members.join(_texts_of(docs, members.select("key"), whole), "key"), "line-texts")
     same = components(_verified(with_text, radius, similar, TILE)).toDF("key", "top")
 
     grouped = materialise(nodes.join(same, "key", "left").where("n > 1 or top is not null")
@@ -310,13 +351,14 @@ def repeated_lines(docs: DataFrame, radius: int = RADIUS, similar: float = SIMIL
 
 
 def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dropped: str | None = None,
-                        radius: int = RADIUS, similar: float = SIMILAR) -> DataFrame:
+                        radius: int = RADIUS, similar: float = SIMILAR, whole: bool = False) -> DataFrame:
     """``docs`` with the text's repeated lines taken out; the others stay as
-    they are. ``dropped`` names a column for the number of lines taken out."""
+    they are. ``dropped`` names a column for the number of lines taken out,
+    ``whole`` takes in short lines and tells digits apart (see above)."""
     mark, lines, kept = unused(docs, "line_mark", "line_numbers", "kept_text")
     marked = docs.withColumn(mark, F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
     plain = marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(mark).alias("mark"))
-    gone = repeated_lines(plain, radius, similar).toDF(mark, lines)
+    gone = repeated_lines(plain, radius, similar, whole).toDF(mark, lines)
     rest = [c for c in docs.columns if c != text]
     names = [*rest, text, *([dropped] if dropped else [])]
     joined = marked.join(gone, mark, "left").select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias(kept), F.col(lines))
@@ -341,5 +383,5 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document after fuzzy line deduplication."""
     breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"))
-    out = drop_repeated_lines(docs, dropped="n_removed")
+    out = drop_repeated_lines(docs, dropped="n_removed", whole=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
