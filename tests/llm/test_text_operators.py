@@ -195,6 +195,20 @@ def test_token_store(spark, tmp_root):
         at += r.n_tokens
 
 
+def test_token_store_query_has_added_tokens(spark, tmp_root, monkeypatch):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    rows = texts_for_tokens() + [(900, "a <|endoftext|> b"), (901, "x<|endoftext|><|endoftext|>\ny"), (902, "a <|endoftext b")]
+    monkeypatch.setattr(token_store, "load", lambda *a: frame(spark, rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = [np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for _, t in rows]
+    assert sum(50256 in x for x in ids) == 3
+    want = Counter((i, len(x), zlib.crc32(x.tobytes())) for (i, _), x in zip(rows, ids))
+    out = token_store.op5_token_store(spark, "").collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == want
+
+
 @pytest.mark.parametrize("top", [200, 1 << 8, 1 << 16, 1 << 24, (1 << 32) - 1])
 def test_variable_length_code(top):
     rng = np.random.default_rng(top)

@@ -76,14 +76,17 @@ class WordIds:
     space or break before them, and kept. It also ends one between a letter and
     the marks after it, so a new word with such an ending is put together from
     the word without it. A text with other white space at a word's border is
-    encoded as a whole."""
+    encoded as a whole, and so is one that holds an added token's string, if
+    ``added``: the library's default, by which such a string becomes that token.
+    Otherwise it is ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         size = self.tokenizer.get_vocab_size()
         # a character of a byte-level token stands for one byte
         self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(size)], np.int64)
@@ -133,7 +136,8 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
-        cut = [None if any(c in t for c in ODD) else ((FIRST + t) if t[:1] != "\n" else t).replace("\n", " \n").split(" ") if t else []
+        alone = (*ODD, *self.added)
+        cut = [None if any(c in t for c in alone) else ((FIRST + t) if t[:1] != "\n" else t).replace("\n", " \n").split(" ") if t else []
                for t in texts]
         cut = [w[1:] if w and t[0] == "\n" else w for w, t in zip(cut, texts)]
         fresh = set().union(*filter(None, cut))
@@ -150,15 +154,16 @@ class WordIds:
         return out
 
 
-def tokenise(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", width: int = 4) -> DataFrame:
+def tokenise(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", width: int = 4,
+             added: bool = False) -> DataFrame:
     """doc_id, n (with the end id), ids (unsigned little-endian, ``width`` bytes)."""
-    name = f"word-ids-{path}"
+    name = f"word-ids-{path}-{added}"
     kind = docs.schema[doc_id].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        coder = per_worker(name, lambda: WordIds(path))
+        coder = per_worker(name, lambda: WordIds(path, added))
         for whole in batches:
             for b in slices(whole, "text", 1 << 18):     # small slices keep their words in the processor's cache
                 ids = [np.frombuffer(x + end, "<u4") for x in coder.encode([t.decode() for t in utf8(b.column("text"))])]
@@ -192,15 +197,17 @@ def frequency_ranks(ids: DataFrame, vocabulary: int, width: int = 4) -> np.ndarr
 _TAIL = "lens binary, control binary, data binary"
 
 
-def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, text: str = "text", doc_id: str = "doc_id") -> None:
-    """Encode ``docs`` and write a store to ``path``."""
+def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, text: str = "text", doc_id: str = "doc_id",
+                added: bool = False) -> None:
+    """Encode ``docs`` and write a store to ``path``; with ``added`` the strings
+    of added tokens become these tokens, as the library has it by default."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     size = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
     width = 2 if size <= 1 << 16 else 4
     raw = scratch_path(spark, "llm-token-ids")
-    tokenise(docs, tokenizer_path, end_id, text, doc_id, width).write.option("compression", "zstd").parquet(raw)
+    tokenise(docs, tokenizer_path, end_id, text, doc_id, width, added).write.option("compression", "zstd").parquet(raw)
     ids = spark.read.parquet(raw)
     order = frequency_ranks(ids, size, width)
     rank = np.empty(size, "<u4")
@@ -280,5 +287,5 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = scratch_path(spark, "llm-token-store")
-    write_store(load(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    write_store(load(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2, added=True)
     return read_store(spark, path, lambda x: (zlib.crc32(x.astype("<u4").tobytes()),), "ids_crc32 long")
