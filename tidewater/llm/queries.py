@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lines, neighbours, quality, sharding, simhash, substrings, token_store, toxicity
+from . import (bpe, decontaminate, lines, negatives, neighbours, quality, sharding, simhash, substrings, token_store, topk,
+               toxicity)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,10 +16,14 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_nearest": neighbours.op9_nearest,
     "op10_lines": lines.op10_lines,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_topk": topk.op12_topk,
 }
 
 ORACLES = {
     "op3_decontamination": decontaminate.OP3_SQL,
     "op7_substrings": substrings.OP7_SQL,
     "op9_nearest": neighbours.OP9_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
+    "op12_topk": topk.OP12_SQL,
 }
