@@ -138,3 +138,68 @@ def test_products_are_exact(scale):
     a, b = V.codes(scale * rng.normal(size=(5, 40)), 1024), V.codes(scale * rng.normal(size=(7, 40)), 1024)
     want = [[inner([int(x) for x in r], [int(y) for y in t]) for t in b] for r in a]
     assert V.products(a, b).tolist() == want
+
+
+def brute_phrases(rows, least, within=80, best=2000):
+    import re
+    f, total = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\x0A-\x0D]", low):
+            w = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            f.update((lang, *w[i:i + n]) for n in range(1, 5) for i in range(len(w) - n + 1))
+    out = []
+    longer = Counter()
+    for p, a in f.items():
+        if a >= least:
+            for n in range(2, len(p) - 1):
+                for i in range(1, len(p) - n + 1):
+                    longer[(p[0], *p[i:i + n])] = max(a, longer[(p[0], *p[i:i + n])])
+    for p, a in f.items():
+        if len(p) > 2 and a >= least and not 100 * longer[p] >= within * a:
+            s, k = min((2000000 * a // (f[p[:k]] + f[(p[0], *p[k:])]), k) for k in range(2, len(p)))
+            out.append((p[0], -s, -a, " ".join(p[1:]).encode(), f[p[:k]], f[(p[0], *p[k:])]))
+    rank, want = Counter(), set()
+    for lang, s, a, p, left, right in sorted(out):
+        rank[lang] += 1
+        if rank[lang] <= best:
+            want.add((lang, rank[lang], p.decode(), -a, left, right, total[lang], -s))
+    return want
+
+
+def texts(seed=7):
+    rnd = random.Random(seed)
+    words = ["The", "the", "of", "Ünï", "漢字", "x\u00a0y", "\x1cq", "w'1", "é"] + [f"w{i}" for i in range(12)]
+    gaps = [" "] * 12 + ["\t", "  ", ", ", ".", "\n", "\r\n", " ; ", "\x0b", "\x85"]
+    say = lambda n: "".join(rnd.choice(words[:9] if rnd.random() < 0.6 else words) + rnd.choice(gaps) for _ in range(n))
+    rows = [(say(rnd.randrange(0, 80)), rnd.choice(["en", "de", None, "und"])) for _ in range(120)]
+    rows += [("new York City hall " * 40 + say(20), "en")] * 3 + [(say(4000), "de")]
+    return rows + [(None, "en"), ("", None), (" \t.,", "fr"), (None, None), ("z" * 3000 + " one", "en")]
+
+
+def phrase_frame(spark, rows):
+    return spark.createDataFrame([(t, lang, 1, 2) for t, lang in rows], "text string, lang string, words int, n int").repartition(3)
+
+
+def test_phrases_brute_force(spark):
+    from tidewater.llm.phrases import collocations
+    rows = texts()
+    got = collocations(phrase_frame(spark, rows), least=5)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert {t for c, t in got.dtypes if c not in ("lang", "phrase")} == {"bigint"}
+    want = brute_phrases(rows, 5)
+    assert len(want) > 200
+    assert set(map(tuple, got.collect())) == want
+    assert collocations(phrase_frame(spark, rows).limit(0)).count() == 0
+
+
+def test_phrases_with_small_memory(spark, monkeypatch):
+    """Bursting, spilling, new word lists, chunks cut inside texts and a crowded bit table change nothing."""
+    from tidewater.llm import phrases
+    for name, value in (("BURST", 3), ("MOST_ENTRIES", 40), ("CHUNK", 50), ("MOST_WORDS", 15), ("PARTS", 3)):
+        monkeypatch.setattr(phrases, name, value)
+    rows = texts(8)
+    got = phrases.collocations(phrase_frame(spark, rows), least=4, best=30, filter_bits=7)
+    assert set(map(tuple, got.collect())) == brute_phrases(rows, 4, best=30)

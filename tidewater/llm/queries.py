@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, decontaminate, lines, negatives, neighbours, quality, sharding, simhash, substrings, token_store, topk,
-               toxicity)
+from . import (bpe, decontaminate, lines, negatives, neighbours, phrases, quality, sharding, simhash, substrings,
+               token_store, topk, toxicity)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_lines": lines.op10_lines,
     "op11_hard_negatives": negatives.op11_hard_negatives,
     "op12_topk": topk.op12_topk,
+    "op13_phrases": phrases.op13_phrases,
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op9_nearest": neighbours.OP9_SQL,
     "op11_hard_negatives": negatives.OP11_SQL,
     "op12_topk": topk.OP12_SQL,
+    "op13_phrases": phrases.OP13_SQL,
 }
