@@ -8,11 +8,11 @@ given out whole, as runs sorted by phrase, until half is left; so memory is boun
 the counts stay complete. Runs are stored, dealt by ranges of (lang, phrase), so that a
 common first word is split over several tasks, and summed.
 
-The texts are read twice: first for phrases of one and two words, then for those of three
-and four whose pairs of neighbours all reach the least count. Which pairs do is told by a
-bit table of fixed size (``FILTER_BITS``), the only thing broadcast: a pair that shares
-another's bit costs needless counting, and none is missed. A phrase with a part below the
-least count is below it too, so nothing is lost.
+The texts are read three times: for words, for pairs of words that both reach the least
+count, and for phrases of three and four whose pairs of neighbours all reach it. Which
+words or pairs do is told by a bit table of fixed size (``FILTER_BITS``), the only thing
+broadcast: one that shares another's bit costs needless counting, and none is missed. A
+phrase with a part below the least count is below it too, so nothing is lost.
 
 Null texts are empty, a null lang is ``und``, and repeated rows count as often as they
 stand. Equal scores are ordered by count, then by phrase. Empty tables and tables without
@@ -43,6 +43,7 @@ MOST_ENTRIES = 1_000_000  # counts that a task holds
 BURST = 8192
 CHUNK = 2 << 20           # bytes of text cut into words at once
 FILTER_BITS = 26
+RUN_BYTES = 4 << 20       # of phrases in a batch given out
 PARTS = 32                # first stage of the ranking
 
 BOUNDARY = b"."           # any of the marks that end a piece
@@ -71,6 +72,21 @@ class HatTrie:
     def __init__(self):
         self.nodes: dict = {}      # first word: {rest: count}, or a list [{second word: {rest: count}}]
         self.sizes: dict = {}
+        self.roots = None          # the first words' own counts: ids and counts, in order of ids
+
+    def add_words(self, ids, counts) -> int:
+        """Add counts of different words, sorted; the number of new entries."""
+        import numpy as np
+
+        if self.roots is None:
+            self.roots = ids, counts
+            return len(ids)
+        both = np.concatenate((self.roots[0], ids))
+        order = np.argsort(both, kind="stable")
+        both, new = both[order], len(self.roots[0])
+        starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
+        self.roots = both[starts], np.add.reduceat(np.concatenate((self.roots[1], counts))[order], starts)
+        return len(starts) - new
 
     def add(self, first, rest, counts) -> int:
         """Add counts of different phrases, sorted by first word and rest; the number of new entries."""
@@ -125,21 +141,23 @@ def _word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-def _pair_bit(lang: int, first, second, bits: int):
-    """The bit of word pairs, from the words' hashes."""
+def _bit(lang: int, parts: list, bits: int):
+    """The bits of words, or of pairs of them, from the words' hashes."""
     import numpy as np
 
-    h = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second + np.uint64(lang))
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = np.full(len(parts[0]), lang, np.uint64)
+    for p in parts:
+        h = (h ^ p) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return h >> np.uint64(64 - bits)
 
 
 class Counter:
-    """One task's counts: phrases of ``lengths`` words, those of three and more only
-    where ``table`` has the bits of all their pairs."""
+    """One task's counts: phrases of ``lengths`` words, of which each ``unit`` neighbours
+    have their bit in ``table`` (unit 0: no table)."""
 
-    def __init__(self, lengths: range, table, bits: int):
-        self.lengths, self.table, self.bits = lengths, table, bits
+    def __init__(self, lengths: range, unit: int, table, bits: int):
+        self.lengths, self.unit, self.table, self.bits = lengths, unit, table, bits
         self.reset()
 
     def reset(self) -> None:
@@ -170,31 +188,37 @@ class Counter:
         import numpy as np
 
         ids = np.fromiter(map(self.vocabulary.__getitem__, tokens), np.int64, len(tokens))
-        inside = ids != 0
         trie = self.tries.setdefault(lang, HatTrie())
-        linked = None
-        if self.table is not None and len(ids) > 1:
+        good, span = ids != 0, max(self.unit, 1)
+        if len(ids) < min(self.lengths):
+            return
+        if self.unit:
             words = self.vocabulary.words
             self.hashes.extend(map(_word_hash, words[len(self.hashes):]))
             h = np.array(self.hashes, np.uint64)[ids]
-            bit = _pair_bit(_word_hash(lang.encode()), h[:-1], h[1:], self.bits)
-            linked = (self.table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            linked &= inside[:-1] & inside[1:]
+            inside, n = good, len(ids) - span + 1
+            bit = _bit(_word_hash(lang.encode()), [h[i:i + n] for i in range(span)], self.bits)
+            good = (self.table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            for i in range(span):
+                good &= inside[i:i + n]
         first, rest = [], []
         for n in self.lengths:
             starts = len(ids) - n + 1
             if starts <= 0:
                 continue
             ok = np.arange(starts) + n > old
-            for i in range(n - 1 if linked is not None else n):
-                ok &= (linked if linked is not None else inside)[i:i + starts]
+            for i in range(n - span + 1):
+                ok &= good[i:i + starts]
             at = np.flatnonzero(ok)
             packed = np.zeros(len(at), np.int64)
             for i in range(1, LONGEST):
                 packed = packed << WORD_BITS | (ids[at + i] if i < n else 0)
             first.append(ids[at])
             rest.append(packed)
-        if not first or not sum(map(len, first)):
+        if not sum(map(len, first)):
+            return
+        if max(self.lengths) == 1:
+            self.held += trie.add_words(*np.unique(first[0], return_counts=True))
             return
         first, rest = np.concatenate(first), np.concatenate(rest)
         order = np.lexsort((rest, first))
@@ -204,55 +228,75 @@ class Counter:
         self.held += trie.add(first[starts], rest[starts], np.diff(np.append(starts, len(first))))
 
     def spill(self, keep: int) -> Iterator:
-        """Give out the largest subtrees, each as a sorted run, until ``keep`` entries are left."""
-        words, mask = self.vocabulary.words, (1 << WORD_BITS) - 1
+        """Give out the largest subtrees, each lang's as one run sorted by words, until
+        ``keep`` entries are left."""
         sizes = sorted(((n, lang, f) for lang, t in self.tries.items() for f, n in t.sizes.items()), reverse=True)
+        out: dict = {}
+        for lang, t in self.tries.items():
+            if t.roots is not None:
+                ids, counts = t.roots
+                out[lang] = (ids.tolist(), [1] * len(ids), [0] * len(ids), counts.tolist())
+                self.held -= len(ids)
+                t.roots = None
         for n, lang, f in sizes:
             if self.held <= keep:
-                return
+                break
             self.held -= n
-            run = []
+            firsts, each, rests, counts = out.setdefault(lang, ([], [], [], []))
             for container in self.tries[lang].cut(f):
-                for rest, count in container.items():
-                    parts = [words[f]]
-                    for shift in (2 * WORD_BITS, WORD_BITS, 0):
-                        if w := rest >> shift & mask:
-                            parts.append(words[w])
-                    run.append((b" ".join(parts), len(parts), count))
-            run.sort()
-            yield lang, run
+                firsts.append(f)
+                each.append(len(container))
+                rests.extend(container)
+                counts.extend(container.values())
+        if out:
+            yield from self._written(out)
+
+    def _written(self, out: dict) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = pa.array(self.vocabulary.words, pa.large_binary())
+        rank = np.empty(len(words), np.int64)
+        rank[pc.array_sort_indices(words).to_numpy()] = np.arange(len(words))
+        size = pc.binary_length(words).to_numpy()
+        mask = (1 << WORD_BITS) - 1
+        for lang, (firsts, each, rests, counts) in out.items():
+            rest = np.array(rests, np.int64)
+            ids = [np.repeat(np.array(firsts, np.int64), each), *(rest >> s & mask for s in (2 * WORD_BITS, WORD_BITS, 0))]
+            counts = np.array(counts, np.int64)
+            # absent words have id 0, which ranks before every word here
+            order = np.lexsort([np.where(i > 0, rank[i], -1) for i in reversed(ids)])
+            ids, counts = [i[order] for i in ids], counts[order]
+            many = sum((i > 0).astype(np.int32) for i in ids)
+            held = np.cumsum(sum(size[i] for i in ids) + 64)
+            cuts = np.flatnonzero(np.diff(held // RUN_BYTES)) + 1
+            for s, e in zip([0, *cuts], [*cuts, len(counts)]):
+                phrases = words.take(pa.array(ids[0][s:e]))
+                for i in ids[1:]:
+                    # no word, no space: null parts are skipped
+                    part = pa.array(i[s:e], mask=i[s:e] == 0)
+                    phrases = pc.binary_join_element_wise(phrases, words.take(part), pa.scalar(b" ", pa.large_binary()), null_handling="skip")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * (e - s)), phrases.cast(pa.binary()).cast(pa.string()), pa.array(many[s:e]), pa.array(counts[s:e])],
+                    names=["lang", "phrase", "words", "n"])
 
 
 _RUN = "lang string, phrase string, words int, n long"
 
 
-def _runs(docs: DataFrame, lengths: range, table, bits: int) -> DataFrame:
-    """Runs of phrase counts of (text, lang); ``table`` is a broadcast bit table, or None."""
+def _runs(docs: DataFrame, lengths: range, unit: int, table, bits: int) -> DataFrame:
+    """Runs of phrase counts of (text, lang); ``table`` is the broadcast bit table for ``unit``."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        counter = Counter(lengths, None if table is None else table.value, bits)
+        counter = Counter(lengths, unit, table.value if unit else None, bits)
         waiting: dict = {}
-        rows: list = []
         size = 0
 
-        def batch(least: int):
-            """The rows gathered, once there are ``least``."""
-            if len(rows) > least:
-                cols = [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
-                        pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64())]
-                rows.clear()
-                yield pa.RecordBatch.from_arrays(cols, names=["lang", "phrase", "words", "n"])
-
-        def take(runs):
-            for lang, found in runs:
-                for s in range(0, len(found), 20000):
-                    rows.extend((lang, *r) for r in found[s:s + 20000])
-                    yield from batch(20000)
-
         def drain():
             for lang, texts in waiting.items():
-                yield from take(counter.feed(lang, texts))
+                yield from counter.feed(lang, texts)
             waiting.clear()
 
         for b in batches:
@@ -265,8 +309,7 @@ def _runs(docs: DataFrame, lengths: range, table, bits: int) -> DataFrame:
                         yield from drain()
                         size = 0
         yield from drain()
-        yield from take(counter.spill(0))
-        yield from batch(0)
+        yield from counter.spill(0)
     return docs.mapInArrow(run, _RUN)
 
 
@@ -277,21 +320,20 @@ def _merged(runs: DataFrame, least: int) -> DataFrame:
             .agg(F.first("words").alias("words"), F.sum("n").alias("f")).where(F.col("f") >= least))
 
 
-def _bit_table(pairs: DataFrame, bits: int):
-    """2^bits bits, those of ``pairs`` set: at most 2^(bits - 6) numbers reach the driver."""
+def _bit_table(phrases: DataFrame, bits: int):
+    """2^bits bits, those of ``phrases`` set: at most 2^(bits - 6) numbers reach the driver."""
     import numpy as np
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            langs = np.array([_word_hash(x.encode()) for x in b.column("lang").to_pylist()], np.uint64)
+            langs = b.column("lang").to_pylist()
             words = [p.encode().split(b" ") for p in b.column("phrase").to_pylist()]
-            first, second = (np.array([_word_hash(w[i]) for w in words], np.uint64) for i in (0, 1))
-            with np.errstate(over="ignore"):
-                bit = np.array([_pair_bit(int(g), first[i:i + 1], second[i:i + 1], bits)[0] for i, g in enumerate(langs)], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bit)], names=["bit"])
-    held = (pairs.select("lang", "phrase").mapInArrow(run, "bit long")
+            bit = [int(_bit(_word_hash(g.encode()), [np.array([_word_hash(x)], np.uint64) for x in w], bits)[0])
+                   for g, w in zip(langs, words)]
+            yield pa.RecordBatch.from_arrays([pa.array(bit, pa.int64())], names=["bit"])
+    held = (phrases.select("lang", "phrase").mapInArrow(run, "bit long")
             .groupBy(F.shiftright("bit", 6).alias("at"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("set")).toArrow())
     table = np.zeros(1 << bits - 6, np.int64)
@@ -310,12 +352,15 @@ def collocations(docs: DataFrame, least: int = LEAST, within: int = WITHIN, best
     each lang of ``docs`` (text, lang)."""
     spark = docs.sparkSession
     texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    short_runs = materialise(_runs(texts, range(1, 3), None, filter_bits), "phrase-runs")
-    short = materialise(_merged(short_runs, least), "phrase-short")
-    totals = short_runs.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    table = spark.sparkContext.broadcast(_bit_table(short.where("words = 2"), filter_bits))
-    long = materialise(_merged(materialise(_runs(texts, range(3, LONGEST + 1), table, filter_bits), "phrase-runs"), least), "phrase-long")
-    counted = short.unionByName(long)
+    counted, unit, totals = None, 0, None
+    for lengths in (range(1, 2), range(2, 3), range(3, LONGEST + 1)):
+        table = unit and spark.sparkContext.broadcast(_bit_table(counted.where(F.col("words") == unit), filter_bits))
+        runs = materialise(_runs(texts, lengths, unit, table, filter_bits), "phrase-runs")
+        if totals is None:
+            totals = runs.groupBy("lang").agg(F.sum("n").alias("n"))
+        found = materialise(_merged(runs, least), "phrase-counts")
+        counted = found if counted is None else counted.unionByName(found)
+        unit += 1
     candidates = counted.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
 
     part = lambda start, n: F.array_join(F.slice("w", start, n), " ")
