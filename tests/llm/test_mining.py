@@ -198,8 +198,34 @@ def test_phrases_brute_force(spark):
 def test_phrases_with_small_memory(spark, monkeypatch):
     """Bursting, spilling, new word lists, chunks cut inside texts and a crowded bit table change nothing."""
     from tidewater.llm import phrases
-    for name, value in (("BURST", 3), ("MOST_ENTRIES", 40), ("CHUNK", 50), ("MOST_WORDS", 15), ("PARTS", 3)):
+    for name, value in (("BURST", 5), ("MOST_ENTRIES", 200), ("CHUNK", 500), ("MOST_WORDS", 25), ("PARTS", 3)):
         monkeypatch.setattr(phrases, name, value)
     rows = texts(8)
     got = phrases.collocations(phrase_frame(spark, rows), least=4, best=30, filter_bits=7)
     assert set(map(tuple, got.collect())) == brute_phrases(rows, 4, best=30)
+
+
+def test_hat_trie_bursts():
+    """Containers split by ranges of first words and, under a hot one, of second words; counts stay whole."""
+    import numpy as np
+
+    from tidewater.llm import phrases as P
+    rng = np.random.default_rng(5)
+    burst, P.BURST = P.BURST, 40
+    try:
+        trie, want = P.HatTrie(), Counter()
+        for _ in range(30):
+            first = np.where(rng.random(200) < 0.5, 7, rng.integers(1, 60, 200))
+            second, third = rng.integers(1, 30, 200), rng.integers(0, 3, 200)
+            rest = (second << 2 * P.WORD_BITS) | (third << P.WORD_BITS)
+            want.update(zip(first.tolist(), rest.tolist()))
+            trie.add(first, rest)
+        leaves = trie.containers()
+        assert 7 in trie.leaves and len(trie.leaves[7]) > 1 and len(trie.leaves[None]) > 2
+        got = Counter()
+        for c in leaves:
+            c.merge()
+            got.update({(f, r): n for f, r, n in zip(*(x.tolist() for x in c.held[1:]))})
+        assert got == want and sum(len(c.held[0]) for c in leaves) == len(want)
+    finally:
+        P.BURST = burst

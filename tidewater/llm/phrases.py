@@ -1,12 +1,14 @@
 """Phrase collocations, counted in HAT-tries.
 
-A task numbers the words it meets and counts phrases in one trie for each lang: a node
-for each first word, under it a hash container from the packed ids of the other words to
-a count. A container of over ``BURST`` entries bursts into one for each second word. When
-a task holds ``MOST_ENTRIES``, the largest subtrees (all phrases with one first word) are
-given out whole, as runs sorted by phrase, until half is left; so memory is bounded and
-the counts stay complete. Runs are stored, dealt by ranges of (lang, phrase), so that a
-common first word is split over several tasks, and summed.
+A task numbers the words it meets and counts phrases in one trie for each lang. Its leaves
+are hash containers: (first word, packed rest) -> count, in order of a 64-bit hash, with the
+phrases themselves compared. A container holds the phrases of a range of first words, at
+first of all; one of over ``BURST`` entries bursts: its range is split where its entries are
+halved, and one of a single first word by ranges of its second words. When a task holds
+``MOST_ENTRIES``, the largest containers (whole subtrees) are given out until half is left, as
+runs sorted by words; so memory is bounded and the counts stay complete. Runs are stored,
+dealt by ranges of (lang, phrase), so that a common first word is split over several tasks,
+and summed.
 
 The texts are read three times: for words, for pairs of words that both reach the least
 count, and for phrases of three and four whose pairs of neighbours all reach it. Which
@@ -39,8 +41,8 @@ BEST = 2000               # phrases reported for each lang
 WORD_BITS = 21
 MOST_WORDS = 1 << 19      # words numbered before a task starts a new list
 MOST_WORD_BYTES = 64 << 20
-MOST_ENTRIES = 1_000_000  # counts that a task holds
-BURST = 8192
+MOST_ENTRIES = 2_000_000  # counts that a task holds
+BURST = 1 << 16
 CHUNK = 2 << 20           # bytes of text cut into words at once
 FILTER_BITS = 26
 RUN_BYTES = 4 << 20       # of phrases in a batch given out
@@ -66,73 +68,111 @@ class Vocabulary(dict):
         return i
 
 
+class Container:
+    """Counts of phrases whose first word (or, at depth 1, second word) is at least ``low``."""
+
+    def __init__(self, depth: int, low: int):
+        import numpy as np
+
+        none = np.zeros(0, np.int64)
+        self.depth, self.low, self.held, self.new, self.waiting = depth, low, (np.zeros(0, np.uint64), none, none, none), [], 0
+
+    def add(self, hashes, first, rest) -> None:
+        import numpy as np
+
+        self.new.append((hashes, first, rest, np.ones(len(first), np.int64)))
+        self.waiting += len(first)
+
+    def merge(self) -> int:
+        """Merge what waits by hash; the number of entries."""
+        import numpy as np
+
+        if self.new:
+            h, first, rest, n = (np.concatenate(c) for c in zip(self.held, *self.new))
+            order = np.argsort(h, kind="stable")
+            same = lambda o: (h[o][1:] == h[o][:-1], (first[o][1:] == first[o][:-1]) & (rest[o][1:] == rest[o][:-1]))
+            hash_met, met = same(order)
+            if (hash_met & ~met).any():      # different phrases of one hash
+                order = np.lexsort((rest, first, h))
+                _, met = same(order)
+            starts = np.flatnonzero(np.concatenate(([True], ~met)))
+            at = order[starts]
+            self.held = h[at], first[at], rest[at], np.add.reduceat(n[order], starts)
+            self.new, self.waiting = [], 0
+        return len(self.held[0])
+
+    def size(self) -> int:
+        return len(self.held[0]) + self.waiting
+
+    def burst(self) -> list:
+        """This container, or the two that its range is split into."""
+        import numpy as np
+
+        if self.waiting < max(BURST, len(self.held[0])) or self.merge() <= BURST:
+            return [self]
+        depth, words = self.depth, self.held[1]
+        if depth == 0 and words.min() == words.max():
+            depth, self.low = 1, 0
+        if depth == 1:
+            words = self.held[2] >> 2 * WORD_BITS
+        least = int(np.median(words)) + 1
+        if least > words.max():
+            least = int(words.max())
+        if least <= words.min():
+            return [self]
+        out = []
+        for low, part in ((self.low, words < least), (least, words >= least)):
+            c = Container(depth, low)
+            c.held = tuple(x[part] for x in self.held)
+            out.append(c)
+        return out
+
+
 class HatTrie:
-    """Counts of phrases by first word and packed rest."""
+    """Counts of phrases by first word and packed rest: containers in order of first words,
+    and under a first word that has outgrown one, those of its second words."""
 
     def __init__(self):
-        self.nodes: dict = {}      # first word: {rest: count}, or a list [{second word: {rest: count}}]
-        self.sizes: dict = {}
-        self.roots = None          # the first words' own counts: ids and counts, in order of ids
+        self.leaves: dict = {None: [Container(0, 0)]}      # by the first word of a deeper node
 
-    def add_words(self, ids, counts) -> int:
-        """Add counts of different words, sorted; the number of new entries."""
+    def add(self, first, rest) -> None:
         import numpy as np
 
-        if self.roots is None:
-            self.roots = ids, counts
-            return len(ids)
-        both = np.concatenate((self.roots[0], ids))
-        order = np.argsort(both, kind="stable")
-        both, new = both[order], len(self.roots[0])
-        starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
-        self.roots = both[starts], np.add.reduceat(np.concatenate((self.roots[1], counts))[order], starts)
-        return len(starts) - new
-
-    def add(self, first, rest, counts) -> int:
-        """Add counts of different phrases, sorted by first word and rest; the number of new entries."""
+        h = (first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ rest.view(np.uint64)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        for deeper in [f for f in self.leaves if f is not None]:
+            own = first == deeper
+            if own.any():
+                self._into(deeper, rest[own] >> 2 * WORD_BITS, h[own], first[own], rest[own])
+                h, first, rest = h[~own], first[~own], rest[~own]
+        if len(first):
+            self._into(None, first, h, first, rest)
+
+    def _into(self, node, words, h, first, rest) -> None:
         import numpy as np
 
-        new = 0
-        cuts = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(first)]
+        leaves = self.leaves[node]
+        leaf = np.searchsorted([c.low for c in leaves], words, side="right") - 1
+        order = np.argsort(leaf, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(leaf[order])) + 1).tolist(), len(order)]
+        out = {}
         for s, e in zip(cuts, cuts[1:]):
-            f = int(first[s])
-            node = self.nodes.get(f)
-            if node is None:
-                node = self.nodes[f] = {}
-                self.sizes[f] = 0
-            if isinstance(node, dict):
-                grown = _count(node, rest[s:e], counts[s:e])
-                if len(node) > BURST:
-                    self.nodes[f] = _burst(node)
-            else:
-                grown = 0
-                second = rest[s:e] >> 2 * WORD_BITS
-                inner = [s, *(s + 1 + np.flatnonzero(np.diff(second))).tolist(), e]
-                for a, b in zip(inner, inner[1:]):
-                    grown += _count(node[0].setdefault(int(rest[a]) >> 2 * WORD_BITS, {}), rest[a:b], counts[a:b])
-            self.sizes[f] += grown
-            new += grown
-        return new
-
-    def cut(self, f: int) -> list[dict]:
-        """Take out the subtree of a first word: its containers."""
-        del self.sizes[f]
-        node = self.nodes.pop(f)
-        return [node] if isinstance(node, dict) else list(node[0].values())
-
-
-def _count(container: dict, rest, counts) -> int:
-    before, get = len(container), container.get
-    for r, c in zip(rest.tolist(), counts.tolist()):
-        container[r] = get(r, 0) + c
-    return len(container) - before
-
-
-def _burst(container: dict) -> list:
-    out: dict = {}
-    for r, c in container.items():
-        out.setdefault(r >> 2 * WORD_BITS, {})[r] = c
-    return [out]
+            at, c = order[s:e], leaves[leaf[order[s]]]
+            c.add(h[at], first[at], rest[at])
+            out[id(c)] = c.burst()
+        kept = []
+        for c in leaves:
+            for x in out.get(id(c), [c]):
+                if x.depth == 1 and node is None:
+                    self.leaves.setdefault(int(x.held[1][0]), []).append(x)
+                else:
+                    kept.append(x)
+        if not kept or kept[0].low > 0:
+            kept.insert(0, Container(0 if node is None else 1, 0))
+        self.leaves[node] = kept
+
+    def containers(self) -> list:
+        return [c for leaves in self.leaves.values() for c in leaves]
 
 
 def _word_hash(word: bytes) -> int:
@@ -161,7 +201,11 @@ class Counter:
         self.reset()
 
     def reset(self) -> None:
-        self.vocabulary, self.tries, self.held, self.hashes = Vocabulary(), {}, 0, []
+        self.vocabulary, self.tries, self.hashes = Vocabulary(), {}, []
+
+    def held(self, merged: bool = False) -> int:
+        """Entries, or occurrences where they are not merged yet."""
+        return sum(c.merge() if merged else c.size() for t in self.tries.values() for c in t.containers())
 
     def feed(self, lang: str, texts: list[bytes]) -> Iterator:
         """Count whole texts; gives the runs that this spills."""
@@ -175,13 +219,13 @@ class Counter:
             at = end
             v = self.vocabulary
             if len(v) + len(tokens) + len(tail) >= 1 << WORD_BITS or len(v) > MOST_WORDS or v.bytes > MOST_WORD_BYTES:
-                yield from self.spill(0)
+                yield from self.spill()
                 self.reset()
             tokens = tail + tokens
             self._chunk(lang, tokens, len(tail))
             tail = tokens[-(LONGEST - 1):]
-            if self.held > MOST_ENTRIES:
-                yield from self.spill(MOST_ENTRIES // 2)
+            if self.held() > MOST_ENTRIES and (held := self.held(merged=True)) > MOST_ENTRIES * 3 // 4:
+                yield from self.spill(MOST_ENTRIES // 2, held)
 
     def _chunk(self, lang: str, tokens: list[bytes], old: int) -> None:
         """Count the phrases that end after the ``old`` first tokens."""
@@ -217,37 +261,21 @@ class Counter:
             rest.append(packed)
         if not sum(map(len, first)):
             return
-        if max(self.lengths) == 1:
-            self.held += trie.add_words(*np.unique(first[0], return_counts=True))
-            return
-        first, rest = np.concatenate(first), np.concatenate(rest)
-        order = np.lexsort((rest, first))
-        first, rest = first[order], rest[order]
-        new = np.concatenate(([True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])))
-        starts = np.flatnonzero(new)
-        self.held += trie.add(first[starts], rest[starts], np.diff(np.append(starts, len(first))))
-
-    def spill(self, keep: int) -> Iterator:
-        """Give out the largest subtrees, each lang's as one run sorted by words, until
-        ``keep`` entries are left."""
-        sizes = sorted(((n, lang, f) for lang, t in self.tries.items() for f, n in t.sizes.items()), reverse=True)
+        trie.add(np.concatenate(first), np.concatenate(rest))
+
+    def spill(self, keep: int = 0, held: int = 0) -> Iterator:
+        """Give out the largest containers, each lang's as one run sorted by words, until
+        ``keep`` of the ``held`` entries are left (0: all of them)."""
+        sizes = sorted(((c.size(), i, lang, c) for lang, t in self.tries.items() for i, c in enumerate(t.containers()) if c.size()),
+                       key=lambda x: (-x[0], x[2], x[1]))
         out: dict = {}
-        for lang, t in self.tries.items():
-            if t.roots is not None:
-                ids, counts = t.roots
-                out[lang] = (ids.tolist(), [1] * len(ids), [0] * len(ids), counts.tolist())
-                self.held -= len(ids)
-                t.roots = None
-        for n, lang, f in sizes:
-            if self.held <= keep:
+        for n, _, lang, c in sizes:
+            if keep and held <= keep:
                 break
-            self.held -= n
-            firsts, each, rests, counts = out.setdefault(lang, ([], [], [], []))
-            for container in self.tries[lang].cut(f):
-                firsts.append(f)
-                each.append(len(container))
-                rests.extend(container)
-                counts.extend(container.values())
+            held -= n
+            c.merge()
+            out.setdefault(lang, []).append(c.held[1:])
+            c.held = tuple(x[:0] for x in c.held)
         if out:
             yield from self._written(out)
 
@@ -261,19 +289,18 @@ class Counter:
         rank[pc.array_sort_indices(words).to_numpy()] = np.arange(len(words))
         size = pc.binary_length(words).to_numpy()
         mask = (1 << WORD_BITS) - 1
-        for lang, (firsts, each, rests, counts) in out.items():
-            rest = np.array(rests, np.int64)
-            ids = [np.repeat(np.array(firsts, np.int64), each), *(rest >> s & mask for s in (2 * WORD_BITS, WORD_BITS, 0))]
-            counts = np.array(counts, np.int64)
+        for lang, parts in out.items():
+            first, rest, counts = (np.concatenate(c) for c in zip(*parts))
+            ids = [first, *(rest >> s & mask for s in (2 * WORD_BITS, WORD_BITS, 0))]
             # absent words have id 0, which ranks before every word here
-            order = np.lexsort([np.where(i > 0, rank[i], -1) for i in reversed(ids)])
+            order = np.lexsort([np.where(i > 0, rank[i], -1) for i in reversed(ids) if i.any()] or [first])
             ids, counts = [i[order] for i in ids], counts[order]
             many = sum((i > 0).astype(np.int32) for i in ids)
             held = np.cumsum(sum(size[i] for i in ids) + 64)
             cuts = np.flatnonzero(np.diff(held // RUN_BYTES)) + 1
             for s, e in zip([0, *cuts], [*cuts, len(counts)]):
                 phrases = words.take(pa.array(ids[0][s:e]))
-                for i in ids[1:]:
+                for i in (i for i in ids[1:] if i[s:e].any()):
                     # no word, no space: null parts are skipped
                     part = pa.array(i[s:e], mask=i[s:e] == 0)
                     phrases = pc.binary_join_element_wise(phrases, words.take(part), pa.scalar(b" ", pa.large_binary()), null_handling="skip")
@@ -309,7 +336,7 @@ def _runs(docs: DataFrame, lengths: range, unit: int, table, bits: int) -> DataF
                         yield from drain()
                         size = 0
         yield from drain()
-        yield from counter.spill(0)
+        yield from counter.spill()
     return docs.mapInArrow(run, _RUN)
 
 
@@ -342,6 +369,14 @@ def _bit_table(phrases: DataFrame, bits: int):
     return table.view(np.uint8)
 
 
+def _forget(stored: DataFrame) -> None:
+    """Delete a scratch table that has been summed."""
+    spark = stored.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stored.inputFiles()[0]).getParent() if stored.inputFiles() else None
+    if path is not None:
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _exact(c):
     return F.col(c).cast("decimal(20,0)")
 
@@ -357,9 +392,10 @@ def collocations(docs: DataFrame, least: int = LEAST, within: int = WITHIN, best
         table = unit and spark.sparkContext.broadcast(_bit_table(counted.where(F.col("words") == unit), filter_bits))
         runs = materialise(_runs(texts, lengths, unit, table, filter_bits), "phrase-runs")
         if totals is None:
-            totals = runs.groupBy("lang").agg(F.sum("n").alias("n"))
+            totals = materialise(runs.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
         found = materialise(_merged(runs, least), "phrase-counts")
         counted = found if counted is None else counted.unionByName(found)
+        _forget(runs)
         unit += 1
     candidates = counted.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
 
