@@ -175,6 +175,16 @@ class HatTrie:
         return [c for leaves in self.leaves.values() for c in leaves]
 
 
+def _tokens(text: bytes):
+    """The words of a text, marks among them as boundaries: their places in the list of different words."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    spaced = text.translate(_TABLE).replace(BOUNDARY, b" " + BOUNDARY + b" ")
+    coded = pc.list_flatten(pc.split_pattern(pa.array([spaced], pa.large_binary()), " ")).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
 def _word_hash(word: bytes) -> int:
     import hashlib
 
@@ -215,23 +225,30 @@ class Counter:
             # a cut beside a mark or space parts no word
             cut = _GAP.search(text, at + CHUNK)
             end = cut.start() if cut else len(text)
-            tokens = text[at:end].translate(_TABLE).replace(BOUNDARY, b" " + BOUNDARY + b" ").split()
+            index, words = _tokens(text[at:end])
             at = end
             v = self.vocabulary
-            if len(v) + len(tokens) + len(tail) >= 1 << WORD_BITS or len(v) > MOST_WORDS or v.bytes > MOST_WORD_BYTES:
+            if len(v) + len(words) + len(tail) >= 1 << WORD_BITS or len(v) > MOST_WORDS or v.bytes > MOST_WORD_BYTES:
                 yield from self.spill()
                 self.reset()
-            tokens = tail + tokens
-            self._chunk(lang, tokens, len(tail))
-            tail = tokens[-(LONGEST - 1):]
+            ids = self._ids(tail, index, words)
+            self._chunk(lang, ids, len(tail))
+            tail = [self.vocabulary.words[i] for i in ids[1 - LONGEST:]]
             if self.held() > MOST_ENTRIES and (held := self.held(merged=True)) > MOST_ENTRIES * 3 // 4:
                 yield from self.spill(MOST_ENTRIES // 2, held)
 
-    def _chunk(self, lang: str, tokens: list[bytes], old: int) -> None:
-        """Count the phrases that end after the ``old`` first tokens."""
+    def _ids(self, tail: list[bytes], index, words: list[bytes]):
+        """Ids of the words of ``tail`` and of those at ``index``; empty words go."""
+        import numpy as np
+
+        known = np.array([self.vocabulary[w] if w else -1 for w in words], np.int64)
+        ids = known[index] if len(words) else np.zeros(0, np.int64)
+        return np.concatenate((np.array([self.vocabulary[w] for w in tail], np.int64), ids[ids >= 0]))
+
+    def _chunk(self, lang: str, ids, old: int) -> None:
+        """Count the phrases that end after the ``old`` first words."""
         import numpy as np
 
-        ids = np.fromiter(map(self.vocabulary.__getitem__, tokens), np.int64, len(tokens))
         trie = self.tries.setdefault(lang, HatTrie())
         good, span = ids != 0, max(self.unit, 1)
         if len(ids) < min(self.lengths):
