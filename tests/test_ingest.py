@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import fixtures_landing as FX
 from tidewater.functions import constants as K
 from tidewater.operators import manifest as M
-from tidewater.operators.ingest import IngestTables, ingest_landing, read_processed
+from tidewater.operators.ingest import IngestTables, ingest_landing, quarantined_bytes, read_processed
 
 
 def _by_name(rows):
@@ -190,20 +190,46 @@ def test_source_defaults_to_ingress_d04(spark, tmp_root):
     assert [(r.source, r.date, r.key) for r in rows] == [(K.INGRESS, None, "f.csv")]
 
 
-def test_oversize_files_never_loaded(spark, tmp_root):
-    """Files over the limit are quarantined from metadata alone (limit
-    lowered to 64 bytes here; the real one is 500 MiB)."""
+def test_oversize_files_by_ranges(spark, tmp_root):
+    """Files over the limit (64 bytes here; the real one is 500 MiB) have their real hash, and
+    their bytes are kept in ranges; equal files give one manifest row."""
+    import hashlib
     land = os.path.join(tmp_root, "landing")
-    FX.write_cases(land, {"big.csv": (b"a\n" + b"1\n" * 100, K.QUARANTINED, None),
-                          "small.csv": (b"a\n1\n", K.DONE, 1)})
+    big, odd = b"a\n" + b"1\n" * 100, bytes(range(256)) * 3
+    FX.write_cases(land, {"big.csv": (big, K.QUARANTINED, None), "copy of %big+.csv": (big, K.QUARANTINED, None),
+                          "odd.bin": (odd, K.QUARANTINED, None), "small.csv": (b"a\n1\n", K.DONE, 1),
+                          "tiny.bin": (b"x", K.QUARANTINED, None), "p.csv": (b"PAR1" + b"0" * 100, K.QUARANTINED, None)})
     t = IngestTables(os.path.join(tmp_root, "state"))
-    got = _by_name(ingest_landing(spark, land, t, batch_id=1, max_bytes=64).collect())
+    got = _by_name(ingest_landing(spark, land, t, batch_id=1, max_bytes=64, range_bytes=50).collect())
     assert got["small.csv"].status == K.DONE
-    assert got["big.csv"].status == K.QUARANTINED
-    assert got["big.csv"].reason == "file size exceeds maximum limit of 64 bytes"
-    assert got["big.csv"].content_hash.startswith("oversize:")
-    q = spark.read.parquet(t.quarantine).collect()
-    assert [(r.path.endswith("big.csv"), len(r.content)) for r in q] == [(True, 0)]
+    assert sorted((got["big.csv"].status, got["copy of %big+.csv"].status)) == [K.QUARANTINED, "skipped"]
+    assert got["odd.bin"].reason == K.MSG_UNSUPPORTED
+    assert got["p.csv"].reason == "file size exceeds maximum limit of 64 bytes"
+    assert got["big.csv"].content_hash == got["copy of %big+.csv"].content_hash == hashlib.sha256(big).hexdigest()
+    cur = M.ManifestTable(spark, t.manifest).current().where(F.col("content_hash") == hashlib.sha256(big).hexdigest())
+    assert [r.status for r in cur.collect()] == [K.QUARANTINED]
+    rows = quarantined_bytes(spark, t).collect()
+    assert max(len(r.content) for r in rows) <= 64
+    joined = {}
+    for r in sorted(rows, key=lambda r: r.seq):
+        assert r.at == 50 * r.seq
+        joined[r.content_hash] = joined.get(r.content_hash, b"") + bytes(r.content)
+    assert joined == {hashlib.sha256(x).hexdigest(): x for x in (big, odd, b"x", b"PAR1" + b"0" * 100)}
+    # a second run over the same landing area adds nothing
+    again = _by_name(ingest_landing(spark, land, t, batch_id=2, max_bytes=64, range_bytes=50).collect())
+    assert {r.status for r in again.values()} == {"skipped"}
+    assert quarantined_bytes(spark, t).count() == len(rows)
+
+
+def test_hash_files_skips_missing_and_fails_on_errors(spark, tmp_root):
+    from tidewater.sources import ranges
+    p = os.path.join(tmp_root, "f.bin")
+    with open(p, "wb") as f:
+        f.write(b"abc" * 1000)
+    ids = spark.createDataFrame([(f"file:{p}",), (f"file:{tmp_root}/gone",)], "file_id string")
+    assert [(r.file_id, r.n_bytes, bytes(r.head)) for r in ranges.hash_files(ids, 7).collect()] == [(f"file:{p}", 3000, b"abca")]
+    with pytest.raises(Exception, match="IsADirectory"):
+        ranges.hash_files(spark.createDataFrame([(f"file:{tmp_root}",)], "file_id string")).collect()
 
 
 def test_processed_file_view(ingested):

@@ -26,6 +26,7 @@ from ..functions import constants as K
 from ..functions import naming as N
 from ..session import configure
 from ..sources import landing as LD
+from ..sources import ranges as RG
 from ..sources import readers as R
 from . import manifest as M
 from . import store as S
@@ -50,6 +51,8 @@ class IngestTables:
     @property
     def quarantine(self) -> str: return f"{self.root}/quarantine"
     @property
+    def quarantine_ranges(self) -> str: return f"{self.root}/quarantine_ranges"
+    @property
     def parts(self) -> str: return f"{self.root}/parts_manifest"
     @property
     def topic(self) -> str: return f"{self.root}/topics/{K.PROCESSED_TOPIC}"
@@ -63,14 +66,13 @@ class IngestTables:
 
 
 def classify_landed(landed: DataFrame, expected_hash: str | None = None,
-                    max_bytes: int = K.MAX_FILE_SIZE) -> DataFrame:
+                    max_bytes: int = K.MAX_FILE_SIZE, range_bytes: int = RG.RANGE) -> DataFrame:
     """Hash, sniff, validate; keep CSV header and quote check; drop bytes.
 
-    Files above ``max_bytes`` are classified from metadata only (``length``
-    is pushed into the binaryFile scan, so their bytes are never loaded —
-    a multi-GiB object would not even fit one row): format by extension,
-    and a key hashed from (path, length, modification time) in place of the
-    content hash. They fail validation as too large either way.
+    ``length`` is pushed into the binaryFile scan, so only files up to
+    ``max_bytes`` become rows with their bytes. Larger ones are streamed in
+    ranges inside tasks for the same hash and first bytes.
+    They fail validation as too large.
     """
     small = landed.where(F.col("length") <= F.lit(max_bytes))
     fmt = C.detect_format("key", "content")
@@ -90,20 +92,8 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None,
         out = (out.withColumnRenamed("content_hash", "actual_hash")
                .withColumn("content_hash", F.coalesce(F.col(expected_hash), F.col("actual_hash"))))
     big = landed.where(F.col("length") > F.lit(max_bytes))
-    by_ext = C.detect_format("key", F.unhex(F.lit("")))
-    big_cols = [
-        "file_id", "path", "key", "length", F.col("modificationTime").alias("received_at"), "source", "date",
-        F.concat(F.lit("oversize:"), F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"),
-                                                       F.col("modificationTime").cast("string")), 256)
-                 ).alias("content_hash"),
-        by_ext.alias("format"), F.lit(None).cast("string").alias("head"), F.lit(False).alias("bad_quote"),
-    ]
-    if expected_hash:
-        big_cols.append(F.col(expected_hash))
-    big_sel = big.select(*big_cols)
-    if expected_hash:
-        big_sel = big_sel.withColumn("actual_hash", F.col("content_hash"))
-    out = out.unionByName(big_sel)
+    if not big.select("file_id").isEmpty():
+        out = out.unionByName(_classify_over(big, expected_hash, range_bytes))
     too_big = F.format_string("file size exceeds maximum limit of %d bytes", F.lit(max_bytes))
     reason = C.validation_reason("format", "length", "actual_hash" if expected_hash else "content_hash",
                                  expected_hash if expected_hash else None)
@@ -115,6 +105,18 @@ def classify_landed(landed: DataFrame, expected_hash: str | None = None,
     return out.withColumn("reason", reason)
 
 
+def _classify_over(big: DataFrame, expected_hash: str | None, range_bytes: int) -> DataFrame:
+    """What :func:`classify_landed` keeps of files that are streamed."""
+    streamed = RG.hash_files(big, range_bytes).select("file_id", F.col("content_hash").alias("actual_hash"), "head")
+    out = big.drop("content").join(streamed, "file_id").select(
+        "file_id", "path", "key", "length", F.col("modificationTime").alias("received_at"), "source", "date",
+        "actual_hash", C.detect_format("key", "head").alias("format"), F.lit(None).cast("string").alias("head"),
+        F.lit(False).alias("bad_quote"), *([expected_hash] if expected_hash else []))
+    if expected_hash:
+        return out.withColumn("content_hash", F.coalesce(F.col(expected_hash), F.col("actual_hash")))
+    return out.withColumnRenamed("actual_hash", "content_hash")
+
+
 def purge_staging(spark: SparkSession, t: IngestTables, current_batch: int, keep: int = 5) -> list[int]:
     """Delete staging folders of batches older than the last ``keep`` (a
     replay only ever needs the current batch's stages). File-system metadata
@@ -147,7 +149,7 @@ def _write_stage(df: DataFrame, path: str) -> DataFrame:
 
 def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_id: int,
                  now: _dt.datetime | None = None, max_bytes: int = K.MAX_FILE_SIZE,
-                 expected_hash: str | None = None) -> DataFrame:
+                 expected_hash: str | None = None, range_bytes: int = RG.RANGE) -> DataFrame:
     """Run one batch. ``landed`` has landing columns (see sources.landing).
 
     Returns one row per landed file: file_id, path, content_hash, status,
@@ -159,7 +161,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     man = M.ManifestTable(spark, t.manifest)
 
     # 1. classify (the only stage that touches the bytes)
-    cls = classify_landed(landed, expected_hash, max_bytes=max_bytes)
+    cls = classify_landed(landed, expected_hash, max_bytes=max_bytes, range_bytes=range_bytes)
     if expected_hash:
         cls = cls.drop(expected_hash, "actual_hash")
     cls = _write_stage(cls, t.staging(batch_id, "classified"))
@@ -215,6 +217,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     done = F.col("status") == K.DONE
     totals = verdict.agg(
         F.count_if(done).alias("n_done"), F.count_if(F.col("status") == K.QUARANTINED).alias("n_quarantined"),
+        F.count_if((F.col("status") == K.QUARANTINED) & (F.col("length") > max_bytes)).alias("n_over"),
         F.sum(F.when(done, F.col("length"))).alias("length"), F.sum(F.when(done, F.col("n_records"))).alias("n_records"),
         F.max(F.when(done, F.col("n_parts"))).alias("n_parts")).first()
     rpp = N.records_per_chunk_py(int(totals.length or 0), int(totals.n_records or 0))
@@ -226,10 +229,12 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
 
     # 6. quarantine copies (bytes re-read only for these files)
     if totals.n_quarantined:
-        # oversized files were never loaded; their row keeps path, reason and size
-        again = verdict.where((F.col("status") == K.QUARANTINED) & (F.col("length") > 0) & ~F.col("content_hash").startswith("oversize:"))
+        refused = verdict.where(F.col("status") == K.QUARANTINED)
+        again = refused.where((F.col("length") > 0) & (F.col("length") <= max_bytes))
         paths = [_place(r.file_id) for r in again.select("file_id").collect()]
         _write_quarantine(spark, paths, verdict, t, batch_id, at)
+        if totals.n_over:
+            _write_ranges(refused.where(F.col("length") > max_bytes), t, batch_id, at, range_bytes)
 
     # 7. parts manifests of multi-part files
     if (totals.n_parts or 0) > 1:
@@ -357,6 +362,29 @@ def _write_quarantine(spark: SparkSession, paths: list[str], verdict: DataFrame,
      .partitionBy("ingest_batch").parquet(t.quarantine))
 
 
+def _write_ranges(over: DataFrame, t: IngestTables, batch_id: int, at, range_bytes: int) -> None:
+    """A19 for files over the limit: their bytes as rows of one range each."""
+    out = RG.copy_ranges(over.select("file_id", "path", "content_hash", F.col("final_reason").alias("reason"), "length"), range_bytes)
+    (out.drop("file_id").withColumn("quarantined_at", at).withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(t.quarantine_ranges))
+
+
+def quarantined_bytes(spark: SparkSession, t: IngestTables) -> DataFrame:
+    """The original bytes of quarantined files: path, content_hash, reason, seq, at, content. A file
+    up to the size limit is one row, a larger one a row for each range; in order of seq they
+    join to the file."""
+    whole = spark.read.parquet(t.quarantine)
+    ranges = None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.quarantine_ranges)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        ranges = spark.read.parquet(t.quarantine_ranges)
+        whole = whole.join(ranges.select("content_hash", "path", "ingest_batch").distinct(),
+                           ["content_hash", "path", "ingest_batch"], "left_anti")
+    cols = ["path", "content_hash", "reason", "seq", "at", "content"]
+    out = whole.withColumn("seq", F.lit(0).cast("bigint")).withColumn("at", F.lit(0).cast("bigint")).select(cols)
+    return out if ranges is None else out.unionByName(ranges.select(cols))
+
+
 WRITER_SHIFT = 32         # a batch id is its writer's number and the batch's own
 
 
@@ -387,7 +415,8 @@ def _place(file_id: str) -> str:
 
 def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int | None = None,
                    now: _dt.datetime | None = None, include_empty: bool = True,
-                   max_bytes: int = K.MAX_FILE_SIZE, dates: list[str] | None = None) -> DataFrame:
+                   max_bytes: int = K.MAX_FILE_SIZE, dates: list[str] | None = None,
+                   range_bytes: int = RG.RANGE) -> DataFrame:
     """Batch form of the pipeline: everything under ``landing_root`` (or only
     its ``date=`` folders in ``dates``) as one batch.
 
@@ -399,7 +428,8 @@ def ingest_landing(spark: SparkSession, landing_root: str, t: IngestTables, batc
     landed = LD.read_landing(spark, landing_root, dates=dates)
     if include_empty:
         landed = landed.unionByName(LD.empty_files(spark, landing_root, dates=dates))
-    return ingest_batch(spark, landed, t, run_id() if batch_id is None else batch_id, now, max_bytes)
+    return ingest_batch(spark, landed, t, run_id() if batch_id is None else batch_id, now, max_bytes,
+                        range_bytes=range_bytes)
 
 
 def recover_stuck_files(spark: SparkSession, landing_root: str, t: IngestTables, batch_id: int | None = None,

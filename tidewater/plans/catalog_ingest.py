@@ -11,7 +11,7 @@ from ..operators import features as FT
 from ..operators import lifecycle as L
 from ..operators import manifest as M
 from ..operators import store as S
-from ..operators.ingest import IngestTables, ingest_landing, read_processed
+from ..operators.ingest import IngestTables, ingest_landing, quarantined_bytes, read_processed
 from ..session import scratch_path
 from ..sources import landing as LD
 from ..sources import notifications as NT
@@ -290,6 +290,41 @@ def q_ingest_parquet(spark, sf):
     return _ingest_events(spark, sf, "parquet")
 
 
+# ------------------------------------------------------------------ A05 A19
+RANGES_LIMIT, RANGES_BYTES, RANGES_BLOCK = 6000, 2500, 2000   # a lowered size limit, and small ranges
+
+
+@query("quarantine_ranges", f"""
+WITH f AS (SELECT event_type AS source, strftime(DATE '2024-01-01' + CAST(event_id // {RANGES_BLOCK} AS INTEGER), '%Y-%m-%d') AS date,
+                  'event_id,user_id,event_type' || chr(10)
+                  || string_agg(event_id || ',' || user_id || ',' || event_type || chr(10), '' ORDER BY event_id) AS body
+           FROM events GROUP BY ALL),
+o AS (SELECT *, unnest(range((length(body) + {RANGES_BYTES - 1}) // {RANGES_BYTES})) AS seq FROM f WHERE length(body) > {RANGES_LIMIT})
+SELECT source, date, sha256(body) AS content_hash, 'quarantined' AS status,
+       'file size exceeds maximum limit of {RANGES_LIMIT} bytes' AS reason, seq,
+       length(substr(body, seq * {RANGES_BYTES} + 1, {RANGES_BYTES}))::INTEGER AS n_bytes,
+       sha256(substr(body, seq * {RANGES_BYTES} + 1, {RANGES_BYTES})) AS range_hash FROM o
+UNION ALL
+SELECT source, date, sha256(body), 'done', NULL, NULL, NULL, NULL FROM f WHERE length(body) <= {RANGES_LIMIT}""")
+def q_quarantine_ranges(spark, sf):
+    """Events land as CSV files of up to 2,000 consecutive ids a type; those over the lowered
+    limit are quarantined in ranges."""
+    prep(spark)
+    ev = table(spark, sf, "events")
+    land, t = scratch_path(spark, "landing-ranges"), IngestTables(scratch_path(spark, "state-ranges"))
+    block = F.expr(f"date_add(date '2024-01-01', int(event_id div {RANGES_BLOCK}))")
+    files = ev.select("event_id", "user_id", "event_type", F.col("event_type").alias("source"),
+                      F.date_format(block, "yyyy-MM-dd").alias("date"))
+    files = files.repartition("source", "date").sortWithinPartitions("source", "date", "event_id")
+    LD.write_landing(files, land, fmt="csv", options={"header": "true"})
+    out = ingest_landing(spark, land, t, batch_id=1, max_bytes=RANGES_LIMIT, range_bytes=RANGES_BYTES)
+    kept = quarantined_bytes(spark, t).select("path", "seq", F.length("content").alias("n_bytes"),
+                                              F.sha2("content", 256).alias("range_hash"))
+    return (out.join(kept, "path", "left")
+            .select(C.source_from_key("path").alias("source"), C.date_from_key("path").alias("date"), "content_hash",
+                    "status", "reason", "seq", "n_bytes", "range_hash"))
+
+
 # ---------------------------------------------------------------------- A03
 @query("landing_write", """
 SELECT event_id, event_type AS source, strftime(ts, '%Y-%m-%d') AS date, value FROM events""")
