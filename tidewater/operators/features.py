@@ -72,7 +72,10 @@ def _stats(df: DataFrame, col: str, by: list[str] | None, aggs: dict[str, Column
 
 def _attach(df: DataFrame, stats: DataFrame, by: list[str] | None) -> DataFrame:
     if by:
-        return df.join(stats, by, "left")
+        # a null group is a group like any other, as in SQL's PARTITION BY
+        keyed = stats.withColumnsRenamed({b: f"__by_{b}" for b in by})
+        same = [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
+        return df.join(keyed, same, "left").drop(*[f"__by_{b}" for b in by])
     # one global row: a broadcast of exactly one row is bounded by construction
     return df.crossJoin(F.broadcast(stats))
 
@@ -147,10 +150,10 @@ def apply_quantile_buckets(df: DataFrame, cuts: DataFrame, col: str, out: str) -
 def fit_onehot(df: DataFrame, col: str, max_categories: int | None = None) -> list[str]:
     """B06 fit: sorted distinct categories. They become output columns; a
     caller who wants no more than so many can say so with ``max_categories``."""
-    cats = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect()]
+    cats = [r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct().collect()]
     if max_categories is not None and len(cats) > max_categories:
         raise ValueError(f"{col}: more than {max_categories} categories for one-hot")
-    return sorted(str(c) for c in cats)
+    return sorted(cats)
 
 
 def apply_onehot(df: DataFrame, col: str, cats: list[str], prefix: str | None = None) -> DataFrame:
@@ -181,8 +184,9 @@ def fit_target(df: DataFrame, cat: str, target: str, m: float = 10.0) -> tuple[D
 
 
 def apply_target(df: DataFrame, enc: DataFrame, glob: DataFrame, cat: str, out: str) -> DataFrame:
-    """Joined encoding; unseen category → global mean."""
-    j = df.join(enc, cat, "left").crossJoin(F.broadcast(glob))
+    """Joined encoding; null is a category like any other, unseen category → global mean."""
+    e = enc.withColumnRenamed(cat, "__cat")
+    j = df.join(e, df[cat].eqNullSafe(e["__cat"]), "left").drop("__cat").crossJoin(F.broadcast(glob))
     return j.withColumn(out, F.coalesce(F.col(f"{cat}__te"), F.col("__global"))).drop(
         f"{cat}__te", "__global")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -12,11 +12,22 @@ def backfill(source: DataFrame, compute: Callable[[DataFrame], DataFrame], ts_co
              date_from: str, date_to: str, out_path: str, partition_col: str = "date") -> None:
     """Recompute [date_from, date_to] only (partition filter on the
     input) and replace exactly those output partitions (dynamic overwrite);
-    running it again leaves the same table."""
+    running it again leaves the same table. ``compute`` gives ``partition_col``
+    as ``yyyy-MM-dd``; a day of the range for which it gives no rows is emptied."""
     day = F.to_date(F.col(ts_col))
     part = source.where(day.between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
-    (compute(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    days = Observation("backfilled days")      # at most the days of the range
+    out = compute(part).observe(days, F.collect_set(F.col(partition_col).cast("string")).alias("days"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(out_path))
+    kept = {f"{partition_col}={d}" for d in days.get["days"]}
+    spark = source.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root) if fs.exists(root) else []:
+        name = st.getPath().getName()
+        if name.startswith(f"{partition_col}=") and name not in kept and date_from <= name.split("=", 1)[1] <= date_to:
+            fs.delete(st.getPath(), True)
 
 
 # --------------------------------------------------------------------- B21
@@ -143,7 +154,10 @@ def compact(spark, path: str, out_path: str, part_cols: list[str], target_bytes:
     if not rows:
         return plan
     t = spark.read.parquet(path)
-    t = t.withColumn("__at", F.xxhash64("_metadata.file_path", "_metadata.row_index")).join(plan.select(*part_cols, "target_files"), part_cols)
+    # null partitions too: every row finds its partition's plan
+    slots = plan.select(*[F.col(c).alias(f"__{c}") for c in part_cols], "target_files")
+    t = t.withColumn("__at", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    t = t.join(slots, [t[c].eqNullSafe(slots[f"__{c}"]) for c in part_cols]).drop(*[f"__{c}" for c in part_cols])
     t = t.withColumn("__slot", F.pmod("__at", "target_files"))
     (t.repartition(*part_cols, "__slot").drop("__slot", "__at", "target_files")
      .write.mode("overwrite").option("maxRecordsPerFile", max(1, round(1.1 * target_bytes * rows / size)))

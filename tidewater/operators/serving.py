@@ -12,7 +12,7 @@ def asof_features(labels: DataFrame, features: DataFrame, key: str, label_ts: st
                   ttl_seconds: int, feature_cols: list[str], tiebreak: str, sub_buckets: int = 4) -> DataFrame:
     """For each label row, the latest feature row of the same key with
     feature_ts <= label_ts and feature_ts >= label_ts - ttl (no future leak);
-    feature columns null when there is none.
+    feature columns null when there is none. A null key matches nothing, as in SQL.
 
     No range join and no window over a whole key: time is cut into buckets
     of width ttl / ``sub_buckets``. A label matches either the latest
@@ -25,7 +25,7 @@ def asof_features(labels: DataFrame, features: DataFrame, key: str, label_ts: st
     w_us = ttl_seconds * 1_000_000
     b_us = max(1, w_us // k)
     lab = labels.withColumn("__us", F.unix_micros(F.col(label_ts).cast("timestamp")))
-    fea = features.select(F.col(key), F.unix_micros(F.col(feature_ts).cast("timestamp")).alias("__us"),
+    fea = features.where(F.col(key).isNotNull()).select(F.col(key), F.unix_micros(F.col(feature_ts).cast("timestamp")).alias("__us"),
                           F.col(tiebreak).alias("__tb"), *[F.col(c) for c in feature_cols])
     fstruct = F.struct(F.col("__us").alias("f_us"), F.col("__tb").alias("f_tb"),
                        *[F.col(c) for c in feature_cols])

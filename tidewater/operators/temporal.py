@@ -48,9 +48,10 @@ def days_since(df: DataFrame, key: str, ts: str, tiebreak: str, event_col: str |
          .withColumn("__ev_in", F.max("__ev_us").over(w.rowsBetween(Window.unboundedPreceding, -1))))
     agg = d.groupBy(key, b).agg(F.max("__us").alias("__last"), F.max("__ev_us").alias("__ev_last"))
     wb = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = agg.select(key, b, F.max("__last").over(wb).alias("__prev_carry"),
+    carry = agg.select(F.col(key).alias("__key"), F.col(b).alias("__b2"), F.max("__last").over(wb).alias("__prev_carry"),
                        F.max("__ev_last").over(wb).alias("__ev_carry"))
-    j = d.join(carry, [key, b], "left")
+    # a null key is a partition like any other, as in SQL's windows
+    j = d.join(carry, d[key].eqNullSafe(carry["__key"]) & d[b].eqNullSafe(carry["__b2"]), "left").drop("__key", "__b2")
     prev = F.coalesce("__prev_in", "__prev_carry")
     ev = F.coalesce("__ev_in", "__ev_carry")
     day_us = F.lit(DAY * 1_000_000)
