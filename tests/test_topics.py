@@ -34,6 +34,53 @@ def test_publish_decode_consume(spark, tmp_root):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_one_effect_after_crash_and_redelivery(spark, tmp_root, monkeypatch):
+    """A crash after the write, the same message in later batches and a very late one: one effect
+    per key, the earliest delivery of a batch; what was written is never read."""
+    import json
+
+    import pytest
+    topic, out, dl, ck = (os.path.join(tmp_root, x) for x in ("topic", "out", "dl", "ck"))
+
+    def deliver(*rows):
+        msgs = [(k, json.dumps({"source": "s3", "path": p, "content_hash": k, "format": "csv"}) if p else "junk", t) for k, p, t in rows]
+        (spark.createDataFrame(msgs, "key string, value string, timestamp timestamp").withColumn("partition", F.lit(0))
+         .write.mode("append").parquet(topic))
+
+    t0 = dt.datetime(2026, 5, 17)
+    deliver(("a", "later", t0 + dt.timedelta(hours=1)), ("a", "first", t0), ("b", "b", t0), ("x", None, t0))
+    write, calls = TP._replace_batch, []
+
+    def crash(df, path):
+        write(df, path)
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+    monkeypatch.setattr(TP, "_replace_batch", crash)
+    with pytest.raises(Exception, match="lost"):
+        TP.consume(spark, topic, out, dl, ck)
+    q = TP.consume(spark, topic, out, dl, ck)
+    assert q.lastProgress.stateOperators[0].numRowsTotal >= 2
+    deliver(("a", "again", t0 + dt.timedelta(days=2)), ("c", "old", t0 - dt.timedelta(days=400)), ("x", None, t0))
+    TP.consume(spark, topic, out, dl, ck)
+    deliver(("c", "old", t0), ("b", "b", t0))
+    TP.consume(spark, topic, out, dl, ck)
+    assert sorted((r.key, r.path) for r in TP.read_consumed(spark, out).collect()) == [("a", "first"), ("b", "b"), ("c", "old")]
+    assert spark.read.parquet(dl).count() == 2
+
+
+def test_publish_again_adds_nothing(spark, tmp_root):
+    from types import SimpleNamespace
+    t = SimpleNamespace(topic=os.path.join(tmp_root, "topic"), processed_bucket="processed")
+    at = [dt.datetime(2026, 1, 1, 23, 59), dt.datetime(2026, 1, 2)]
+    for n, when in zip((1, 3), at):          # the first run lost part of the batch
+        done = spark.createDataFrame([(f"s3://l/k{i}", f"k{i}", f"h{i}", "csv", 1, when, f"p{i}") for i in range(n)],
+                                     "path string, key string, content_hash string, format string, "
+                                     "length bigint, received_at timestamp, processed_key string")
+        TP.publish(spark, done, t, 5, F.lit(when).cast("timestamp"))
+    assert sorted(r.key for r in spark.read.schema(TP.TOPIC_SCHEMA).parquet(t.topic).collect()) == ["h0", "h1", "h2"]
+
+
 def test_topic_retention(spark, tmp_root):
     from types import SimpleNamespace
     topic = os.path.join(tmp_root, "topic")

@@ -416,7 +416,7 @@ def q_consume_processed(spark, sf):
     msgs.unionByName(msgs).unionByName(junk).write.parquet(topic)
     out, dl = scratch_path(spark, "consumed"), scratch_path(spark, "dead-letter")
     TP.consume(spark, topic, out, dl, scratch_path(spark, "consumer-ckpt"))
-    got = spark.read.parquet(out)
+    got = TP.read_consumed(spark, out)
     return got.select(
         "key", "source", "path", "content_hash", "format", "size",
         ts_text("received_at").alias("received_at"), ts_text("processed_at").alias("processed_at"),

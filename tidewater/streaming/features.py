@@ -17,6 +17,7 @@ Model quality is a native stream-stream join: see :func:`quality_stream`.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -169,17 +170,24 @@ def quality_stream(predictions: DataFrame, actuals: DataFrame, key: str, ts: str
             .select(F.col("w.start").alias("window_start"), "n_predictions", "n_unmatched", "accuracy", "rmse"))
 
 
-def write_stream(spark: SparkSession, out: DataFrame, path: str, checkpoint: str, available_now: bool = True):
-    """Append results to the table at ``path``. Timers and lists of state need the RocksDB store, which is
-    set for this query only."""
+@contextmanager
+def with_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which lists, timers and expiry need."""
     conf = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(conf, None)
     spark.conf.set(conf, ROCKSDB)
     try:
-        w = out.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+        yield
     finally:
         spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+
+
+def write_stream(spark: SparkSession, out: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """Append results to the table at ``path``."""
+    w = out.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    with with_rocksdb(spark):
+        q = w.start()
     if available_now:
         q.awaitTermination()
     return q
