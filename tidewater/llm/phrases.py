@@ -43,7 +43,7 @@ MOST_WORDS = 1 << 19      # words numbered before a task starts a new list
 MOST_WORD_BYTES = 64 << 20
 MOST_ENTRIES = 2_000_000  # counts that a task holds
 BURST = 1 << 16
-CHUNK = 2 << 20           # bytes of text cut into words at once
+CHUNK = 4 << 20           # bytes of text cut into words at once: fewer than 2^WORD_BITS different words
 FILTER_BITS = 26
 RUN_BYTES = 4 << 20       # of phrases in a batch given out
 PARTS = 32                # first stage of the ranking
@@ -186,9 +186,9 @@ def _tokens(text: bytes):
 
 
 def _word_hash(word: bytes) -> int:
-    import hashlib
+    import zlib
 
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return zlib.crc32(word)
 
 
 def _bit(lang: int, parts: list, bits: int):
@@ -310,7 +310,9 @@ class Counter:
             first, rest, counts = (np.concatenate(c) for c in zip(*parts))
             ids = [first, *(rest >> s & mask for s in (2 * WORD_BITS, WORD_BITS, 0))]
             # absent words have id 0, which ranks before every word here
-            order = np.lexsort([np.where(i > 0, rank[i], -1) for i in reversed(ids) if i.any()] or [first])
+            place = [np.where(i > 0, rank[i] + 1, 0) for i in ids]
+            keys = [place[2] << WORD_BITS + 1 | place[3], place[0] << WORD_BITS + 1 | place[1]]
+            order = np.lexsort(keys) if ids[2].any() else np.argsort(keys[1], kind="stable")
             ids, counts = [i[order] for i in ids], counts[order]
             many = sum((i > 0).astype(np.int32) for i in ids)
             held = np.cumsum(sum(size[i] for i in ids) + 64)
