@@ -198,7 +198,7 @@ def test_phrases_brute_force(spark):
 def test_phrases_with_small_memory(spark, monkeypatch):
     """Bursting, spilling, new word lists, chunks cut inside texts and a crowded bit table change nothing."""
     from tidewater.llm import phrases
-    for name, value in (("BURST", 5), ("MOST_ENTRIES", 200), ("CHUNK", 500), ("MOST_WORDS", 25), ("PARTS", 3)):
+    for name, value in (("BURST", 5), ("MOST_ENTRIES", 200), ("CHUNK", 500), ("MOST_WORDS", 25), ("RUN_ENTRIES", 20), ("PARTS", 3)):
         monkeypatch.setattr(phrases, name, value)
     rows = texts(8)
     got = phrases.collocations(phrase_frame(spark, rows), least=4, best=30, filter_bits=7)

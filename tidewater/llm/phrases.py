@@ -45,6 +45,7 @@ MOST_ENTRIES = 2_000_000  # counts that a task holds
 BURST = 1 << 16
 CHUNK = 4 << 20           # bytes of text cut into words at once: fewer than 2^WORD_BITS different words
 FILTER_BITS = 26
+RUN_ENTRIES = 1 << 19     # about as many counts are put in order at once
 RUN_BYTES = 4 << 20       # of phrases in a batch given out
 PARTS = 32                # first stage of the ranking
 
@@ -241,7 +242,12 @@ class Counter:
         """Ids of the words of ``tail`` and of those at ``index``; empty words go."""
         import numpy as np
 
-        known = np.array([self.vocabulary[w] if w else -1 for w in words], np.int64)
+        gap = words.index(b"") if b"" in words else None
+        if gap is not None:
+            words[gap] = BOUNDARY          # known already, so no id is drawn for it
+        known = np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words))
+        if gap is not None:
+            known[gap] = -1
         ids = known[index] if len(words) else np.zeros(0, np.int64)
         return np.concatenate((np.array([self.vocabulary[w] for w in tail], np.int64), ids[ids >= 0]))
 
@@ -281,51 +287,61 @@ class Counter:
         trie.add(np.concatenate(first), np.concatenate(rest))
 
     def spill(self, keep: int = 0, held: int = 0) -> Iterator:
-        """Give out the largest containers, each lang's as one run sorted by words, until
+        """Give out the largest containers, each lang's as runs sorted by words, until
         ``keep`` of the ``held`` entries are left (0: all of them)."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         sizes = sorted(((c.size(), i, lang, c) for lang, t in self.tries.items() for i, c in enumerate(t.containers()) if c.size()),
                        key=lambda x: (-x[0], x[2], x[1]))
-        out: dict = {}
+        if not sizes:
+            return
+        words = pa.array(self.vocabulary.words, pa.large_binary())
+        rank = np.empty(len(words), np.int64)
+        rank[pc.array_sort_indices(words).to_numpy()] = np.arange(len(words))
+        out, gathered = {}, 0
         for n, _, lang, c in sizes:
             if keep and held <= keep:
                 break
             held -= n
-            c.merge()
+            gathered += c.merge()
             out.setdefault(lang, []).append(c.held[1:])
             c.held = tuple(x[:0] for x in c.held)
-        if out:
-            yield from self._written(out)
+            if gathered > RUN_ENTRIES:
+                yield from _written(out, words, rank)
+                out, gathered = {}, 0
+        yield from _written(out, words, rank)
 
-    def _written(self, out: dict) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
 
-        words = pa.array(self.vocabulary.words, pa.large_binary())
-        rank = np.empty(len(words), np.int64)
-        rank[pc.array_sort_indices(words).to_numpy()] = np.arange(len(words))
-        size = pc.binary_length(words).to_numpy()
-        mask = (1 << WORD_BITS) - 1
-        for lang, parts in out.items():
-            first, rest, counts = (np.concatenate(c) for c in zip(*parts))
-            ids = [first, *(rest >> s & mask for s in (2 * WORD_BITS, WORD_BITS, 0))]
-            # absent words have id 0, which ranks before every word here
-            place = [np.where(i > 0, rank[i] + 1, 0) for i in ids]
-            keys = [place[2] << WORD_BITS + 1 | place[3], place[0] << WORD_BITS + 1 | place[1]]
-            order = np.lexsort(keys) if ids[2].any() else np.argsort(keys[1], kind="stable")
-            ids, counts = [i[order] for i in ids], counts[order]
-            many = sum((i > 0).astype(np.int32) for i in ids)
-            held = np.cumsum(sum(size[i] for i in ids) + 64)
-            cuts = np.flatnonzero(np.diff(held // RUN_BYTES)) + 1
-            for s, e in zip([0, *cuts], [*cuts, len(counts)]):
-                phrases = words.take(pa.array(ids[0][s:e]))
-                for i in (i for i in ids[1:] if i[s:e].any()):
-                    # no word, no space: null parts are skipped
-                    part = pa.array(i[s:e], mask=i[s:e] == 0)
-                    phrases = pc.binary_join_element_wise(phrases, words.take(part), pa.scalar(b" ", pa.large_binary()), null_handling="skip")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * (e - s)), phrases.cast(pa.binary()).cast(pa.string()), pa.array(many[s:e]), pa.array(counts[s:e])],
-                    names=["lang", "phrase", "words", "n"])
+def _written(out: dict, words, rank) -> Iterator:
+    """Arrow batches of the counts gathered for each lang, in order of words."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    size = pc.binary_length(words).to_numpy()
+    mask = (1 << WORD_BITS) - 1
+    for lang, parts in out.items():
+        first, rest, counts = (np.concatenate(c) for c in zip(*parts))
+        ids = [first, *(rest >> s & mask for s in (2 * WORD_BITS, WORD_BITS, 0))]
+        # absent words have id 0, which ranks before every word here
+        place = [np.where(i > 0, rank[i] + 1, 0) for i in ids]
+        keys = [place[2] << WORD_BITS + 1 | place[3], place[0] << WORD_BITS + 1 | place[1]]
+        order = np.lexsort(keys) if ids[2].any() else np.argsort(keys[1], kind="stable")
+        ids, counts = [i[order] for i in ids], counts[order]
+        many = sum((i > 0).astype(np.int32) for i in ids)
+        held = np.cumsum(sum(size[i] for i in ids) + 64)
+        cuts = np.flatnonzero(np.diff(held // RUN_BYTES)) + 1
+        for s, e in zip([0, *cuts], [*cuts, len(counts)]):
+            phrases = words.take(pa.array(ids[0][s:e]))
+            for i in (i for i in ids[1:] if i[s:e].any()):
+                # no word, no space: null parts are skipped
+                part = pa.array(i[s:e], mask=i[s:e] == 0)
+                phrases = pc.binary_join_element_wise(phrases, words.take(part), pa.scalar(b" ", pa.large_binary()), null_handling="skip")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * (e - s)), phrases.cast(pa.binary()).cast(pa.string()), pa.array(many[s:e]), pa.array(counts[s:e])],
+                names=["lang", "phrase", "words", "n"])
 
 
 _RUN = "lang string, phrase string, words int, n long"
