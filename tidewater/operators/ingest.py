@@ -467,7 +467,23 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
                          batch_id: int, value_col: str = "value",
                          now: _dt.datetime | None = None) -> DataFrame:
     """A02 → ingest: decode notification messages and ingest exactly the
-    objects they name (object key resolved under ``landing_root``).
+    objects they name (see :func:`notified_files`)."""
+    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    found, empties = notified_files(spark, messages, landing_root, t, batch_id, now, value_col)
+    if empties is None:
+        return _no_result(spark)
+    landed = empties
+    if found:    # absent keys are skipped; only notified files' bytes are read
+        landed = LD._shape(spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
+                           .load([LD.literal(p) for p in found])).unionByName(empties)
+    return ingest_batch(spark, landed, t, batch_id, now)
+
+
+def notified_files(spark: SparkSession, messages: DataFrame, landing_root: str, t: IngestTables, batch_id: int,
+                   now: _dt.datetime, value_col: str = "value") -> tuple[list[str], DataFrame | None]:
+    """The files that notification messages name (object key resolved under
+    ``landing_root``): the paths of those that hold bytes, and landing rows of the
+    empty ones (None if no named folder exists).
 
     Names Spark cannot read (``_x``, ``.x``; D26) get a ``failed`` manifest
     row with reason "hidden name" (their bytes are unknown, so the row is
@@ -475,7 +491,6 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
     the reference skips objects it cannot download.
     """
     from ..sources import notifications as NT
-    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     at = F.lit(now).cast("timestamp")
     recs, _rejected = NT.decode(messages, value_col)
     root = landing_root.rstrip("/")
@@ -496,7 +511,7 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
         if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
             folders.append(LD.literal(f"{root}/{d}" if d else root))
     if not folders:
-        return _no_result(spark)
+        return [], None
     listed = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(folders)
     every = listed.inputFiles()
     # metadata only (no content column): which notified keys exist here
@@ -506,12 +521,7 @@ def ingest_notifications(spark: SparkSession, messages: DataFrame, landing_root:
         C.file_id(F.col("file_id")).alias("file_id"))
     empties = LD.empty_rows(ids.join(meta.select("file_id"), "file_id", "left_anti")).join(
         keys, "key", "left_semi")
-    if found:    # absent keys are skipped; only notified files' bytes are read
-        landed = LD._shape(spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load([LD.literal(p) for p in found]))
-        landed = landed.unionByName(empties)
-    else:
-        landed = empties
-    return ingest_batch(spark, landed, t, batch_id, now)
+    return found, empties
 
 
 def _no_result(spark: SparkSession) -> DataFrame:

@@ -9,10 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import features as FT
+from ..operators.ingest import IngestTables, read_processed
 from ..session import scratch_path
+from ..sources import landing as LD
 from ..sources.tables import table
+from ..streaming import adapters as AD
 from ..streaming import features as SF
-from .common import prep, r6
+from .catalog_ingest import EVENTS_TYPES
+from .common import TS_US_FMT, prep, r6, ts_text
 from .registry import query
 
 DAY_US = 86_400_000_000
@@ -103,3 +108,34 @@ def q_quality_stream(spark, sf):
     back = _result(spark, out, "quality-out").where(F.col("window_start") < F.lit("2100-01-01").cast("timestamp"))
     return back.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n_predictions", "n_unmatched",
                        r6("accuracy").alias("accuracy"), r6("rmse").alias("rmse"))
+
+
+@query("ingest_adapters", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events""")
+def q_ingest_adapters(spark, sf):
+    """Three adapters into one ingest. Clicks and views land as files, purchases as files that
+    notifications name, all other types as messages of at most 1,000 events; every tenth message comes twice."""
+    prep(spark)
+    root, t = scratch_path(spark, "adapters"), IngestTables(scratch_path(spark, "state-adapters"))
+    ev = table(spark, sf, "events").withColumn("ts", F.date_format("ts", TS_US_FMT))
+    lines = ev.select("*", F.col("event_type").alias("source"), F.substring("ts", 1, 10).alias("date"))
+    landed = F.col("event_type").isin("click", "view")
+    named = F.col("event_type") == "purchase"
+    for place, part in (("landing", landed), ("second", named)):
+        LD.write_landing(lines.where(part).repartition("source", "date"), f"{root}/{place}", fmt="json")
+    record = F.struct(F.struct(F.struct(F.lit("second").alias("name")).alias("bucket"),
+                               F.struct(F.url_encode("key").alias("key"), F.lit(0).cast("bigint").alias("size")).alias("object")).alias("s3"))
+    (LD.read_landing(spark, f"{root}/second").select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))
+     .write.parquet(f"{root}/notices"))
+    body = F.concat(F.array_join(F.collect_list(F.to_json(F.struct(*ev.columns))), "\n"), F.lit("\n")).cast("binary")
+    msgs = (lines.where(~landed & ~named).groupBy("source", "date", F.expr("event_id div 1000").alias("block")).agg(body.alias("body"))
+            .select("source", F.concat(F.lit("part-"), "block", F.lit(".jsonl")).alias("name"), "body", F.to_timestamp("date").alias("received_at"),
+                    F.explode(F.sequence(F.lit(0), F.when(F.col("block") % 10 == 0, 1).otherwise(0))).alias("copy")))
+    msgs.write.parquet(f"{root}/messages")
+    AD.run_adapters(spark, [
+        AD.landing_adapter(spark, f"{root}/landing"),
+        AD.notification_adapter(spark.readStream.schema("value string").parquet(f"{root}/notices"), f"{root}/second"),
+        AD.message_adapter(spark.readStream.schema(msgs.schema).parquet(f"{root}/messages"), f"{root}/pushed")],
+        t, scratch_path(spark, "adapters-ckpt"), [f"{root}/landing"])
+    typed = FT.coerce(read_processed(spark, t).select(*EVENTS_TYPES), EVENTS_TYPES, flag=None)
+    return typed.select("event_id", ts_text("ts", micros=True).alias("ts"), "user_id", "event_type", "value", "props")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -222,3 +223,33 @@ def default_filename(t: _dt.datetime | None = None) -> str:
     """Name for a push without a file name: ``<unix nanoseconds>.json``."""
     t = t or _dt.datetime.now(_dt.timezone.utc)
     return f"{int(t.timestamp() * 1_000_000) * 1000}.json"
+
+
+def write_payloads(payloads: DataFrame, root: str) -> DataFrame:
+    """A03 for many pushed payloads: every row (source, date as ``yyyy-MM-dd``, name, body)
+    becomes a file below ``root``, written inside tasks. Returns (path, length).
+
+    The file is ``source=<s>/date=<d>/<SHA-256 of the body>-<name>``, so different bodies
+    under one name stay apart, and a task that runs again writes the same file. A null body is
+    an empty file, a null name ``payload.json``, a null source ``unknown``; characters other than
+    letters, digits, ``.``, ``_`` and ``-`` become ``_`` in both. ``file:`` roots must be mounted by all
+    executors; others go through ``pyarrow.fs``."""
+    safe = lambda c, default: F.regexp_replace(F.when(F.length(c) > 0, c).otherwise(F.lit(default)), r"[^\w.-]", "_")
+    body = F.coalesce(F.col("body"), F.unhex(F.lit("")))
+    named = payloads.select(
+        F.concat(F.lit(root.rstrip("/") + "/source="), safe(F.col("source"), "unknown"), F.lit("/date="),
+                 safe(F.col("date").cast("string"), "unknown"), F.lit("/"), F.sha2(body, 256), F.lit("-"),
+                 safe(F.col("name"), "payload.json")).alias("path"), body.alias("body"))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        from .ranges import write_file
+
+        for b in batches:
+            bodies = b.column("body")
+            for i, path in enumerate(b.column("path").to_pylist()):
+                write_file(path, bodies[i].as_py())
+            yield pa.RecordBatch.from_pydict({
+                "path": b.column("path"), "length": pa.array([len(x.as_py()) for x in bodies], pa.int64())})
+    return named.mapInArrow(run, "path string, length long")

@@ -38,6 +38,28 @@ def open_file(file_id: str):
     return store.open_input_file(path)
 
 
+def write_file(path: str, body: bytes) -> None:
+    """A file with these bytes at ``path`` (a plain URI or local path); a local one appears whole."""
+    import os
+    import uuid
+    from urllib.parse import urlsplit
+
+    if urlsplit(path).scheme in ("", "file"):
+        place = re.sub("^file:/+", "/", path)
+        folder, name = os.path.split(place)
+        os.makedirs(folder, exist_ok=True)
+        part = f"{folder}/.{name[:64]}.{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            f.write(body)
+        os.replace(part, place)
+        return
+    from pyarrow import fs
+    store, place = fs.FileSystem.from_uri(re.sub("^(s3[an]|abfss):", lambda m: {"a": "abfs", "s": "s3"}[m[0][0]] + ":", path))
+    store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(place) as f:
+        f.write(body)
+
+
 def hash_files(files: DataFrame, range_bytes: int = RANGE) -> DataFrame:
     """file_id, content_hash (SHA-256 of all bytes, lowercase hex), head (first bytes) and
     n_bytes of ``files`` (file_id)."""
