@@ -93,6 +93,23 @@ def q_cdc_stream(spark, sf):
                       "o_orderpriority", "op")
 
 
+@query("cdc_buckets", with_ctes(CHANGES_SQL) + """
+SELECT o_orderkey, a_custkey AS o_custkey, a_status AS o_orderstatus, round(a_price, 6) AS o_totalprice,
+       a_prio AS o_orderpriority, op FROM cur""")
+def q_cdc_buckets(spark, sf):
+    """B18 as a stream into a state of key buckets, folded after two deltas."""
+    src, target, ckpt = (scratch_path(spark, f"cdc-buckets-{n}") for n in ("changes", "state", "checkpoint"))
+    ch = order_changes(spark, sf).select("o_orderkey", "after", "op", "ts_ms", "offset")
+    ch.repartition(6, F.xxhash64("ts_ms", "offset")).write.parquet(src)
+    q = (spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 2).parquet(src).writeStream
+         .foreachBatch(CD.foreach_batch_buckets(target, "o_orderkey", 16, fold=2)).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    cur = CD.read_buckets(spark, target, "o_orderkey", ch.schema)
+    return cur.select("o_orderkey", "o_custkey", "o_orderstatus", r6("o_totalprice").alias("o_totalprice"),
+                      "o_orderpriority", "op")
+
+
 @query("cdc_diff", with_ctes(CHANGES_SQL) + """
 SELECT o_orderkey, ts_ms, 'o_orderstatus' AS "column", b_status AS old, a_status AS new
 FROM ch WHERE op = 'u' AND b_status IS DISTINCT FROM a_status
