@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 from ..session import scratch_path
 
 # --------------------------------------------------------------------- B01
@@ -139,6 +141,14 @@ def quantile_cuts(df: DataFrame, col: str, n: int, accuracy: int = 10000) -> Dat
     return df.agg(F.percentile_approx(col, qs, accuracy).alias(f"{col}__cuts"))
 
 
+def exact_quantile_cuts(df: DataFrame, col: str, n: int) -> DataFrame:
+    """As ``quantile_cuts``, with the exact values of ``quantile_disc`` (rounds of histogram refinement,
+    see :mod:`.quantiles`). Null cuts, where the column has no values, are left out."""
+    cuts = [q for q in exact_quantiles(df, col, [i / n for i in range(1, n)]) if q is not None]
+    kind = df.schema[col].dataType.simpleString()
+    return df.sparkSession.range(1).select(F.array(*[F.lit(q) for q in cuts]).cast(f"array<{kind}>").alias(f"{col}__cuts"))
+
+
 def apply_quantile_buckets(df: DataFrame, cuts: DataFrame, col: str, out: str) -> DataFrame:
     j = df.crossJoin(F.broadcast(cuts))
     arr = F.col(f"{col}__cuts")

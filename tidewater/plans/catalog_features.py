@@ -10,6 +10,7 @@ from ..operators import features as FT
 from ..operators import pipeline as PL
 from ..operators import store as S
 from ..operators import temporal as TM
+from ..operators.quantiles import exact_quantiles
 from ..session import scratch_path
 from ..sources.tables import table
 from .common import prep, r6, ts_text
@@ -374,3 +375,33 @@ def q_quantile_buckets(spark, sf):
     """B05, quantile variant: quarters of the value range by count."""
     ev = _events(spark, sf)
     return FT.apply_quantile_buckets(ev, FT.quantile_cuts(ev, "value", 4, 1_000_000), "value", "bucket").select("event_id", "bucket")
+
+
+@query("quantile_exact", """
+WITH l AS (SELECT CASE WHEN l_orderkey % 11 <> 0 THEN l_extendedprice * (l_linenumber - 4) END AS signed, l_orderkey, CAST(l_quantity AS DECIMAL(12, 2)) AS l_quantity FROM lineitem),
+q AS (SELECT unnest([0, 0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.999, 1]) AS q,
+  unnest((SELECT quantile_disc(signed, [0, 0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.999, 1]) FROM l)) AS signed,
+  unnest((SELECT quantile_disc(l_orderkey, [0, 0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.999, 1]) FROM l)) AS orderkey,
+  unnest((SELECT quantile_disc(l_quantity, [0, 0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.999, 1]) FROM l)) AS quantity)
+SELECT CAST(q AS DOUBLE) AS q, signed, CAST(orderkey AS BIGINT) AS orderkey, CAST(quantity AS DOUBLE) AS quantity FROM q""")
+def q_quantile_exact(spark, sf):
+    """Exact quantiles of a double column of both signs with nulls, of a long and of a decimal column."""
+    prep(spark)
+    li = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 11 != 0, F.col("l_extendedprice") * (F.col("l_linenumber") - 4)).alias("signed"),
+        "l_orderkey", F.col("l_quantity").cast("decimal(12,2)").alias("l_quantity"))
+    qs = [0.0, 0.001, *[i / 10 for i in range(1, 10)], 0.999, 1.0]
+    got = zip(qs, *(exact_quantiles(li, c, qs) for c in ("signed", "l_orderkey", "l_quantity")))
+    return spark.createDataFrame([(q, a, b, None if c is None else float(c)) for q, a, b, c in got],
+                                 "q double, signed double, orderkey long, quantity double")
+
+
+@query("quantile_buckets_exact", """
+WITH c AS (SELECT quantile_disc(l_extendedprice, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(len(list_filter(q, lambda x: x <= l_extendedprice)) AS INTEGER) AS bucket
+FROM lineitem, c""")
+def q_quantile_buckets_exact(spark, sf):
+    """B05, quantile variant with exact cuts: tenths of the price."""
+    prep(spark)
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return FT.apply_quantile_buckets(li, FT.exact_quantile_cuts(li, "l_extendedprice", 10), "l_extendedprice", "bucket")
