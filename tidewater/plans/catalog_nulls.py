@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as FT
 from ..operators import layout as LY
+from ..operators import packing as PK
 from ..operators import serving as SV
 from ..operators import temporal as TM
 from ..session import scratch_path
@@ -108,6 +109,16 @@ def q_compact_null_partitions(spark, sf):
     return spark.read.parquet(out).select("event_type", "event_id", "value")
 
 
+@query("compact_packed", _NULLS + """
+SELECT event_type, event_id, value FROM ev""")
+def q_compact_packed(spark, sf):
+    """B24 in place: small files of each partition, a null one too, are packed by first fit, large ones cut."""
+    path = scratch_path(spark, "events-packed")
+    _events(spark, sf).select("event_id", "value", "event_type").repartition(12).write.partitionBy("event_type").parquet(path)
+    PK.pack_files(spark, path, 1 << 17)
+    return spark.read.parquet(path).select("event_type", "event_id", "value")
+
+
 @query("backfill_emptied", """
 WITH d AS (SELECT CAST(min(ts) AS DATE) AS lo FROM events)
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS date,
