@@ -33,7 +33,22 @@ def test_equal_sizes_with_a_hot_text(spark):
 
 
 def test_all_keys_equal(spark):
-    check([(5, "x")] * 50, assign_shards(frame(spark, [(5, "x")] * 50), 3).collect(), 3)
+    size = check([(5, "x")] * 50, assign_shards(frame(spark, [(5, "x")] * 50), 3).collect(), 3)
+    assert sorted(size.values()) == [16 * 9, 17 * 9, 17 * 9]
+
+
+def test_equal_sizes_with_repeated_rows(spark):
+    """A third of all rows are one row: its copies are dealt like all others."""
+    rows = [(7, "one and the same row")] * 300 + [(i, f"text {i:04}") for i in range(600)] + [(None, None)] * 30
+    size = check(rows, assign_shards(frame(spark, rows), 24).collect(), 24)
+    assert len(size) == 24 and max(size.values()) - min(size.values()) <= 2 * 28
+
+
+def test_written_shards_of_repeated_rows(spark, tmp_root):
+    rows = [(7, "same")] * 400
+    write_shards(frame(spark, rows), f"{tmp_root}/out", 4)
+    back = spark.read.parquet(f"{tmp_root}/out").groupBy("shard_").count().collect()
+    assert sorted(r["count"] for r in back) == [100] * 4
 
 
 def test_tolerance_keeps_copies_whole(spark):

@@ -1,7 +1,8 @@
 """Sharding by histogram sort, with DataFrame functions only.
 
 Documents are ordered by (60-bit text hash, doc_id), so equal texts are
-neighbours. The splitters that cut this order into shards of equal bytes are
+neighbours, and rows equal in both by a number that they get when they are stored. The
+splitters that cut this order into shards of equal bytes are
 found by counting, not by sampling: a round counts the exact bytes and rows
 below a grid of candidate boundaries, keeps for each splitter only the one
 interval that holds its target, and divides that interval again, until every
@@ -9,7 +10,8 @@ interval is a single key (tolerance 0) or its bytes are within the tolerance.
 Then the rows are exchanged once.
 
 A hash that a third of all rows share is no special case: once an interval is
-one hash, the rounds go on over doc_id.
+one hash, the rounds go on over doc_id, and once it is one doc_id over the stored number. So rows
+repeated any number of times are cut like all others.
 
 The driver holds at most ``GRID`` counts for each open splitter. The exchange
 is by cells, row-count splitters found the same way, so a cell has about
@@ -17,8 +19,8 @@ rows / ``CELLS`` rows whatever the key distribution, and slots are numbered
 inside a cell and offset by the counts of the cells before it.
 
 Null text counts as empty; null doc_id sorts first; rows equal in text and
-doc_id are ordered arbitrarily, and such a set is never cut, except that it
-may be larger than a shard's share, which then gets more than its part.
+doc_id are ordered arbitrarily. A very long text is one row of its size, the smallest unit
+of a cut. Columns of the input beside text and doc_id are not read, whatever their names.
 An empty table gives an empty result.
 """
 
@@ -34,6 +36,7 @@ STEP_BITS = 12            # a round divides an interval into 4,096
 GRID = 1 << STEP_BITS
 CELLS = 64                # exchange cells beside the shard boundaries
 ROW_BYTES = 8             # fixed size of a document beside its text
+LEAST = -(1 << 63)
 
 
 def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -43,7 +46,8 @@ def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         (F.octet_length(body).cast("long") + F.lit(ROW_BYTES)).alias("size"),
         F.crc32(body).cast("long").alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(body), 64 - HASH_BITS).alias("h"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("d"))
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST)).alias("d"),
+        F.monotonically_increasing_id().alias("e"))
 
 
 def _histogram(rows: DataFrame, grid: Column, outer: Column | None, where: Column | None) -> dict:
@@ -76,12 +80,12 @@ class _Search:
         raise AssertionError("an open interval has rows")
 
 
-def find_splitters(rows: DataFrame, targets: list[tuple[float, int]], tolerance: float = 0.0) -> list[tuple[int, int]]:
-    """Keys (h, d) such that rows below the i-th key have about targets[i]
+def find_splitters(rows: DataFrame, targets: list[tuple[float, int]], tolerance: float = 0.0) -> list[tuple[int, int, int]]:
+    """Keys (h, d, e) such that rows below the i-th key have about targets[i]
     bytes (weight 0) or rows (weight 1).
 
-    ``rows`` has h, d, size. With tolerance 0 a key is the first whose midpoint
-    lies at or past the target, the nearest possible cut. A tolerance (in the
+    ``rows`` has h, d, e (the row's own number), size. With tolerance 0 a key is the first whose
+    midpoint lies at or past the target, the nearest possible cut. A tolerance (in the
     target's unit) lets a search end at any probed boundary that close, which
     keeps groups of equal texts whole where that costs nothing.
     """
@@ -103,30 +107,51 @@ def find_splitters(rows: DataFrame, targets: list[tuple[float, int]], tolerance:
             m = cells[s.key][s.weight]
             for edge, at in ((s.key, s.below), (s.key + 1, s.below + m)):
                 if tolerance and found[i] is None and abs(2 * at - s.target) <= 2 * tolerance:
-                    found[i] = (edge << shift, -(1 << 63))
+                    found[i] = (edge << shift, LEAST, LEAST)
 
     bits = HASH_BITS
     while bits and (open_ := {i: s for i, s in searches.items() if found[i] is None}):
         probe(open_, bits, "h", True)
         bits -= min(STEP_BITS, bits)
 
-    # one hash left for each open search: go on over doc_id within it
+    # one hash left for each open search: go on over doc_id within it, then over the row's number
     open_ = {i: s for i, s in searches.items() if found[i] is None}
     if not open_:
         return found
-    ranges = {r["h"]: [r["lo"], r["hi"]] for r in
-              rows.where(F.col("h").isin([s.key for s in open_.values()]))
-              .groupBy("h").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).collect()}
-    span = {i: (s.key, *ranges[s.key]) for i, s in open_.items()}
-    while any(lo != hi for _, lo, hi in span.values()):
-        live = sorted({v for v in span.values() if v[1] != v[2]})
+    prefix = {i: (s.key,) for i, s in open_.items()}
+    for names in (("h", "d"), ("h", "d", "e")):
+        prefix = _narrow(rows, open_, prefix, names)
+    # a single row holds the target: cut before it if its midpoint is past the target
+    h, d, e = zip(*prefix.values())
+    last = {(r.h, r.d, r.e): (r.size, 1) for r in
+            rows.where(F.col("h").isin(list(h)) & F.col("d").isin(list(d)) & F.col("e").isin(list(e)))
+            .select("h", "d", "e", "size").collect()}
+    for i, s in open_.items():
+        h, d, e = prefix[i]
+        found[i] = (h, d, e) if 2 * s.below + last[h, d, e][s.weight] >= s.target else (h, d, e + 1)
+    return found
+
+
+def _narrow(rows: DataFrame, open_: dict, prefix: dict, names: tuple) -> dict:
+    """Each open search, whose interval is one value of all columns but the last of ``names``, down to one
+    value of the last: rounds of ``GRID`` even parts of the values' range."""
+    col = names[-1]
+    values = {p: None for p in prefix.values()}
+    within = None
+    for p in values:
+        here = _equal(names, p)
+        within = here if within is None else within | here
+    for r in (rows.where(within).groupBy(*names[:-1]).agg(F.min(col).alias("lo"), F.max(col).alias("hi")).collect()):
+        values[tuple(r)[:-2]] = (r.lo, r.hi)
+    span = {i: (p, *values[p]) for i, p in prefix.items()}
+    while live := sorted({v for v in span.values() if v[1] != v[2]}):
         grid = outer = where = None
-        for n, (h, lo, hi) in enumerate(live):
+        for n, (p, lo, hi) in enumerate(live):
             width = (hi - lo) // GRID + 1
-            # (d - lo) may pass 63 bits when ids span the whole range: decimal arithmetic
-            step = F.floor((F.col("d").cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("long") \
-                if hi - lo >= 1 << 62 else F.expr(f"(d - ({lo}L)) div {width}L")
-            cond = (F.col("h") == h) & F.col("d").between(lo, hi)
+            # the difference may pass 63 bits when values span the whole range: decimal arithmetic
+            step = F.floor((F.col(col).cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("long") \
+                if hi - lo >= 1 << 62 else F.expr(f"({col} - ({lo}L)) div {width}L")
+            cond = _equal(names, p) & F.col(col).between(lo, hi)
             grid = F.when(cond, step) if grid is None else grid.when(cond, step)
             outer = F.when(cond, F.lit(n)) if outer is None else outer.when(cond, F.lit(n))
             where = cond if where is None else where | cond
@@ -134,34 +159,30 @@ def find_splitters(rows: DataFrame, targets: list[tuple[float, int]], tolerance:
         for i, s in open_.items():
             if span[i] not in live:
                 continue
-            h, lo, hi = span[i]
+            p, lo, hi = span[i]
             width = (hi - lo) // GRID + 1
             g = s.descend(hist[live.index(span[i])])
-            span[i] = (h, lo + g * width, min(hi, lo + (g + 1) * width - 1))
-            if span[i][1] != span[i][2] and width == 1:
-                span[i] = (h, lo + g, lo + g)
-    # a single key holds the target: cut before it if its midpoint is past the target
-    last = {}
-    for r in (rows.where(F.col("h").isin([v[0] for v in span.values()])
-                         & F.col("d").isin([v[1] for v in span.values()]))
-              .groupBy("h", "d").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()):
-        last[r["h"], r["d"]] = (r["b"], r["n"])
-    for i, s in open_.items():
-        h, d, _ = span[i]
-        m = last[h, d][s.weight]
-        found[i] = (h, d) if 2 * s.below + m >= s.target else (h, d + 1) if d < (1 << 63) - 1 else (h + 1, -(1 << 63))
-    return found
+            span[i] = (p, lo + g * width, min(hi, lo + (g + 1) * width - 1))
+    return {i: (*p, lo) for i, (p, lo, _) in span.items()}
+
+
+def _equal(names: tuple, values: tuple) -> Column:
+    cond = None
+    for c, v in zip(names, values):
+        cond = (F.col(c) == F.lit(v)) if cond is None else cond & (F.col(c) == F.lit(v))
+    return cond
 
 
-def _number_below(splitters: list[tuple[int, int]], hash_col: str = "h", id_col: str = "d") -> Column:
+def _number_below(splitters: list[tuple[int, int, int]], hash_col: str = "h", id_col: str = "d", row_col: str = "e") -> Column:
     """How many splitters are at or below a row's key: a balanced tree of
     comparisons, so a row costs log2 of their number."""
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        h, d = splitters[mid]
-        low = (F.col(hash_col) < h) | ((F.col(hash_col) == h) & (F.col(id_col) < F.lit(d)))
+        h, d, e = splitters[mid]
+        same = F.col(hash_col) == h
+        low = (F.col(hash_col) < h) | (same & (F.col(id_col) < F.lit(d))) | (same & (F.col(id_col) == F.lit(d)) & (F.col(row_col) < F.lit(e)))
         return F.when(low, tree(lo, mid)).otherwise(tree(mid + 1, hi))
     return tree(0, len(splitters))
 
@@ -186,7 +207,7 @@ def assign_shards(docs: DataFrame, shards: int, tolerance: float = 0.0, text: st
     bounds = sorted(keys[:shards - 1])
     # the shard of each cell between two neighbouring cuts
     shard_of, at = [], 0
-    for c in [(-1, 0), *cuts]:
+    for c in [(-1, 0, 0), *cuts]:
         while at < len(bounds) and bounds[at] <= c:
             at += 1
         shard_of.append(at)
@@ -197,7 +218,7 @@ def assign_shards(docs: DataFrame, shards: int, tolerance: float = 0.0, text: st
         offset.append(seen.get(shard, 0))
         seen[shard] = seen.get(shard, 0) + held.get(cell, 0)
     pick = lambda values, kind: F.element_at(F.array([F.lit(v).cast(kind) for v in values]), F.col("cell") + 1)
-    order = Window.partitionBy("cell").orderBy("h", "d", "size", "text_crc32")
+    order = Window.partitionBy("cell").orderBy("h", "d", "e")
     return (placed.withColumn("slot", F.row_number().over(order) - 1)
             .select("doc_id", "size", "text_crc32", pick(shard_of, "int").alias("shard"),
                     (F.col("slot") + pick(offset, "long")).alias("slot")))
@@ -207,14 +228,17 @@ def write_shards(docs: DataFrame, path: str, shards: int, tolerance: float = 0.0
                  doc_id: str = "doc_id", max_rows_per_file: int = 1_000_000) -> None:
     """Write ``docs`` to ``path`` with one folder for each shard, ``shard=N``
     (``shard_`` if the input has a column of that name)."""
-    rows = materialise(_keyed(docs, text, doc_id), "shards")
+    body = F.coalesce(F.col(text), F.lit(""))
+    h, d, e, size, shard = unused(docs, "h", "d", "e", "size", "shard")
+    # stored once with their numbers, by which repeated rows are told apart
+    keyed = materialise(docs.withColumns({h: F.shiftrightunsigned(F.xxhash64(body), 64 - HASH_BITS),
+                                          d: F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST)),
+                                          e: F.monotonically_increasing_id(),
+                                          size: F.octet_length(body).cast("long") + F.lit(ROW_BYTES)}), "shards")
+    rows = keyed.select(F.col(h).alias("h"), F.col(d).alias("d"), F.col(e).alias("e"), F.col(size).alias("size"))
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     keys = sorted(find_splitters(rows, [(total * k / shards, 0) for k in range(1, shards)], tolerance)) if total else []
-    body = F.coalesce(F.col(text), F.lit(""))
-    h, d, shard = unused(docs, "h", "d", "shard")
-    keyed = docs.withColumns({h: F.shiftrightunsigned(F.xxhash64(body), 64 - HASH_BITS),
-                              d: F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))})
-    (keyed.withColumn(shard, _number_below(keys, h, d)).drop(h, d).hint("rebalance", F.col(shard))
+    (keyed.withColumn(shard, _number_below(keys, h, d, e)).drop(h, d, e, size).hint("rebalance", F.col(shard))
      .write.option("maxRecordsPerFile", max_rows_per_file).partitionBy(shard).parquet(path))
 
 
