@@ -1,5 +1,6 @@
 """Learned operators: held-out accuracy, and that awkward input is scored."""
 
+import math
 import random
 
 import numpy as np
@@ -159,6 +160,18 @@ def test_nearest(spark, dim, monkeypatch):
     assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in out) == brute_nearest(rows, 10, 5)
 
 
+def test_nearest_with_repeated_ids(spark):
+    rows = [(100, [0.0, 1.0]), (100, [5.0, 5.0]), (100, [0.0, 1.0]), (7, [0.0, 2.0]), (7, [5.0, 4.0]), (8, [1.0, 1.0])]
+    v = neighbours.numbered(neighbours.usable(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v"))
+    out = neighbours.nearest(v.where("id % 100 = 0"), v, 4, groups=3).collect()
+    want = []
+    for n, (i, a) in enumerate(rows):
+        if i == 100:
+            near = sorted((math.dist(a, b), j) for m, (j, b) in enumerate(rows) if m != n)[:4]
+            want += [(i, rank + 1, j, round(d, 9)) for rank, (d, j) in enumerate(near)]
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in out) == sorted(want)
+
+
 def test_nearest_of_nothing(spark):
     v = neighbours.usable(spark.createDataFrame([(1, None)], "vec_id long, v array<float>"), "vec_id", "v")
     assert neighbours.nearest(v, v, 3).collect() == []
