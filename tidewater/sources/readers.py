@@ -15,8 +15,10 @@ list of files of one batch and their distinct CSV headers / Parquet schemas
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 from collections import defaultdict
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -228,14 +230,10 @@ def read_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list
               .parquet(*[literal(p) for p in paths]))
         groups = [(paths, df)]
     except Exception:  # conflicting column types across files, or no footer to infer from
-        by_schema: dict[str, list[str]] = defaultdict(list)
-        for p in paths:
-            try:
-                by_schema[spark.read.parquet(literal(p)).schema.json()].append(p)
-            except Exception:
-                bad.append(p)
-        for _sj, ps in by_schema.items():
-            groups.append((ps, spark.read.option("ignoreCorruptFiles", "true").parquet(*[literal(p) for p in ps])))
+        groups, bad = [], []
+        for ps in _by_schema(spark, paths, bad):
+            groups.append((ps, spark.read.schema(spark.read.parquet(literal(ps[0])).schema)
+                           .option("ignoreCorruptFiles", "true").parquet(*[literal(p) for p in ps])))
     recs = []
     for _ps, df in groups:
         names = [f.name for f in df.schema.fields]
@@ -245,6 +243,32 @@ def read_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list
     return _union(recs, spark, RECORDS_SCHEMA + ", bad boolean"), bad
 
 
+def _by_schema(spark: SparkSession, paths: list[str], bad: list[str]) -> list[list[str]]:
+    """``paths`` in groups of one file schema. Footers are decoded in tasks; a file whose footer does
+    not decode goes to ``bad``. A file that cannot be read fails the batch: the failure is not the file's."""
+    def fn(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            kinds = []
+            for content in pdf["content"]:
+                try:
+                    f = pq.ParquetFile(pa.BufferReader(bytes(content)))
+                except Exception:  # any failure to decode these bytes is the file's
+                    kinds.append(None)
+                    continue
+                own = (f.metadata.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+                kinds.append(hashlib.sha256(str(f.schema).split("\n", 1)[1].encode() + own).hexdigest())
+            yield pd.DataFrame({"file_id": pdf["file_id"], "kind": kinds})
+
+    read = (spark.read.format("binaryFile").load([literal(p) for p in paths])
+            .select(C.file_id().alias("file_id"), "content").mapInPandas(fn, "file_id string, kind string"))
+    out: dict = defaultdict(list)
+    for file_id, kind in read.collect():
+        (bad if kind is None else out[kind]).append(unquote(file_id))
+    return [sorted(ps) for _, ps in sorted(out.items())]
+
+
 def parquet_verdict(spark: SparkSession, paths: list[str], read: DataFrame) -> DataFrame:
     """(file_id) of the Parquet files that did not read whole.
 
