@@ -36,4 +36,4 @@ def oracles() -> dict[str, str]:
 
 def _load() -> None:
     # importing the catalog modules fills the registry
-    from . import catalog_ingest, catalog_features, catalog_nulls, catalog_streams, catalog_tables  # noqa: F401
+    from . import catalog_evolution, catalog_ingest, catalog_features, catalog_nulls, catalog_streams, catalog_tables  # noqa: F401
