@@ -362,3 +362,13 @@ def test_lines_of_nothing(spark):
 
 def test_crc_query_columns():
     assert zlib.crc32(b"") == 0
+
+
+def test_majority_of_long_lines():
+    """Runs of one hash, of 255, 256 and many more, against bits counted one by one."""
+    rng = np.random.default_rng(8)
+    sizes = [1, 2, 255, 256, 3, 511, 1000, 1]
+    h = rng.integers(0, 1 << 63, sum(sizes), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, sum(sizes), dtype=np.uint64)
+    first = np.cumsum([0, *sizes[:-1]])
+    want = [sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h[a:a + n]) > n) for a, n in zip(first, sizes)]
+    assert lines.majority(h, first).tolist() == want

@@ -43,7 +43,7 @@ from .common import load, materialise, slices, unused, utf8
 from .components import components
 from .decontaminate import BETWEEN
 from .simhash import linked_in_keys, sorted_groups
-from .wordhash import BREAKS, Words, class_table, range_hashes
+from .wordhash import BREAKS, M1, Words, class_table, range_hashes
 
 LEAST_WORDS = 5
 LEAST_CHARS = 20
@@ -58,6 +58,31 @@ RAW = 1                   # seed of the hashes of lines as they stand
 KNOWN = 4_000_000         # candidate lines whose hashes are broadcast (32 MB); beyond it a join
 
 
+# a byte's eight bits as the lowest bits of eight bytes
+_SPREAD = (np.arange(256, dtype=np.uint64)[:, None] >> np.arange(8, dtype=np.uint64) & np.uint64(1)) @ (np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64))
+
+
+def majority(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each run of uint64 hashes (the runs begin at ``first``): a bit is 1 if it is set in over half
+    of them. Eight bits are counted at once, as bytes of one number, over at most 255 hashes;
+    longer runs are counted in pieces."""
+    size = np.diff(np.append(first, len(h)))
+    pieces = -(-size // 255)
+    run = np.repeat(np.arange(len(first)), pieces)
+    at = first[run] + 255 * (np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    begin = np.cumsum(pieces) - pieces
+    split = len(run) > len(first)
+    out = np.zeros(len(first), "<u8")
+    parts = np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    for k in range(8):
+        counts = np.add.reduceat(_SPREAD[parts[:, k]], at).astype("<u8").view(np.uint8).reshape(-1, 8)
+        if split:
+            counts = np.add.reduceat(counts, begin, axis=0, dtype=np.int64)
+        over = 2 * counts.astype(np.int64) > size[:, None]
+        out |= np.packbits(over, axis=1, bitorder="little").ravel().astype("<u8") << np.uint64(8 * k)
+    return out
+
+
 class Lines:
     """The lines of a column that take part: text index, line number, hash and,
     if asked for, fingerprint of each. With ``whole`` also ``short``: text
@@ -79,7 +104,7 @@ class Lines:
         self.hash = range_hashes(exact if whole else h, begin, end)
         ok = end - begin >= LEAST_WORDS
         if whole:
-            lead = np.concatenate(([0], np.cumsum((w.buf & 0xC0) != 0x80)))      # characters before a byte
+            lead = _before((w.buf & 0xC0) != 0x80)      # characters before a byte
             chars = np.concatenate(([0], np.cumsum(lead[w.end] - lead[w.start])))
             ok |= chars[end] - chars[begin] + end - begin - 1 >= LEAST_CHARS
             if fingerprints:
@@ -89,27 +114,33 @@ class Lines:
         if not fingerprints:
             return
         line = np.cumsum(new) - 1
-        order = np.lexsort((h, line))
-        line, h = line[order], h[order]
-        once = np.ones(len(h), bool)
-        once[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
+        # each different word of a line once: one hash of line and word, the first of equal ones stays
+        both = h ^ line.astype(np.uint64) * np.uint64(M1)
+        order = np.argsort(both)
+        both = both[order]
+        once = np.zeros(len(h), bool)
+        once[order[np.concatenate(([True], both[1:] != both[:-1]))[:len(h)]]] = True
         line, h = line[once], h[once]
         first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(h) else line
-        bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32) if len(h) else bits
-        words = np.diff(np.append(first, len(h)))
-        self.fp = np.packbits(2 * ones > words[:, None], axis=1).view(">u8").ravel().astype("<u8")[ok] if len(h) else np.zeros(0, "<u8")
+        self.fp = majority(h, first)[ok] if len(h) else np.zeros(0, "<u8")
 
     def text(self, k: int) -> bytes:
         w = self.words
         return b" ".join(self.buf[a:b].tobytes() for a, b in zip(w.start[self.begin[k]:self.end[k]], w.end[self.begin[k]:self.end[k]]))
 
 
+def _before(mask: np.ndarray) -> np.ndarray:
+    """How many entries before each place (and in all) are set."""
+    out = np.zeros(len(mask) + 1, np.int32 if len(mask) < 1 << 31 else np.int64)
+    np.cumsum(mask, out=out[1:], dtype=out.dtype)
+    return out
+
+
 def _as_they_stand(column, but: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text index, line number and hash of the column's lines that are not
     blank, without those that hold the bytes ``but``."""
     w = Words(column, class_table(b"\n"))
-    ink = np.concatenate(([0], np.cumsum(class_table(BREAKS)[w.buf])))
+    ink = _before(class_table(BREAKS)[w.buf])
     use = ink[w.end] > ink[w.start]
     use[np.searchsorted(w.start, but, side="right") - 1] = False
     doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
