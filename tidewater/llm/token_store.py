@@ -25,6 +25,7 @@ doc_ids come first, equal doc_ids are ordered by their ids.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -34,13 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import load, per_worker, slices, utf8
+from .common import load, per_worker, slices
 
 BLOCK = 1 << 18           # ids in a block
 KEPT = 1_000_000          # words a worker keeps the ids of: about 200 MB
 FIRST = "\x1c"           # before a text's first word, which has no space before it
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f")    # white space to Python, not to the pattern
 MARKS = ".,;:!?*&$%#|"    # none begins a contraction
+UNCLEAR = b""             # no word has no ids
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -90,8 +92,8 @@ class WordIds:
         size = self.tokenizer.get_vocab_size()
         # a character of a byte-level token stands for one byte
         self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(size)], np.int64)
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -102,56 +104,88 @@ class WordIds:
         call for their concatenation, cut where the tokens' bytes add up."""
         if not words:
             return []
-        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.cumsum(self.bytes[ids])
+        held, = self._encode(["".join(words)])
+        ends = np.cumsum(self.bytes[np.frombuffer(held, "<u4")])
         cuts = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in words])) + 1
-        held, a, out = ids.tobytes(), 0, []
+        a, out = 0, []
         for b in (4 * cuts).tolist():
             out.append(held[a:b])
             a = b
         return out
 
-    def _learn(self, words: set[str], renew: bool) -> None:
-        """Add the ids of ``words``, None where a word's border is not clear.
-        A word stands for itself with a space before it, unless it begins with
-        a line break or FIRST."""
-        known = self.known
-        if renew and len(known) + len(words) > KEPT // 2:
-            self.older, self.known = known, (known := {})
-        again = [w for w in words if w in self.older]
-        known |= zip(again, map(self.older.__getitem__, again))
-        words = words.difference(known)
-        known |= {w: None for w in words if not w or w[-1].isspace()}
-        ends = {w: cut for w in words if (cut := w.rstrip(MARKS)) and len(cut) < len(w) and cut[-1].isalpha()}
-        plain = {w for w in words if w not in ends and w and not w[-1].isspace()}.union(ends.values()).difference(known)
-        tails = {w[len(cut):] for w, cut in ends.items()}
-        plain, tails = list(plain), list(tails)
-        first = [w for w in plain if w[0] == FIRST]
-        plain = [w for w in plain if w[0] != FIRST]
-        known |= zip(plain, self._encode_words([w if w[0] == "\n" else " " + w for w in plain]))
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of different ``words``, UNCLEAR where a word's border is
+        not clear. A word stands for itself with a space before it, unless it
+        begins with a line break or FIRST."""
+        if len(self.known) + len(words) > KEPT // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        plain, first, ends = [], [], {}
+        for w in words:
+            if (ids := older.get(w)) is not None:
+                known[w] = ids
+            elif w[-1:].isalnum():
+                (first if w[0] == FIRST else plain).append(w)
+            elif not w or w[-1].isspace():
+                known[w] = UNCLEAR
+            elif w[-1] in MARKS and (cut := w.rstrip(MARKS)) and cut[-1].isalpha():
+                ends[w] = cut
+            else:
+                (first if w[0] == FIRST else plain).append(w)
+        for cut in set(ends.values()).difference(known, plain, first):
+            (first if cut[0] == FIRST else plain).append(cut)
+        tails = list({w[len(cut):] for w, cut in ends.items()})
+        known.update(zip(plain, self._encode_words([w if w[0] == "\n" else " " + w for w in plain])))
         found = self._encode([w[1:] for w in first] + tails)
-        known |= zip(first, found)
+        known.update(zip(first, found))
         tail = dict(zip(tails, found[len(first):]))
-        known |= {w: known[cut] + tail[w[len(cut):]] for w, cut in ends.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32."""
-        alone = (*ODD, *self.added)
-        cut = [None if any(c in t for c in alone) else ((FIRST + t) if t[:1] != "\n" else t).replace("\n", " \n").split(" ") if t else []
-               for t in texts]
-        cut = [w[1:] if w and t[0] == "\n" else w for w, t in zip(cut, texts)]
-        fresh = set().union(*filter(None, cut))
-        if new := fresh.difference(self.known):
-            before = self.known
-            self._learn(new, True)
-            if self.known is not before:      # the table began anew
-                self._learn(fresh.difference(self.known), False)
-        known = self.known
-        out: list = []
-        for t, words in zip(texts, cut):
-            found = [None] if words is None else list(map(known.__getitem__, words))
-            out.append(self._encode([t])[0] if None in found else b"".join(found))
-        return out
+        known.update([(w, known[cut] + tail[w[len(cut):]]) for w, cut in ends.items()])
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of an Arrow column of texts, null as empty: all their ids
+        as uint32, and where each text's ids end. The texts are cut into words
+        and the words numbered by Arrow; only a column's different words are
+        looked up, and ids are gathered by number."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kind = pa.large_string()
+        nothing = pa.scalar("", kind)
+        texts = pc.fill_null(texts.cast(kind), "")
+        alone = pc.match_substring_regex(texts, "|".join(map(re.escape, (*ODD, *self.added))))
+        cut = pc.replace_substring(pc.if_else(alone, nothing, texts), "\n", " \n")
+        broken = pc.starts_with(cut, " \n")       # begins with a line break
+        cut = pc.binary_join_element_wise(pc.if_else(broken, nothing, pa.scalar(FIRST, kind)), cut, nothing)
+        if pc.any(broken).as_py():
+            cut = pc.if_else(broken, pc.utf8_slice_codeunits(cut, 1), cut)
+        cut = pc.split_pattern(cut, " ")
+        words = cut.values.dictionary_encode()
+        at = words.indices.to_numpy()
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, different))
+        if None in found:
+            new = [k for k, x in enumerate(found) if x is None]
+            self._learn([different[k] for k in new])
+            for k in new:
+                found[k] = self.known[different[k]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        n = sizes[at]
+        places = np.concatenate([[0], np.cumsum(n)])
+        ids = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - places[:-1], n) + np.arange(places[-1])]
+        offsets = cut.offsets.to_numpy()
+        ends = places[offsets[1:]]
+        unclear = sizes == 0
+        whole = alone.to_numpy(zero_copy_only=False)
+        if unclear.any():
+            seen = np.concatenate([[0], np.cumsum(unclear[at])])[offsets]
+            whole = whole | (seen[1:] > seen[:-1])
+        if not whole.any():
+            return ids, ends
+        starts = places[offsets[:-1]]
+        rows = [np.frombuffer(self._encode([texts[i].as_py()])[0], "<u4") if whole[i] else ids[starts[i]:ends[i]]
+                for i in range(len(texts))]
+        return np.concatenate(rows), np.cumsum([len(x) for x in rows])
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", width: int = 4,
@@ -159,17 +193,18 @@ def tokenise(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id
     """doc_id, n (with the end id), ids (unsigned little-endian, ``width`` bytes)."""
     name = f"word-ids-{path}-{added}"
     kind = docs.schema[doc_id].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         coder = per_worker(name, lambda: WordIds(path, added))
         for whole in batches:
-            for b in slices(whole, "text", 1 << 18):     # small slices keep their words in the processor's cache
-                ids = [np.frombuffer(x + end, "<u4") for x in coder.encode([t.decode() for t in utf8(b.column("text"))])]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())], names=["doc_id", "n", "ids"])
+            for b in slices(whole, "text"):
+                ids, ends = coder.encode(b.column("text"))
+                ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
+                ends = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+                data = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(ends * width), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(ends), pa.int64()), data.cast(pa.binary())],
+                                                 names=["doc_id", "n", "ids"])
     return (docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
             .mapInArrow(run, f"doc_id {kind}, n long, ids binary"))
 
