@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -72,6 +73,19 @@ def expired_partitions(df: DataFrame, date_col: str, as_of: Column, days: int) -
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
 
 
+def expired_folders(spark, path: str, partition_col: str, as_of: _dt.date, periods: dict[str, int]) -> DataFrame:
+    """B22 ("would delete") for a table in date folders: kind, date, n_rows of
+    every folder strictly older than ``as_of`` less the kind's days. Folders are
+    chosen from the listing (a partition filter), and rows are counted from file
+    footers: no column is read."""
+    cut = {kind: (as_of - _dt.timedelta(days=n)).isoformat() for kind, n in periods.items()}
+    date = F.col(partition_col).cast("string")
+    old = (spark.read.parquet(path).where(F.col(partition_col) < max(cut.values())).groupBy(date.alias("date"))
+           .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
+    kinds = F.array_compact(F.array(*[F.when(F.col("date") < c, F.lit(k)) for k, c in cut.items()]))
+    return old.select(F.explode(kinds).alias("kind"), "date", "n_rows")
+
+
 def drop_partitions(spark, root: str, partition_col: str, older_than: str) -> list[str]:
     """B22 (apply): delete every ``<col>=<value>`` folder with value < cutoff,
     at any level of partition folders. A metadata operation on the table's file

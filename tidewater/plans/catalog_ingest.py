@@ -260,7 +260,7 @@ def _events_landing(spark, sf, fmt):
                          "props")
     body = body.withColumn("source", F.col("event_type")).withColumn("date", day)
     opts = {"header": "true", "escape": '"'} if fmt == "csv" else {}
-    LD.write_landing(body.repartition("source", "date"), root, fmt=fmt, options=opts)
+    LD.write_landing(body, root, fmt=fmt, options=opts)
     return root
 
 
@@ -316,7 +316,7 @@ def q_quarantine_ranges(spark, sf):
     files = ev.select("event_id", "user_id", "event_type", F.col("event_type").alias("source"),
                       F.date_format(block, "yyyy-MM-dd").alias("date"))
     files = files.repartition("source", "date").sortWithinPartitions("source", "date", "event_id")
-    LD.write_landing(files, land, fmt="csv", options={"header": "true"})
+    LD.write_landing(files, land, fmt="csv", options={"header": "true"}, max_bytes=None)     # one file a folder, in order
     out = ingest_landing(spark, land, t, batch_id=1, max_bytes=RANGES_LIMIT, range_bytes=RANGES_BYTES)
     kept = quarantined_bytes(spark, t).select("path", "seq", F.length("content").alias("n_bytes"),
                                               F.sha2("content", 256).alias("range_hash"))
@@ -483,18 +483,18 @@ def q_ingest_mixed(spark, sf):
                  F.col("value").cast("string").alias("value"), "props"]
 
     csv_part = ev.where(F.col("event_type").isin("click", "view"))
-    LD.write_landing(csv_part.select(*text_cols, F.col("event_type").alias("source"), day.alias("date"))
-                     .repartition("source", "date"), root, fmt="csv", options={"header": "true", "escape": '"'})
+    LD.write_landing(csv_part.select(*text_cols, F.col("event_type").alias("source"), day.alias("date")),
+                     root, fmt="csv", options={"header": "true", "escape": '"'})
     js = ev.where(F.col("event_type") == "purchase")
     LD.write_landing(js.select(*text_cols[:4], F.col("value"), "props", F.col("event_type").alias("source"),
-                               day.alias("date")).repartition("source", "date"), root, fmt="json")
+                               day.alias("date")), root, fmt="json")
     pq = ev.where(F.col("event_type") == "signup")
-    LD.write_landing(pq.select("*", F.col("event_type").alias("source"), day.alias("date"))
-                     .repartition("source", "date"), root, fmt="parquet")
+    LD.write_landing(pq.select("*", F.col("event_type").alias("source"), day.alias("date")),
+                     root, fmt="parquet")
     tx = ev.where(F.col("event_type") == "error")
     LD.write_landing(tx.select(F.to_json(F.struct(*text_cols)).alias("value"),
-                               F.col("event_type").alias("source"), day.alias("date"))
-                     .repartition("source", "date"), root, fmt="text")
+                               F.col("event_type").alias("source"), day.alias("date")),
+                     root, fmt="text")
     t = IngestTables(scratch_path(spark, "state-mixed"))
     ingest_landing(spark, root, t, batch_id=1)
     p = read_processed(spark, t)

@@ -122,7 +122,7 @@ def q_ingest_adapters(spark, sf):
     landed = F.col("event_type").isin("click", "view")
     named = F.col("event_type") == "purchase"
     for place, part in (("landing", landed), ("second", named)):
-        LD.write_landing(lines.where(part).repartition("source", "date"), f"{root}/{place}", fmt="json")
+        LD.write_landing(lines.where(part), f"{root}/{place}", fmt="json")
     record = F.struct(F.struct(F.struct(F.lit("second").alias("name")).alias("bucket"),
                                F.struct(F.url_encode("key").alias("key"), F.lit(0).cast("bigint").alias("size")).alias("object")).alias("s3"))
     (LD.read_landing(spark, f"{root}/second").select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))

@@ -121,6 +121,59 @@ def empty_files(spark: SparkSession, root: str, seen: DataFrame | None = None,
     return empty_rows(all_df.join(nonempty, "file_id", "left_anti"))
 
 
+SETTLED_MS = 60_000       # a folder that changed in the last minute may still change within its recorded time
+
+
+def sweep_empty_files(spark: SparkSession, root: str, known: dict[str, int]) -> tuple[DataFrame, dict[str, int]]:
+    """D19 for a stream: (zero-length files as ``file_id``, folders to remember).
+
+    Only folders that changed are listed. ``known`` maps folders that hold no
+    folders to their modification time when they were last listed: a file system that
+    keeps such times changes them whenever a file is created or moved there, so an
+    equal time means nothing new. Folders that hold folders (the root, ``source=``)
+    are listed each time, for the times of what they hold. Times younger than a minute
+    are not remembered, nor are those of stores without folder times (zero, or always
+    the present): these folders are listed again. A file cut to nothing in
+    place is not noticed; a missing root holds nothing."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    settled = jvm.java.lang.System.currentTimeMillis() - SETTLED_MS
+    empty: list[str] = []
+    leaves: dict[str, int] = {}
+    todo = [fs.getFileStatus(top)] if fs.exists(top) else []
+    while todo:
+        folder = todo.pop()
+        uri, changed = folder.getPath().toUri().toString(), folder.getModificationTime()
+        if known.get(uri) == changed:
+            continue
+        try:
+            held = list(fs.listStatus(folder.getPath()))
+        except Exception as e:  # noqa: BLE001
+            if _gone(e):
+                continue        # removed since its parent was listed
+            raise
+        leaf = True
+        for st in held:
+            name = st.getPath().getName()
+            if name.startswith(".") or name.startswith("_") and "=" not in name:
+                continue        # D26: hidden from every reader
+            if st.isDirectory():
+                leaf = False
+                todo.append(st)
+            elif st.getLen() == 0:
+                empty.append(st.getPath().toUri().toString())
+        if leaf and 0 < changed < settled:
+            leaves[uri] = changed
+    rows = spark.createDataFrame([(p,) for p in empty], "file_id string")
+    return rows.select(norm_uri(F.col("file_id")).alias("file_id")), leaves
+
+
+def _gone(e: Exception) -> bool:
+    java = getattr(e, "java_exception", None)
+    return java is not None and java.getClass().getName() == "java.io.FileNotFoundException"
+
+
 def read_files(spark: SparkSession, paths: list[str], archive_dir: str | None = None) -> DataFrame:
     """A01 for known paths: one row for each that exists, nothing else is
     listed or read. With ``archive_dir`` a file that is gone is looked up
@@ -179,17 +232,45 @@ def empty_rows(empties: DataFrame) -> DataFrame:
 
 
 def write_landing(df: DataFrame, root: str, source: str = "source", date: str = "date",
-                  fmt: str = "json", mode: str = "append", options: dict | None = None) -> None:
+                  fmt: str = "json", mode: str = "append", options: dict | None = None,
+                  max_bytes: int | None = K.MAX_FILE_SIZE) -> None:
     """File rows under ``source=<s>/date=<d>/`` (one or more files per pair).
 
-    ``date`` must already be ``yyyy-MM-dd`` text (UTC) — D01.
-    """
+    ``date`` must already be ``yyyy-MM-dd`` text (UTC) — D01. No file is larger than
+    ``max_bytes``, the size from which the ingest refuses files, but for a single row that is. Rows
+    of a pair are brought together and large pairs split over tasks; a file ends at the number of rows that
+    the largest row of its size class allows. Classes are powers of 16, each written by itself, so one
+    huge row makes no other file small. A row's size is that of its text as CSV, JSON or a line,
+    before compression; for other formats its JSON text stands for it. Mode ``overwrite`` replaces the
+    whole area (pairs, if ``spark.sql.sources.partitionOverwriteMode`` is ``dynamic``). None: the rows
+    are written as they are dealt, without a bound and without a pass over them to measure it."""
     w = (df.withColumnRenamed(source, "source") if source != "source" else df)
     w = (w.withColumnRenamed(date, "date") if date != "date" else w)
-    writer = w.write.mode(mode).partitionBy("source", "date").format(fmt)
-    for k, v in (options or {}).items():
-        writer = writer.option(k, v)
-    writer.save(root)
+    options = options or {}
+    if max_bytes is None:
+        return _write_files(w, root, fmt, mode, options)
+    body = F.struct(*[F.col(f"`{c}`") for c in w.columns if c.lower() not in ("source", "date")])
+    head = 0
+    if fmt == "csv":
+        line = F.to_csv(body, {k: str(v) for k, v in options.items() if k != "header"})
+        head = sum(2 * len(c.encode()) + 3 for c in w.columns)      # a header line at its longest
+    elif fmt == "text":
+        line = F.col(next(c for c in w.columns if c.lower() not in ("source", "date")))
+    else:
+        line = F.to_json(body, {k: str(v) for k, v in options.items()} if fmt == "json" else {"ignoreNullFields": "false"})
+    size = F.coalesce(F.octet_length(line), F.lit(0)) + 2
+    grade = F.length(F.hex(size))         # hexadecimal digits: classes that differ 16 times
+    classes = w.select(grade.alias("c"), size.alias("n")).groupBy("c").agg(F.max("n").alias("n")).collect()     # 16 rows at most
+    for i, row in enumerate(sorted(classes)):
+        rows = max(1, (max_bytes - head) // row["n"])
+        part = w if len(classes) == 1 else w.where(grade == row["c"])
+        _write_files(part.hint("rebalance", "source", "date"), root, fmt, mode if i == 0 else "append", {**options, "maxRecordsPerFile": rows})
+    if not classes:
+        _write_files(w, root, fmt, mode, options)
+
+
+def _write_files(df: DataFrame, root: str, fmt: str, mode: str, options: dict) -> None:
+    df.write.mode(mode).partitionBy("source", "date").format(fmt).options(**options).save(root)
 
 
 def landing_key(source: str, filename: str, t: _dt.datetime | None = None) -> str:

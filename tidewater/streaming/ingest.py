@@ -34,17 +34,14 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
     one ``ingest_batch`` keyed by the stream's writer id and the batch id
     (replays converge, other writers' batches are never touched). Zero-length
     files never come out of the binaryFile stream (D19), so each trigger also
-    sweeps the listing for empty files not seen before."""
+    lists the folders that changed for empty files not seen before."""
     stream = LD.stream_landing(spark, landing_root, max_files_per_trigger, archive_dir)
     base = writer_base(spark, checkpoint)
 
     def handle(df: DataFrame, batch_id: int) -> None:
         batch_id, landed = base + int(batch_id), df
         if sweep_empty:
-            # the same listing as the batch form's: every empty file not seen before
-            empties = LD.empty_files(spark, landing_root, seen=_seen(spark, t))
-            empties = _write_empty_seen(empties, t, int(batch_id))
-            landed = landed.unionByName(empties)
+            landed = landed.unionByName(sweep_empty(spark, [landing_root], t, batch_id))
         ingest_batch(spark, landed, t, int(batch_id),
                      _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
         purge_staging(spark, t, int(batch_id), keep_staging)
@@ -56,6 +53,28 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
     return q
 
 
+def sweep_empty(spark: SparkSession, roots: list[str], t: IngestTables, batch_id: int) -> DataFrame:
+    """Landing rows of the empty files below ``roots`` not seen before. The folders that were listed are
+    remembered after the files, so a batch that is run again finds the same rows: in the listing, or
+    in what its first run wrote."""
+    from .topics import _read
+
+    held = _read(spark, f"{t.root}/empty_folders", "folder string, changed long, batch_id long")
+    # one row for each folder that holds files
+    known = {r.folder: r.changed for r in held.groupBy("folder").agg(F.max("changed").alias("changed")).collect()}
+    found, leaves = None, {}
+    for root in roots:
+        rows, more = LD.sweep_empty_files(spark, root, known)
+        found, leaves = rows if found is None else found.unionByName(rows), leaves | more
+    seen = _seen(spark, t).select(LD.norm_uri(F.col("file_id")).alias("file_id"))
+    out = _write_empty_seen(LD.empty_rows(found.distinct().join(seen, "file_id", "left_anti")), t, batch_id)
+    if leaves:
+        rows = spark.createDataFrame([(*x, batch_id) for x in leaves.items()], "folder string, changed long, batch_id long")
+        (rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+         .parquet(f"{t.root}/empty_folders"))
+    return out
+
+
 def _seen(spark: SparkSession, t: IngestTables):
     """Empty files already handled by earlier triggers (a small table: one
     row per zero-length file ever seen)."""
