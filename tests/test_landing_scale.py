@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import layout as LY
 from tidewater.operators.ingest import IngestTables
 from tidewater.sources import landing as LD
-from tidewater.streaming.ingest import sweep_empty
+from tidewater.streaming.ingest import new_empty_files
 
 
 def _files(root):
@@ -83,7 +83,7 @@ def test_sweep_gives_each_empty_file_once_and_again_to_a_batch_run_again(spark,
     _put(f"{root}/source=a/date=2024-01-01/e1.csv")
     _put(f"{root}/top.json")
     _age(root)
-    names = lambda b: sorted(os.path.basename(r.path) for r in sweep_empty(spark, [root], t, b).collect())
+    names = lambda b: sorted(os.path.basename(r.path) for r in new_empty_files(spark, [root], t, b).collect())
     assert names(1) == ["e1.csv", "top.json"]
     assert names(1) == ["e1.csv", "top.json"]       # the same batch, run again
     assert names(2) == []
@@ -92,10 +92,18 @@ def test_sweep_gives_each_empty_file_once_and_again_to_a_batch_run_again(spark,
     assert names(4) == []
 
 
-def test_expired_folders_reads_no_column(spark, tmp_root):
+def test_expired_dates_of_folders_read_no_column(spark, tmp_root):
     rows = spark.createDataFrame([(i, d) for i, d in enumerate(["2024-01-01", "2024-01-01", "2024-01-09", "2024-01-10", None])], "x int, date string")
     rows.write.partitionBy("date").parquet(f"{tmp_root}/t")
-    out = LY.expired_folders(spark, f"{tmp_root}/t", "date", dt.date(2024, 1, 20), {"raw": 10, "processed": 15})
+    out = LY.expired_dates(spark.read.parquet(f"{tmp_root}/t"), "date", dt.date(2024, 1, 20), {"raw": 10, "processed": 15})
     assert sorted(map(tuple, out.collect())) == [("processed", "2024-01-01", 2), ("raw", "2024-01-01", 2), ("raw", "2024-01-09", 1)]
     plan = out._jdf.queryExecution().toString()
     assert "ReadSchema: struct<>" in plan and "(date" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_expired_dates_of_a_column_reach_the_scan(spark, tmp_root):
+    stamps = [dt.datetime(2024, 1, 9, 23, 59, 59), dt.datetime(2024, 1, 10), None]
+    spark.createDataFrame([(s,) for s in stamps], "ts timestamp").write.parquet(f"{tmp_root}/t")
+    out = LY.expired_dates(spark.read.parquet(f"{tmp_root}/t"), "ts", dt.date(2024, 1, 20), {"raw": 10})
+    assert list(map(tuple, out.collect())) == [("raw", "2024-01-09", 1)]
+    assert "LessThan(ts" in out._jdf.queryExecution().toString()

@@ -73,14 +73,13 @@ def expired_partitions(df: DataFrame, date_col: str, as_of: Column, days: int) -
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
 
 
-def expired_folders(spark, path: str, partition_col: str, as_of: _dt.date, periods: dict[str, int]) -> DataFrame:
-    """B22 ("would delete") for a table in date folders: kind, date, n_rows of
-    every folder strictly older than ``as_of`` less the kind's days. Folders are
-    chosen from the listing (a partition filter), and rows are counted from file
-    footers: no column is read."""
+def expired_dates(df: DataFrame, date_col: str, as_of: _dt.date, periods: dict[str, int]) -> DataFrame:
+    """B22 ("would delete") for several periods in one pass: kind, date, n_rows of
+    every date strictly older than ``as_of`` less the kind's days. The longest list's cutoff is a
+    constant that reaches the scan: on a table in date folders it chooses folders from the listing, and rows are counted
+    from file footers, no column is read; on a date or timestamp column it skips row groups. Null dates never expire."""
     cut = {kind: (as_of - _dt.timedelta(days=n)).isoformat() for kind, n in periods.items()}
-    date = F.col(partition_col).cast("string")
-    old = (spark.read.parquet(path).where(F.col(partition_col) < max(cut.values())).groupBy(date.alias("date"))
+    old = (df.where(F.col(date_col) < max(cut.values())).groupBy(F.substring(F.col(date_col).cast("string"), 1, 10).alias("date"))
            .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
     kinds = F.array_compact(F.array(*[F.when(F.col("date") < c, F.lit(k)) for k, c in cut.items()]))
     return old.select(F.explode(kinds).alias("kind"), "date", "n_rows")

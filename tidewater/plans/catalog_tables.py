@@ -181,16 +181,12 @@ UNION ALL
 SELECT 'processed', strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'), count(*)
 FROM orders, m WHERE CAST(o_orderdate AS DATE) < a - 365 GROUP BY ALL""")
 def q_retention(spark, sf):
-    """Orders as a table in folders by day; both periods are looked up in one listing."""
     prep(spark)
     o = table(spark, sf, "orders")
     as_of, = o.agg(F.max("o_orderdate").cast("date")).first()
-    path = scratch_path(spark, "orders-by-day")
-    (o.withColumn("date", F.date_format("o_orderdate", "yyyy-MM-dd")).hint("rebalance", "date")
-     .write.partitionBy("date").parquet(path))
     if as_of is None:       # no orders
         return spark.createDataFrame([], "kind string, date string, n_rows bigint")
-    return LY.expired_folders(spark, path, "date", as_of, LY.RETENTION_DAYS)
+    return LY.expired_dates(o, "o_orderdate", as_of, LY.RETENTION_DAYS)
 
 
 # ----------------------------------------------------------------- B23 B24

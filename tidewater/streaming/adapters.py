@@ -83,7 +83,7 @@ def run_adapters(spark: SparkSession, adapters: list[DataFrame], t: IngestTables
                  landing_roots: list[str] = (), available_now: bool = True, keep_staging: int = 5):
     """All ``adapters`` as one streaming query into the ingest. ``landing_roots``: folders
     swept for empty files, which the file source never gives (D19)."""
-    from .ingest import sweep_empty
+    from .ingest import new_empty_files
 
     merged = adapters[0]
     for a in adapters[1:]:
@@ -93,7 +93,7 @@ def run_adapters(spark: SparkSession, adapters: list[DataFrame], t: IngestTables
     def handle(df: DataFrame, batch_id: int) -> None:
         batch_id, empties = base + int(batch_id), None
         if landing_roots:
-            empties = sweep_empty(spark, list(landing_roots), t, batch_id)
+            empties = new_empty_files(spark, list(landing_roots), t, batch_id)
         ingest_items(spark, df, t, batch_id, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), empties)
         purge_staging(spark, t, batch_id, keep_staging)
 

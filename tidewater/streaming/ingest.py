@@ -41,7 +41,7 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
     def handle(df: DataFrame, batch_id: int) -> None:
         batch_id, landed = base + int(batch_id), df
         if sweep_empty:
-            landed = landed.unionByName(sweep_empty(spark, [landing_root], t, batch_id))
+            landed = landed.unionByName(new_empty_files(spark, [landing_root], t, batch_id))
         ingest_batch(spark, landed, t, int(batch_id),
                      _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
         purge_staging(spark, t, int(batch_id), keep_staging)
@@ -53,7 +53,7 @@ def run_ingest_stream(spark: SparkSession, landing_root: str, t: IngestTables, c
     return q
 
 
-def sweep_empty(spark: SparkSession, roots: list[str], t: IngestTables, batch_id: int) -> DataFrame:
+def new_empty_files(spark: SparkSession, roots: list[str], t: IngestTables, batch_id: int) -> DataFrame:
     """Landing rows of the empty files below ``roots`` not seen before. The folders that were listed are
     remembered after the files, so a batch that is run again finds the same rows: in the listing, or
     in what its first run wrote."""
