@@ -1,6 +1,7 @@
 """Operators on words and tokens against brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -372,3 +373,27 @@ def test_majority_of_long_lines():
     first = np.cumsum([0, *sizes[:-1]])
     want = [sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h[a:a + n]) > n) for a, n in zip(first, sizes)]
     assert lines.majority(h, first).tolist() == want
+
+
+def test_word_ids_are_the_librarys(monkeypatch):
+    """Words cut by Arrow: every text's ids are those of the library, with and without added tokens, also
+    where the table of known words begins anew."""
+    import pyarrow as pa
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = ["a", "word", "Wörter", "é́", "漢字", "don't", "it's?", "x,", "ok!!", ";;", "12", "3.5", "", " ", "\n", "\n\n", "\t", "\r\n", "\x1c",
+              "　", "ẞx", "<|endoftext|>", "l'eau.", "|", "...", "a*b", "\U0001f600."]
+    rnd = random.Random(7)
+    texts = ["", None, " a", "\nx\n\ny", "  \n", "\n", "x\n", "<|endoftext|>"]
+    texts += [rnd.choice([" ", "\n", ""]).join(rnd.choice(pieces) for _ in range(rnd.randint(1, 12))) for _ in range(400)]
+    for added in (False, True):
+        coder = token_store.WordIds(path, added)
+        for kept in (40, 1_000_000):
+            monkeypatch.setattr(token_store, "KEPT", kept)
+            for some in (texts, texts[5:60], texts[:1], []):
+                ids, ends = coder.encode(pa.array(some, pa.string()))
+                starts = [0, *ends[:-1]]
+                assert len(ends) == len(some)
+                for t, a, b in zip(some, starts, ends):
+                    assert ids[a:b].tolist() == coder.tokenizer.encode(t or "", add_special_tokens=False).ids, (t, added)
