@@ -95,3 +95,26 @@ def test_quality_counts_a_late_label_once(spark, tmp_root):
     SF.write_stream(spark, out, os.path.join(tmp_root, "out"), os.path.join(tmp_root, "ckpt"))
     got = spark.read.parquet(os.path.join(tmp_root, "out")).where(F.year("window_start") == 2024).collect()
     assert [(r.n_predictions, r.n_unmatched, round(r.accuracy, 6), r.rmse) for r in got] == [(9, 6, round(2 / 3, 6), 0.5)]
+
+
+def _many_keys(n=300):
+    """Rows of n keys within one bucket, then a row that closes it."""
+    return [(i, f"k{i}", T0 + timedelta(seconds=i % 50), float(i)) for i in range(n)]
+
+
+def _state(run):
+    ops = [p.stateOperators[0] for p in run.recentProgress if p.stateOperators]
+    return max(o.numRowsTotal for o in ops), max(o.numShufflePartitions for o in ops)
+
+
+def test_asof_state_follows_shards_not_keys(spark, tmp_root):
+    rows = _many_keys()
+    a = _stream(spark, os.path.join(tmp_root, "labels"), [[(r[0] + 1000, r[1], r[2] + timedelta(seconds=1), 0.0) for r in rows]])
+    b = _stream(spark, os.path.join(tmp_root, "features"), [rows]).withColumnRenamed("v", "x")
+    out = SF.asof_features_stream(a, b, "k", "ts", "ts", 60, ["x"], "id", "100 seconds", sub_buckets=1)
+    path = os.path.join(tmp_root, "out")
+    run = SF.write_stream(spark, out, path, os.path.join(tmp_root, "ckpt"), partitions=2)
+    got = {r.id: (r.feature_id, r.x) for r in spark.read.schema(out.schema).parquet(path).collect() if r.id >= 0}
+    assert got == {r[0] + 1000: (r[0], r[3]) for r in rows}
+    held, partitions = _state(run)
+    assert partitions == 2 and held < len(rows)

@@ -1,11 +1,12 @@
 """Time features over streams with shuffled and late rows.
 
-Rolling windows and as-of features share one keyed state: time is cut into buckets, and a
-row is kept under (key, bucket) of its own bucket and of the following ones that its window
-or lifetime reaches. When the watermark has passed the end of a bucket, a timer computes
-the bucket's own rows from what is kept and the state is dropped. So every result is final,
-order of arrival does not matter, state lasts one bucket's reach and the watermark's delay,
-and a key that holds a third of all rows is spread over its buckets.
+Rolling windows and as-of features share one keyed state: time is cut into buckets, keys are
+dealt to ``SHARDS`` by their hash, and a row is kept under (shard, bucket) of its own bucket
+and of the following ones that its window or lifetime reaches. When the watermark has passed
+the end of a bucket, a timer computes the bucket's own rows from what is kept and the state
+is dropped. So every result is final, order of arrival does not matter, state lasts one
+bucket's reach and the watermark's delay, and a key that holds a third of all rows is spread
+over its buckets.
 
 The watermark runs over the ends of the rows' buckets. A row is late, and dropped, if its
 own bucket is closed when it arrives. Rows without a time take no part. Results come out
@@ -25,48 +26,70 @@ from pyspark.sql.streaming import StatefulProcessor
 
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         "ignoreNullFields": "false"}
-_KEPT = "us long, kind int, tiebreak long, real boolean, number double, payload string"
-_COLUMNS = ["us", "kind", "tiebreak", "real", "number", "payload"]
+_COLUMNS = ["key", "us", "kind", "tiebreak", "real", "number", "payload"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SHARDS = 32               # groups of keys that share a bucket's state
 
 
 class BucketState(StatefulProcessor):
-    """Keeps the rows of a (key, bucket) until the bucket closes, then gives ``close(rows)``."""
+    """Keeps the rows of a (shard, bucket) until the bucket closes, then gives ``close(rows)``.
+
+    What a micro-batch brings is one value of the state, an Arrow table: calls to the
+    state store follow the shards and buckets, not the keys or rows."""
 
     def __init__(self, width_us: int, close: Callable):
         self.width_us, self.on_close = width_us, close
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", _KEPT)
+        self.chunks = handle.getListState("chunks", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        import pyarrow as pa
+
         watermark, any_kept = timerValues.getCurrentWatermarkInMs(), False
+        schema = pa.schema([("key", pa.string()), ("us", pa.int64()), ("kind", pa.int32()), ("tiebreak", pa.int64()),
+                            ("real", pa.bool_()), ("number", pa.float64()), ("payload", pa.string())])
         for pdf in rows:
             live = pdf[pdf["end_ms"] > watermark]
             if len(live):
                 any_kept = True
-                clean = live[_COLUMNS].astype(object)
-                self.rows.appendList(list(clean.where(clean.notna(), None).itertuples(index=False, name=None)))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, schema) as w:
+                    w.write_table(pa.Table.from_pandas(live[_COLUMNS], schema=schema, preserve_index=False))
+                self.chunks.appendValue((sink.getvalue().to_pybytes(),))
         if any_kept:
             self.handle.registerTimer((int(key[-1]) + 1) * self.width_us // 1000)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        kept = pd.DataFrame(list(self.rows.get()), columns=_COLUMNS)
-        self.rows.clear()
-        if kept["real"].any():
+        kept = pa.concat_tables([pa.ipc.open_stream(bytes(c[0])).read_all() for c in self.chunks.get()])
+        self.chunks.clear()
+        if pc.any(kept["real"]).as_py():
             yield self.on_close(kept)
 
     def close(self) -> None:
         pass
 
 
+def _ranks(kept):
+    """Keys and times of the table ``kept`` as numbers: (the key's code, the time's rank, the different
+    times, how code and rank make one number). Nulls are one key."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    code = pc.dictionary_encode(kept["key"].combine_chunks(), null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    times, rank = np.unique(kept["us"].to_numpy(), return_inverse=True)
+    return code, rank.astype(np.int64), times, lambda c, r: c * (len(times) + 1) + r
+
+
 def _bucketed(stream: DataFrame, key: str, ts: str, width_us: int, reach: int, delay: str, kind: int,
-              tiebreak: str | None, number: str | None) -> DataFrame:
-    """The rows of ``stream`` under their own bucket and the ``reach`` following ones."""
+              tiebreak: str | None, number: str | None, carry: bool) -> DataFrame:
+    """The rows of ``stream`` under their own bucket and the ``reach`` following ones, where they have
+    their payload only with ``carry``."""
     d = stream.select(F.col(key).cast("string").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
                       F.lit(kind).alias("kind"),
                       (F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")).alias("tiebreak"),
@@ -76,12 +99,13 @@ def _bucketed(stream: DataFrame, key: str, ts: str, width_us: int, reach: int, d
     end_us = (own + 1) * width_us
     d = d.withColumn("own", own).withColumn("end", F.timestamp_micros(end_us)).withColumn("end_ms", F.floor(end_us / 1000).cast("bigint"))
     return (d.withWatermark("end", delay).select("*", F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("off"))
-            .select("key", (F.col("own") + F.col("off")).alias("bucket"), "end", "end_ms", "us", "kind", "tiebreak",
-                    (F.col("off") == 0).alias("real"), "number", "payload"))
+            .select(F.pmod(F.xxhash64("key"), F.lit(SHARDS)).cast("int").alias("shard"), (F.col("own") + F.col("off")).alias("bucket"),
+                    "end", "end_ms", "key", "us", "kind", "tiebreak", (F.col("off") == 0).alias("real"), "number",
+                    (F.col("payload") if carry else F.when(F.col("off") == 0, F.col("payload"))).alias("payload")))
 
 
 def _closed(rows: DataFrame, width_us: int, close: Callable, schema: str) -> DataFrame:
-    return rows.groupBy("key", "bucket").transformWithStateInPandas(
+    return rows.groupBy("shard", "bucket").transformWithStateInPandas(
         BucketState(width_us, close), schema, "append", "EventTime")
 
 
@@ -100,12 +124,14 @@ def rolling_range_stream(stream: DataFrame, key: str, ts: str, value: str, secon
         import numpy as np
         import pandas as pd
 
-        kept = kept.sort_values("us", kind="stable")
-        us, real = kept["us"].to_numpy(np.int64), kept["real"].to_numpy(bool)
-        x = pd.to_numeric(kept["number"]).to_numpy(float)
-        null = kept["number"].isna().to_numpy()
-        at = us[real]
-        ends = np.column_stack((np.searchsorted(us, at - span, "left"), np.searchsorted(us, at, "right"))).ravel()
+        code, rank, times, place = _ranks(kept)
+        order = np.argsort(place(code, rank), kind="stable")
+        kept, code, rank = kept.take(order), code[order], rank[order]
+        at, real = place(code, rank), kept["real"].to_numpy()
+        x = kept["number"].to_numpy()      # NaN where null
+        null = np.isnan(x)
+        first = place(code[real], np.searchsorted(times, kept["us"].to_numpy()[real] - span, "left"))
+        ends = np.column_stack((np.searchsorted(at, first, "left"), np.searchsorted(at, at[real], "right"))).ravel()
         # sums of the slices themselves, not differences of running sums
         slices = lambda v: np.add.reduceat(np.append(v, v[:1] * 0), ends)[::2]
         n, total = slices((~null).astype(np.int64)), slices(np.where(null, 0.0, x))
@@ -113,7 +139,7 @@ def rolling_range_stream(stream: DataFrame, key: str, ts: str, value: str, secon
             return pd.DataFrame({"payload": kept["payload"].to_numpy()[real], "n": ends[1::2] - ends[::2],
                                  "total": np.where(n > 0, total, np.nan), "mean": np.where(n > 0, total / n, np.nan), "some": n > 0})
 
-    rows = _bucketed(stream, key, ts, width, k, delay, 0, None, value)
+    rows = _bucketed(stream, key, ts, width, k, delay, 0, None, value, False)
     out = _closed(rows, width, close, "payload string, n long, total double, mean double, some boolean")
     return out.select(_payload(stream.schema, "payload").alias("r"), "*").select(
         "r.*", F.col("n").alias(f"{prefix}{seconds}_count"), F.when(F.col("some"), F.col("total")).alias(f"{prefix}{seconds}_sum"),
@@ -131,17 +157,22 @@ def asof_features_stream(labels: DataFrame, features: DataFrame, key: str, label
         import numpy as np
         import pandas as pd
 
-        lab, fea = kept[kept["real"] & (kept["kind"] == 1)], kept[kept["kind"] == 0].sort_values(["us", "tiebreak"])
-        us, at = fea["us"].to_numpy(np.int64), lab["us"].to_numpy(np.int64)
-        last = np.searchsorted(us, at, "right") - 1
-        ok = (last >= 0) & (np.append(us, 0)[last] >= at - ttl)
-        found = np.append(fea["payload"].to_numpy(object), None)[np.where(ok, last, len(us))]
-        return pd.DataFrame({"label": lab["payload"].to_numpy(object), "feature": found})
+        code, rank, times, place = _ranks(kept)
+        kind, us = kept["kind"].to_numpy(), kept["us"].to_numpy()
+        lab, fea = np.flatnonzero(kind == 1), np.flatnonzero(kind == 0)
+        fea = fea[np.lexsort((kept["tiebreak"].to_numpy()[fea], place(code[fea], rank[fea])))]
+        last = np.searchsorted(place(code[fea], rank[fea]), place(code[lab], rank[lab]), "right") - 1
+        fea = np.append(fea, -1)           # -1: none
+        found = fea[last]
+        ok = (found >= 0) & (code[found] == code[lab]) & (us[found] >= us[lab] - ttl)
+        payload = np.append(kept["payload"].to_numpy(), None)
+        lab, found = payload[lab], payload[np.where(ok, found, len(payload) - 1)]
+        return pd.DataFrame({"label": lab, "feature": found})
 
     fea = features.select(key, feature_ts, tiebreak, *[c for c in feature_cols if c not in (key, feature_ts, tiebreak)])
-    rows = _bucketed(labels, key, label_ts, width, 0, delay, 1, None, None).unionByName(
+    rows = _bucketed(labels, key, label_ts, width, 0, delay, 1, None, None, True).unionByName(
         # null keys move the watermark on but are not kept (asking for the time column keeps the filter behind the watermark)
-        _bucketed(fea, key, feature_ts, width, k, delay, 0, tiebreak, None).where(F.col("key").isNotNull() | F.col("end").isNull()))
+        _bucketed(fea, key, feature_ts, width, k, delay, 0, tiebreak, None, True).where(F.col("key").isNotNull() | F.col("end").isNull()))
     out = _closed(rows, width, close, "label string, feature string")
     f = _payload(fea.schema, "feature")
     return out.select(_payload(labels.schema, "label").alias("r"), f.alias("f")).select(
@@ -171,22 +202,31 @@ def quality_stream(predictions: DataFrame, actuals: DataFrame, key: str, ts: str
 
 
 @contextmanager
-def with_rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, which lists, timers and expiry need."""
-    conf = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(conf, None)
-    spark.conf.set(conf, ROCKSDB)
+def with_rocksdb(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which lists, timers and expiry need, and
+    commit its changes. The state has as many partitions as the cluster has cores, but no more
+    than shuffles have, or ``partitions``: each is opened and committed in every micro-batch. A
+    checkpoint keeps the number it was started with."""
+    shuffles = "spark.sql.shuffle.partitions"
+    conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+            shuffles: str(partitions or min(int(spark.conf.get(shuffles)), spark.sparkContext.defaultParallelism))}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def write_stream(spark: SparkSession, out: DataFrame, path: str, checkpoint: str, available_now: bool = True):
-    """Append results to the table at ``path``."""
+def write_stream(spark: SparkSession, out: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                 partitions: int | None = None):
+    """Append results to the table at ``path``; ``partitions`` of the state: see :func:`with_rocksdb`."""
     w = out.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    with with_rocksdb(spark):
+    with with_rocksdb(spark, partitions):
         q = w.start()
     if available_now:
         q.awaitTermination()
