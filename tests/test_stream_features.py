@@ -118,3 +118,15 @@ def test_asof_state_follows_shards_not_keys(spark, tmp_root):
     assert got == {r[0] + 1000: (r[0], r[3]) for r in rows}
     held, partitions = _state(run)
     assert partitions == 2 and held < len(rows)
+
+
+def test_rolling_state_follows_shards_not_keys(spark, tmp_root):
+    rows = _many_keys() + [(900, "k7", T0 + timedelta(seconds=50), None), (901, None, T0, 1.0), (902, None, T0, 2.0)]
+    q = SF.rolling_range_stream(_stream(spark, os.path.join(tmp_root, "in"), [rows]), "k", "ts", "v", 60, "100 seconds")
+    path = os.path.join(tmp_root, "out")
+    run = SF.write_stream(spark, q, path, os.path.join(tmp_root, "ckpt"), partitions=2)
+    got = {r.id: (r.range60_count, r.range60_sum) for r in spark.read.schema(q.schema).parquet(path).collect() if r.id >= 0}
+    want = TM.rolling_range(spark.createDataFrame(rows, SCHEMA), "k", "ts", "v", 60)
+    assert got == {r.id: (r.range60_count, r.range60_sum) for r in want.collect()}
+    held, partitions = _state(run)
+    assert partitions == 2 and held < len(rows)
