@@ -140,6 +140,7 @@ def write_partitioned(df: DataFrame, path: str, date_col: str = "date", source_c
 
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+COMPACTION_ROWS = 125_000      # of a task, about, unless one file has more
 
 
 def compaction_plan(spark, path: str, part_cols: list[str], target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
@@ -158,12 +159,12 @@ def compact(spark, path: str, out_path: str, part_cols: list[str], target_bytes:
     of about ``target_bytes`` (rows unchanged).
 
     Rows are dealt to ``target_files`` slots of their partition by where they
-    lie, so even a huge partition spreads over many tasks; a task that gets
-    several slots still cuts its files at the rows that the table's mean row
+    lie, so even a huge partition spreads over many tasks, whose number follows the rows
+    (up to four times the slots, so that few tasks get several); a task that gets several slots still cuts its files at the rows that the table's mean row
     size gives for ``target_bytes``."""
     plan = compaction_plan(spark, path, part_cols, target_bytes)
     rows, = spark.read.parquet(path).agg(F.count(F.lit(1))).first()
-    size, = plan.agg(F.sum("bytes")).first()
+    size, files = plan.agg(F.sum("bytes"), F.sum("target_files")).first()
     if not rows:
         return plan
     t = spark.read.parquet(path)
@@ -172,7 +173,8 @@ def compact(spark, path: str, out_path: str, part_cols: list[str], target_bytes:
     t = t.withColumn("__at", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     t = t.join(slots, [t[c].eqNullSafe(slots[f"__{c}"]) for c in part_cols]).drop(*[f"__{c}" for c in part_cols])
     t = t.withColumn("__slot", F.pmod("__at", "target_files"))
-    (t.repartition(*part_cols, "__slot").drop("__slot", "__at", "target_files")
+    tasks = max(1, min(4 * files, max(-(-rows // COMPACTION_ROWS), 2 * spark.sparkContext.defaultParallelism), 10_000))
+    (t.repartition(tasks, *part_cols, "__slot").drop("__slot", "__at", "target_files")
      .write.mode("overwrite").option("maxRecordsPerFile", max(1, round(1.1 * target_bytes * rows / size)))
      .partitionBy(*part_cols).parquet(out_path))
     return plan

@@ -209,6 +209,9 @@ def q_partitioned_table(spark, sf):
                                               r6(F.sum("l_quantity")).alias("sum_qty"))
 
 
+TRICKLE_ROWS = 500_000      # four tasks write so many
+
+
 @query("compact_plan", """
 SELECT strftime(l_shipdate, '%Y-%m') AS date, l_returnflag AS source, count(*) AS n_rows,
        CAST(1 AS BIGINT) AS target_files
@@ -216,8 +219,12 @@ FROM lineitem GROUP BY ALL""")
 def q_compact_plan(spark, sf):
     prep(spark)
     path, out = scratch_path(spark, "lineitem-small-files"), scratch_path(spark, "lineitem-compacted")
-    # many small files per partition, as a trickle of appends would leave
-    _lineitem_by_month(spark, sf).repartition(4).write.partitionBy("date", "source").parquet(path)
+    # many small files per partition, as a trickle of appends would leave: four of each, in more tasks the more rows
+    t = _lineitem_by_month(spark, sf)
+    wide = max(1, -(-t.count() // TRICKLE_ROWS))
+    part, append = F.pmod(F.xxhash64("date", "source"), F.lit(wide)), F.floor(F.rand(0) * 4)
+    (t.repartitionById(4 * wide, (append * wide + part).cast("int"))
+     .write.partitionBy("date", "source").parquet(path))
     plan = LY.compact(spark, path, out, ["date", "source"])
     back = spark.read.parquet(out).groupBy("date", "source").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"))
