@@ -25,6 +25,8 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # keys that differ in case are different columns
     "spark.sql.caseSensitive": "true",
+    # thousands of paths are listed by some tasks, not each by its own
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # CSV headers with a repeated name: the last one wins (map builder)
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }

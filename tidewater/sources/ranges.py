@@ -23,9 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RANGE = 8 << 20
+TASK_BYTES = 8 << 20       # of a task's pieces, about
 HEAD = 4                  # bytes that format detection looks at
 
 
+def _tasks(spark, n: int, size: int) -> int:
+    """Tasks for ``n`` pieces of ``size`` bytes in all: as many as the pieces, but once all cores are
+    busy no more than the bytes ask for, since a task costs more than a small piece."""
+    return int(max(1, min(n, 10_000, max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))))
+
+
 def open_file(file_id: str):
     """A seekable reader of the file with this encoded URI."""
     from urllib.parse import unquote, urlsplit
@@ -81,9 +88,9 @@ def hash_files(files: DataFrame, range_bytes: int = RANGE) -> DataFrame:
                     continue
                 yield pa.RecordBatch.from_pydict({"file_id": [file_id], "content_hash": [digest.hexdigest()],
                                                   "head": pa.array([head], pa.binary()), "n_bytes": pa.array([n], pa.int64())})
-    ids = files.select("file_id")
-    # one number: as many tasks as files, which no coalescing joins
-    return ids.repartition(max(1, min(ids.count(), 10_000))).mapInArrow(
+    n, size = files.agg(F.count(F.lit(1)), F.sum("length") if "length" in files.columns else F.lit(None)).first()
+    # a number given, so that no coalescing joins them
+    return files.select("file_id").repartition(_tasks(files.sparkSession, n, n * TASK_BYTES if size is None else size)).mapInArrow(
         run, "file_id string, content_hash string, head binary, n_bytes long")
 
 
@@ -109,5 +116,5 @@ def copy_ranges(files: DataFrame, range_bytes: int = RANGE) -> DataFrame:
                 except FileNotFoundError:
                     continue
                 yield row.append_column("content", pa.array([part], pa.binary()))
-    n = files.agg(F.coalesce(F.sum(F.expr(f"(length + {range_bytes - 1}) div {range_bytes}")), F.lit(1))).first()[0]
-    return ranges.repartition(int(max(1, min(n, 10_000)))).mapInArrow(run, schema)
+    n, size = files.agg(F.sum(F.expr(f"(length + {range_bytes - 1}) div {range_bytes}")), F.sum("length")).first()
+    return ranges.repartition(_tasks(files.sparkSession, n or 0, size or 0)).mapInArrow(run, schema)
