@@ -225,7 +225,7 @@ def ingest_batch(spark: SparkSession, landed: DataFrame, t: IngestTables, batch_
     # 5. processed rows of the files that parsed (all-string, union of keys)
     ok = verdict.where(done)
     if totals.n_done:
-        _write_processed(spark, staged, ok, t, batch_id, rpp)
+        _write_processed(spark, staged, ok, t, batch_id, rpp, int(totals.n_records or 0))
 
     # 6. quarantine copies (bytes re-read only for these files)
     if totals.n_quarantined:
@@ -321,10 +321,18 @@ def _parse(spark: SparkSession, meta, t: IngestTables, batch_id: int) -> tuple[D
     return out, unreadable
 
 
+PROCESSED_ROWS = 100_000  # of a partition that one task sorts and writes
+
+
 def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: IngestTables,
-                     batch_id: int, rpp: int) -> None:
-    good = staged.join(ok.select("file_id", "content_hash", "path", "source", "date", "length"),
-                       "file_id")
+                     batch_id: int, rpp: int, n_records: int) -> None:
+    """The records under their partitions. The join holds the files' rows and sorts no records, and a
+    task writes about ``PROCESSED_ROWS`` of a partition, however large files, partitions and batch are."""
+    pairs = (ok.groupBy("source", "date").agg(F.greatest(F.lit(1), F.ceil(F.sum("n_records") / PROCESSED_ROWS)).alias("slots"))
+             .withColumnsRenamed({"source": "s", "date": "d"}))
+    files = ok.join(pairs, F.col("source").eqNullSafe(F.col("s")) & F.col("date").eqNullSafe(F.col("d"))).select(
+        "file_id", "content_hash", "path", "source", "date", "slots")
+    good = staged.join(files.hint("shuffle_hash"), "file_id")
     # the columns of the batch: the keys of its records, each set of keys once
     keys = sorted(r.k for r in good.select(F.map_keys("record").alias("ks")).distinct()
                   .select(F.explode("ks").alias("k")).distinct().collect())
@@ -332,6 +340,9 @@ def _write_processed(spark: SparkSession, staged: DataFrame, ok: DataFrame, t: I
         return
     # a record key equal to one of our own columns keeps its data as <key>__data
     cols = [F.col("record").getItem(k).alias(k if k not in META_COLS else f"{k}__data") for k in keys]
+    # four times as many tasks as slots, so that few tasks get several
+    tasks = min(10_000, max(-(-4 * n_records // PROCESSED_ROWS), spark.sparkContext.defaultParallelism))
+    good = good.repartition(tasks, F.col("source"), F.col("date"), F.pmod(F.xxhash64(F.to_json("record")), F.col("slots")))
     out = good.select(*cols,
                       F.col("content_hash").alias("ingest_hash"), F.col("path").alias("ingest_path"),
                       F.col("source").alias("ingest_source"),
@@ -373,14 +384,20 @@ def quarantined_bytes(spark: SparkSession, t: IngestTables) -> DataFrame:
     """The original bytes of quarantined files: path, content_hash, reason, seq, at, content. A file
     up to the size limit is one row, a larger one a row for each range; in order of seq they
     join to the file."""
+    cols = ["path", "content_hash", "reason", "seq", "at", "content"]
+
+    def there(root: str) -> bool:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    if not there(t.quarantine):     # nothing was quarantined yet
+        return spark.createDataFrame([], "path string, content_hash string, reason string, seq long, at long, content binary")
     whole = spark.read.parquet(t.quarantine)
     ranges = None
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.quarantine_ranges)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    if there(t.quarantine_ranges):
         ranges = spark.read.parquet(t.quarantine_ranges)
         whole = whole.join(ranges.select("content_hash", "path", "ingest_batch").distinct(),
                            ["content_hash", "path", "ingest_batch"], "left_anti")
-    cols = ["path", "content_hash", "reason", "seq", "at", "content"]
     out = whole.withColumn("seq", F.lit(0).cast("bigint")).withColumn("at", F.lit(0).cast("bigint")).select(cols)
     return out if ranges is None else out.unionByName(ranges.select(cols))
 
