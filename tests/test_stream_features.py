@@ -130,3 +130,16 @@ def test_rolling_state_follows_shards_not_keys(spark, tmp_root):
     assert got == {r.id: (r.range60_count, r.range60_sum) for r in want.collect()}
     held, partitions = _state(run)
     assert partitions == 2 and held < len(rows)
+
+
+def test_state_follows_slabs_not_buckets(spark, tmp_root):
+    """Rows over many buckets are one value of the state for each shard and slab, and what closed buckets
+    leave behind serves the later buckets of their slab."""
+    rows = [(i, f"k{i % 40}", T0 + timedelta(seconds=30 * i), float(i)) for i in range(400)]
+    q = SF.rolling_range_stream(_stream(spark, os.path.join(tmp_root, "in"), [rows[:150], rows[150:151], rows[151:]]), "k", "ts", "v", 1200, "100 seconds", sub_buckets=2)
+    path = os.path.join(tmp_root, "out")
+    run = SF.write_stream(spark, q, path, os.path.join(tmp_root, "ckpt"), partitions=2)
+    fix = lambda df: {r.id: (r.range1200_count, r.range1200_sum) for r in df.collect() if r.id >= 0}
+    assert fix(spark.read.schema(q.schema).parquet(path)) == fix(TM.rolling_range(spark.createDataFrame(rows, SCHEMA), "k", "ts", "v", 1200, sub_buckets=2))
+    buckets = 400 * 30 // 600 * min(40, SF.SHARDS)
+    assert max(p.stateOperators[0].numRowsUpdated for p in run.recentProgress if p.stateOperators) < buckets / 4

@@ -32,7 +32,10 @@ def _bands(df: DataFrame, us, late, name: str) -> DataFrame:
     first = df.agg(F.min(us)).first()[0] or 0
     slow = F.pmod(F.xxhash64(*df.columns), F.lit(DAY_US))
     band = F.least(F.floor((us + slow - first) / (BAND_DAYS * DAY_US)), F.lit(BANDS - 1))
-    dealt = df.withColumn("__band", F.when(late, BANDS).otherwise(band))
+    # dealt in one pass; a band then reads its own rows only
+    staged = scratch_path(spark, f"{name}-dealt")
+    df.withColumn("__band", F.when(late, BANDS).otherwise(band).cast("int")).write.partitionBy("__band").parquet(staged)
+    dealt = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, __band int").parquet(staged)
     for i in range(BANDS + 1):
         dealt.where(F.col("__band") == i).drop("__band").repartition(FILES).write.parquet(f"{root}/band-{i}")
     end = spark.range(2).select(*[(F.lit("2100-01-01").cast("timestamp_ntz").cast(f.dataType) if "timestamp" in f.dataType.simpleString()

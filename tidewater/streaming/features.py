@@ -1,12 +1,12 @@
 """Time features over streams with shuffled and late rows.
 
-Rolling windows and as-of features share one keyed state: time is cut into buckets, keys are
-dealt to ``SHARDS`` by their hash, and a row is kept under (shard, bucket) of its own bucket
-and of the following ones that its window or lifetime reaches. When the watermark has passed
-the end of a bucket, a timer computes the bucket's own rows from what is kept and the state
-is dropped. So every result is final, order of arrival does not matter, state lasts one
-bucket's reach and the watermark's delay, and a key that holds a third of all rows is spread
-over its buckets.
+Rolling windows and as-of features share one keyed state: time is cut into buckets and ``SLAB``
+buckets make a slab, keys are dealt to ``SHARDS`` by their hash, and a row is kept under (shard,
+slab) of its own bucket and of the following slabs that its window or lifetime reaches. When the
+watermark has passed the end of a bucket, a timer computes the bucket's own rows from what is
+kept, and rows that no open bucket of the slab reaches are dropped. So every result is final,
+order of arrival does not matter, state lasts one bucket's reach and the watermark's delay, and a
+key that holds a third of all rows is spread over its slabs.
 
 The watermark runs over the ends of the rows' buckets. A row is late, and dropped, if its
 own bucket is closed when it arrives. Rows without a time take no part. Results come out
@@ -26,50 +26,80 @@ from pyspark.sql.streaming import StatefulProcessor
 
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         "ignoreNullFields": "false"}
-_COLUMNS = ["key", "us", "kind", "tiebreak", "real", "number", "payload"]
+_COLUMNS = ["key", "us", "kind", "tiebreak", "real", "number", "payload", "end_ms"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-SHARDS = 32               # groups of keys that share a bucket's state
+SHARDS = 32               # groups of keys that share a slab's state
+SLAB = 4                  # buckets of a slab
 
 
 class BucketState(StatefulProcessor):
-    """Keeps the rows of a (shard, bucket) until the bucket closes, then gives ``close(rows)``.
+    """Keeps the rows of a (shard, slab). When buckets of it close, it gives ``close(rows)``, where
+    ``real`` marks the closed buckets' own rows, and keeps what later buckets reach ``reach`` back for.
 
     What a micro-batch brings is one value of the state, an Arrow table: calls to the
-    state store follow the shards and buckets, not the keys or rows."""
+    state store follow the shards and slabs, not the keys, rows or buckets."""
 
-    def __init__(self, width_us: int, close: Callable):
-        self.width_us, self.on_close = width_us, close
+    def __init__(self, width_us: int, reach: int, close: Callable, carry: bool):
+        self.width_us, self.reach, self.on_close, self.carry = width_us, reach, close, carry
 
     def init(self, handle) -> None:
+        import pyarrow as pa
+
         self.handle = handle
         self.chunks = handle.getListState("chunks", "rows binary")
+        self.schema = pa.schema([("key", pa.string()), ("us", pa.int64()), ("kind", pa.int32()), ("tiebreak", pa.int64()),
+                                 ("real", pa.bool_()), ("number", pa.float64()), ("payload", pa.string()), ("end_ms", pa.int64())])
+
+    def _keep(self, key, rows) -> None:
+        """Add the table ``rows`` to the state. The timer is at the end of the earliest bucket with
+        own rows, or of the slab."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self.schema) as w:
+            w.write_table(rows)
+        self.chunks.appendValue((sink.getvalue().to_pybytes(),))
+        first = pc.min(rows["end_ms"].filter(rows["real"])).as_py()
+        self.handle.registerTimer(self._end_ms(key) if first is None else first)
+
+    def _end_ms(self, key) -> int:
+        return (int(key[-1]) + 1) * SLAB * self.width_us // 1000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import pyarrow as pa
 
-        watermark, any_kept = timerValues.getCurrentWatermarkInMs(), False
-        schema = pa.schema([("key", pa.string()), ("us", pa.int64()), ("kind", pa.int32()), ("tiebreak", pa.int64()),
-                            ("real", pa.bool_()), ("number", pa.float64()), ("payload", pa.string())])
-        for pdf in rows:
-            live = pdf[pdf["end_ms"] > watermark]
-            if len(live):
-                any_kept = True
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, schema) as w:
-                    w.write_table(pa.Table.from_pandas(live[_COLUMNS], schema=schema, preserve_index=False))
-                self.chunks.appendValue((sink.getvalue().to_pybytes(),))
-        if any_kept:
-            self.handle.registerTimer((int(key[-1]) + 1) * self.width_us // 1000)
+        watermark = timerValues.getCurrentWatermarkInMs()
+        live = [x for x in (pdf[pdf["end_ms"] > watermark] for pdf in rows) if len(x)]
+        if live:
+            self._keep(key, pa.concat_tables([pa.Table.from_pandas(x[_COLUMNS], schema=self.schema, preserve_index=False) for x in live]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        kept = pa.concat_tables([pa.ipc.open_stream(bytes(c[0])).read_all() for c in self.chunks.get()])
-        self.chunks.clear()
-        if pc.any(kept["real"]).as_py():
-            yield self.on_close(kept)
+        watermark = timerValues.getCurrentWatermarkInMs()
+        chunks = [pa.ipc.open_stream(bytes(c[0])).read_all() for c in self.chunks.get()]
+        if not chunks:
+            return      # another timer of the batch was here before
+        kept = pa.concat_tables(chunks)
+        at = kept.schema.get_field_index("real")
+        done = pc.and_(kept["real"], pc.less_equal(kept["end_ms"], watermark))
+        more = pc.and_not(kept["real"], done)
+        if watermark >= self._end_ms(key):
+            self.chunks.clear()
+        elif pc.any(done).as_py():
+            self.chunks.clear()
+            since = (watermark * 1000 // self.width_us - self.reach) * self.width_us      # no open bucket reaches further back
+            left = kept.set_column(at, "real", more)
+            if not self.carry:
+                left = left.set_column(left.schema.get_field_index("payload"), "payload", pc.if_else(more, left["payload"], None))
+            left = left.filter(pc.or_(more, pc.greater_equal(left["us"], since)))
+            if len(left):
+                self._keep(key, left)
+        if pc.any(done).as_py():
+            yield self.on_close(kept.set_column(at, "real", done))
 
     def close(self) -> None:
         pass
@@ -88,8 +118,8 @@ def _ranks(kept):
 
 def _bucketed(stream: DataFrame, key: str, ts: str, width_us: int, reach: int, delay: str, kind: int,
               tiebreak: str | None, number: str | None, carry: bool) -> DataFrame:
-    """The rows of ``stream`` under their own bucket and the ``reach`` following ones, where they have
-    their payload only with ``carry``."""
+    """The rows of ``stream`` under the slab of their own bucket and those of the ``reach`` following
+    buckets, where they are not ``real`` and have their payload only with ``carry``."""
     d = stream.select(F.col(key).cast("string").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
                       F.lit(kind).alias("kind"),
                       (F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")).alias("tiebreak"),
@@ -98,15 +128,18 @@ def _bucketed(stream: DataFrame, key: str, ts: str, width_us: int, reach: int, d
     own = F.floor(F.col("us") / width_us).cast("bigint")
     end_us = (own + 1) * width_us
     d = d.withColumn("own", own).withColumn("end", F.timestamp_micros(end_us)).withColumn("end_ms", F.floor(end_us / 1000).cast("bigint"))
-    return (d.withWatermark("end", delay).select("*", F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("off"))
-            .select(F.pmod(F.xxhash64("key"), F.lit(SHARDS)).cast("int").alias("shard"), (F.col("own") + F.col("off")).alias("bucket"),
-                    "end", "end_ms", "key", "us", "kind", "tiebreak", (F.col("off") == 0).alias("real"), "number",
-                    (F.col("payload") if carry else F.when(F.col("off") == 0, F.col("payload"))).alias("payload")))
+    slab = lambda c: F.floor(c / SLAB).cast("bigint")
+    real = F.col("slab") == slab(F.col("own"))
+    return (d.withWatermark("end", delay)
+            .select("*", F.explode(F.sequence(slab(F.col("own")), slab(F.col("own") + reach))).alias("slab"))
+            .select(F.pmod(F.xxhash64("key"), F.lit(SHARDS)).cast("int").alias("shard"), "slab",
+                    "end", "end_ms", "key", "us", "kind", "tiebreak", real.alias("real"), "number",
+                    (F.col("payload") if carry else F.when(real, F.col("payload"))).alias("payload")))
 
 
-def _closed(rows: DataFrame, width_us: int, close: Callable, schema: str) -> DataFrame:
-    return rows.groupBy("shard", "bucket").transformWithStateInPandas(
-        BucketState(width_us, close), schema, "append", "EventTime")
+def _closed(rows: DataFrame, width_us: int, reach: int, close: Callable, carry: bool, schema: str) -> DataFrame:
+    return rows.groupBy("shard", "slab").transformWithStateInPandas(
+        BucketState(width_us, reach, close, carry), schema, "append", "EventTime")
 
 
 def _payload(schema, name: str):
@@ -140,7 +173,7 @@ def rolling_range_stream(stream: DataFrame, key: str, ts: str, value: str, secon
                                  "total": np.where(n > 0, total, np.nan), "mean": np.where(n > 0, total / n, np.nan), "some": n > 0})
 
     rows = _bucketed(stream, key, ts, width, k, delay, 0, None, value, False)
-    out = _closed(rows, width, close, "payload string, n long, total double, mean double, some boolean")
+    out = _closed(rows, width, k, close, False, "payload string, n long, total double, mean double, some boolean")
     return out.select(_payload(stream.schema, "payload").alias("r"), "*").select(
         "r.*", F.col("n").alias(f"{prefix}{seconds}_count"), F.when(F.col("some"), F.col("total")).alias(f"{prefix}{seconds}_sum"),
         F.when(F.col("some"), F.col("mean")).alias(f"{prefix}{seconds}_avg"))
@@ -159,7 +192,7 @@ def asof_features_stream(labels: DataFrame, features: DataFrame, key: str, label
 
         code, rank, times, place = _ranks(kept)
         kind, us = kept["kind"].to_numpy(), kept["us"].to_numpy()
-        lab, fea = np.flatnonzero(kind == 1), np.flatnonzero(kind == 0)
+        lab, fea = np.flatnonzero((kind == 1) & kept["real"].to_numpy()), np.flatnonzero(kind == 0)
         fea = fea[np.lexsort((kept["tiebreak"].to_numpy()[fea], place(code[fea], rank[fea])))]
         last = np.searchsorted(place(code[fea], rank[fea]), place(code[lab], rank[lab]), "right") - 1
         fea = np.append(fea, -1)           # -1: none
@@ -173,7 +206,7 @@ def asof_features_stream(labels: DataFrame, features: DataFrame, key: str, label
     rows = _bucketed(labels, key, label_ts, width, 0, delay, 1, None, None, True).unionByName(
         # null keys move the watermark on but are not kept (asking for the time column keeps the filter behind the watermark)
         _bucketed(fea, key, feature_ts, width, k, delay, 0, tiebreak, None, True).where(F.col("key").isNotNull() | F.col("end").isNull()))
-    out = _closed(rows, width, close, "label string, feature string")
+    out = _closed(rows, width, k, close, True, "label string, feature string")
     f = _payload(fea.schema, "feature")
     return out.select(_payload(labels.schema, "label").alias("r"), f.alias("f")).select(
         "r.*", F.col(f"f.{tiebreak}").alias(f"feature_{tiebreak}"), *[F.col(f"f.{c}").alias(c) for c in feature_cols])
