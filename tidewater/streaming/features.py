@@ -12,7 +12,7 @@ The watermark runs over the ends of the rows' buckets. A row is late, and droppe
 own bucket is closed when it arrives. Rows without a time take no part. Results come out
 in append mode once their bucket closes.
 
-Model quality is a native stream-stream join: see :func:`quality_stream`.
+Model quality keeps predictions and labels by shard of keys: see :func:`quality_stream`.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ _COLUMNS = ["key", "us", "kind", "tiebreak", "real", "number", "payload", "end_m
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SHARDS = 32               # groups of keys that share a slab's state
 SLAB = 4                  # buckets of a slab
+QUALITY_SHARDS = 128      # groups of keys that share the predictions and labels that wait
 
 
 class BucketState(StatefulProcessor):
@@ -212,26 +213,87 @@ def asof_features_stream(labels: DataFrame, features: DataFrame, key: str, label
         "r.*", F.col(f"f.{tiebreak}").alias(f"feature_{tiebreak}"), *[F.col(f"f.{c}").alias(c) for c in feature_cols])
 
 
+class LabelState(StatefulProcessor):
+    """The predictions of a shard of keys that wait for their label, and its labels of the last
+    ``delay``, each an Arrow table: calls to the state store follow the shards, not the rows.
+
+    Gives a row for each prediction (``n`` 1) when it comes, with its label if that is there, and
+    one (``n`` 0) when the label comes later. All lie before the watermark by their ``due``."""
+
+    def __init__(self, delay_us: int):
+        self.delay_us = delay_us
+
+    def init(self, handle) -> None:
+        import pyarrow as pa
+
+        self.kept = handle.getValueState("rows", "rows binary")
+        self.schema = pa.schema([("key", pa.string()), ("us", pa.int64()), ("due_us", pa.int64()), ("real", pa.bool_()), ("number", pa.float64()), ("value", pa.string())])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        import numpy as np
+        import pandas as pd
+        import pyarrow as pa
+
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        new = pd.concat(list(rows), ignore_index=True)[self.schema.names]
+        new = new[new["us"] > watermark]
+        held = self.kept.get() if self.kept.exists() else None
+        old = pa.ipc.open_stream(bytes(held[0])).read_all().to_pandas() if held else new[:0]
+        old = old[np.where(old["real"], old["due_us"], old["us"] + self.delay_us) > watermark]
+        wait = pd.concat([old[old["real"]], new[new["real"]]], ignore_index=True)
+        came = np.arange(len(wait)) >= int(old["real"].sum())
+        labels = pd.concat([old[~old["real"]], new[~new["real"]]], ignore_index=True).drop_duplicates("key")
+        at = pd.Index(labels["key"]).get_indexer(wait["key"])      # labels have keys, and -1 is none
+        at[wait["key"].isna()] = -1
+        l_us, l_value, l_number = (np.append(labels[c].to_numpy(), none)[at] for c, none in (("us", 0), ("value", None), ("number", np.nan)))
+        hit = (at >= 0) & (l_us >= wait["us"].to_numpy()) & (l_us <= wait["due_us"].to_numpy())
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(pa.Table.from_pandas(pd.concat([wait[~hit], labels], ignore_index=True), schema=self.schema, preserve_index=False))
+        self.kept.update((sink.getvalue().to_pybytes(),))
+        told = came | hit
+        yield pd.DataFrame({"due": wait["due_us"].to_numpy().astype("datetime64[us]")[told], "n": came[told].astype(np.int64), "hit": hit[told],
+                            "predicted": wait["value"].to_numpy()[told], "score": wait["number"].to_numpy()[told],
+                            "actual": np.where(hit, l_value, None)[told], "number": np.where(hit, l_number, np.nan)[told]})
+
+    def close(self) -> None:
+        pass
+
+
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {interval})").first()[0]
+
+
 def quality_stream(predictions: DataFrame, actuals: DataFrame, key: str, ts: str, actual_ts: str, predicted: str, score: str,
                    actual: str, wait: str, delay: str, window: str) -> DataFrame:
     """B30 as a stream: per window of prediction time, n_predictions, n_unmatched (no label within
     ``wait``), accuracy of ``predicted`` and RMSE of ``score`` against the labels that came.
 
     Labels may come up to ``wait`` after the prediction and be delivered again: within the
-    watermark, one label counts per key. Predictions without one leave the outer join when
-    the watermark says none can come, and are counted as unmatched."""
-    p = predictions.select(F.col(key).alias("__key"), F.col(ts).cast("timestamp").alias("__ts"), predicted, score).withWatermark("__ts", delay)
-    a = (actuals.select(F.col(key).alias("__akey"), F.col(actual_ts).cast("timestamp").alias("__ats"), actual)
-         .withWatermark("__ats", delay).dropDuplicatesWithinWatermark(["__akey"]))
-    near = (F.col("__key") == F.col("__akey")) & (F.col("__ats") >= F.col("__ts")) & (
-        F.col("__ats") <= F.col("__ts") + F.expr(f"INTERVAL {wait}"))
-    hit = F.col("__akey").isNotNull()
-    err = F.pow(F.col(score) - F.col(actual), 2)
-    return (p.join(a, near, "left").groupBy(F.window("__ts", window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_predictions"), F.count_if(~hit).alias("n_unmatched"),
-                 F.avg(F.when(hit, (F.col(predicted) == F.col(actual)).cast("double"))).alias("accuracy"),
-                 F.sqrt(F.avg(F.when(hit, err))).alias("rmse"))
-            .select(F.col("w.start").alias("window_start"), "n_predictions", "n_unmatched", "accuracy", "rmse"))
+    watermark, one label counts per key. Predictions are counted when they come and matched when
+    both are there (:class:`LabelState`); a window closes when no label can come for it."""
+    spark = predictions.sparkSession
+    wait_us, delay_us, window_us = (_micros(spark, x) for x in (wait, delay, window))
+
+    def side(df, time, value, number, due, real):
+        us = F.unix_micros("ts")
+        d = (df.select(F.col(key).cast("string").alias("key"), F.col(time).cast("timestamp").alias("ts"), F.col(value).cast("string").alias("value"),
+                       F.col(number).cast("double").alias("number")).withWatermark("ts", delay))
+        return d.select(F.pmod(F.xxhash64("key"), F.lit(QUALITY_SHARDS)).cast("int").alias("shard"), "ts", "key", us.alias("us"), (us + due).alias("due_us"),
+                        F.lit(real).alias("real"), "number", "value").where(F.col("us").isNotNull())
+
+    # labels without a key move the watermark on but are not kept
+    rows = side(predictions, ts, predicted, score, wait_us, True).unionByName(
+        side(actuals, actual_ts, actual, actual, 0, False).where(F.col("key").isNotNull() | F.col("ts").isNull()))
+    out = rows.groupBy("shard").transformWithStateInPandas(
+        LabelState(delay_us), "due timestamp, n long, hit boolean, predicted string, score double, actual string, number double",
+        "append", "EventTime", eventTimeColumnName="due")
+    right = F.col("predicted").cast(predictions.schema[predicted].dataType) == F.col("actual").cast(actuals.schema[actual].dataType)
+    return (out.groupBy(F.window("due", f"{window_us} microseconds", f"{window_us} microseconds", f"{wait_us % window_us} microseconds").alias("w"))
+            .agg(F.sum("n").alias("n_predictions"), (F.sum("n") - F.count_if("hit")).alias("n_unmatched"),
+                 F.avg(F.when(F.col("hit"), right.cast("double"))).alias("accuracy"),
+                 F.sqrt(F.avg(F.when(F.col("hit"), F.pow(F.col("score") - F.col("number"), 2)))).alias("rmse"))
+            .select((F.col("w.start") - F.expr(f"INTERVAL {wait}")).alias("window_start"), "n_predictions", "n_unmatched", "accuracy", "rmse"))
 
 
 @contextmanager
