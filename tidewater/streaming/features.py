@@ -227,7 +227,8 @@ class LabelState(StatefulProcessor):
         import pyarrow as pa
 
         self.kept = handle.getValueState("rows", "rows binary")
-        self.schema = pa.schema([("key", pa.string()), ("us", pa.int64()), ("due_us", pa.int64()), ("real", pa.bool_()), ("number", pa.float64()), ("value", pa.string())])
+        self.schema = pa.schema([("key", pa.string()), ("us", pa.int64()), ("due_us", pa.int64()), ("real", pa.bool_()), ("scored", pa.bool_()), ("score", pa.float64()),
+                                 ("value", pa.string())])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import numpy as np
@@ -245,7 +246,7 @@ class LabelState(StatefulProcessor):
         labels = pd.concat([old[~old["real"]], new[~new["real"]]], ignore_index=True).drop_duplicates("key")
         at = pd.Index(labels["key"]).get_indexer(wait["key"])      # labels have keys, and -1 is none
         at[wait["key"].isna()] = -1
-        l_us, l_value, l_number = (np.append(labels[c].to_numpy(), none)[at] for c, none in (("us", 0), ("value", None), ("number", np.nan)))
+        l_us, l_value = (np.append(labels[c].to_numpy(), none)[at] for c, none in (("us", 0), ("value", None)))
         hit = (at >= 0) & (l_us >= wait["us"].to_numpy()) & (l_us <= wait["due_us"].to_numpy())
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, self.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
@@ -253,8 +254,8 @@ class LabelState(StatefulProcessor):
         self.kept.update((sink.getvalue().to_pybytes(),))
         told = came | hit
         yield pd.DataFrame({"due": wait["due_us"].to_numpy().astype("datetime64[us]")[told], "n": came[told].astype(np.int64), "hit": hit[told],
-                            "predicted": wait["value"].to_numpy()[told], "score": wait["number"].to_numpy()[told],
-                            "actual": np.where(hit, l_value, None)[told], "number": np.where(hit, l_number, np.nan)[told]})
+                            "predicted": wait["value"].to_numpy()[told], "scored": wait["scored"].to_numpy(bool)[told],
+                            "score": wait["score"].to_numpy()[told], "actual": np.where(hit, l_value, None)[told]})
 
     def close(self) -> None:
         pass
@@ -276,23 +277,26 @@ def quality_stream(predictions: DataFrame, actuals: DataFrame, key: str, ts: str
     wait_us, delay_us, window_us = (_micros(spark, x) for x in (wait, delay, window))
 
     def side(df, time, value, number, due, real):
+        # pandas does not tell null from NaN: "scored" does
         us = F.unix_micros("ts")
         d = (df.select(F.col(key).cast("string").alias("key"), F.col(time).cast("timestamp").alias("ts"), F.col(value).cast("string").alias("value"),
-                       F.col(number).cast("double").alias("number")).withWatermark("ts", delay))
+                       number.cast("double").alias("score")).withWatermark("ts", delay))
         return d.select(F.pmod(F.xxhash64("key"), F.lit(QUALITY_SHARDS)).cast("int").alias("shard"), "ts", "key", us.alias("us"), (us + due).alias("due_us"),
-                        F.lit(real).alias("real"), "number", "value").where(F.col("us").isNotNull())
+                        F.lit(real).alias("real"), F.col("score").isNotNull().alias("scored"), "score", "value").where(F.col("us").isNotNull())
 
     # labels without a key move the watermark on but are not kept
-    rows = side(predictions, ts, predicted, score, wait_us, True).unionByName(
-        side(actuals, actual_ts, actual, actual, 0, False).where(F.col("key").isNotNull() | F.col("ts").isNull()))
+    rows = side(predictions, ts, predicted, F.col(score), wait_us, True).unionByName(
+        side(actuals, actual_ts, actual, F.lit(None), 0, False).where(F.col("key").isNotNull() | F.col("ts").isNull()))
     out = rows.groupBy("shard").transformWithStateInPandas(
-        LabelState(delay_us), "due timestamp, n long, hit boolean, predicted string, score double, actual string, number double",
+        LabelState(delay_us), "due timestamp, n long, hit boolean, predicted string, scored boolean, score double, actual string",
         "append", "EventTime", eventTimeColumnName="due")
-    right = F.col("predicted").cast(predictions.schema[predicted].dataType) == F.col("actual").cast(actuals.schema[actual].dataType)
+    came = F.col("actual").cast(actuals.schema[actual].dataType)
+    right = F.col("predicted").cast(predictions.schema[predicted].dataType) == came
+    err = F.pow(F.when(F.col("scored"), F.coalesce("score", F.lit(float("nan")))) - came, 2)
     return (out.groupBy(F.window("due", f"{window_us} microseconds", f"{window_us} microseconds", f"{wait_us % window_us} microseconds").alias("w"))
             .agg(F.sum("n").alias("n_predictions"), (F.sum("n") - F.count_if("hit")).alias("n_unmatched"),
                  F.avg(F.when(F.col("hit"), right.cast("double"))).alias("accuracy"),
-                 F.sqrt(F.avg(F.when(F.col("hit"), F.pow(F.col("score") - F.col("number"), 2)))).alias("rmse"))
+                 F.sqrt(F.avg(F.when(F.col("hit"), err))).alias("rmse"))
             .select((F.col("w.start") - F.expr(f"INTERVAL {wait}")).alias("window_start"), "n_predictions", "n_unmatched", "accuracy", "rmse"))
 
 
