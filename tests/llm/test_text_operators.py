@@ -397,3 +397,30 @@ def test_word_ids_are_the_librarys(monkeypatch):
                 assert len(ends) == len(some)
                 for t, a, b in zip(some, starts, ends):
                     assert ids[a:b].tolist() == coder.tokenizer.encode(t or "", add_special_tokens=False).ids, (t, added)
+
+
+def test_word_ids_keep_words_without_their_marks(monkeypatch):
+    """A word goes to the library once, whatever marks come after it, and its forms take no room in the table."""
+    import pyarrow as pa
+    import public_tokenizers
+
+    class Seen:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode_batch_fast(self, texts, **more):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(token_store, "KEPT", 200)
+    coder = token_store.WordIds(public_tokenizers.path("byte_bpe_50k.json"), True)
+    library = coder.tokenizer
+    coder.tokenizer = seen = Seen(library)
+    words = [f"q{a}{b}éx" for a in "abcd" for b in "xyz"]
+    for marks in ([".", ",", "!?"], ["", "***", ".;"], [":", "|", "&&"]):
+        texts = [f"{marks[0]}{w} {w}{m}\n{w}{marks[0]} a{m} 3{m}" for w in words for m in marks]
+        ids, ends = coder.encode(pa.array(texts))
+        for t, a, b in zip(texts, [0, *ends[:-1]], ends):
+            assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids, t
+    given = "\0".join(seen.texts)
+    assert [given.count(f" {w}") for w in words] == [1] * len(words)

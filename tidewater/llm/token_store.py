@@ -29,6 +29,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import count, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +39,10 @@ from ..session import scratch_path
 from .common import load, per_worker, slices
 
 BLOCK = 1 << 18           # ids in a block
-KEPT = 1_000_000          # words a worker keeps the ids of: about 200 MB
+KEPT = 1_000_000          # words without the marks after them, of which a worker keeps the ids: about 200 MB
 FIRST = "\x1c"           # before a text's first word, which has no space before it
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f")    # white space to Python, not to the pattern
 MARKS = ".,;:!?*&$%#|"    # none begins a contraction
-UNCLEAR = b""             # no word has no ids
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -70,17 +70,50 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return at[ends - lengths] & _MASKS[lengths]
 
 
+def _gather(ids: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ends) of the runs ``numbers``, one after the other, out of runs that
+    end at ``ends``; both ends begin with 0."""
+    sizes = np.diff(ends)[numbers]
+    places = np.concatenate([[0], np.cumsum(sizes)])
+    return ids[np.repeat(ends[numbers] - places[:-1], sizes) + np.arange(places[-1])], places
+
+
+def _laid_out(column) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of an Arrow column of large strings without nulls."""
+    _, offsets, data = column.buffers()
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int64, len(column) + 1, 8 * column.offset)
+
+
+class Known:
+    """Ids of words: a word's number, and all ids in order of the numbers. The
+    empty word has number 0 and no ids."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {"": 0}
+        self.ids = np.empty(0, "<u4")
+        self.ends = np.zeros(2, np.int64)
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """The numbers of ``words``, -1 where unknown."""
+        return np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+
+    def add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        self.numbers.update(zip(words, count(len(self.numbers))))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends[1:]])
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class WordIds:
     """Ids by the tokenizers library, word by word.
 
     Its byte-level pattern always ends a piece between a character that is no
     white space and a space or line break, so words are encoded once, with the
     space or break before them, and kept. It also ends one between a letter and
-    the marks after it, so a new word with such an ending is put together from
-    the word without it. A text with other white space at a word's border is
-    encoded as a whole, and so is one that holds an added token's string, if
-    ``added``: the library's default, by which such a string becomes that token.
-    Otherwise it is ordinary text."""
+    the marks after it, so a word with such an ending is put together from the
+    word without it and the marks, and only these two are kept. A text with
+    other white space at a word's border is encoded as a whole, and so is one
+    that holds an added token's string, if ``added``: the library's default, by
+    which such a string becomes that token. Otherwise it is ordinary text."""
 
     def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,54 +125,73 @@ class WordIds:
         size = self.tokenizer.get_vocab_size()
         # a character of a byte-level token stands for one byte
         self.bytes = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(size)], np.int64)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of words that begin with white space and end without: one
-        call for their concatenation, cut where the tokens' bytes add up."""
+        self.known, self.older = Known(), Known()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of ``texts``, ends beginning with 0."""
+        found = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        return ids, np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of words that end without white space, each with a space
+        before it unless it begins with a line break: one call for their
+        concatenation, cut where the tokens' bytes add up."""
         if not words:
-            return []
-        held, = self._encode(["".join(words)])
-        ends = np.cumsum(self.bytes[np.frombuffer(held, "<u4")])
-        cuts = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in words])) + 1
-        a, out = 0, []
-        for b in (4 * cuts).tolist():
-            out.append(held[a:b])
-            a = b
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of different ``words``, UNCLEAR where a word's border is
-        not clear. A word stands for itself with a space before it, unless it
-        begins with a line break or FIRST."""
-        if len(self.known) + len(words) > KEPT // 2:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        plain, first, ends = [], [], {}
-        for w in words:
-            if (ids := older.get(w)) is not None:
-                known[w] = ids
-            elif w[-1:].isalnum():
-                (first if w[0] == FIRST else plain).append(w)
-            elif not w or w[-1].isspace():
-                known[w] = UNCLEAR
-            elif w[-1] in MARKS and (cut := w.rstrip(MARKS)) and cut[-1].isalpha():
-                ends[w] = cut
-            else:
-                (first if w[0] == FIRST else plain).append(w)
-        for cut in set(ends.values()).difference(known, plain, first):
-            (first if cut[0] == FIRST else plain).append(cut)
-        tails = list({w[len(cut):] for w, cut in ends.items()})
-        known.update(zip(plain, self._encode_words([w if w[0] == "\n" else " " + w for w in plain])))
-        found = self._encode([w[1:] for w in first] + tails)
-        known.update(zip(first, found))
-        tail = dict(zip(tails, found[len(first):]))
-        known.update([(w, known[cut] + tail[w[len(cut):]]) for w, cut in ends.items()])
+            return self._encode([])
+        ids, _ = self._encode([(" " + " ".join(words)).replace(" \n", "\n")])
+        sizes = np.fromiter(map(len, map(str.encode, words)), np.int64, len(words))
+        sizes += [w[0] != "\n" for w in words]
+        cuts = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes)) + 1
+        return ids, np.concatenate([[0], cuts])
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of different ``words`` among the known ones, new words
+        added. A word stands for itself with a space before it, unless it begins
+        with a line break or FIRST."""
+        found = self.known.find(words)
+        if np.count_nonzero(found < 0) + len(self.known.numbers) > KEPT // 2:
+            self.older, self.known = self.known, Known()
+            found = self.known.find(words)
+        new = np.flatnonzero(found < 0)
+        if not len(new):
+            return found
+        rest = [words[k] for k in new.tolist()]
+        before = self.older.find(rest)
+        first = np.fromiter((w[0] == FIRST for w in rest), bool, len(rest))
+        for some, ids_of in ((before >= 0, None), ((before < 0) & ~first, self._encode_words),
+                             ((before < 0) & first, lambda group: self._encode([w[1:] for w in group]))):
+            group = [rest[k] for k in np.flatnonzero(some).tolist()]
+            found[new[some]] = len(self.known.numbers) + np.arange(len(group))
+            self.known.add(group, *(ids_of(group) if ids_of else _gather(self.older.ids, self.older.ends, before[some])))
+        return found
+
+    def _words(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ends, unclear) of an Arrow column of different words, ends
+        beginning with 0. Where a word's border is not clear it has no ids."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kind = words.type
+        nothing = pa.scalar("", kind)
+        heads = pc.ascii_rtrim(words, MARKS)
+        last = pc.utf8_slice_codeunits(heads, -1).dictionary_encode()
+        at, chars = last.indices.to_numpy(), last.dictionary.to_pylist()
+        letter = np.array([c.isalpha() for c in chars], bool)[at]
+        data, offsets = _laid_out(words)
+        marks = np.diff(offsets) - np.diff(_laid_out(heads)[1])
+        unclear = np.array([not c or c.isspace() for c in chars], bool)[at] & (marks == 0)
+        marks[~letter] = 0
+        heads = pc.if_else(pa.array(unclear), nothing, pc.if_else(pa.array(letter), heads, words))
+        # the marks: the last bytes of the words
+        places = np.concatenate([[0], np.cumsum(marks)])
+        tails = data[np.repeat(offsets[1:] - places[1:], marks) + np.arange(places[-1])]
+        tails = pa.Array.from_buffers(kind, len(words), [None, pa.py_buffer(places), pa.py_buffer(tails)])
+        tails = pc.binary_join_element_wise(pc.if_else(pa.array(marks > 0), pa.scalar(FIRST, kind), nothing), tails, nothing)
+        both = pa.concat_arrays([heads, tails]).dictionary_encode()
+        numbers = self._numbers(both.dictionary.to_numpy(zero_copy_only=False).tolist())[both.indices.to_numpy()]
+        ids, ends = _gather(self.known.ids, self.known.ends, numbers.reshape(2, -1).T.ravel())
+        return ids, ends[::2], unclear
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends) of an Arrow column of texts, null as empty: all their ids
@@ -161,21 +213,10 @@ class WordIds:
         cut = pc.split_pattern(cut, " ")
         words = cut.values.dictionary_encode()
         at = words.indices.to_numpy()
-        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(self.known.get, different))
-        if None in found:
-            new = [k for k, x in enumerate(found) if x is None]
-            self._learn([different[k] for k in new])
-            for k in new:
-                found[k] = self.known[different[k]]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        pool = np.frombuffer(b"".join(found), "<u4")
-        n = sizes[at]
-        places = np.concatenate([[0], np.cumsum(n)])
-        ids = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - places[:-1], n) + np.arange(places[-1])]
+        found, ends, unclear = self._words(words.dictionary)
+        ids, places = _gather(found, ends, at)
         offsets = cut.offsets.to_numpy()
         ends = places[offsets[1:]]
-        unclear = sizes == 0
         whole = alone.to_numpy(zero_copy_only=False)
         if unclear.any():
             seen = np.concatenate([[0], np.cumsum(unclear[at])])[offsets]
@@ -183,8 +224,7 @@ class WordIds:
         if not whole.any():
             return ids, ends
         starts = places[offsets[:-1]]
-        rows = [np.frombuffer(self._encode([texts[i].as_py()])[0], "<u4") if whole[i] else ids[starts[i]:ends[i]]
-                for i in range(len(texts))]
+        rows = [self._encode([texts[i].as_py()])[0] if whole[i] else ids[starts[i]:ends[i]] for i in range(len(texts))]
         return np.concatenate(rows), np.cumsum([len(x) for x in rows])
 
 
